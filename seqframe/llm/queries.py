@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, mixing, token_counts, token_store
+from seqframe.llm import decontaminate, mixing, quality, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -19,6 +19,13 @@ def op5_mix_sources(spark, sf_dir):
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.fit(docs, table(spark, sf_dir, "labels"), quality.crc("doc_id", 5) != 0)
+    scored = quality.score(docs.withColumn("held_out", quality.crc("doc_id", 5) == 0), weights, drop_text=True)
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op8_token_store(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return token_store.store_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
