@@ -8,7 +8,7 @@ its score is the logistic of a sparse dot product with the weights.
 
 Training is on a sample of labelled rows of a documented bound (``max_rows``, taken by
 seeded hash): the sample is dealt into ``shards`` by hash, each shard runs FTRL-proximal
-over its rows in hash order, and the weights are averaged. All else covers all rows.
+over its rows in hash order until it has made ``updates`` steps, and the weights are averaged. All else covers all rows.
 
 Null and empty texts have no features and score by the intercept. Label rows that are
 null, or whose document is absent, teach nothing; of contradicting labels each counts.
@@ -67,7 +67,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.stack(columns, axis=1).reshape(-1) if n else np.empty(0, np.int64)), t.first * len(_GROUPS)
 
 
-def train(rows: pd.DataFrame, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
+def train(rows: pd.DataFrame, updates: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
     """FTRL-proximal over rows (columns text, label); the weights, the intercept last."""
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
@@ -83,7 +83,7 @@ def train(rows: pd.DataFrame, epochs: int, alpha: float, beta: float, l1: float,
         at, count = np.unique(numbers[first[k] : first[k + 1]], return_counts=True)
         examples.append((np.append(at, size - 1), np.append(count * (len(_GROUPS) / max(1, count.sum())), 1.0)))
     labels = rows["label"].to_numpy(float)
-    for _ in range(epochs):
+    for _ in range(-(-updates // max(1, len(rows)))):
         for (at, x), y in zip(examples, labels, strict=True):
             w = weights(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
@@ -94,7 +94,7 @@ def train(rows: pd.DataFrame, epochs: int, alpha: float, beta: float, l1: float,
     return weights(np.arange(size))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 16_000, shards: int = 4, epochs: int = 6, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01, seed: int = 5) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 16_000, shards: int = 4, updates: int = 24_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01, seed: int = 5) -> np.ndarray:
     """Weights learnt from at most about max_rows of the labelled documents where ``learns`` (a Column on docs) holds."""
     known = labels.filter(F.col(quoted(label)).isNotNull()).select(F.col(quoted(doc_id)).alias("__id"), F.col(quoted(label)).cast("int").alias("label"))
     kept = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(F.lit(1), F.lit(known.count())))
@@ -104,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_i
     rows = rows.select("__id", "text", "label", F.xxhash64(F.lit(seed + 1), "__id").alias("h")).withColumn("shard", F.pmod("h", F.lit(shards)))
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        w = train(pdf.sort_values(["h", "text", "label"], kind="stable"), epochs, alpha, beta, l1, l2)
+        w = train(pdf.sort_values(["h", "text", "label"], kind="stable"), updates, alpha, beta, l1, l2)
         return pd.DataFrame({"n": [len(pdf)], "w": [w.astype(np.float32).tobytes()]})
 
     parts = rows.groupBy("shard").applyInPandas(shard, "n long, w binary").collect()  # a fixed number of rows of fixed size
