@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, mixing, quality, token_counts, token_store
+from seqframe.llm import decontaminate, mixing, neardup, quality, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.leak_digest(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_near_duplicates(spark, sf_dir):
+    documents, _ = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.group_classes(documents)
+
+
 def op5_mix_sources(spark, sf_dir):
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
