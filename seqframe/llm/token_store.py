@@ -39,7 +39,8 @@ LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sHBBHHQQII")
 #: Ids in one stored file, unless one document is longer.
 FILE_IDS = 1 << 20
-KEPT_CHUNKS = 500_000
+#: Chunks and words whose ids a worker keeps; a store is emptied when it is full.
+KEPT_CHUNKS = 900_000
 FILES = "part int, seq int, start bigint, n_tokens bigint, doc_ids array<bigint>, file binary"
 
 
@@ -140,32 +141,70 @@ class ChunkEncoder:
 
     That holds when white space only separates (the pre-tokenizer drops it); texts
     with characters that str and the pattern class differently go to the library whole.
+    A chunk of Latin letters and then ASCII marks (no quote, no ``<``) is one or two lower-cased pre-tokens,
+    which the library's model encodes without the normaliser's bookkeeping.
     """
 
     _ODD = re.compile("[\x1c-\x1f]")
+    _SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:;=-@\\[-`{-~]*)")
 
     def __init__(self, path: str):
+        import json
+
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = [x["type"] for x in spec["pre_tokenizer"].get("pretokenizers", [])]
+        changes = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        self.plain = steps == ["Split", "ByteLevel"] and changes == ["NFC", "Replace", "Lowercase"]
+        printable = [n for n in range(256) if 0x21 <= n <= 0x7E or 0xA1 <= n <= 0xAC or 0xAE <= n]
+        others = [n for n in range(256) if n not in printable]
+        self.letters = {n: chr(n) for n in printable} | {n: chr(256 + k) for k, n in enumerate(others)}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        found = self.library.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        out = self.words[word] = b"".join([t.id.to_bytes(4, "little") for t in found])
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self.words) > KEPT_CHUNKS:
+            self.words.clear()
+        others, simple = [], self._SIMPLE.fullmatch
+        for chunk in chunks:
+            match = simple(chunk) if self.plain else None
+            if match:
+                word, marks = match[1].lower(), match[2]
+                if marks not in self.marks:
+                    if len(self.marks) > KEPT_CHUNKS:
+                        self.marks = {"": b""}
+                    self.marks[marks] = self._bytes([marks])[0]
+                self.known[chunk] = (self.words.get(word) or self._word(word) if word else b"") + self.marks[marks]
+            else:
+                others.append(chunk)
+        if others:
+            self.known.update(zip(others, self._bytes(others), strict=True))
+
     def ids(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
         if self._ODD.search(text):
             return self._bytes([text])[0]
         chunks, known = text.split(), self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
+        found = list(map(known.get, chunks))
+        if None in found:
+            # emptied only here, before what is missing is learnt; what was found is at hand
             if len(known) > KEPT_CHUNKS:
                 known.clear()
-            new = list(dict.fromkeys(c for c in chunks if c not in known))
-            known.update(zip(new, self._bytes(new), strict=True))
-            return b"".join([known[c] for c in chunks])
+            self._learn(list(dict.fromkeys([c for c, x in zip(chunks, found, strict=True) if x is None])))
+            found = [known[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
+        return b"".join(found)
 
 
 _encoders: dict[str, ChunkEncoder] = {}
