@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, mixing, neardup, quality, token_counts, token_store
+from seqframe.llm import decontaminate, html_text, katz, mixing, neardup, quality, surrogates, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -20,6 +20,12 @@ def op3_near_duplicates(spark, sf_dir):
     return neardup.group_classes(documents)
 
 
+def op4_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.fit(pages), drop_source=True)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_mix_sources(spark, sf_dir):
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,11 @@ def op6_quality(spark, sf_dir):
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op7_katz_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.score(docs, quality.crc("doc_id", 7) != 2)
+
+
 def op8_token_store(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return token_store.store_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -42,6 +53,11 @@ def op9_token_counts(spark, sf_dir):
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op10_pii_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_pii(docs, key=b"surrogate key of the registered query")
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
