@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def op10_pii_surrogates(spark, sf_dir):
 
 
 def queries():
-    return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
