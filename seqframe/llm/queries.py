@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, html_text, katz, mixing, neardup, quality, surrogates, token_counts, token_store
+from seqframe.llm import decontaminate, html_text, katz, mixing, neardup, quality, search, surrogates, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -16,6 +16,12 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.leak_digest(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op2_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = search.search(docs, docs.filter(search.every_fiftieth(docs)))
+    return found.withColumnRenamed("query", "query_id")
+
+
 def op3_near_duplicates(spark, sf_dir):
     documents, _ = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return neardup.group_classes(documents)
