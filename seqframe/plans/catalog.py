@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-from seqframe.plans import fixtures
-from pyspark.sql import functions as F
-
-
-def minimum_slice(spark, sf_dir):
-    reads = fixtures.reads(spark, sf_dir)
-    n = F.length("seq")
-    return reads.groupBy("src").agg(F.count("*").alias("n_reads"), F.sum(n).cast("bigint").alias("n_bases"), F.max(n).alias("longest"))
+from seqframe.plans import q_first, q_functions, q_select, registry  # noqa: F401
 
 
 def queries():
-    return {"minimum_slice": minimum_slice}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql():
-    return {"minimum_slice": fixtures.with_views("fx_refs", "fx_reads") + """
-        select src, count(*) as n_reads, cast(sum(length(seq)) as bigint) as n_bases, max(length(seq)) as longest
-        from fx_reads group by src"""}
+    return dict(registry.SQL)

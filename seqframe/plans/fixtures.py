@@ -11,7 +11,9 @@ VIEWS = {
                          '0123456789abcdef', 'ACGTACGTACGTACGT') as seq
         from part""",
     "fx_reads": """
-        select read_id, ref_id, src, ord,
+        select read_id || '.' || cast(row_number() over (partition by read_id order by ref_id, seq, qual33) as varchar(20)) as read_id,
+               ref_id, src, ord * 100 + row_number() over (partition by read_id order by ref_id, seq, qual33) as ord, seq, qual33
+        from (select read_id, ref_id, src, ord,
                case when ord % 2 = 1 then reverse(translate(s, 'ACGT', 'TGCA')) else s end as seq,
                substr(translate(md5(read_id) || md5('q' || read_id), '0123456789abcdef', '+-/13579;=?ACEGI'),
                       1, cast(length(s) as int)) as qual33
@@ -22,14 +24,14 @@ VIEWS = {
                                    substr('ACGTN', cast(l_orderkey % 5 as int) + 1, 1),
                                    substr(r.seq, cast(l_suppkey % 64 as int) + 2)),
                             1, cast(24 + l_orderkey % 41 as int)) as s
-              from lineitem join fx_refs r on r.ref_id = 'p' || cast(l_partkey as varchar(20))) t""",
+              from lineitem join fx_refs r on r.ref_id = 'p' || cast(l_partkey as varchar(20))) t) u""",
     "fx_hits": """
         select 'q' || cast(l_orderkey as varchar(20)) as query, 't' || cast(l_partkey % 7 as varchar(20)) as target,
                l_discount as identity, cast(floor(l_quantity) as int) as length,
                1 + (l_suppkey * 7) % 300 as qstart, (l_suppkey * 7) % 300 + cast(floor(l_quantity) as int) as qend,
                1 + (l_partkey * 11) % 500 as tstart, (l_partkey * 11) % 500 + cast(floor(l_quantity) as int) as tend,
                cast(l_linenumber as double) / 1000 as evalue, cast(floor(l_extendedprice / 100) as int) as score,
-               l_orderkey * 10 + l_linenumber as ord
+               (l_orderkey * 10 + l_linenumber) * 100 + row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount) as ord
         from lineitem""",
     "fx_exons": """
         select 'chr' || cast(l_orderkey % 5 as varchar(20)) as genomicid,
