@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: E-values below this are stored as 0.
 TINY = 6e-171
@@ -16,7 +17,7 @@ def keep_disjoint(hits: DataFrame, margin: int = 1) -> DataFrame:
     Ranges may touch by ``margin`` bases; an overlap of the query or the target range counts. A pair's matches are
     folded in order, so a group is one query and target.
     """
-    schema = hits.schema.add("kept", "boolean")
+    schema = T.StructType([*hits.schema.fields, T.StructField("kept", T.BooleanType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord", kind="stable")

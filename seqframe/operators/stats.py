@@ -61,7 +61,9 @@ def codon_spacing(df: DataFrame, codons: tuple[str, ...] = ("TAG", "TGA", "TAA")
     """(distance, n): distances between successive codons of the list in each of the first lines."""
     lines = df.orderBy(order).limit(first) if first else df
     at = S.motif_positions(F.upper(seq), "|".join(codons))
-    steps = lines.select(F.transform(F.sequence(F.lit(2), F.size(at)), lambda k: F.element_at(at, k) - F.element_at(at, k - 1)).alias("d"), F.size(at).alias("m")).filter("m > 1")
+    found = lines.select(at.alias("at"))
+    pairs = F.zip_with(F.slice("at", F.lit(2), F.greatest(F.size("at") - 1, F.lit(0))), F.slice("at", F.lit(1), F.greatest(F.size("at") - 1, F.lit(0))), lambda x, y: x - y)
+    steps = found.select(pairs.alias("d"))
     return steps.select(F.explode("d").alias("distance")).groupBy("distance").agg(F.count("*").alias("n"))
 
 
