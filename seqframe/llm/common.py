@@ -165,6 +165,17 @@ class Tokens:
         return len(self.first) - 1
 
 
+def token_hashes(texts: pa.Array, classes: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, where each text's begin) of any number of texts, a slice at a time."""
+    hashes, counts = [], []
+    for batch in slices(pa.RecordBatch.from_arrays([texts], names=["t"]), "t"):
+        t = Tokens(batch.column("t"), classes)
+        hashes.append(t.hash)
+        counts.append(np.diff(t.first))
+    first = np.concatenate([[0], *counts]).cumsum()
+    return np.concatenate(hashes) if hashes else np.empty(0, np.uint64), first
+
+
 def rolling(tokens: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n tokens that begin at each token (those over the end wrap and are to be left out)."""
     with np.errstate(over="ignore"):

@@ -36,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import NOT_SPACE, Tokens, mix, quoted, slices, written
+from seqframe.llm.common import NOT_SPACE, mix, quoted, slices, token_hashes, written
 
 #: Bytes of text in a block, and bytes of all text for each bucket.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 10 << 20
 BUCKET_BYTES = 3 << 20
 END = np.uint64(0x7E57ED0F5E7E11CE)
 _START = np.uint64(0x517A27B3C0FFEE11)
@@ -47,15 +47,15 @@ _START = np.uint64(0x517A27B3C0FFEE11)
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each with its end token, and where each text's begin."""
-    t = Tokens(texts, NOT_SPACE)
-    counts = np.diff(t.first) + 1
+    hashes, begins = token_hashes(texts, NOT_SPACE)
+    counts = np.diff(begins) + 1
     first = np.concatenate(([0], np.cumsum(counts)))
     out = np.empty(int(first[-1]), np.uint64)
     ends = first[1:] - 1
     is_end = np.zeros(len(out), bool)
     is_end[ends] = True
     out[is_end] = END
-    out[~is_end] = t.hash
+    out[~is_end] = hashes
     return out, first
 
 
