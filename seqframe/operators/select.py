@@ -270,7 +270,7 @@ def swap_title_id(df: DataFrame, clone: str = r"^([A-Za-z]+\d\S*)", name: str =
 
 def sample_exact(df: DataFrame, n: int, seed: int = 0, key: str = "seq_id") -> DataFrame:
     """Exactly n rows without replacement (all, if there are fewer), by hash order."""
-    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key, F.xxhash64(*df.columns)).limit(n)
 
 
 def sample_sizes(df: DataFrame, sizes: list[int], repeats: int = 1, seed: int = 0, key: str = "seq_id") -> DataFrame:
