@@ -302,7 +302,7 @@ SIMPLE_TRIMS = (
 
 
 def simple_trim(seq: str | Column) -> Column:
-    """End trims of simple pieces; for the choice between the sides of inner runs see operators.trims.simple_trim."""
+    """End trims of simple pieces; the sides of inner runs are chosen by operators.trims.simple_trim."""
     return reduce(lambda s, rule: F.regexp_replace(s, *rule), SIMPLE_TRIMS, F.upper(col(seq)))
 
 

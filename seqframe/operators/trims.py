@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqframe.functions import sequence as S
 
@@ -25,34 +27,70 @@ def trim_sweep(df: DataFrame, grid: tuple[tuple[int, int], ...] = ((4, 20), (5,
     return rows.groupBy("window", "cut").agg(F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"), F.count("*").alias("n_reads"))
 
 
-def simple_trim(df: DataFrame, seq: str = "seq") -> DataFrame:
-    """S.simple_trim, then one side of inner A, T, X and N runs, as staged columns so that no expression is repeated."""
-    df = df.withColumn(seq, S.simple_trim(seq))
+def _longer_side(text: str, pattern: str, left_if) -> str:
+    """One of the two groups of a match, else the text."""
+    match = re.search(pattern, text)
+    return text if not match else match[1] if left_if(len(match[1]), len(match[2])) else match[2]
+
 
-    def two(pattern: str) -> DataFrame:
-        return df.withColumn("__l", F.regexp_extract(seq, pattern, 1)).withColumn("__r", F.regexp_extract(seq, pattern, 2))
+def trim_simple_text(text: str) -> str:
+    text = text.upper()
+    for pattern, keep in S.SIMPLE_TRIMS:
+        text = re.sub(pattern, keep.replace("$1", r"\1"), text)
+    match = re.search("^(.+)[NA]{28,}(.+)$", text)
+    if match and (len(match[1]) > len(match[2]) or len(match[1]) > 400):
+        text = match[1]
+    match = re.search("^(.+)T{26,}(.+)$", text)
+    if match and len(match[1]) < 40:
+        text = match[2]
+    text = _longer_side(text, "([ACGT]+)X+([ACGT]+)", lambda a, b: a > 170 or a > b)
+    return _longer_side(text, "([ACGT]+)N{3,}([ACGT]+)", lambda a, b: a > 160 or a > b)
 
-    found = F.col("__l") != ""
-    n1, n2 = F.length("__l"), F.length("__r")
-    df = two("^(.+)[NA]{28,}(.+)$").withColumn(seq, F.when(found & ((n1 > n2) | (n1 > 400)), F.col("__l")).otherwise(F.col(seq)))
-    df = two("^(.+)T{26,}(.+)$").withColumn(seq, F.when(found & (n1 < 40), F.col("__r")).otherwise(F.col(seq)))
-    df = two("([ACGT]+)X+([ACGT]+)").withColumn(seq, F.when(found, F.when((n1 > 170) | (n1 > n2), F.col("__l")).otherwise(F.col("__r"))).otherwise(F.col(seq)))
-    df = two("([ACGT]+)N{3,}([ACGT]+)").withColumn(seq, F.when(found, F.when((n1 > 160) | (n1 > n2), F.col("__l")).otherwise(F.col("__r"))).otherwise(F.col(seq)))
-    return df.drop("__l", "__r")
+
+def simple_trim(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """End trims of simple pieces, then one side of inner A, T, X and N runs."""
+    return _kernel(df, seq, trim_simple_text)
+
+
+def low_complexity_ends(text: str, window: int, low: int) -> tuple[int, int, bool]:
+    """Letters to cut at the head and at the tail, and whether every window is low: 9 * changes / window of at most ``low``."""
+    letters = text.upper()
+    steps = [a != b and a != "N" and b != "N" for a, b in zip(letters, letters[1:], strict=False)]
+    n = len(text) - window + 1
+    if n < 1:
+        return 0, 0, True
+    total, poor = sum(steps[: window - 1]), []
+    for k in range(n):
+        poor.append(9 * total // window <= low)
+        if k + 1 < n:
+            total += steps[k + window - 1] - steps[k]
+    if all(poor):
+        return 0, 0, True
+    head = poor.index(False)
+    tail = poor[::-1].index(False)
+    return head + window // 2 if head else 0, tail + window // 2 if tail else 0, False
 
 
 def complexity_trim(df: DataFrame, window: int = 20, low: int = 2, least: int = 32, seq: str = "seq") -> DataFrame:
     """Low-complexity ends cut; code 0 nothing cut, 1 head, 2 tail, 3 both, -1 too short or all low, null sequence then."""
-    digits = F.array_join(F.transform(S.change_windows(seq, window), lambda v: v.cast("string")), "")
-    df = df.withColumn("__d", digits)
-    df = df.withColumn("__h", F.length(F.regexp_extract("__d", f"^([0-{low}]*)", 1))).withColumn("__t", F.length(F.regexp_extract("__d", f"([0-{low}]*)$", 1)))
-    every = F.col("__h") == F.length("__d")
-    begin = F.when(F.col("__h") > 0, F.col("__h") + window // 2).otherwise(0)
-    end = F.when(F.col("__t") > 0, F.col("__t") + window // 2).otherwise(0)
-    left = F.length(seq) - begin - end
-    code = F.when(every | (left < least), -1).otherwise((begin > 0).cast("int") + 2 * (end > 0).cast("int"))
-    df = df.withColumn("code", code).withColumn("__b", begin).withColumn("__n", left)
-    return df.withColumn(seq, F.when(F.col("code") >= 0, F.substring(F.col(seq), F.col("__b") + 1, F.col("__n")))).drop("__d", "__h", "__t", "__b", "__n")
+    names = [c for c in df.columns if c != "code"]
+    schema = T.StructType([df.schema[c] for c in names] + [T.StructField("code", T.IntegerType())])
+
+    def one(text: str | None) -> tuple[str | None, int]:
+        if text is None:
+            return None, -1
+        head, tail, every = low_complexity_ends(text, window, low)
+        if every or len(text) - head - tail < least:
+            return None, -1
+        return text[head : len(text) - tail], (head > 0) + 2 * (tail > 0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            cut = [one(s) for s in pdf[seq]]
+            pdf[seq], pdf["code"] = [s for s, _ in cut], [c for _, c in cut]
+            yield pdf[[*names, "code"]]
+
+    return df.mapInPandas(run, schema)
 
 
 def poly_peaks(text: str, base: str, window: int = 10) -> list[tuple[int, int, float, float, int]]:
