@@ -75,3 +75,17 @@ def test_composite_trims_run(spark):
     peaks = trims.poly_peaks("C" * 20 + "A" * 30 + "G" * 20, "A")
     assert len(peaks) == 1 and peaks[0][3] == 4.5
     assert trims.clean_vector_est(df.withColumn("seq", F.concat(F.lit("XX"), "seq"))).count() == 2
+
+
+def test_entry_works_without_the_corpus_operators(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "seqframe", tmp_path / "seqframe", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'minimum_slice' in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=False)
+    assert done.returncode == 0, done.stderr[-500:]
