@@ -89,3 +89,26 @@ def test_entry_works_without_the_corpus_operators(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert 'minimum_slice' in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=False)
     assert done.returncode == 0, done.stderr[-500:]
+
+
+def test_consolidated_hits_equal_a_plain_loop(spark):
+    import random
+
+    from seqframe.operators import hits
+
+    rng = random.Random(6)
+    rows = []
+    for k in range(300):
+        a, b, n = rng.randint(1, 80), rng.randint(1, 80), rng.randint(5, 30)
+        rows.append((f"q{k % 5}", f"t{k % 3}", rng.random(), n, a, a + n, b, b + n, rng.choice([1e-5, 1e-3, 1e-180]), rng.randint(10, 90), k))
+    df = spark.createDataFrame(rows, "query string, target string, identity double, length int, qstart int, qend int, tstart int, tend int, evalue double, score int, ord int")
+    got = {(r["query"], r["target"]): r for r in hits.consolidate_hits(df).collect()}
+    for pair in {(r[0], r[1]) for r in rows}:
+        own, kept = [r for r in rows if (r[0], r[1]) == pair], []
+        for r in own:
+            if all(min(r[5], x[5]) - max(r[4], x[4]) + 1 <= 1 and min(r[7], x[7]) - max(r[6], x[6]) + 1 <= 1 for x in kept):
+                kept.append(r)
+        g = got[pair]
+        assert g["length"] == sum(r[3] for r in kept) and g["score"] == sum(r[9] for r in kept)
+        assert abs(g["identity"] - sum(r[2] * r[3] for r in kept) / g["length"]) < 1e-9 and abs(g["kept_ratio"] - len(kept) / len(own)) < 1e-9
+        assert (g["evalue_product"] == 0) == any(r[8] < 1e-170 for r in kept)
