@@ -11,9 +11,10 @@ where a coordinate stays empty.
 
 Texts that agree in all words are one node. Nodes that share a band of the signature are
 candidates. In each bucket all nodes are checked against one leader, another in each
-band, and the links found are closed to components. Then every pair of one bucket that
-lies in two components is checked too, so within the buckets no link is lost although
-groups of copies are never expanded into pairs. Links need an exact weighted Jaccard
+band, and the links found are closed to components. Buckets that still hold two components
+check all nodes against the one with the least share of shingles that nobody else has. Then every
+pair of one bucket in two components is checked too, but for those whose common shingles can't
+be enough by two upper bounds, so within the buckets no link is lost although groups of copies are not expanded into pairs. Links need an exact weighted Jaccard
 similarity of ``similarity`` (0.8). A pair at 0.8 misses all buckets with a chance of
 (1 - 0.8^ROWS)^BANDS = 5e-5.
 
@@ -25,6 +26,7 @@ Nodes have 64-bit hashes of all words as names; two texts meet by chance with n^
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ from seqframe.llm.common import Tokens, add_columns, field, mix, quoted, rolling
 SHINGLE = 5
 ROWS, BANDS = 5, 25
 COORDINATES = ROWS * BANDS
+#: 64-bit words of the bitmaps that bound what two sets have in common.
+BITMAP_WORDS = 32
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
 
 
@@ -171,6 +175,46 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _in_mixed_buckets(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Bucket rows with the root of their node, of those buckets that hold more than one root."""
+    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("leader", "leader_n")
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    return placed.join(mixed, "key", "left_semi")
+
+
+def unique_mass(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, alone): cells of each of the nodes that none of the others has; nodes without such are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, cells in zip(batch.column("node").to_pylist(), batch.column("cells"), strict=True):
+                values = np.frombuffer(cells.as_buffer(), "<u4").astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node, np.int64)), pa.array(values)], names=["node", "cell"])
+
+    rows = sets.join(nodes, "node", "left_semi").select("node", "cells").mapInArrow(run, "node bigint, cell bigint")
+    once = rows.groupBy("cell").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+    return once.groupBy("node").agg(F.count("*").alias("alone"))
+
+
+def _bitmaps(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, bits, m0, m1, ...): a bitmap of BITMAP_WORDS words with a bit for each cell's hash, and how many bits are set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, bits = [], []
+            for cells in batch.column("cells"):
+                place = np.frombuffer(cells.as_buffer(), "<u4") % np.uint32(64 * BITMAP_WORDS)
+                marks = np.zeros(64 * BITMAP_WORDS, np.uint8)
+                marks[place] = 1
+                words.append(np.packbits(marks).view(np.int64))
+                bits.append(int(marks.sum()))
+            columns = np.array(words, np.int64).reshape(len(words), BITMAP_WORDS).T
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(bits, pa.int32()), *[pa.array(c) for c in columns]], names=["node", "bits", *[f"m{k}" for k in range(BITMAP_WORDS)]])
+
+    schema = "node bigint, bits int, " + ", ".join(f"m{k} bigint" for k in range(BITMAP_WORDS))
+    return sets.join(nodes, "node", "left_semi").select("node", "cells").mapInArrow(run, schema)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(documents, links): one row (id, node, root, n) for each document, and the links (a, b) between nodes.
 
@@ -188,15 +232,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = written(sets.groupBy("node").agg(F.first("cells").alias("cells")), "sets")
     links = written(similar(first, sets, similarity), "similar")
     roots = components(links)
-    # pairs of a bucket that lie in two components
-    placed = buckets.select("key", "node", "n").join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    placed = placed.join(mixed, "key", "left_semi")
-    other = placed.select("key", *[F.col(c).alias(c + "_") for c in ("node", "n", "root")])
-    rest = placed.join(other, "key").filter((F.col("root") < F.col("root_")) & near("n", "n_")).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti")
+    # buckets that still hold two components: their nodes meet the one with the least unique share, which edited copies are nearest to
+    placed = _in_mixed_buckets(buckets, roots)
+    placed = written(placed.join(unique_mass(sets, placed.select("node").distinct()), "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))), "mixed")
+    best = placed.groupBy("key").agg(F.min(F.struct(-F.col("shared") / F.col("n"), "node", "n", "root")).alias("b")).select("key", F.col("b.node").alias("node_"), F.col("b.n").alias("n_"), F.col("b.root").alias("root_"))
+    second = placed.join(best, "key").filter((F.col("root") != F.col("root_")) & near("n", "n_")).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
+    second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(written(similar(second, sets, similarity), "similar"))
+    roots = components(links)
+    # pairs of a bucket that lie in two components, where what both share with any other node could be enough:
+    # |x and y| is at most the shared part of either, and a similarity s needs s / (1 + s) of both sizes
+    placed = written(_in_mixed_buckets(placed.select("key", "node", "n", "shared"), roots), "mixed")
+    # and it is at most the number of common bits of two bitmaps, and of cells that share a bit with another of their text
+    placed = placed.join(_bitmaps(sets, placed.select("node").distinct()), "node")
+    maps = [f"m{k}" for k in range(BITMAP_WORDS)]
+    other = placed.select("key", *[F.col(c).alias(c + "_") for c in ("node", "n", "root", "shared", "bits", *maps)])
+    least = similarity / (1 + similarity) * (F.col("n") + F.col("n_")) - 1e-9
+    common = reduce(lambda a, b: a + b, [F.bit_count(F.col(m).bitwiseAND(F.col(m + "_"))) for m in maps])
+    enough = (F.least("shared", "shared_") >= least) & (common + F.least(F.col("n") - F.col("bits"), F.col("n_") - F.col("bits_")) >= least)
+    on = (placed["key"] == other["key"]) & (F.col("root") < F.col("root_")) & near("n", "n_") & enough
+    rest = placed.join(other, on).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
+    rest = rest.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
     more = written(similar(rest, sets, similarity), "similar")
-    # the second links join components, of which there are far fewer than nodes
+    if not more.head(1):
+        documents = table.select("id", "node", "n").join(roots, "node", "left").select("id", "node", F.coalesce("root", "node").alias("root"), "n")
+        return documents, links
+    # the last links join components, of which there are far fewer than nodes
     named = roots.withColumnRenamed("root", "to")
     lifted = more
     for side in ("a", "b"):
