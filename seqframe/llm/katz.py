@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from seqframe.llm.common import NOT_SPACE, mix, quoted, slices, token_hashes, written
 
 #: Bytes of text in a block, and bytes of all text for each bucket.
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 3 << 20
 END = np.uint64(0x7E57ED0F5E7E11CE)
 _START = np.uint64(0x517A27B3C0FFEE11)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import WORDS_AND_MARKS, Tokens, add_columns, field, mix, quoted, rolling
+from seqframe.llm.common import WORDS_AND_MARKS, Tokens, add_columns, field, mix, quoted, rolling, slices
 
 BITS = 18
 #: Features with these offsets belong to words and to shapes.
@@ -77,11 +77,13 @@ def train(rows: pd.DataFrame, updates: int, alpha: float, beta: float, l1: float
         w = -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2)
         return np.where(np.abs(zi) <= l1, 0.0, w)
 
-    numbers, first = features(pa.array(rows["text"].fillna(""), pa.string()))
     examples = []
-    for k in range(len(rows)):
-        at, count = np.unique(numbers[first[k] : first[k + 1]], return_counts=True)
-        examples.append((np.append(at, size - 1), np.append(count * (len(_GROUPS) / max(1, count.sum())), 1.0)))
+    texts = pa.RecordBatch.from_arrays([pa.array(rows["text"].fillna(""), pa.string())], names=["t"])
+    for part in slices(texts, "t"):
+        numbers, first = features(part.column("t"))
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            at, count = np.unique(numbers[a:b], return_counts=True)
+            examples.append((np.append(at, size - 1).astype(np.int32), np.append(count * (len(_GROUPS) / max(1, count.sum())), 1.0).astype(np.float32)))
     labels = rows["label"].to_numpy(float)
     for _ in range(-(-updates // max(1, len(rows)))):
         for (at, x), y in zip(examples, labels, strict=True):
@@ -94,7 +96,7 @@ def train(rows: pd.DataFrame, updates: int, alpha: float, beta: float, l1: float
     return weights(np.arange(size))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 16_000, shards: int = 4, updates: int = 24_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01, seed: int = 5) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 8_000, shards: int = 4, updates: int = 24_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01, seed: int = 5) -> np.ndarray:
     """Weights learnt from at most about max_rows of the labelled documents where ``learns`` (a Column on docs) holds."""
     known = labels.filter(F.col(quoted(label)).isNotNull()).select(F.col(quoted(doc_id)).alias("__id"), F.col(quoted(label)).cast("int").alias("label"))
     kept = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(F.lit(1), F.lit(known.count())))
