@@ -6,12 +6,14 @@ gendered title. A replacement is a keyed permutation of all strings of the same
 (format-preserving Feistel network, walked until it is in the domain), so in one shape two
 entities never meet: digits stay digits, letters keep case and script, an address's octets
 keep their width, a card keeps its first digit and whether its checksum holds. Names are
-built from syllables by keyed hash with endings by gender, word by word, so that a family
-name alone and with a first name stay the same person.
+built from syllables by keyed hash with endings by gender, word by word: a family name has
+one surrogate for both genders, alone, with a first name and in capitals.
 
 The same entity has the same surrogate everywhere (coreference). Over the distinct
-entities of all documents, collisions are looked for: two entities with one surrogate, or a surrogate that is
-itself an entity of the corpus. Such entities try again with the next counter until none is left.
+entities of all documents (of names: their words), collisions are looked for: two entities with one
+surrogate, or a surrogate that is itself an entity of the corpus. Such entities try again with the next
+counter until none is left. Names grow with the counter, other kinds of small shapes from the counter
+``ROOMY`` on, so that there is always room.
 
 Null texts stay null, others without entities stay as they are. Input columns with the name
 of an output column are replaced.
@@ -19,8 +21,10 @@ of an output column are replaced.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +34,8 @@ from seqframe.llm.common import add_columns, field, quoted, written
 
 #: Most second tries that are sent to all tasks at once; beyond it they are joined to the documents that need them.
 SHARED_TRIES = 50_000
+#: From this try on, surrogates may leave a shape that has too few strings.
+ROOMY = 8
 
 _EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-](?:[\w.+%-]*[\w+%-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)")
@@ -86,9 +92,15 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
 _RANGES = [(0x61, 0x7A), (0x41, 0x5A), (0x30, 0x39), (0x3B1, 0x3C1), (0x391, 0x3A1), (0x430, 0x44F), (0x410, 0x42F), (0x5D0, 0x5EA), (0x627, 0x63A), (0x3041, 0x3093), (0x30A1, 0x30F3), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0xDF, 0xF6), (0xC0, 0xD6), (0xF8, 0xFF), (0xD8, 0xDE), (0x905, 0x939)]
 
 
-def _alphabet(c: str) -> tuple[int, int] | None:
+@functools.cache
+def _alphabet(c: str) -> range | list[int] | None:
+    """The code points that c may become: its range, else letters or digits of its category and neighbourhood."""
     n = ord(c)
-    return next(((a, b) for a, b in _RANGES if a <= n <= b), None)
+    for a, b in _RANGES:
+        if a <= n <= b:
+            return range(a, b + 1)
+    near = [m for m in range(n & ~127, (n | 127) + 1) if unicodedata.category(chr(m)) == unicodedata.category(c) and not any(a <= m <= b for a, b in _RANGES)]
+    return near if c.isalnum() and len(near) > 1 else None
 
 
 def _permute(value: int, size: int, key: bytes, tweak: bytes) -> int:
@@ -110,43 +122,82 @@ def _permute(value: int, size: int, key: bytes, tweak: bytes) -> int:
             return value
 
 
-def _by_ranges(text: str, ranges: list[tuple[int, int] | None], key: bytes, tweak: bytes) -> str:
+def _by_ranges(text: str, ranges: list[range | list[int] | None], key: bytes, tweak: bytes) -> str:
     """text with each character of a range moved in its range, by one permutation of all strings of this shape."""
     size = value = 1
     value = 0
     for c, r in zip(text, ranges, strict=True):
         if r:
-            size *= r[1] - r[0] + 1
-            value = value * (r[1] - r[0] + 1) + ord(c) - r[0]
+            size *= len(r)
+            value = value * len(r) + r.index(ord(c))
     value = _permute(value, size, key, tweak + "".join(c if not r else chr(r[0]) for c, r in zip(text, ranges, strict=True)).encode())
     out = []
     for c, r in zip(reversed(text), reversed(ranges), strict=True):
         if r:
-            value, k = divmod(value, r[1] - r[0] + 1)
-            c = chr(r[0] + k)
+            value, k = divmod(value, len(r))
+            c = chr(r[k])
         out.append(c)
     return "".join(reversed(out))
 
 
-def _word_name(word: str, gender: str, last: bool, key: bytes, tweak: bytes) -> str:
-    """A made-up name for one word: syllables by keyed hash, an ending by gender for given names, in the word's script."""
-    if not word.isascii() and _alphabet(word[-1]) not in ((0xDF, 0xF6), (0x61, 0x7A)):
+def _longer(text: str, more: int) -> str:
+    """text with so many more letters that can be replaced."""
+    return text + next((c for c in text if _alphabet(c)), "a") * more
+
+
+def _word_name(word: str, role: str, key: bytes, attempt: int) -> str:
+    """A made-up name for one lower-case word: syllables by keyed hash, an ending by role, in the word's script; longer with each attempt."""
+    tweak = f"{role}:{attempt}:".encode()
+    if not word.isascii() and not ("a" <= word[-1] <= "z" or "\xdf" <= word[-1] <= "\xf6"):
+        word = _longer(word, attempt)
         return _by_ranges(word, [_alphabet(c) for c in word], key, tweak)
-    n = int.from_bytes(hashlib.blake2b(tweak + word.lower().encode(), key=key, digest_size=16).digest(), "big")
+    syllables = max(2, min(4, (len(word) - 1) // 2)) + attempt
+    n = int.from_bytes(hashlib.shake_256(len(key).to_bytes(4, "big") + key + tweak + word.encode()).digest(16 + syllables), "big")
     out = ""
-    for _ in range(max(1, min(4, (len(word) - 1) // 2))):
+    for _ in range(syllables):
         n, k = divmod(n, 17 * 5)
         out += "bcdfghjklmnprstvz"[k // 5] + "aeiou"[k % 5]
-    if last:
-        out += ["n", "r", "s", "ll", "ck"][n % 5]
-    else:
-        out += ["a", "ia", "na", "ta"][n % 4] if gender == "f" else ["n", "rd", "s", "k"][n % 4]
-    return out.upper() if word.isupper() else out.capitalize()
+    if role == "family":
+        return out + ["n", "r", "s", "ll", "ck"][n % 5]
+    return out + (["a", "ia", "na", "ta"][n % 4] if role == "given_f" else ["n", "rd", "s", "k"][n % 4])
+
+
+def _upper(text: str) -> str:
+    return "".join(u if len(u := c.upper()) == 1 else c for c in text)
+
+
+def _words(kind: str, entity: str) -> list[tuple[str, str]]:
+    """(role, word) of a name with ("", separator) between; the last word (with its hyphens) is the family name."""
+    first = entity.rfind(" ") + 1
+    return [("" if m[0] in " -" else "family" if m.start() >= first else f"given_{kind[-1]}", m[0]) for m in re.finditer("[ -]|[^ -]+", entity)]
+
+
+def units(kind: str, entity: str) -> list[tuple[str, str]]:
+    """(kind, entity) of what is replaced by itself: the lower-case words of a name, else the entity."""
+    return [(role, w.lower()) for role, w in _words(kind, entity) if role] if kind.startswith("name_") else [(kind, entity)]
+
+
+def replacement(kind: str, entity: str, key: bytes, attempts: tuple[int, ...]) -> str:
+    """The replacement of one entity, with the attempts of its parts."""
+    if not kind.startswith("name_"):
+        return surrogate(kind, entity, key, attempts[0])
+    out, left = "", iter(attempts)
+    for role, word in _words(kind, entity):
+        new = _word_name(word.lower(), role, key, next(left)) if role else word
+        out += _upper(new) if word.isupper() else _upper(new[:1]) + new[1:]
+    return out
 
 
 def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
-    """The replacement of one entity; another attempt gives another one."""
+    """The replacement of one entity (or of a lower-case word of a name); another attempt gives another one."""
     tweak = f"{kind}:{attempt}:".encode()
+    if kind.startswith("name_"):
+        return replacement(kind, entity, key, (attempt,) * len(units(kind, entity)))
+    if kind in ("given_m", "given_f", "family"):
+        return _word_name(entity, kind, key, attempt)
+    if kind == "ip" and attempt >= ROOMY:
+        value = int.from_bytes(bytes(map(int, entity.split("."))), "big")
+        return ".".join(map(str, _permute(value, 1 << 32, key, tweak).to_bytes(4, "big")))
     if kind == "ip":
         widths = [len(o) for o in entity.split(".")]
         lows, sizes = {1: 0, 2: 10, 3: 100}, {1: 10, 2: 90, 3: 156}
@@ -162,13 +213,13 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         return ".".join(reversed(out))
     if kind == "card":
         digits = re.sub(r"\D", "", entity)
-        body = digits[0] + _by_ranges(digits[1:-1], [(0x30, 0x39)] * (len(digits) - 2), key, tweak + digits[:1].encode())
+        body = digits[0] + _by_ranges(digits[1:-1], [_alphabet("0")] * (len(digits) - 2), key, tweak + digits[:1].encode())
         rest = _luhn(digits)
         check = next(str(c) for c in range(10) if _luhn(body + str(c)) == rest)
         new = iter(body + check)
         return "".join(next(new) if c.isdigit() else c for c in entity)
     if kind == "phone":
-        keep = re.match(r"\+\d{1,3}(?=[ .(-])|", entity).end()
+        keep = re.match(r"\+\d{1,3}(?=[ .(-])|", entity).end() if attempt < ROOMY else 0
         return entity[:keep] + _by_ranges(entity[keep:], [_alphabet(c) for c in entity[keep:]], key, tweak + entity[:keep].encode())
     if kind == "hex" or kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", entity):
         low, high = re.search("[a-f]", entity), re.search("[A-F]", entity)
@@ -178,26 +229,28 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
             return "".join(digits[value >> 4 * k & 15] for k in range(len(entity) - 1, -1, -1))
     if kind == "email":
         cut = entity.rindex(".")  # the last label of the domain stays
-        return _by_ranges(entity[:cut], [_alphabet(c) for c in entity[:cut]], key, tweak + entity[cut:].encode()) + entity[cut:]
+        body = _longer(entity[:cut], max(0, attempt - ROOMY + 1))
+        return _by_ranges(body, [_alphabet(c) for c in body], key, tweak + entity[cut:].encode()) + entity[cut:]
     if kind == "iban":
         return entity[:2] + _by_ranges(entity[2:], [_alphabet(c) for c in entity[2:]], key, tweak + entity[:2].encode())
-    if kind.startswith("name_"):
-        words = re.split(r"([ -])", entity)
-        return "".join(w if k % 2 else _word_name(w, kind[-1], k == len(words) - 1, key, tweak[-3:]) for k, w in enumerate(words))
+    if attempt >= ROOMY:
+        entity = _longer(entity, attempt - ROOMY + 1)
     return _by_ranges(entity, [_alphabet(c) for c in entity], key, tweak)
 
 
-def _entities(docs: DataFrame, text: str) -> DataFrame:
-    """(kind, entity): the distinct entities of all documents."""
+def _found(docs: DataFrame, text: str) -> DataFrame:
+    """docs with the parts of the entities of each text as e instead of the text."""
 
     def make():
-        def step(texts: pa.Array):
-            return [[[{"kind": k, "entity": t[a:b]} for a, b, k in find_entities(t)] for t in texts.to_pylist()]]
+        return lambda texts: [[[{"kind": k, "entity": e} for a, b, kind in find_entities(t) for k, e in units(kind, t[a:b])] for t in texts.to_pylist()]]
 
-        return step
+    body = docs.withColumn("__body", F.col(quoted(text))).drop(text)
+    return add_columns(body, "__body", [field("e", "array<struct<kind:string,entity:string>>")], make, drop_text=True)
 
-    found = add_columns(docs.select(F.col(quoted(text)).alias("__body")), "__body", [field("e", "array<struct<kind:string,entity:string>>")], make, drop_text=True)
-    return found.select(F.explode("e").alias("e")).select("e.kind", "e.entity").distinct()
+
+def _entities(docs: DataFrame, text: str) -> DataFrame:
+    """(kind, entity): the distinct parts of the entities of all documents."""
+    return _found(docs.select(F.col(quoted(text))), text).select(F.explode("e").alias("e")).select("e.kind", "e.entity").distinct()
 
 
 def _tried(entities: DataFrame, key: bytes) -> DataFrame:
@@ -212,7 +265,7 @@ def _tried(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def surrogate_table(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """(kind, entity, attempt, surrogate) for every distinct entity, free of collisions."""
+    """(kind, entity, attempt, surrogate) for every distinct entity (of names: each word, as given_m, given_f or family), free of collisions."""
     table = written(_tried(_entities(docs, text).withColumn("attempt", F.lit(0)), key), "surrogates")
     while True:
         # of the entities with one surrogate the first keeps it; none keeps one that is an entity itself
@@ -237,10 +290,7 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     # many second tries: each document gets its own, by a join on its entities
     numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
 
-    def make():
-        return lambda texts: [[[{"kind": k, "entity": t[a:b]} for a, b, k in find_entities(t)] for t in texts.to_pylist()]]
-
-    found = add_columns(numbered.select("__row", F.col(quoted(text)).alias("__body")), "__body", [field("e", "array<struct<kind:string,entity:string>>")], make, drop_text=True)
+    found = _found(numbered.select("__row", F.col(quoted(text)).alias("__text")), "__text")
     pairs = found.select("__row", F.explode("e").alias("e")).select("__row", "e.kind", "e.entity").distinct().join(later.select("kind", "entity", "attempt"), ["kind", "entity"])
     own = pairs.groupBy("__row").agg(F.to_json(F.collect_list(F.array("kind", "entity", F.col("attempt").cast("string")))).alias("__own"))
     return _replaced(numbered.join(own, "__row", "left").drop("__row"), key, text, lambda: (lambda kind, entity, own: own.get((kind, entity), 0)), "__own")
@@ -256,11 +306,11 @@ def _replaced(docs: DataFrame, key: bytes, text: str, make_attempt, own: str | N
             parts, at = [], 0
             entities = find_entities(t)
             for a, b, kind in entities:
-                k = (kind, t[a:b], attempt(kind, t[a:b], tries))
+                k = (kind, t[a:b], tuple(attempt(*part, tries) for part in units(kind, t[a:b])))
                 if k not in known:
                     if len(known) > 100_000:
                         known.clear()
-                    known[k] = surrogate(k[0], k[1], key, k[2])
+                    known[k] = replacement(k[0], k[1], key, k[2])
                 parts += [t[at:a], known[k]]
                 at = b
             return ("".join([*parts, t[at:]]) if entities else t), len(entities)

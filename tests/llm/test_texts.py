@@ -281,6 +281,38 @@ def test_collisions_try_again_by_both_ways(spark, monkeypatch):
     assert one == two and len(set(one.values())) == 6
 
 
+def test_names_of_one_family_move_together(spark):
+    texts = ["Mr Schmidt", "Mrs Schmidt", "Mr Hans Schmidt", "Frau Anna SCHMIDT", "г-н Иванов", "г-жа ИВАНОВ", "Mrs Łąż", "Mr Łąż"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"].split() for r in surrogates.replace_pii(docs, b"k").orderBy("doc_id").collect()]
+    assert len({g[-1].lower() for g in got[:4]}) == 1 and got[3][-1].isupper() and got[3][1].endswith("a")
+    assert got[4][-1].lower() == got[5][-1].lower() != "иванов" and got[6][-1] == got[7][-1] != "Łąż"
+
+
+def test_crowded_shapes_come_to_an_end(spark, monkeypatch):
+    import itertools
+
+    def made(*letters):
+        return {"".join(x).capitalize() for x in itertools.product(*letters)}
+
+    names = sorted(made("bcdfgklm", "aeiouy", "bdfgklmnprstvxz") | made("bcdfgklm", "aeiouy", "bdfgklmn", "aeiou"))[:2000]
+    ips = [".".join(x) for x in itertools.product("0123456789", repeat=4)]  # all of the shape
+    texts = [f"{t} {n}" for n in names for t in ("Mr", "Mrs")] + ips + ["password: ********"]
+    tables = []
+
+    def counted(df, purpose, real=surrogates.written):
+        tables.append(purpose)
+        assert len(tables) < 30, "no end of tries"
+        return real(df, purpose)
+
+    monkeypatch.setattr(surrogates, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in surrogates.replace_pii(docs, b"k").orderBy("doc_id").collect()]
+    men, women = [t.split()[1] for t in got[:4000:2]], [t.split()[1] for t in got[1:4000:2]]
+    assert len(names) == 2000 and men == women and len(set(men)) == 2000 and not set(men) & set(names)
+    assert len(set(got[4000:14000])) == 10_000 and not set(got[4000:14000]) & set(ips)
+
+
 # ------------------------------------------------------------ pages
 
 
