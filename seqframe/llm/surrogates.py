@@ -25,6 +25,7 @@ import functools
 import hashlib
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,17 +35,23 @@ from seqframe.llm.common import add_columns, field, quoted, written
 
 #: Most second tries that are sent to all tasks at once; beyond it they are joined to the documents that need them.
 SHARED_TRIES = 50_000
+#: Letters that are permuted as one number; longer strings go piece by piece, each depending on those before it.
+PIECE = 512
 #: From this try on, surrogates may leave a shape that has too few strings.
 ROOMY = 8
 
 _EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-](?:[\w.+%-]*[\w+%-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)")
 _CARD = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)")
-_PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}[ .-]\d{2,4}(?:[ .-]\d{2,4})?(?!\w|[.-]\d)|(?<![\w.])\+\d{8,14}(?!\w)")
+_PHONE = re.compile(
+    r"(?<![\w.])\+[1-9]\d{0,14}(?:[ .-]?\(\d{1,5}\)(?:[ .-]?\d{1,10})?)?(?:[ .-]\d{1,10}){0,14}(?!\w|[.-]\d)"  # with a country code
+    r"|(?<![\w.])0\d{1,5}[ .-](?:\d{5,10}|\d{1,10}(?:[ .-]\d{1,10}){1,14})(?!\w|[.-]\d)"  # with a trunk 0
+    r"|(?<![\w.])(?:1[ .-])?(?:\(\d{2,5}\)[ .-]?(?:\d{6,10}|\d{1,10}(?:[ .-]\d{1,10}){1,14})|\d{2,4}[ .-]\d{2,10}(?:[ .-]\d{2,10}){1,14})(?!\w|[.-]\d)"
+)
 _DATE = re.compile(r"(?:\d{4}[ .-]\d{2}[ .-]\d{2}|\d{2}[ .-]\d{2}[ .-]\d{4})\b")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
-_HEX = re.compile(r"(?<!\w)(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,128}(?!\w)")
-_SECRET = re.compile(r"\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|token|passw(?:or)?d|pwd)\b[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{8,200})", re.IGNORECASE)
+_HEX = re.compile(r"(?<!\w)(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,}(?!\w)")
+_SECRET = re.compile(r"\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|token|passw(?:or)?d|pwd)\b[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{8,})", re.IGNORECASE)
 _SECRET_HINT = re.compile(r"key|secret|token|pass|pwd", re.IGNORECASE)
 # Titles by gender.
 TITLES = {"m": "Mr Sir Herr Monsieur Señor Sr Don г-н господин", "f": "Mrs Ms Miss Madam Frau Madame Mme Mlle Señora Señorita Sra Doña г-жа госпожа"}
@@ -57,6 +64,22 @@ def _luhn(digits: str) -> int:
     return sum(d if k % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(map(int, reversed(digits)))) % 10
 
 
+def _phones(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of 7 to 15 digits; of a longer row of groups the first ones that are no more than 15."""
+    at = 0
+    while m := _PHONE.search(text, at):
+        a, at = m.span()
+        digits = 0
+        for g in re.finditer(r"\d+", m[0]):
+            if (digits := digits + len(g[0])) > 15:
+                at = a + g.start()
+                break
+        b = a + len(text[a:at].rstrip(" .-("))
+        at = max(at, a + 1)
+        if 7 <= sum(c.isdigit() for c in text[a:b]) and not _DATE.match(text, a, b):
+            yield a, b
+
+
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a text, not overlapping, in order."""
     found: list[tuple[int, int, int, str]] = []
@@ -67,13 +90,13 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     if "@" in text:
         add(0, "email", (m.span() for m in _EMAIL.finditer(text)))
     if _SECRET_HINT.search(text):
-        add(1, "secret", (m.span(1) for m in _SECRET.finditer(text)))
+        add(1, "secret", (m.span(1) for m in _SECRET.finditer(text) if any(map(str.isalnum, m[1]))))
     if re.search(r"\d", text):
         add(1, "hex", (m.span() for m in _HEX.finditer(text)))
         add(2, "ip", (m.span() for m in _IP.finditer(text)))
         add(3, "iban", (m.span() for m in _IBAN.finditer(text) if sum(c.isdigit() for c in m[0]) >= 10))
         add(4, "card", (m.span() for m in _CARD.finditer(text)))
-        add(5, "phone", (m.span() for m in _PHONE.finditer(text) if 7 <= sum(c.isdigit() for c in m[0]) <= 15 and not _DATE.match(m[0])))
+        add(5, "phone", _phones(text))
     add(6, "name", [])
     for m in _NAME.finditer(text):
         if m[2][0].isupper():
@@ -124,8 +147,13 @@ def _permute(value: int, size: int, key: bytes, tweak: bytes) -> int:
 
 def _by_ranges(text: str, ranges: list[range | list[int] | None], key: bytes, tweak: bytes) -> str:
     """text with each character of a range moved in its range, by one permutation of all strings of this shape."""
-    size = value = 1
-    value = 0
+    if len(text) > PIECE:
+        seen, out = hashlib.blake2b(str(len(text)).encode(), digest_size=16), []
+        for k in range(0, len(text), PIECE):
+            out.append(_by_ranges(text[k : k + PIECE], ranges[k : k + PIECE], key, tweak + seen.digest()))
+            seen.update(text[k : k + PIECE].encode())
+        return "".join(out)
+    size, value = 1, 0
     for c, r in zip(text, ranges, strict=True):
         if r:
             size *= len(r)
@@ -224,9 +252,8 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     if kind == "hex" or kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", entity):
         low, high = re.search("[a-f]", entity), re.search("[A-F]", entity)
         if not (low and high):
-            digits = "0123456789ABCDEF" if high else "0123456789abcdef"
             value = _permute(int(entity, 16), 16 ** len(entity), key, tweak + bytes([len(entity) % 256]))
-            return "".join(digits[value >> 4 * k & 15] for k in range(len(entity) - 1, -1, -1))
+            return f"{value:0{len(entity)}{'X' if high else 'x'}}"
     if kind == "email":
         cut = entity.rindex(".")  # the last label of the domain stays
         body = _longer(entity[:cut], max(0, attempt - ROOMY + 1))

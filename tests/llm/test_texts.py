@@ -281,6 +281,24 @@ def test_collisions_try_again_by_both_ways(spark, monkeypatch):
     assert one == two and len(set(one.values())) == 6
 
 
+def test_long_secrets_and_phone_groups_are_found_whole():
+    key = "".join(random.Random(2).choices("abcdefXYZ019._-", k=303))
+    jwt, digits = f"token={key}", "0123456789abcdef" * 10
+    phones = ["+49 30 1234567", "030 12345678", "+49 170 1234567", "+1 5551234567", "+33 1 23 45 67 89", "06 12 34 56 78", "+1 (017) 555-7713", "+49 (0)30 1234567", "(030) 12345678", "1-800-555-0199", "+4915112345678"]
+    for text, kind in [(jwt, "secret"), (digits, "hex"), *((p, "phone") for p in phones)]:
+        found = [(k, f"a {text}, b"[a:b]) for a, b, k in surrogates.find_entities(f"a {text}, b")]
+        assert found == [(kind, text.removeprefix("token="))], text
+    assert [(a, b) for a, b, _ in surrogates.find_entities("+49.30.1234567.87654321")] == [(0, 14)]
+    for text in ["2024-01-02", "01.02.2024", "1998-2003", "12 of 1 000 apples", "v1.2.3", "pages 100-120", "password: ********"]:
+        assert surrogates.find_entities(text) == [], text
+    long = "ab1" * 100_000
+    for kind, text in [("secret", key), ("hex", digits), ("secret", long), ("hex", digits * 1000)]:
+        new = surrogates.surrogate(kind, text, b"k")
+        assert len(new) == len(text) and new != text and new != surrogates.surrogate(kind, text, b"k2")
+        assert sum(x == y for x, y in zip(new, text, strict=True)) < len(text) / 2
+    assert len({surrogates.surrogate("secret", long[:2000] + c, b"k") for c in "0123456789"}) == 10
+
+
 def test_names_of_one_family_move_together(spark):
     texts = ["Mr Schmidt", "Mrs Schmidt", "Mr Hans Schmidt", "Frau Anna SCHMIDT", "г-н Иванов", "г-жа ИВАНОВ", "Mrs Łąż", "Mr Łąż"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
