@@ -7,6 +7,7 @@ letters costs open + (k - 1) * ext. Coordinates are 0-based, the top sequence is
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqframe.functions import sequence as S
+from seqframe.sources.paths import shared_folder
 
 #: Cells of the dynamic program held at once in a task.
 CELLS = 24_000_000
@@ -161,32 +163,76 @@ def kmers(seq: str | Column, k: int) -> Column:
 
 def seed_pairs(reads: DataFrame, refs: DataFrame, k: int = 12, shared: int = 2, both_strands: bool = True) -> DataFrame:
     """(read_id, ref_id, strand): pairs with at least ``shared`` common k-mers, by equi-join."""
-    forward = reads.select("read_id", F.lit("+").alias("strand"), F.col("seq"))
-    both = forward.unionByName(reads.select("read_id", F.lit("-").alias("strand"), S.revcomp("seq").alias("seq"))) if both_strands else forward
+    forward = reads.select("read_id", F.lit("+").alias("strand"), F.upper("seq").alias("seq"))
+    both = forward.unionByName(reads.select("read_id", F.lit("-").alias("strand"), F.upper(S.revcomp("seq")).alias("seq"))) if both_strands else forward
     left = both.select("read_id", "strand", F.explode(kmers("seq", k)).alias("kmer"))
-    right = refs.select("ref_id", F.explode(kmers("seq", k)).alias("kmer"))
+    right = refs.select("ref_id", F.explode(kmers(F.upper("seq"), k)).alias("kmer"))
     return left.join(right, "kmer").groupBy("read_id", "ref_id", "strand").agg(F.count("*").alias("n")).filter(F.col("n") >= shared).drop("n")
 
 
-def align_join(reads: DataFrame, refs: DataFrame, mode: str = "local", scores: tuple[int, int, int, int] = SCORES["reads"], both_strands: bool = True, seed: bool = True, k: int = 12, shared: int = 2, identity: float = 0.0, length: int = 0, top: bool = False) -> DataFrame:
+def lossless_seed(identity: float, length: int) -> int:
+    """Letters that any alignment with these cuts has in one exact run, by the pigeonhole rule; 0 if under 4.
+
+    Of n columns at most e differ, which leaves e + 1 runs. More columns with the same e make longer runs,
+    and of the lengths where e grows the first is the worst.
+    """
+    if not 0 < identity <= 1 or length < 4:
+        return 0
+    least = length
+    for n in range(length, length + int(2 / max(1 - identity, 0.01)) + 2):
+        e = next(e for e in range(n, -1, -1) if (n - e) / n >= identity)
+        least = min(least, -((e - n) // (e + 1)))
+    return least if least >= 4 else 0
+
+
+def _unseen_score(n: Column, k: int, scores: tuple[int, int, int, int]) -> Column:
+    """No alignment of a read of n letters without an exact run of k letters scores more: each end of a run costs a break."""
+    match, mismatch, gap_open, _ = scores
+    cost = max(mismatch - match, gap_open)
+    breaks = F.floor((n + k) / k) - 1
+    return F.greatest(match * n + cost * breaks, F.when(breaks > 0, match * (k * breaks - 1) + cost * (breaks - 1)))
+
+
+def align_join(reads: DataFrame, refs: DataFrame, mode: str = "local", scores: tuple[int, int, int, int] = SCORES["reads"], both_strands: bool = True, seed: bool = True, k: int = 12, identity: float = 0.0, length: int = 0, top: bool = False) -> DataFrame:
     """Alignments of reads (read_id, seq) with references (ref_id, seq) that pass the cuts; with ``top`` the best reference of each read.
 
-    seed=False aligns every pair: for a few references and for tests.
+    No alignment that passes the cuts is lost. Pairs need a common run of ``lossless_seed`` letters. With ``top``
+    k-mers come first, and only reads whose best score could be beaten without such a k-mer go on to shorter
+    ones. Where the cuts allow no seed, and with seed=False, every pair is aligned.
     """
-    if seed:
-        pairs = seed_pairs(reads, refs, k, shared, both_strands)
+    least = lossless_seed(identity, length) if seed else 0
+    if not top:
+        return _aligned(reads, refs, least, mode, scores, both_strands).filter((F.col("identity") >= identity) & (F.col("alnlen") >= length))
+    steps = [*sorted({n for n in (k, (k + least) // 2) if n > max(least, 4)}, reverse=True), least] if seed else [0]
+    done, left = [], reads
+    for n in steps:
+        out = _aligned(left, refs, n, mode, scores, both_strands).filter((F.col("identity") >= identity) & (F.col("alnlen") >= length))
+        rest = [c for c in out.columns if c != "read_id"]
+        best = out.groupBy("read_id").agg(F.max_by(F.struct(*rest), F.struct(F.col("score"), F.col("identity"), F.col("strand") == "+")).alias("b")).select("read_id", "b.*")
+        if n == steps[-1]:
+            done.append(best)
+            break
+        path = shared_folder(reads.sparkSession, "aligned")
+        best.join(left.select("read_id", F.length("seq").alias("__n")), "read_id").filter(F.col("score") > _unseen_score(F.col("__n"), n, scores)).drop("__n").write.parquet(path)
+        done.append(reads.sparkSession.read.schema(best.schema).parquet(path))
+        left = left.join(done[-1].select("read_id"), "read_id", "left_anti")
+        if not left.head(1):
+            break
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def _aligned(reads: DataFrame, refs: DataFrame, k: int, mode: str, scores: tuple[int, int, int, int], both_strands: bool) -> DataFrame:
+    """Alignments of the pairs with a common k-mer, of all pairs if k is 0."""
+    if k:
+        pairs = seed_pairs(reads, refs, k, 1, both_strands)
     else:
         strands = F.explode(F.array(*[F.lit(s) for s in ("+-" if both_strands else "+")]))
         pairs = reads.select("read_id").join(refs.select("ref_id")).withColumn("strand", strands)
     r = reads.select("read_id", F.col("seq").alias("__s"))
     pairs = pairs.join(r, "read_id").join(refs.select("ref_id", F.col("seq").alias("ref_seq")), "ref_id")
     pairs = pairs.select("read_id", "ref_id", "strand", "ref_seq", F.when(F.col("strand") == "-", S.revcomp("__s")).otherwise(F.col("__s")).alias("read_seq"))
-    out = align_pairs(pairs, mode, scores).filter((F.col("identity") >= identity) & (F.col("alnlen") >= length)).drop("ref_seq", "read_seq")
-    if not top:
-        return out
-    rest = [c for c in out.columns if c != "read_id"]
-    best = out.groupBy("read_id").agg(F.max_by(F.struct(*rest), F.struct(F.col("score"), F.col("identity"), F.col("strand") == "+")).alias("b"))
-    return best.select("read_id", "b.*")
+    n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the kernel is the work, which small shuffles would put in one task
+    return align_pairs(pairs.repartition(n, "read_id", "ref_id"), mode, scores).drop("ref_seq", "read_seq")
 
 
 def pairwise_similarity(seqs: DataFrame, scores: tuple[int, int, int, int] = SCORES["global"], block: str | None = None) -> DataFrame:

@@ -67,6 +67,24 @@ def test_seeded_top_hits_equal_all_pairs(spark):
     assert got == want and all(want[f"r{k}"][0] == f"p{k % 6}" for k in range(24))
 
 
+def test_short_reads_with_errors_lose_no_pair(spark):
+    rng = random.Random(5)
+    refs = [(f"p{k}", "".join(rng.choice("ACGT") for _ in range(64))) for k in range(6)]
+    reads = []
+    for k in range(120):
+        at, n = rng.randrange(25), rng.choice([15, 18, 24, 24, 39])
+        x = list(refs[k % 6][1][at : at + n])
+        for i in {n // 2, n // 5} if k % 3 else {11}:
+            x[i] = {"A": "C", "C": "a", "G": "T", "T": "N"}[x[i]] if k % 4 else rng.choice(["", x[i] + "G"])
+        reads.append((f"r{k}", "".join(x)))
+    r, f = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    for identity, length in [(0.85, 15), (0.95, 20)]:
+        for top in (False, True):
+            found = [{(x["read_id"], x["score"], *(() if top else (x["ref_id"], x["strand"]))) for x in align.align_join(r, f, identity=identity, length=length, top=top, seed=seed).collect()} for seed in (False, True)]
+            assert found[0] == found[1] and len(found[0]) > 20
+    assert align.lossless_seed(0.85, 15) == 5 and align.lossless_seed(0.95, 20) == 10 and align.lossless_seed(1.0, 20) == 20 and align.lossless_seed(0.0, 0) == 0
+
+
 def test_pileup_and_consensus(spark):
     rows = [("a", "x", 0, "ACG-T", "ACGGT"), ("b", "x", 0, "ACGT", "AC-T"), ("c", "x", 1, "CGT", "CTT"), ("d", "x", 0, "ACG-T", "ACGGT")]
     aln = spark.createDataFrame(rows, "read_id string, ref_id string, ref_begin int, top string, bottom string")
