@@ -38,12 +38,13 @@ def collapse_strands(df: DataFrame, seq: str = "seq", qual: str = "qual", order:
     rc = S.revcomp(seq)
     rows = df.filter(F.length(seq) >= least).select(F.col(seq).alias("s"), F.col(qual).alias("q"), F.col(order).alias("o"), F.least(F.col(seq), rc).alias("key"))
     forward = F.col("s") == F.col("key")
-    rows = rows.withColumn("q", F.when(forward, F.col("q")).otherwise(F.reverse("q")))
-    head = rows.groupBy("key").agg(F.count("*").alias("n"), F.min_by("s", "o").alias("seq"))
-    mean = rows.select("key", F.posexplode("q").alias("p", "v")).groupBy("key", "p").agg(F.ceil(F.avg("v")).cast("int").alias("v"))
-    quals = mean.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))), lambda x: x["v"]).alias("q"))
-    out = head.join(quals, "key")
-    return out.select("seq", "n", F.when(F.col("seq") == F.col("key"), F.col("q")).otherwise(F.reverse("q")).alias("qual"))
+    # two hashes stand for the key in the row of each base; place 0 has the sequence as first seen
+    places = F.concat(F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("v"), F.col("o").alias("o"), F.col("s").alias("s"))), F.transform(F.when(forward, F.col("q")).otherwise(F.reverse("q")), lambda v, i: F.struct((i + 1).alias("p"), v.cast("int").alias("v"), F.lit(None).alias("o"), F.lit(None).alias("s"))))
+    one = rows.select(F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"), F.explode(places).alias("x")).select("k1", "k2", "x.*")
+    cells = one.groupBy("k1", "k2", "p").agg(F.count("*").alias("n"), F.ceil(F.avg("v")).cast("int").alias("v"), F.min_by("s", "o").alias("s"))
+    whole = cells.groupBy("k1", "k2").agg(F.max("s").alias("seq"), F.max(F.when(F.col("p") == 0, F.col("n"))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("p") > 0, F.struct("p", "v")))).alias("c"))
+    quals = F.transform("c", lambda x: x["v"])
+    return whole.select("seq", "n", F.when(F.col("seq") == F.least(F.col("seq"), S.revcomp("seq")), quals).otherwise(F.reverse(quals)).alias("qual"))
 
 
 def abundance_histogram(df: DataFrame, seq: str = "seq") -> DataFrame:

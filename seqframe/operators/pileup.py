@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from seqframe.functions import sequence as S
 
 
-def alignment_columns(alignments: DataFrame, weight: str | None = None) -> DataFrame:
-    """(read_id, ref_id, pos, base, ins, w): one row a reference position (1-based) of each alignment; ``ins`` is what the read has after it.
+def alignment_columns(alignments: DataFrame, weight: str | None = None, quality: str | None = None) -> DataFrame:
+    """(read_id, ref_id, pos, base, ins, w[, q]): one row a reference position (1-based) of each alignment; ``ins`` is what the read has after it.
 
-    X marks a spurious insertion and is left out. The two texts are walked as one array of structs, in the JVM.
+    X marks a spurious insertion and is left out. The positions are made within the row: each letter of the reference and the
+    gaps after it are one piece. ``quality`` names the read's array of qualities, in the direction of the alignment;
+    q is that of the base, null at gaps.
     """
-    pair = F.zip_with(F.split("top", ""), F.split("bottom", ""), lambda t, b: F.struct(t.alias("t"), b.alias("b")))
-    pair = F.filter(pair, lambda p: (p["t"] != "") & (p["t"] != "X") & (p["b"] != "X"))
-    rows = alignments.select("read_id", "ref_id", "ref_begin", F.posexplode(pair).alias("k", "p"), (F.col(weight) if weight else F.lit(1)).alias("w"))
-    rows = rows.select("read_id", "ref_id", "ref_begin", "k", "p.t", "p.b", "w")
-    w = Window.partitionBy("read_id", "ref_id").orderBy("k")
-    step = F.sum(F.when(F.col("t") != "-", 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("pos", F.col("ref_begin") + step)
-    grouped = rows.groupBy("read_id", "ref_id", "pos", "w").agg(F.max(F.when(F.col("t") != "-", F.col("b"))).alias("base"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("t") == "-", F.struct("k", "b")))), lambda x: x["b"]), "").alias("ins"))
-    return grouped.filter(F.col("base").isNotNull())
+    kept = F.filter(F.zip_with(F.split("top", ""), F.split("bottom", ""), lambda t, b: F.struct(t.alias("t"), b.alias("b"))), lambda p: (p["t"] != "") & (p["t"] != "X") & (p["b"] != "X"))
+    rows = alignments.select("read_id", "ref_id", "ref_begin", (F.col(weight) if weight else F.lit(1)).alias("w"), kept.alias("k"), *([F.col(quality).alias("qs"), F.col("read_begin").alias("rb")] if quality else []))
+    text = lambda side: F.array_join(F.transform("k", lambda p: p[side]), "")
+    rows = rows.withColumn("t", text("t")).withColumn("b", text("b")).drop("k").withColumn("lead", F.length("t") - F.length(F.ltrim(F.col("t"), F.lit("-")))).withColumn("pieces", F.regexp_extract_all("t", F.lit("([^-]-*)")))
+    at = F.transform("pieces", lambda x, j: F.struct((F.col("lead") + F.length(F.array_join(F.slice("pieces", F.lit(1), j), "")) + 1).alias("at"), F.length(x).alias("n")))
+    rows = rows.withColumn("at", at).select("*", F.posexplode("at").alias("j", "x"))
+    base = F.substring(F.col("b"), F.col("x.at"), F.lit(1))
+    out = [F.col("read_id"), F.col("ref_id"), (F.col("ref_begin") + F.col("j") + 1).alias("pos"), F.col("w"), base.alias("base"), F.substring(F.col("b"), F.col("x.at") + 1, F.col("x.n") - 1).alias("ins")]
+    if quality:
+        place = F.col("rb") + F.length(F.replace(F.substring(F.col("b"), F.lit(1), F.col("x.at")), F.lit("-"), F.lit("")))
+        out.append(F.when(base != "-", F.try_element_at("qs", place.cast("int"))).alias("q"))
+    return rows.select(*out)
 
 
 def pileup(columns: DataFrame) -> DataFrame:

@@ -2,35 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bases(df: DataFrame, name: str = "seq_id", seq: str = "seq") -> DataFrame:
-    """(name, pos, base, next): one row a base, 1-based."""
+def windows(df: DataFrame, score: Callable[[Column, Column], Column], window: int, name: str, seq: str) -> DataFrame:
+    """(name, pos, total): sums of the scores of neighbouring letters in each window that fits, made within the row."""
     s = F.upper(seq)
-    one = df.select(name, F.posexplode(F.filter(F.split(s, ""), lambda c: c != "")).alias("p", "base"))
-    w = Window.partitionBy(name).orderBy("p")
-    return one.select(name, (F.col("p") + 1).alias("pos"), "base", F.lead("base").over(w).alias("next"))
+    n = F.length(s)
+    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: score(F.substring(s, i, F.lit(1)), F.substring(s, i + 1, F.lit(1))))
+    held = df.filter(n >= window).select(name, F.when(n > 1, pairs).otherwise(F.array().cast("array<int>")).alias("c"), (n - window + 1).alias("fits"))
+    totals = F.transform(F.sequence(F.lit(1), F.col("fits")), lambda i: F.aggregate(F.slice("c", i, window - 1), F.lit(0), lambda a, x: a + x))
+    return held.select(name, F.posexplode(totals).alias("p", "total")).select(name, (F.col("p") + 1).alias("pos"), "total")
 
 
 def sliding_complexity(df: DataFrame, window: int = 20, name: str = "seq_id", seq: str = "seq") -> DataFrame:
     """(name, pos, value): int(9 * changes / window) for each start whose window fits."""
-    change = ((F.col("base") != F.col("next")) & (F.col("base") != "N") & (F.col("next") != "N")).cast("int")
-    w = Window.partitionBy(name).orderBy("pos").rowsBetween(0, window - 2)
-    n = F.count("*").over(Window.partitionBy(name))
-    rows = bases(df, name, seq).withColumn("c", F.coalesce(change, F.lit(0))).withColumn("n", n)
-    return rows.withColumn("value", F.floor(9 * F.sum("c").over(w) / window).cast("int")).filter(F.col("pos") <= F.col("n") - window + 1).select(name, "pos", "value")
+    change = lambda a, b: ((a != b) & (a != "N") & (b != "N")).cast("int")
+    return windows(df, change, window, name, seq).select(name, "pos", F.floor(9 * F.col("total") / window).cast("int").alias("value"))
 
 
 def pair_score(df: DataFrame, base: str = "A", window: int = 10, name: str = "seq_id", seq: str = "seq") -> DataFrame:
     """(name, pos, value): (pairs of the base - other pairs) / 2 in each window; N matches."""
-    is_base = lambda c: F.col(c).isin(base, "N")
-    score = F.when(is_base("base") & is_base("next"), 1).otherwise(-1)
-    w = Window.partitionBy(name).orderBy("pos").rowsBetween(0, window - 2)
-    n = F.count("*").over(Window.partitionBy(name))
-    rows = bases(df, name, seq).withColumn("c", score).withColumn("n", n)
-    return rows.withColumn("value", F.sum("c").over(w) / 2).filter(F.col("pos") <= F.col("n") - window + 1).select(name, "pos", "value")
+    score = lambda a, b: F.when(a.isin(base, "N") & b.isin(base, "N"), 1).otherwise(-1)
+    return windows(df, score, window, name, seq).select(name, "pos", (F.col("total") / 2).alias("value"))
 
 
 def find_peaks(series: DataFrame, base: float = 0, name: str = "seq_id") -> DataFrame:
