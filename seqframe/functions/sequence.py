@@ -247,6 +247,27 @@ def trim_n_longest(seq: str | Column, least: int = 26) -> Column:
     return F.when(F.length(best) >= least, best)
 
 
+def trim_n_halves(seq: str | Column, least: int = 28) -> Column:
+    """N cut from the ends; a head before inner Ns goes if it is less than half of the read, then a tail after them; null if shorter than least."""
+    s = trim_n_ends(seq)
+    head, rest = F.regexp_extract(s, "^([ACGT]*?)N+([ACGT]+)", 1), F.regexp_extract(s, "^([ACGT]*?)N+([ACGT]+)", 2)
+    s = F.when((rest != "") & (F.length(head) < F.length(s) * 0.5), rest).otherwise(s)
+    keep, tail = F.regexp_extract(s, "([ACGT]+)N+([ACGT]*?)$", 1), F.regexp_extract(s, "([ACGT]+)N+([ACGT]*?)$", 2)
+    s = F.when((keep != "") & (F.length(tail) < F.length(s) * 0.5), keep).otherwise(s)
+    return F.when(F.length(s) >= least, s)
+
+
+# Letters that go with one N, two, ... at the head and at the tail.
+N_HEADS = "^(?:[ACGT]{0,10}N|[ACGT]{0,30}NN|[ACGT]{0,90}NNN)+"
+N_TAILS = "(?:NNNNN[ACGTN]*|NNNN[ACGTN]{0,270}|NNN[ACGTN]{0,90}|NN[ACGTN]{0,30}|N[ACGTN]{0,10})$"
+
+
+def trim_n_by_distance(seq: str | Column, rounds: int = 6) -> Column:
+    """Heads and tails with Ns near the end cut, the further in the more Ns there are; tails are cut up to ``rounds`` times, the longest first."""
+    s = F.regexp_replace(col(seq), N_HEADS, "")
+    return reduce(lambda s, _: F.regexp_replace(s, N_TAILS, ""), range(rounds), s)
+
+
 def trim_vector_x(seq: str | Column, edge: int = 40, least: int = 35) -> Column:
     """X runs within ``edge`` of an end are cut with what is outside them, again and again; of the two sides of the last inner X the longer stays."""
     s = F.regexp_replace(col(seq), f"^(?:[ACGTN]{{0,{edge}}}X+)+", "")
@@ -283,11 +304,13 @@ POLY_TAILS = ("(A{12,})[ACGTN]{1,5}$", "(A{17,})[ACGTN]{1,35}$", "([AN]{37,})[AC
 
 
 def expose_poly_tail(seq: str | Column) -> Column:
-    """Junk outside long T runs at the head and A runs at the tail is removed."""
-    return reduce(lambda s, rule: F.regexp_replace(s, rule, "$1"), POLY_HEADS + POLY_TAILS, col(seq))
+    """Junk outside long T runs at the head and A runs at the tail is removed; after the first run of 30 As and Ns that has an N and ends after 450, all goes."""
+    s = reduce(lambda s, rule: F.regexp_replace(s, rule, "$1"), POLY_HEADS + POLY_TAILS, col(seq))
+    upto, run = F.regexp_extract(s, "^(.*?[AN]{30,})", 1), F.regexp_extract(s, "([AN]{30,})", 1)
+    return F.when((F.length(upto) > 450) & F.contains(run, F.lit("N")), upto).otherwise(s)
 
 
-# End trims of simple pieces, in order of use.
+# End trims of simple pieces, in order of use; the tail rule for N comes after the inner X runs.
 SIMPLE_TRIMS = (
     ("^(?:[AC]{1,2}T{10,}|A{1,2}T{10,}|C{1,2}T{4,}A{4,})", ""),
     ("(?:N[ACGT]{0,6})+$", ""),
@@ -297,8 +320,8 @@ SIMPLE_TRIMS = (
     ("^(?:[NT]{6,}|[ACGN]{1,2}[NT]{6,}|[ACGT]{1,18}T{14,}|[ACGT]{1,7}T{8,}|[ACGT]{1,7}T{7,}CT{7,})", ""),
     ("(?:[NA]{6,}|[NA]{6,}[CGT]{1,2})$", ""),
     ("A{12,}[CGT][ACGTN]{0,22}$", ""),
-    ("(?:N+[ACGT]{0,18})+$", ""),
 )
+N_TAIL = "(?:N+[ACGT]{0,18})+$"
 
 
 def simple_trim(seq: str | Column) -> Column:

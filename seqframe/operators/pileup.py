@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.functions import sequence as S
+from seqframe.sources.paths import shared_folder
 
 
 def alignment_columns(alignments: DataFrame, weight: str | None = None, quality: str | None = None) -> DataFrame:
@@ -13,22 +14,32 @@ def alignment_columns(alignments: DataFrame, weight: str | None = None, quality:
 
     X marks a spurious insertion and is left out. The positions are made within the row: each letter of the reference and the
     gaps after it are one piece. ``quality`` names the read's array of qualities, in the direction of the alignment;
-    q is that of the base, null at gaps.
+    q is that of the base, at a filled (lower-case) base that of the next one, at a gap 0.8 of the next one's, rounded down.
     """
-    kept = F.filter(F.zip_with(F.split("top", ""), F.split("bottom", ""), lambda t, b: F.struct(t.alias("t"), b.alias("b"))), lambda p: (p["t"] != "") & (p["t"] != "X") & (p["b"] != "X"))
-    rows = alignments.select("read_id", "ref_id", "ref_begin", (F.col(weight) if weight else F.lit(1)).alias("w"), kept.alias("k"), *([F.col(quality).alias("qs"), F.col("read_begin").alias("rb")] if quality else []))
-    text = lambda side: F.array_join(F.transform("k", lambda p: p[side]), "")
-    rows = rows.withColumn("t", text("t")).withColumn("b", text("b")).drop("k").withColumn("lead", F.length("t") - F.length(F.ltrim(F.col("t"), F.lit("-")))).withColumn("pieces", F.regexp_extract_all("t", F.lit("([^-]-*)")))
+    top = F.col("top")
+    rows = alignments.select("read_id", "ref_id", "ref_begin", top.alias("t"), F.col("bottom").alias("b"), (F.col(weight) if weight else F.lit(1)).alias("w"), *([F.col(quality).alias("qs"), F.col("read_begin").alias("rb")] if quality else []))
+    rows = rows.withColumn("lead", F.length("t") - F.length(F.ltrim(F.col("t"), F.lit("-")))).withColumn("pieces", F.regexp_extract_all("t", F.lit("([^-]-*)")))
     at = F.transform("pieces", lambda x, j: F.struct((F.col("lead") + F.length(F.array_join(F.slice("pieces", F.lit(1), j), "")) + 1).alias("at"), F.length(x).alias("n")))
     rows = rows.withColumn("at", at).select("*", F.posexplode("at").alias("j", "x"))
     base = F.substring(F.col("b"), F.col("x.at"), F.lit(1))
-    out = [F.col("read_id"), F.col("ref_id"), (F.col("ref_begin") + F.col("j") + 1).alias("pos"), F.col("w"), base.alias("base"), F.substring(F.col("b"), F.col("x.at") + 1, F.col("x.n") - 1).alias("ins")]
+    extra = F.replace(F.substring(F.col("b"), F.col("x.at") + 1, F.col("x.n") - 1), F.lit("X"), F.lit(""))
+    out = [F.col("read_id"), F.col("ref_id"), (F.col("ref_begin") + F.col("j") + 1).alias("pos"), F.col("w"), base.alias("base"), extra.alias("ins")]
     if quality:
-        place = F.col("rb") + F.length(F.replace(F.substring(F.col("b"), F.lit(1), F.col("x.at")), F.lit("-"), F.lit("")))
-        out.append(F.when(base != "-", F.try_element_at("qs", place.cast("int"))).alias("q"))
+        read = F.length(F.regexp_replace(F.substring(F.col("b"), F.lit(1), F.col("x.at")), "[-a-z]", ""))
+        own = base.rlike("[A-Z]")
+        q = F.try_element_at("qs", (F.col("rb") + read + F.when(own, 0).otherwise(1)).cast("int"))
+        out.append(F.when(base == "-", F.floor(q * 0.8)).otherwise(q).cast("int").alias("q"))
     return rows.select(*out)
 
 
+def quality_table(columns: DataFrame) -> DataFrame:
+    """(ref_id, pos, mean, std, n): qualities of each position, weighted by copies; columns have q."""
+    q, w = F.col("q"), F.col("w")
+    rows = columns.filter("q is not null").groupBy("ref_id", "pos").agg(F.sum(w).alias("n"), F.sum(w * q).alias("s"), F.sum(w * q * q).alias("ss"))
+    var = (F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)
+    return rows.select("ref_id", "pos", (F.col("s") / F.col("n")).alias("mean"), F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("std"), "n")
+
+
 def pileup(columns: DataFrame) -> DataFrame:
     """(ref_id, pos, base, n)"""
     return columns.groupBy("ref_id", "pos", "base").agg(F.sum("w").alias("n"))
@@ -112,17 +123,52 @@ def alignment_summary(alignments: DataFrame) -> DataFrame:
     return alignments.groupBy("score", F.round("identity", 2).alias("identity"), F.round("cov_read", 2).alias("coverage"), F.length(F.replace(F.col("bottom"), F.lit("-"), F.lit(""))).alias("readlen")).agg(F.count("*").alias("n"))
 
 
-def genotype(reads: DataFrame, refs: DataFrame, positions: list[int], frame: int = 0, identity: float = 0.85, length: int = 20) -> dict[str, DataFrame]:
-    """Both rounds of genotype counting: the best reference by number of reads, then counts against it. The chosen reference id is the only value the driver sees."""
-    from seqframe.operators.align import align_join
+def genotype(reads: DataFrame, refs: DataFrame, positions: list[int], frame: int = 0, identity: float = 0.85, length: int = 20, pairs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Both rounds of genotype counting: the best reference by number of reads, then counts against it with gaps corrected.
 
-    first = align_join(reads, refs, identity=identity, length=length, top=True)
+    reads are (read_id, seq[, qual]). ``pairs`` are the mates of reads, with the same ids: they are counted
+    as reads of their own, and "mates" has the number of each pair of directions. The chosen reference id is the only value that is ordered over all. Reads that fail
+    the cuts but have an alignment of 1.5 times the length are kept in "failed".
+    """
+    from seqframe.operators.align import align_join, join_mates
+    from seqframe.operators.gaps import corrected
+
+    own = [c for c in ("read_id", "seq", "qual") if c in reads.columns]
+    every = reads.select(*own, F.lit(1).alias("mate"))
+    if pairs is not None:
+        every = every.unionByName(pairs.select(*own, F.lit(2).alias("mate")))
+    # the mate is part of the id while both are aligned
+    tagged = every.withColumn("read_id", F.concat("read_id", F.lit("/"), F.col("mate").cast("string")))
+    first = align_join(tagged.select("read_id", "seq"), refs, identity=identity, length=length, top=True)
     best = first.groupBy("ref_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ref_id").limit(1).select("ref_id")
-    chosen = refs.join(best, "ref_id", "left_semi")
-    second = align_join(reads, chosen, identity=identity, length=length, top=True)
-    columns = alignment_columns(second)
+    chosen = _written(refs.join(best, "ref_id", "left_semi"), "chosen")
+    second = align_join(tagged.select("read_id", "seq"), chosen, identity=identity, length=length, top=True)
+    second = _written(corrected(second, chosen, tagged, identity), "second")
+    held = second
+    if "qual" in own:
+        held = second.join(tagged.select("read_id", "qual"), "read_id").withColumn("qual", F.when(F.col("strand") == "-", F.reverse("qual")).otherwise(F.col("qual")))
+    columns = alignment_columns(held, quality="qual" if "qual" in own else None)
     counts = pileup(columns)
-    return {
+    genotypes = linked_genotype(columns, positions, frame)
+    out = {
         "alignments": second, "summary": alignment_summary(second), "bases": position_table(counts), "inserts": inserts(columns), "codons": position_table(codon_counts(columns, frame), "codon", "codon_idx"),
-        "genotypes": linked_genotype(columns, positions, frame), "consensus": consensus_simple(counts, chosen.select("ref_id", F.length("seq").alias("length"))),
+        "genotypes": genotypes, "genotypes_aa": genotype_aa(genotypes), "consensus": consensus_simple(counts, chosen.select("ref_id", F.length("seq").alias("length"))),
+        "failed": tagged.join(second.select("read_id"), "read_id", "left_anti").filter(F.length("seq") > 1.5 * length),
     }
+    if "qual" in own:
+        out["qualities"] = quality_table(columns)
+    if pairs is not None:
+        side = lambda k: second.filter(F.col("read_id").endswith(f"/{k}")).withColumn("read_id", F.regexp_replace("read_id", "/[12]$", ""))
+        out["mates"] = join_mates(side(1), side(2)).groupBy("pair").agg(F.count("*").alias("n"))
+    return out
+
+
+def genotype_paired(first: DataFrame, second: DataFrame, refs: DataFrame, positions: list[int], **options) -> dict[str, DataFrame]:
+    """``genotype`` over both mates of each read, in both directions, with the table of direction pairs."""
+    return genotype(first, refs, positions, pairs=second, **options)
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,10 +27,17 @@ def trim_sweep(df: DataFrame, grid: tuple[tuple[int, int], ...] = ((4, 20), (5,
     return rows.groupBy("window", "cut").agg(F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"), F.count("*").alias("n_reads"))
 
 
-def _longer_side(text: str, pattern: str, left_if) -> str:
-    """One of the two groups of a match, else the text."""
-    match = re.search(pattern, text)
-    return text if not match else match[1] if left_if(len(match[1]), len(match[2])) else match[2]
+# Lengths that let the left side of an inner run stay: of A, X and N runs; the head before a T run that goes.
+LEFT_OF_A, LEFT_OF_X, LEFT_OF_N, HEAD_OF_T = 400, 170, 160, 40
+
+
+def _one_side(text: str, pattern: str, enough: int, again: bool) -> str:
+    """The left group of a match if it is longer than enough or than the right one, else that; again until nothing matches."""
+    while match := re.search(pattern, text):
+        text = match[1] if len(match[1]) > max(enough, 0) or len(match[1]) > len(match[2]) else match[2]
+        if not again:
+            break
+    return text
 
 
 def trim_simple_text(text: str) -> str:
@@ -38,13 +45,14 @@ def trim_simple_text(text: str) -> str:
     for pattern, keep in S.SIMPLE_TRIMS:
         text = re.sub(pattern, keep.replace("$1", r"\1"), text)
     match = re.search("^(.+)[NA]{28,}(.+)$", text)
-    if match and (len(match[1]) > len(match[2]) or len(match[1]) > 400):
+    if match and (len(match[1]) > len(match[2]) or len(match[1]) > LEFT_OF_A):
         text = match[1]
     match = re.search("^(.+)T{26,}(.+)$", text)
-    if match and len(match[1]) < 40:
+    if match and len(match[1]) < HEAD_OF_T:
         text = match[2]
-    text = _longer_side(text, "([ACGT]+)X+([ACGT]+)", lambda a, b: a > 170 or a > b)
-    return _longer_side(text, "([ACGT]+)N{3,}([ACGT]+)", lambda a, b: a > 160 or a > b)
+    text = _one_side(text, "([ACGT]+)X+([ACGT]+)", LEFT_OF_X, True)
+    text = re.sub(S.N_TAIL, "", text)
+    return _one_side(text, "([ACGT]+)N{3,}([ACGT]+)", LEFT_OF_N, True)
 
 
 def simple_trim(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -52,37 +60,78 @@ def simple_trim(df: DataFrame, seq: str = "seq") -> DataFrame:
     return _kernel(df, seq, trim_simple_text)
 
 
-def low_complexity_ends(text: str, window: int, low: int) -> tuple[int, int, bool]:
-    """Letters to cut at the head and at the tail, and whether every window is low: 9 * changes / window of at most ``low``."""
+# A junk end may hold better windows if it is so many times longer than these, or is longer than 40 and they are shorter than 27;
+# junk begins, or ends, at one of these runs; a text is simple if over 0.9 of its windows are below 4.
+JUNK_RATIO, JUNK_LONG, GOOD_SHORT = 2.8, 40, 27
+POLYMER = re.compile("A{6}|C{6}|G{6}|T{6}|N")
+SIMPLE_SHARE, SIMPLE_BELOW = 0.9, 4
+
+
+def complexity_values(text: str, window: int) -> list[int]:
+    """int(9 * changes / window) of each window that fits."""
     letters = text.upper()
     steps = [a != b and a != "N" and b != "N" for a, b in zip(letters, letters[1:], strict=False)]
-    n = len(text) - window + 1
-    if n < 1:
-        return 0, 0, True
-    total, poor = sum(steps[: window - 1]), []
-    for k in range(n):
-        poor.append(9 * total // window <= low)
-        if k + 1 < n:
+    total, out = sum(steps[: window - 1]), []
+    for k in range(len(text) - window + 1):
+        out.append(9 * total // window)
+        if k + window - 1 < len(steps):
             total += steps[k + window - 1] - steps[k]
-    if all(poor):
-        return 0, 0, True
-    head = poor.index(False)
-    tail = poor[::-1].index(False)
-    return head + window // 2 if head else 0, tail + window // 2 if tail else 0, False
+    return out
 
 
-def complexity_trim(df: DataFrame, window: int = 20, low: int = 2, least: int = 32, seq: str = "seq") -> DataFrame:
-    """Low-complexity ends cut; code 0 nothing cut, 1 head, 2 tail, 3 both, -1 too short or all low, null sequence then."""
+def _junk(values: str, better: str) -> int:
+    """Length of the junk at the head of a string of window values: windows of 0 and 1, or some better ones and then many more of these."""
+    if plain := re.match("[01]+", values):
+        return plain.end()
+    mixed = re.match(f"({better}+?)([01]+)", values)
+    if mixed:
+        good, bad = len(mixed[1]), len(mixed[2])
+        if bad / good > JUNK_RATIO or (bad > JUNK_LONG and good < GOOD_SHORT):
+            return mixed.end()
+    return 0
+
+
+def complexity_trim_text(text: str, window: int) -> tuple[str, int]:
+    """(text, code): -1 too short, 1 simple (both whole), else the sum of 2 for a tail and 3 for a head cut.
+
+    A junk tail goes from its first polymer or N on; a junk head goes up to the last one in the window after it.
+    """
+    if len(text) <= window:
+        return text, -1
+    values = complexity_values(text, window)
+    if sum(v < SIMPLE_BELOW for v in values) > SIMPLE_SHARE * len(values):
+        return text, 1
+    code, digits = 0, "".join(map(str, values))
+    tail = _tail_junk(digits)
+    if tail and (found := POLYMER.search(text, len(digits) - tail)):
+        text, digits, code = text[: found.start()], digits[: found.start()], 2
+    head = _junk(digits, "[0-5]")
+    if head:
+        ends = [m.end() for m in re.finditer("A{6,}|C{6,}|G{6,}|T{6,}", text[head : head + window])] or [m.end() for m in re.finditer("N", text[head : head + window])]
+        text, code = text[head + (ends[-1] if ends else 0) :], code + 3
+    return text, code
+
+
+def _tail_junk(digits: str) -> int:
+    """The same at the tail: from the first run of 0 and 1 that only windows up to 6 follow."""
+    if plain := re.search("[01]+$", digits):
+        return len(plain[0])
+    mixed = re.search("([01]+)([0-6]+?)$", digits)
+    if mixed and (len(mixed[1]) / len(mixed[2]) > JUNK_RATIO or (len(mixed[1]) > JUNK_LONG and len(mixed[2]) < GOOD_SHORT)):
+        return len(mixed[0])
+    return 0
+
+
+def complexity_trim(df: DataFrame, window: int = 20, least: int = 32, seq: str = "seq") -> DataFrame:
+    """Low-complexity ends cut, with ``code`` (see complexity_trim_text); -1 too where fewer than ``least`` letters are left; null sequences have -1."""
     names = [c for c in df.columns if c != "code"]
     schema = T.StructType([df.schema[c] for c in names] + [T.StructField("code", T.IntegerType())])
 
     def one(text: str | None) -> tuple[str | None, int]:
         if text is None:
             return None, -1
-        head, tail, every = low_complexity_ends(text, window, low)
-        if every or len(text) - head - tail < least:
-            return None, -1
-        return text[head : len(text) - tail], (head > 0) + 2 * (tail > 0)
+        cut, code = complexity_trim_text(text, window)
+        return cut, code if len(cut) >= least else -1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -139,19 +188,57 @@ def remove_poly_t(df: DataFrame, near: int = 45, area: float = 20, seq: str = "s
     return _kernel(df, seq, lambda s: _cut_tail(s[::-1].translate(swap), near, area)[::-1].translate(swap))
 
 
-def cut_peak(df: DataFrame, window: int = 20, cut: float = 4.0, seq: str = "seq") -> DataFrame:
-    """At the largest poly-A peak: all of it goes where the mean complexity after it is under the cut, else it stays."""
+def _mean(values: list[int]) -> float:
+    return sum(values) / len(values) if values else 0.0
+
+
+def cut_peak_text(text: str, window: int = 20) -> str:
+    """The text before its largest poly-A peak, if more stands before than after it and is no simpler by 0.3, or is complex (over 5) and long, or little follows."""
+    peaks = poly_peaks(text, "A")
+    if not peaks:
+        return text
+    begin, end = max(peaks, key=lambda p: (p[2], -p[0]))[:2]
+    values = complexity_values(text, window)
+    before, after = _mean(values[:begin]), _mean(values[end + 10 :])
+    left = len(values) - end - 10
+    goes = begin > left and (before > after - 0.3 or (before > 5 and (left < 50 or begin > 150)))
+    start = text.find("A", begin)
+    return text[: start if start >= 0 else begin] if goes else text
+
+
+def cut_peak(df: DataFrame, window: int = 20, seq: str = "seq") -> DataFrame:
+    """Everything from the largest poly-A peak on cut off, where the complexity on both sides of it allows that."""
+    return _kernel(df, seq, lambda s: cut_peak_text(s, window))
+
+
+def cut_tail_after_peak_text(text: str, window: int = 20) -> str:
+    """What follows the largest poly-A peak goes, if it is shorter or simpler than what stands before it; the peak stays."""
+    peaks = poly_peaks(text, "A")
+    if not peaks:
+        return text
+    begin, end = max(peaks, key=lambda p: (p[2], -p[0]))[:2]
+    values = complexity_values(text, window)
+    stop = end + 10
+    while stop > begin and text[stop - 1 : stop] not in ("A", "a"):
+        stop -= 1
+    shorter = len(text) - stop < begin
+    return text[:stop] if shorter or _mean(values[:begin]) > _mean(values[stop:]) else text
+
+
+def cut_tail_after_peak(df: DataFrame, window: int = 20, seq: str = "seq") -> DataFrame:
+    return _kernel(df, seq, lambda s: cut_tail_after_peak_text(s, window))
+
+
+def short_read_poly_a_text(text: str) -> str:
+    """A run of nine As with at most nine letters after it goes; of what is left, peaks are cut while they can be."""
+    cut = re.sub("A{9,}[ACGTN]{1,9}$", "", text)
+    while re.search("A{9,}", cut) and len(after := cut_peak_text(cut, 10)) < len(cut):
+        cut = after
+    return cut
 
-    def one(s: str) -> str:
-        peaks = poly_peaks(s, "A")
-        if not peaks:
-            return s
-        begin, end = max(peaks, key=lambda p: (p[2], -p[0]))[:2]
-        after = s[end + 10 :]
-        changes = sum(a != b and "N" not in (a, b) for a, b in zip(after, after[1:], strict=False))
-        return s[:begin] if not after or 9 * changes / max(1, len(after)) < cut else s
 
-    return _kernel(df, seq, one)
+def short_read_poly_a(df: DataFrame, seq: str = "seq") -> DataFrame:
+    return _kernel(df, seq, short_read_poly_a_text)
 
 
 def _kernel(df: DataFrame, seq: str, one) -> DataFrame:
@@ -190,7 +277,7 @@ def clean_est(df: DataFrame, least: int = 32, seq: str = "seq") -> DataFrame:
     df = simple_trim(df.withColumn(seq, F.upper(seq)), seq)
     df = df.filter(~S.is_junk_repeat(seq))
     for window in (40, 20):
-        df = complexity_trim(df, window, least=least, seq=seq).filter("code >= 0").drop("code")
+        df = complexity_trim(df, window, least=least, seq=seq).filter("code not in (-1, 1)").drop("code")
     df = remove_poly_t(remove_poly_a(df, seq=seq), seq=seq)
     return df.filter(F.length(seq) >= least)
 
@@ -199,5 +286,5 @@ def clean_vector_est(df: DataFrame, least: int = 35, seq: str = "seq") -> DataFr
     """Vector X and N off, poly tails exposed, low complexity and peaks cut."""
     df = df.withColumn(seq, S.trim_n_ends(S.trim_vector_x(seq, least=least))).filter(F.col(seq).isNotNull())
     df = df.withColumn(seq, S.expose_poly_tail(seq)).filter(F.length(seq) >= least)
-    df = complexity_trim(df, 20, least=least, seq=seq).filter("code >= 0").drop("code")
+    df = complexity_trim(df, 20, least=least, seq=seq).filter("code not in (-1, 1)").drop("code")
     return cut_peak(df, seq=seq).filter(F.length(seq) >= least)

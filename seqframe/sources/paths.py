@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under spark.checkpoint.dir; where that is not set, under a temporary folder that becomes it."""
+    """A new folder under spark.checkpoint.dir; where that is not set and Spark runs on this machine alone, under a temporary folder that becomes it."""
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="seqframe-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(base)
