@@ -15,12 +15,23 @@ from pyspark.sql import types as T
 
 #: Bytes of text that one step in a task works on at once (a longer text is still worked on whole).
 SLICE_BYTES = 1 << 20
+#: Bytes of rows that Spark and a Python worker exchange at once, where the session still has Spark's own bound.
+ARROW_BYTES = 4 << 20
+#: A key is heavy if it has more than one in HEAVY rows, so there are fewer than HEAVY of them; its rows are dealt over SALTS tasks.
+HEAVY, SALTS = 1000, 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of Arrow batches in executors and workers."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, "67108864b") in ("67108864b", "64m", "64MB"):
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -28,11 +39,14 @@ def quoted(name: str) -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that driver and executors share, under spark.checkpoint.dir.
 
-    Where that setting is absent (local tests) a temporary folder is made and set.
+    Where that setting is absent and Spark runs on this machine alone (local tests) a temporary folder is made and set.
     """
+    small_batches(spark)
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="seqframe-")
         context.setCheckpointDir(base)
     elif not context.getCheckpointDir():
@@ -48,6 +62,36 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame | None:
+    """The keys (column ``key``, fewer than HEAVY of them) that have more than one in HEAVY of the rows, None if there are none. rows is a table."""
+    least = max(rows.count() / HEAVY, 50)
+    found = written(rows.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > least).select(key), "heavy")
+    return found if found.head(1) else None
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame | None, how: str = "inner") -> DataFrame:
+    """left joined with right, which has at most one row a key; rows of heavy keys are dealt over SALTS tasks, with a copy of right's row in each."""
+    if heavy is None:
+        return left.join(right, key, how)
+    marked = F.broadcast(heavy.select(key, F.lit(True).alias("__heavy")))  # fewer than HEAVY rows
+    salt = F.when(F.col("__heavy"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    salts = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    a = left.join(marked, key, "left").withColumn("__salt", salt).drop("__heavy")
+    b = right.join(marked, key, "left").withColumn("__salt", F.explode(salts)).drop("__heavy")
+    return a.join(b, [key, "__salt"], how).drop("__salt")
+
+
+_kept: dict = {}
+
+
+def kept(name: str, make: Callable):
+    """What a worker process keeps from task to task: one thing at a time, so that operators don't add up."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_BYTES of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -66,6 +110,7 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Cal
     (null becomes empty) and returns one pa.Array or list for each field.
     An input column with the name of a new field is replaced.
     """
+    small_batches(df.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new and not (drop_text and c == text)]
     source = df.select(*[F.col(quoted(c)) for c in kept], *([] if text in kept else [F.col(quoted(text))]))
@@ -77,6 +122,7 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Cal
         step = None
         types = [to_arrow_type(f.dataType) for f in fields]
         for whole in batches:
+            pa.default_memory_pool().release_unused()
             for batch in slices(whole, text):
                 step = step or make()
                 made = step(pc.fill_null(batch.column(text), ""))
@@ -108,6 +154,8 @@ _power_cache: list = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n > 2 * SLICE_BYTES:  # one token this long: not kept
+        return _powers(n)
     if len(_power_cache[0]) < n:
         _power_cache[:] = _powers(max(n, SLICE_BYTES + (1 << 16)))
     return _power_cache[0][:n], _power_cache[1][:n]
@@ -134,6 +182,35 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = 0
 WORDS_AND_MARKS = WORDS + (NOT_SPACE & (WORDS == 0)) * np.uint8(2)
 
 
+def _separator(data: np.ndarray, classes: np.ndarray, at: int) -> int:
+    """Place of the first separator from ``at`` on, else the end."""
+    while at < len(data):
+        found = np.flatnonzero(classes[data[at : at + (1 << 16)]] == 0)
+        if len(found):
+            return at + int(found[0])
+        at += 1 << 16
+    return len(data)
+
+
+def _tokens(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, class, hash) of the tokens; none goes over one of the offsets."""
+    n = len(data)
+    kind = classes[data]
+    change = np.empty(n + 1, bool)
+    change[:1] = change[-1:] = True
+    np.not_equal(kind[1:], kind[:-1], out=change[1:n])
+    change[offsets] = True
+    edges = np.flatnonzero(change)
+    live = kind[edges[:-1]] != 0 if n else np.empty(0, bool)
+    start, end = edges[:-1][live], edges[1:][live]
+    up, down = powers(n)
+    with np.errstate(over="ignore"):
+        total = np.empty(n + 1, np.uint64)
+        total[0] = 0
+        np.cumsum(_BYTE_CODE[LOWER[data]] * up, out=total[1:])
+        return start, end, kind[start], mix((total[end] - total[start]) * down[start])
+
+
 class Tokens:
     """Tokens of a slice of texts: 64-bit hash, place in the bytes, and where each text's tokens begin."""
 
@@ -143,22 +220,15 @@ class Tokens:
         buffer = texts.buffers()[2]
         self.data = data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.empty(0, np.uint8)
         self.text_offsets = offsets = offsets - offsets[0]
-        n = len(data)
-        kind = classes[data]
-        change = np.empty(n + 1, bool)
-        change[:1] = change[-1:] = True
-        np.not_equal(kind[1:], kind[:-1], out=change[1:n])
-        change[offsets] = True
-        edges = np.flatnonzero(change)
-        live = kind[edges[:-1]] != 0 if n else np.empty(0, bool)
-        self.start, self.end = edges[:-1][live], edges[1:][live]
-        self.kind = kind[self.start]
-        up, down = powers(n)
-        with np.errstate(over="ignore"):
-            total = np.empty(n + 1, np.uint64)
-            total[0] = 0
-            np.cumsum(_BYTE_CODE[LOWER[data]] * up, out=total[1:])
-            self.hash = mix((total[self.end] - total[self.start]) * down[self.start])
+        # a long text goes in pieces that end at separators, so that memory stays in proportion to SLICE_BYTES
+        cuts, at = [0], 0
+        while len(data) - at > 2 * SLICE_BYTES:
+            at = _separator(data, classes, at + SLICE_BYTES)
+            cuts.append(at)
+        cuts.append(len(data))
+        pieces = [_tokens(data[a:b], offsets[(offsets >= a) & (offsets <= b)] - a, classes) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        self.start, self.end = (np.concatenate([p[k] + a for p, a in zip(pieces, cuts[:-1], strict=True)]) for k in (0, 1))
+        self.kind, self.hash = (np.concatenate([p[k] for p in pieces]) for k in (2, 3))
         self.first = np.searchsorted(self.start, offsets)
 
     def __len__(self) -> int:

@@ -33,11 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import Tokens, add_columns, field, mix, quoted, rolling, written
+from seqframe.llm.common import HEAVY, Tokens, add_columns, field, heavy_keys, mix, quoted, rolling, spread_join, written
 
 SHINGLE = 5
 ROWS, BANDS = 5, 25
 COORDINATES = ROWS * BANDS
+#: Cells whose darts are thrown at once.
+DARTS_TOGETHER = 1 << 18
+#: Bytes of a stored cell: two texts of a million words have about one false cell in common.
+CELL_BYTES = 5
+#: Nodes of a bucket that one task compares with the others.
+COMPARED_TOGETHER = 256
 #: 64-bit words of the bitmaps that bound what two sets have in common.
 BITMAP_WORDS = 32
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
@@ -82,22 +88,25 @@ def signatures(cells: np.ndarray, first: np.ndarray, k: int = COORDINATES) -> np
     end = np.where(sizes > 0, np.maximum(1, np.ceil(need / np.maximum(1, sizes))), 0).astype(np.int64)
     while len(todo):
         layers = end[todo] - begin[todo]
-        # every cell of the texts still to do, once for each unit of rank
-        span = sizes[todo] * layers
-        owner = np.repeat(todo, span)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(span) - span, span)
-        layer = within // sizes[owner] + begin[owner]
-        cell = cells[first[owner] + within % sizes[owner]]
-        with np.errstate(over="ignore"):
-            seed = mix(cell + layer.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(1))
-        darts = np.searchsorted(_POISSON, (seed >> np.uint64(11)).astype(np.float64) / float(1 << 53))
-        owner, layer, seed = np.repeat(owner, darts), np.repeat(layer, darts), np.repeat(seed, darts)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(darts) - darts, darts)
-        with np.errstate(over="ignore"):
-            dart = mix(seed + (nth.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
-        rank = (layer.astype(np.uint64) << np.uint64(44)) | (dart >> np.uint64(20))
-        coordinate = (mix(dart) % np.uint64(k)).astype(np.int64)
-        np.minimum.at(out, owner * k + coordinate, rank)
+        # every cell of the texts still to do, once for each unit of rank, a bounded number at a time
+        ends = np.cumsum(sizes[todo] * layers)
+        for low in range(0, int(ends[-1]), DARTS_TOGETHER):
+            flat = np.arange(low, min(low + DARTS_TOGETHER, int(ends[-1])))
+            which = np.searchsorted(ends, flat, side="right")
+            owner = todo[which]
+            within = flat - (ends[which] - sizes[owner] * layers[which])
+            layer = within // sizes[owner] + begin[owner]
+            cell = cells[first[owner] + within % sizes[owner]]
+            with np.errstate(over="ignore"):
+                seed = mix(cell + layer.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(1))
+            darts = np.searchsorted(_POISSON, (seed >> np.uint64(11)).astype(np.float64) / float(1 << 53))
+            owner, layer, seed = np.repeat(owner, darts), np.repeat(layer, darts), np.repeat(seed, darts)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(darts) - darts, darts)
+            with np.errstate(over="ignore"):
+                dart = mix(seed + (nth.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
+            rank = (layer.astype(np.uint64) << np.uint64(44)) | (dart >> np.uint64(20))
+            coordinate = (mix(dart) % np.uint64(k)).astype(np.int64)
+            np.minimum.at(out, owner * k + coordinate, rank)
         empty = (out.reshape(-1, k)[todo] == np.iinfo(np.uint64).max).any(axis=1)
         todo = todo[empty]
         begin[todo], end[todo] = end[todo], 2 * end[todo]
@@ -115,15 +124,15 @@ def bands(kept: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, node, n, bands, cells) of each document; cells are sorted 32-bit hashes."""
+    """(id, node, n, bands, cells) of each document; cells are the leading bytes of hashes."""
 
     def make():
         def step(texts: pa.Array):
             names, cells, first = weighted_sets(texts)
             sizes = np.diff(first)
             keys = bands(signatures(cells, first)).view(np.int64)
-            packed = (cells >> np.uint64(32)).astype("<u4")
-            rows = [np.sort(packed[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            packed = np.ascontiguousarray(cells.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - CELL_BYTES :])
+            rows = [packed[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(sizes > 0, BANDS, 0)))), pa.int32()), pa.array(keys[sizes > 0].reshape(-1)))
             return [pa.array(names.view(np.int64)), pa.array(sizes.astype(np.int32)), lists, pa.array(rows, pa.binary())]
 
@@ -133,8 +142,15 @@ def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return add_columns(docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("__body")), "__body", fields, make, drop_text=True)
 
 
+def unpacked(cells: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(cells.as_buffer(), np.uint8).reshape(-1, CELL_BYTES)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :CELL_BYTES] = raw
+    return wide.view("<u8").reshape(-1)
+
+
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (a, b) whose sets have an exact weighted Jaccard similarity of at least ``similarity``."""
+    """Those pairs (a, b) of a table whose sets have an exact weighted Jaccard similarity of at least ``similarity``."""
     left = sets.select(F.col("node").alias("a"), F.col("cells").alias("cells_a"))
     right = sets.select(F.col("node").alias("b"), F.col("cells").alias("cells_b"))
 
@@ -142,14 +158,14 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("cells_a"), batch.column("cells_b"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
-                both = np.concatenate((x, y))
-                both.sort(kind="stable")
+                both = np.concatenate((unpacked(x), unpacked(y)))
+                both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(shared >= similarity * (len(both) - shared) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a bigint, b bigint")
+    joined = spread_join(spread_join(pairs, left, "a", heavy_keys(pairs, "a")), right, "b", heavy_keys(pairs, "b"))
+    return joined.select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -159,14 +175,20 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
     state = None
+
+    def with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
+        heavy = least.filter(F.col("c") > max(total / HEAVY, 50)).select("u")
+        return spread_join(rows, least.drop("c"), "u", heavy)
+
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        total = 2 * edges.count()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).withColumn("m", F.least("u", "m"))
+        large = with_least(both.filter("v > u"), least, total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = large.filter("u <> v")
-        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        small = large.join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
+        small = with_least(large, least, total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         edges = written(small, "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
@@ -175,11 +197,11 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _in_mixed_buckets(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Bucket rows with the root of their node, of those buckets that hold more than one root."""
-    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("leader", "leader_n")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    return placed.join(mixed, "key", "left_semi")
+def _in_mixed_buckets(rows: DataFrame, roots: DataFrame, heavy: DataFrame | None) -> DataFrame:
+    """Bucket rows with the root of their node and the bucket's number of nodes, of those buckets that hold more than one root."""
+    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("leader", "leader_n", "size")
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("key", "size")
+    return spread_join(placed, mixed, "key", heavy)
 
 
 def unique_mass(sets: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -188,7 +210,7 @@ def unique_mass(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, cells in zip(batch.column("node").to_pylist(), batch.column("cells"), strict=True):
-                values = np.frombuffer(cells.as_buffer(), "<u4").astype(np.int64)
+                values = unpacked(cells).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node, np.int64)), pa.array(values)], names=["node", "cell"])
 
     rows = sets.join(nodes, "node", "left_semi").select("node", "cells").mapInArrow(run, "node bigint, cell bigint")
@@ -203,7 +225,7 @@ def _bitmaps(sets: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             words, bits = [], []
             for cells in batch.column("cells"):
-                place = np.frombuffer(cells.as_buffer(), "<u4") % np.uint32(64 * BITMAP_WORDS)
+                place = unpacked(cells) % np.uint64(64 * BITMAP_WORDS)
                 marks = np.zeros(64 * BITMAP_WORDS, np.uint8)
                 marks[place] = 1
                 words.append(np.packbits(marks).view(np.int64))
@@ -222,41 +244,45 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     table = written(signed(docs, doc_id, text), "signatures")
     keys = table.filter("n > 0").select(F.explode("bands").alias("key"), "node", "n").groupBy("key", "node").agg(F.min("n").alias("n"))
+    keys = written(keys, "keys")
+    heavy = heavy_keys(keys, "key")
     chosen = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node"), "node", "n")).alias("lead"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key", F.col("lead.node").alias("leader"), F.col("lead.n").alias("leader_n"))
-    buckets = written(keys.join(chosen, "key").select("key", "node", "n", "leader", "leader_n"), "buckets")
+    buckets = written(spread_join(keys, chosen, "key", heavy).select("key", "node", "n", "leader", "leader_n"), "buckets")
     near = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)
-    first = buckets.filter((F.col("node") != F.col("leader")) & near("n", "leader_n")).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+    first = written(buckets.filter((F.col("node") != F.col("leader")) & near("n", "leader_n")).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "pairs")
     # one row with cells for each node that is in a bucket with others
     wanted = buckets.select("node").distinct()
-    sets = table.filter("n > 0").select("node", "cells").join(wanted, "node", "left_semi")
-    sets = written(sets.groupBy("node").agg(F.first("cells").alias("cells")), "sets")
+    # copies of a node meet before the shuffle; an inner join, because a semi join would be moved before the aggregation
+    sets = table.filter("n > 0").groupBy("node").agg(F.first("cells").alias("cells")).join(wanted, "node")
+    sets = written(sets, "sets")
     links = written(similar(first, sets, similarity), "similar")
     roots = components(links)
     # buckets that still hold two components: their nodes meet the one with the least unique share, which edited copies are nearest to
-    placed = _in_mixed_buckets(buckets, roots)
+    placed = _in_mixed_buckets(buckets, roots, heavy)
     placed = written(placed.join(unique_mass(sets, placed.select("node").distinct()), "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))), "mixed")
     best = placed.groupBy("key").agg(F.min(F.struct(-F.col("shared") / F.col("n"), "node", "n", "root")).alias("b")).select("key", F.col("b.node").alias("node_"), F.col("b.n").alias("n_"), F.col("b.root").alias("root_"))
-    second = placed.join(best, "key").filter((F.col("root") != F.col("root_")) & near("n", "n_")).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
+    second = spread_join(placed, best, "key", heavy).filter((F.col("root") != F.col("root_")) & near("n", "n_")).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
     second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(written(similar(second, sets, similarity), "similar"))
     roots = components(links)
     # pairs of a bucket that lie in two components, where what both share with any other node could be enough:
     # |x and y| is at most the shared part of either, and a similarity s needs s / (1 + s) of both sizes
-    placed = written(_in_mixed_buckets(placed.select("key", "node", "n", "shared"), roots), "mixed")
+    placed = written(_in_mixed_buckets(placed.select("key", "node", "n", "shared"), roots, heavy), "mixed")
     # and it is at most the number of common bits of two bitmaps, and of cells that share a bit with another of their text
     placed = placed.join(_bitmaps(sets, placed.select("node").distinct()), "node")
     maps = [f"m{k}" for k in range(BITMAP_WORDS)]
-    other = placed.select("key", *[F.col(c).alias(c + "_") for c in ("node", "n", "root", "shared", "bits", *maps)])
+    # nodes of a bucket meet in blocks: a node is in one block, and goes to all blocks of its bucket to be compared
+    blocks = F.ceil(F.col("size") / COMPARED_TOGETHER)
+    mine = placed.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    other = placed.select("key", *[F.col(c).alias(c + "_") for c in ("node", "n", "root", "shared", "bits", *maps)], F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"))
     least = similarity / (1 + similarity) * (F.col("n") + F.col("n_")) - 1e-9
     common = reduce(lambda a, b: a + b, [F.bit_count(F.col(m).bitwiseAND(F.col(m + "_"))) for m in maps])
     enough = (F.least("shared", "shared_") >= least) & (common + F.least(F.col("n") - F.col("bits"), F.col("n_") - F.col("bits_")) >= least)
-    on = (placed["key"] == other["key"]) & (F.col("root") < F.col("root_")) & near("n", "n_") & enough
-    rest = placed.join(other, on).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    rest = mine.join(other, ["key", "block"]).filter((F.col("root") < F.col("root_")) & near("n", "n_") & enough).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
+    rest = written(rest.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "pairs")
     more = written(similar(rest, sets, similarity), "similar")
     if not more.head(1):
-        documents = table.select("id", "node", "n").join(roots, "node", "left").select("id", "node", F.coalesce("root", "node").alias("root"), "n")
-        return documents, links
+        return _with_roots(table, roots), links
     # the last links join components, of which there are far fewer than nodes
     named = roots.withColumnRenamed("root", "to")
     lifted = more
@@ -265,14 +291,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     over = components(lifted.select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("top"))
     final = roots.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     final = final.unionByName(over.join(roots.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root")))
-    documents = table.select("id", "node", "n").join(final, "node", "left").select("id", "node", F.coalesce("root", "node").alias("root"), "n")
-    return documents, links.unionByName(more)
+    return _with_roots(table, final), links.unionByName(more)
+
+
+def _with_roots(table: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, node, root, n) of each document, stored."""
+    rows = table.select("id", "node", "n")
+    return written(spread_join(rows, roots, "node", heavy_keys(rows, "node"), "left").select("id", "node", F.coalesce("root", "node").alias("root"), "n"), "documents")
 
 
 def group_classes(documents: DataFrame) -> DataFrame:
     """(doc_id, class_id, class_size): the least id of the group and its number of documents."""
     sizes = documents.filter("n > 0").groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    joined = documents.join(sizes, "root", "left")
+    joined = spread_join(documents, sizes, "root", heavy_keys(documents, "root"), "left")
     alone = F.col("n") == 0
     return joined.select(F.col("id").alias("doc_id"), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"))
 

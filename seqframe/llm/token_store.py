@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import quoted, shared_folder
+from seqframe.llm.common import kept, quoted, shared_folder
 
 LANES, STEPS, SEGMENTS = 32, 128, 4
 BLOCK = LANES * STEPS * SEGMENTS
@@ -40,7 +40,7 @@ _HEAD = struct.Struct("<4sHBBHHQQII")
 #: Ids in one stored file, unless one document is longer.
 FILE_IDS = 1 << 20
 #: Chunks and words whose ids a worker keeps; a store is emptied when it is full.
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 200_000
 FILES = "part int, seq int, start bigint, n_tokens bigint, doc_ids array<bigint>, file binary"
 
 
@@ -207,11 +207,8 @@ class ChunkEncoder:
         return b"".join(found)
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
-    return _encoders.get(path) or _encoders.setdefault(path, ChunkEncoder(path))
+    return kept(f"ids {path}", lambda: ChunkEncoder(path))
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 1) -> None:
