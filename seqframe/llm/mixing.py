@@ -4,13 +4,13 @@ Each source gets a target: its weight's share of a total budget, at most
 ``max_repeats`` times its own size, the excess dealt again by weight (water-filling).
 A target is met with copies of whole documents: full rounds of the source, then a
 subset whose lengths add up to the rest. The subset is found on counts of documents
-by exact length: an even share of each length first, then the longest lengths that
-fit, then a bounded-knapsack dynamic program for what remains. Documents of a length
+by exact length, by a bounded-knapsack dynamic program; of budgets over KNAPSACK_WORDS
+an even share of each length is taken first, and the program fits what remains. Documents of a length
 are taken in order of a seeded hash.
 
 Sizes are numbers of ``[^\\x20\\x09-\\x0D]+`` words; null and empty texts have size 0 and
 are never taken. A null source is a source of its own, after all others. Rows that
-repeat are separate documents. A source whose documents are all empty has target 0.
+repeat are separate documents, and of rows of equal id the text decides the order. A source whose documents are all empty has target 0.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import quoted
+from seqframe.llm.common import quoted, written
 
-#: Words of remaining budget that the dynamic program covers.
-KNAPSACK_WORDS = 2048
+#: Words of budget that the dynamic program covers, and bytes of sums within which it covers any budget.
+KNAPSACK_WORDS, KNAPSACK_BYTES = 1 << 16, 1 << 27
 #: Documents of one source and size that are ranked together.
 RANKED_TOGETHER = 4096
 
@@ -54,63 +54,67 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
 
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, target: int) -> np.ndarray:
-    """How many documents of each length to take (at most counts) so that their words come nearest to target."""
-    lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
+    """How many documents of each length to take (at most counts) so that their words come nearest to target.
+
+    The dynamic program covers a budget of KNAPSACK_WORDS exactly, and a larger one if its sums take no more than KNAPSACK_BYTES
+    (few lengths). Else an even share of each length, then the longest that fit, are taken first, and it covers what remains.
+    """
+    lengths, counts = lengths.astype(np.int64), np.where(lengths > 0, counts, 0).astype(np.int64)
     total = int((lengths * counts).sum())
     target = max(0, min(int(target), total))
-    if not total:
-        return np.zeros_like(counts)
-    take = np.minimum(counts, (counts * (target / total)).astype(np.int64))
-    while (lengths * take).sum() > target:  # only by rounding of the quotient
-        take[np.argmax(take > 0)] -= 1
-    left = target - int((lengths * take).sum())
-    for k in np.argsort(-lengths, kind="stable"):
-        if left <= KNAPSACK_WORDS:
-            break
-        more = min(int(counts[k] - take[k]), (left - KNAPSACK_WORDS // 2) // max(1, int(lengths[k])))
-        if more > 0 and lengths[k] > 0:
-            take[k] += more
-            left -= more * int(lengths[k])
-    short = [(int(n), int(c)) for n, c in zip(lengths, counts - take, strict=True) if 0 < n <= left and c > 0]
-    # reached[w]: some choice among the lengths so far has w words; last[w]: the length and number that first reached w
-    reached = np.zeros(left + 1, bool)
-    reached[0] = True
-    last: dict[int, tuple[int, int]] = {}
-    for n, c in short:
-        if reached[left]:
-            break
-        for w in np.flatnonzero(_new(reached, n, c)):
-            w = int(w)
-            k = 1
-            while not reached[w - k * n]:
-                k += 1
-            last[w] = (n, k)
-        reached[[w for w, x in last.items() if x[0] == n]] = True
-    best = int(np.flatnonzero(reached)[-1])
-    place = {int(n): k for k, n in enumerate(lengths)}
-    while best:
-        n, k = last[best]
-        take[place[n]] += k
-        best -= n * k
+    take = np.zeros_like(counts)
+    left = target
+    if target > KNAPSACK_WORDS and target / 4 * np.ceil(np.log2(counts + 1)).sum() > KNAPSACK_BYTES:
+        take = np.minimum(counts, (counts * ((target - KNAPSACK_WORDS // 2) / total)).astype(np.int64))
+        left = target - int((lengths * take).sum())
+        for k in np.argsort(-lengths, kind="stable"):
+            if left <= KNAPSACK_WORDS:
+                break
+            more = min(int(counts[k] - take[k]), (left - KNAPSACK_WORDS // 2) // max(1, int(lengths[k])))
+            if more > 0 and lengths[k] > 0:
+                take[k] += more
+                left -= more * int(lengths[k])
+    return take + nearest_sum(lengths, counts - take, left)
+
+
+def nearest_sum(lengths: np.ndarray, counts: np.ndarray, goal: int) -> np.ndarray:
+    """A bounded knapsack: the choice whose sum is nearest to goal, of two equally near the lower one.
+
+    Sums are bits of one number, up to twice the goal (a sum beyond that is further off than none). A count is split into
+    powers of two and a rest, so each length shifts the bits a few times; the program stops when the goal is reached.
+    """
+    mask = (1 << (2 * goal + 1)) - 1
+    reached, steps = 1, []
+    for place in np.argsort(-lengths, kind="stable"):
+        n, c, k = int(lengths[place]), int(counts[place]), 1
+        while n > 0 and c > 0 and not reached >> goal & 1:
+            k = min(k, c)
+            after = reached | (reached << (n * k)) & mask
+            if after != reached:
+                steps.append((reached, int(place), n, k))
+            reached, c, k = after, c - k, 2 * k
+    low = (reached & ((1 << (goal + 1)) - 1)).bit_length() - 1
+    above = reached >> (goal + 1)
+    high = goal + (above & -above).bit_length() if above else None
+    best = high if high is not None and high - goal < goal - low else low
+    take = np.zeros(len(lengths), np.int64)
+    for before, place, n, k in reversed(steps):
+        if not before >> best & 1:
+            take[place] += k
+            best -= n * k
     return take
 
 
-def _new(reached: np.ndarray, n: int, c: int) -> np.ndarray:
-    """Sums that become reachable with up to c more documents of length n."""
-    out = reached.copy()
-    used = np.zeros(len(reached), np.int64)
-    for w in range(n, len(out)):
-        if not out[w] and out[w - n] and used[w - n] < c:
-            out[w] = True
-            used[w] = used[w - n] + 1
-    return out & ~reached
-
+def plan_copies(docs: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2, seed: int = 17, text: str = "text") -> DataFrame:
+    """(row, source, size, source_size, target, copies): each document as the struct ``row`` and how often the mix takes it.
 
-def plan_copies(docs: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2, seed: int = 17) -> DataFrame:
-    """(row, source, size, source_size, target, copies): each document as the struct ``row`` and how often the mix takes it."""
-    lucky = F.xxhash64(F.lit(seed), F.col(quoted(doc_id)))
-    sized = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), F.col(quoted(source)).cast("string").alias("source"), size.cast("long").alias("size"), lucky.alias("h"), F.col(quoted(doc_id)).alias("id"))
-    histogram = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
+    Of the documents of one source and size the first in the order of two hashes are taken once more. Only the
+    hashes are ranked; the documents themselves are compared with the last pair of hashes taken, one row for each source and size.
+    """
+    lucky = [F.xxhash64(F.lit(seed + k), F.col(quoted(doc_id)), F.col(quoted(text))) for k in (0, 1)]
+    columns = [F.col(quoted(source)).cast("string").alias("source"), size.cast("long").alias("size"), lucky[0].alias("h"), lucky[1].alias("h2")]
+    narrow = written(docs.select(*columns), "sizes")
+    histogram = narrow.groupBy("source", "size").agg(F.count("*").alias("n"))
     targets = source_targets(histogram.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, max_repeats)
     plan = histogram.alias("h").join(targets.alias("t"), F.col("h.source").eqNullSafe(F.col("t.source"))).select("t.source", "source_size", "target", "size", "n")
 
@@ -123,30 +127,45 @@ def plan_copies(docs: DataFrame, size: Column, doc_id: str = "doc_id", source: s
         return pdf.assign(rounds=rounds, more=more)[["source", "source_size", "target", "size", "n", "rounds", "more"]]
 
     schema = "p_source string, source_size long, target double, p_size long, n long, rounds long, more long"
-    plan = plan.groupBy("source").applyInPandas(lambda pdf: fit(pdf).set_axis(["p_source", "source_size", "target", "p_size", "n", "rounds", "more"], axis=1), schema)
-    # documents of one source and size are ranked in hash ranges of bounded size, so that a hot size is no single task
-    spread = F.pmod(F.shiftrightunsigned("h", 20), F.floor(F.col("n") / RANKED_TOGETHER) + 1)
-
-    def planned(rows: DataFrame) -> DataFrame:
-        return rows.join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))).withColumn("range", spread)
-
-    counted = planned(sized.drop("row")).groupBy("source", "size", "range").agg(F.count("*").alias("here"), F.first("more").alias("of"))
+    plan = written(plan.groupBy("source").applyInPandas(lambda pdf: fit(pdf).set_axis(["p_source", "source_size", "target", "p_size", "n", "rounds", "more"], axis=1), schema), "plan")
+    of_plan = F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))
+    # ranges of hashes of bounded size are ranked one by one, so that a hot size is no single task
+    ranges = F.floor(F.col("n") / RANKED_TOGETHER) + 1
+    spread = F.least(F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * ranges), ranges - 1)
+    open_ = narrow.join(plan.filter("more > 0 and more < n"), of_plan).select("source", "size", "h", "h2", "more", spread.alias("range"))
     before = Window.partitionBy("source", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    quota = counted.select(F.col("source").alias("q_source"), F.col("size").alias("q_size"), F.col("range").alias("q_range"), (F.col("of") - F.coalesce(F.sum("here").over(before), F.lit(0))).alias("quota"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "range").orderBy("h", "id"))
-    ranked = planned(sized).withColumn("rank", rank).join(quota, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size")) & (F.col("range") == F.col("q_range")))
-    copies = F.col("rounds") + F.when(F.col("rank") <= F.col("quota"), 1).otherwise(0)
-    return ranked.select("row", "source", "size", "source_size", "target", copies.alias("copies"))
+    counted = open_.groupBy("source", "size", "range").agg(F.count("*").alias("here"), F.first("more").alias("more"))
+    # the range in which the last document is taken
+    quota = counted.withColumn("quota", F.col("more") - F.coalesce(F.sum("here").over(before), F.lit(0))).filter("quota > 0 and quota <= here")
+    quota = quota.select(F.col("source").alias("q_source"), F.col("size").alias("q_size"), F.col("range").alias("q_range"), "quota")
+    last = open_.join(quota, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size")) & (F.col("range") == F.col("q_range")))
+    w = Window.partitionBy("source", "size", "range").orderBy("h", "h2")
+    last = last.withColumn("place", F.row_number().over(w)).withColumn("rank", F.rank().over(w)).filter(F.col("place") == F.col("quota"))
+    last = last.select(F.col("source").alias("l_source"), F.col("size").alias("l_size"), F.col("h").alias("last_h"), F.col("h2").alias("last_h2"), (F.col("quota") - F.col("rank") + 1).alias("ties"))
+    cuts = written(plan.join(last, F.col("p_source").eqNullSafe(F.col("l_source")) & (F.col("p_size") == F.col("l_size")), "left").drop("l_source", "l_size"), "cuts")
+    tied = (F.col("h") == F.col("last_h")) & (F.col("h2") == F.col("last_h2"))
+    sized = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), *columns).join(cuts, of_plan)
+    taken = F.when(F.col("last_h").isNull(), F.col("more") > 0).otherwise((F.col("h") < F.col("last_h")) | ((F.col("h") == F.col("last_h")) & (F.col("h2") < F.col("last_h2"))) | F.coalesce(tied & (F.col("place") <= F.col("ties")), F.lit(False)))
+    # rows that are equal in id and text to the last one taken are numbered, if there is more than one anywhere
+    equal = narrow.join(cuts.filter("last_h is not null"), of_plan & tied).groupBy("p_source", "p_size").agg(F.count("*").alias("c")).filter("c > 1")
+    if equal.head(1):
+        held = F.coalesce(tied, F.lit(False))
+        numbered = sized.filter(held).withColumn("place", F.row_number().over(Window.partitionBy("source", "size", "h", "h2").orderBy(F.lit(1))))
+        sized = sized.filter(~held).withColumn("place", F.lit(1)).unionByName(numbered)
+    else:
+        sized = sized.withColumn("place", F.lit(1))
+    copies = F.col("rounds") + F.when(taken, 1).otherwise(0)
+    return sized.select("row", "source", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken): one row for each document; taken is its size times its copies."""
-    narrow = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(source)).alias("source"), words(F.col(quoted(text))).alias("size"))
+    narrow = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(source)).alias("source"), words(F.col(quoted(text))).alias("size"), F.xxhash64(F.col(quoted(text))).alias("text"))
     plan = plan_copies(narrow, F.col("size"), **options)
     return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that the mix takes, with their own columns, each as often as it is taken."""
-    plan = plan_copies(docs, words(F.col(quoted(text))), **options)
+    plan = plan_copies(docs, words(F.col(quoted(text))), text=text, **options)
     return plan.select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")).select("row.*")
