@@ -6,10 +6,12 @@ ancestor is marked as boilerplate, length, share of links, sentence marks) and e
 from the leaves to the root and back (sum-product), which gives each node's marginal;
 text runs with a marginal of at least 0.5 are the text, in page order.
 
-The model is trained by maximum likelihood on labelled pages: those that mark their main
-text with <article> or <main> (the part outside boilerplate elements is content). The
-marks are hidden from the model in every other training page, so it learns to do without.
-A prior on the weights covers features that the labelled pages don't show. The sample is
+The model is trained by maximum likelihood on pages that mark their main text with <article> or
+<main>: what is inside the marks is content. Pages with something inside the marks that is named as boilerplate are left out.
+Three views of the pages are learnt from: with all names and marks, with the marks hidden, and with marks and all names
+that tell boilerplate or content (elements, classes, ids) hidden, so that lengths, links, sentences
+and places get weights of their own. In some pages blocks from outside the marks are put between paragraphs of the
+main text, as pages in the wild have them. Pages with and without (visible) marks have weights of their own. A weak prior covers features that the pages don't show. The sample is
 bounded by ``max_pages``.
 
 Null and empty pages, and pages without content, have the empty text. Character
@@ -34,7 +36,7 @@ from seqframe.llm.common import add_columns, field, quoted
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|svg|iframe|object|canvas|math|title|xmp|noembed|noframes)\b.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|template|svg|iframe|title|xmp|noembed|noframes)\b.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
@@ -50,7 +52,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "html body div p article main section nav header footer aside h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th"
     " blockquote pre figure figcaption form fieldset legend address details summary dialog menu hgroup center button select option optgroup"
-    " textarea label noscript head hr search".split()
+    " textarea label noscript head hr search x-graft".split()
 )
 BOILER_TAGS = frozenset("nav header footer aside form fieldset legend dialog menu button select option optgroup textarea label noscript head search".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -71,12 +73,16 @@ _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table
 FEATURES = (
     "element", "boiler_tag", "content_tag", "paragraph", "heading", "list", "boiler_word", "content_word", "hidden", "links_some", "links_most", "long", "longer",
     "run", "run_links_some", "run_links_most", "run_short", "run_long", "run_longer", "run_sentence", "run_notice", "run_in_paragraph", "run_in_heading", "in_boiler",
+    "run_after_heading", "run_in_list",
 )
 AT = {name: k for k, name in enumerate(FEATURES)}
-#: Log potentials before training: what the labelled pages don't show keeps these.
-PRIOR = {"boiler_tag": -6.0, "boiler_word": -6.0, "in_boiler": -6.0, "content_tag": 4.0, "content_word": 1.5, "hidden": -6.0, "paragraph": 0.5, "links_most": -1.5, "run_links_most": -1.5, "run_long": 0.5, "run_longer": 1.0, "run_notice": -2.0, "element": -0.5, "run": -0.5}
-#: Parent-child log potentials (parent not content -> child content, content -> not, content -> content); the fourth is 0.
-EDGES = (-3.0, -3.0, 1.0)
+#: Features that come from names of elements, classes and ids.
+NAMED = [AT[name] for name in ("boiler_tag", "content_tag", "boiler_word", "content_word", "hidden", "in_boiler")]
+NAMED_BOILER = [AT[name] for name in ("boiler_tag", "boiler_word", "hidden")]
+#: Log potentials before training: weak, but for hidden elements.
+PRIOR = {"boiler_tag": -2.0, "boiler_word": -2.0, "in_boiler": -2.0, "content_tag": 2.0, "content_word": 0.5, "hidden": -6.0, "links_most": -1.0, "run_links_most": -1.0, "run_long": 0.5, "run_notice": -1.0}
+#: Parent-child log potentials before training (parent not content -> child content, content -> not, content -> content); the fourth is 0.
+EDGES = (-1.0, -1.0, 0.5)
 _NOTICE = re.compile(r"\s*(?:©|\(c\)|copyright\b)", re.IGNORECASE)
 
 _names: dict[str, tuple[bool, bool, bool]] = {}
@@ -197,10 +203,13 @@ class Page:
             if self.tag[self._stack[k]] in ("article", "main", "body", "td", "table") and name in ("p", "li", "span"):
                 break
 
-    def features(self, hide_marks: bool = False) -> np.ndarray:
+    def features(self, hide: str = "") -> np.ndarray:
+        """Features of all nodes; hide "marks" or all "names"."""
         out = np.zeros((len(self.tag), len(FEATURES)))
         boilers = [False] * len(self.tag)
+        headed = False
         for k, tag in enumerate(self.tag):
+            headed = headed or tag in HEADINGS
             row, n, links = out[k], self.size[k], self.linked[k]
             row[23] = k > 0 and boilers[self.parent[k]]
             boilers[k] = row[23] > 0 or tag in BOILER_TAGS or self.look[k][0] or self.look[k][2]
@@ -213,25 +222,51 @@ class Page:
                 row[20] = bool(_NOTICE.match(text))
                 above = self.tag[self.parent[k]]
                 row[21], row[22] = above in ("p", "blockquote", "pre"), above in HEADINGS
+                row[24], row[25] = headed, above in LISTS
             else:
                 boiler, content, hidden = self.look[k]
                 row[0] = 1
-                row[1], row[2] = tag in BOILER_TAGS, tag in CONTENT_TAGS and not hide_marks
+                row[1], row[2] = tag in BOILER_TAGS, tag in CONTENT_TAGS
                 row[3], row[4], row[5] = tag == "p", tag in HEADINGS, tag in LISTS
                 row[6], row[7], row[8] = boiler, content and not boiler and tag != "body", hidden
                 row[9], row[10] = 0 < links < 0.5 * n, n > 0 and links >= 0.5 * n
                 row[11], row[12] = n >= 250, n >= 1000
+        if hide:
+            out[:, NAMED if hide == "names" else [AT["content_tag"]]] = 0
         return out
 
     def labels(self) -> np.ndarray:
-        """1 for nodes in an <article> or <main> element that are not in boilerplate inside it."""
-        out = np.zeros(len(self.tag))
+        """1 for nodes in an <article> or <main> element that have text, but for grafts."""
+        inside = np.zeros(len(self.tag), bool)
         for k in range(1, len(self.tag)):
-            boiler = self.tag[k] in BOILER_TAGS or self.look[k][0] or self.look[k][2]
-            out[k] = (out[self.parent[k]] or self.tag[k] in CONTENT_TAGS) and not boiler
+            inside[k] = (inside[self.parent[k]] or self.tag[k] in CONTENT_TAGS) and self.tag[k] != "x-graft"
+        out = np.zeros(len(self.tag))
+        for k in range(len(self.tag) - 1, 0, -1):
+            if self.text[k] is not None:
+                out[k] = inside[k]
+            if out[k] and inside[self.parent[k]]:
+                out[self.parent[k]] = 1
         return out
 
 
+_MARKED = re.compile(r"<(article|main)\b[^>]*>.*</\1\s*>", re.IGNORECASE | re.DOTALL)
+_BODY = re.compile(r"<body\b[^>]*>|</body\b.*|</html\b.*", re.IGNORECASE | re.DOTALL)
+
+
+def grafted(source: str, after: int) -> str:
+    """The page with what stands before and after its main text put into that too, after the given paragraph."""
+    main = _MARKED.search(source)
+    if main is None:
+        return source
+    before = re.split(r"<body\b[^>]*>", source[: main.start()], flags=re.IGNORECASE)[-1]
+    outer = before + _BODY.sub("", source[main.end() :])
+    places = [m.end() for m in re.finditer(r"</p\s*>", main[0], re.IGNORECASE)]
+    if not places:
+        return source
+    at = main.start() + places[min(after, len(places) - 1)]
+    return f"{source[:at]}<x-graft>{outer}</x-graft>{source[at:]}"
+
+
 def _or(a: float, b: float) -> float:
     """log(exp(a) + exp(b))"""
     return a + log1p(exp(b - a)) if a >= b else b + log1p(exp(a - b))
@@ -270,21 +305,36 @@ def marginals(parent: list[int], unary: list[float], edges: tuple[float, float,
     return out, pairs
 
 
-def train(pages: list[str], steps: int = 40, rate: float = 0.25, ridge: float = 0.02) -> np.ndarray:
-    """Weights and edge potentials of greatest likelihood, by Adam on exact expectations."""
-    start = np.zeros(len(FEATURES) + 3)
-    for name, value in PRIOR.items():
-        start[AT[name]] = value
-    start[-3:] = EDGES
-    cases = []
+def train(pages: list[str], steps: int = 60, rate: float = 0.25, ridge: float = 0.002) -> np.ndarray:
+    """(2, features + 3): weights and edge potentials for pages without and with marks; the prior where no page teaches."""
+    cases: list[list] = [[], []]
     for k, source in enumerate(pages):
         page = Page(source)
         y = page.labels()
+        if not y.any() or (y * page.features()[:, NAMED_BOILER].any(axis=1)).any():
+            continue  # no marks, or something inside them that may be none of the main text
+        if k % 2:
+            page = Page(grafted(source, k % 5))
+            y = page.labels()
         if y.any():
-            x, parent = page.features(hide_marks=k % 2 == 1), np.array(page.parent)
+            x, parent = page.features(("", "marks", "names")[k % 3]), np.array(page.parent)
             above = y[parent[1:]]
             seen = np.array([((1 - above) * y[1:]).sum(), (above * (1 - y[1:])).sum(), (above * y[1:]).sum()])
-            cases.append((x, page.parent, x.T @ y, seen))
+            cases[marked(x)].append((x, page.parent, x.T @ y, seen))
+    return np.array([_most_likely(c, steps, rate, ridge) for c in cases])
+
+
+def marked(x: np.ndarray) -> int:
+    """1 if the features show a content mark."""
+    return int(x[:, AT["content_tag"]].any())
+
+
+def _most_likely(cases: list, steps: int, rate: float, ridge: float) -> np.ndarray:
+    """Weights of greatest likelihood, by Adam on exact expectations."""
+    start = np.zeros(len(FEATURES) + 3)
+    for name, value in PRIOR.items():
+        start[AT[name]] = value
+    start[-3:] = EDGES
     w, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
     for step in range(1, steps + 1 if cases else 1):
         slope = -ridge * len(cases) * (w - start)
@@ -295,8 +345,6 @@ def train(pages: list[str], steps: int = 40, rate: float = 0.25, ridge: float =
         slope /= len(cases)
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         w = w + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    # content may hold boilerplate and the reverse, however rarely the labelled pages show it
-    w[-2] = max(w[-2], EDGES[1])
     return w
 
 
@@ -307,17 +355,19 @@ def fit(pages: DataFrame, page_id: str = "page_id", source: str = "html", max_pa
     few = marked.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_000)) < int(rate * 1_000_000) + 1)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"w": [train(pdf.sort_values(["id", "html"])["html"].tolist()).tolist()]})
+        return pd.DataFrame({"w": [train(pdf.sort_values(["id", "html"])["html"].tolist()).reshape(-1).tolist()]})
 
     found = few.groupBy(F.lit(0).alias("g")).applyInPandas(one, "w array<double>").collect()
-    return np.array(found[0]["w"]) if found else train([])
+    return np.array(found[0]["w"]).reshape(2, -1) if found else train([])
 
 
-def main_text(source: str, w: np.ndarray) -> str:
+def main_text(source: str, w: np.ndarray, hide: str = "") -> str:
     if not source:
         return ""
     page = Page(source)
-    p, _ = marginals(page.parent, (page.features() @ w[:-3]).tolist(), tuple(w[-3:].tolist()))
+    x = page.features(hide)
+    own = w[marked(x)]
+    p, _ = marginals(page.parent, (x @ own[:-3]).tolist(), tuple(own[-3:].tolist()))
     return "\n".join(t for t, x in zip(page.text, p, strict=True) if t is not None and x >= 0.5)
 
 

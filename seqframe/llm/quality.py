@@ -96,7 +96,7 @@ def train(rows: pd.DataFrame, updates: int, alpha: float, beta: float, l1: float
     return weights(np.arange(size))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 8_000, shards: int = 4, updates: int = 24_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01, seed: int = 5) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 16_000, shards: int = 8, updates: int = 24_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01, seed: int = 5) -> np.ndarray:
     """Weights learnt from at most about max_rows of the labelled documents where ``learns`` (a Column on docs) holds."""
     known = labels.filter(F.col(quoted(label)).isNotNull()).select(F.col(quoted(doc_id)).alias("__id"), F.col(quoted(label)).cast("int").alias("label"))
     kept = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(F.lit(1), F.lit(known.count())))

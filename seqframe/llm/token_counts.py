@@ -10,6 +10,9 @@ gives the count at every prefix of a pre-token in one pass. Texts are cut betwee
 a character that is not white space and one that is: no pre-token crosses such a
 place, so counts of the parts add up and are kept by part in each worker.
 
+``prefix_counts`` stores the count at every prefix of a text; ``truncate`` and ``budget``
+answer from what is stored, without encoding anything again.
+
 Null and empty texts have no bytes and no tokens. Special strings inside texts
 count as one token, as in the tokenizer's default. Input columns with the name of
 an output column are replaced.
@@ -17,19 +20,21 @@ an output column are replaced.
 
 from __future__ import annotations
 
-import bisect
 import json
 import re
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from seqframe.llm.common import add_columns, field
+from seqframe.llm.common import add_columns, field, kept, quoted
 
 #: Parts whose counts a worker keeps; the store is emptied when it is full.
 KEPT_PARTS = 800_000
 #: White space for str but not for the tokenizers' patterns.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_BLANKS = re.compile(r"[^\S\x1c-\x1f]*")
 _PARTS = re.compile(r"\s*\S+|\s+")
 
 
@@ -152,30 +157,59 @@ class PrefixCounter:
             total += sum(counts)
         return total
 
-    def checkpoints(self, text: str) -> tuple[list[int], list[int]]:
-        """Characters and tokens at the end of each part, from (0, 0) on."""
-        chars, tokens = [0], [0]
+    def prefixes(self, text: str) -> np.ndarray:
+        """Exact token counts of text[:n] for n from 0 to its length."""
+        out = [np.zeros(1, np.int32)]
+        before, tail = 0, ""  # tokens before the last part, and that part: a cut special string joins it
         for segment, special in self.segments(text):
-            for p in [segment] if special else self._plain_parts(segment):
-                n = 1 if special else self.parts.get(p)
-                chars.append(chars[-1] + len(p))
-                tokens.append(tokens[-1] + (self.part(p) if n is None else n))
-        return chars, tokens
-
-    def at(self, text: str, chars: list[int], tokens: list[int], n: int) -> int:
-        """Tokens of text[:n], from the checkpoints and the prefixes of one part."""
-        n = max(0, min(n, chars[-1]))
-        k = bisect.bisect_right(chars, n) - 1
-        rest = text[chars[k] : n]
-        return tokens[k] + (sum(self.piece(p)[-1] for p, _ in self.split(rest)) if rest else 0)
-
-    def longest_prefix(self, text: str, chars: list[int], tokens: list[int], limit: int) -> int:
-        """Characters of the longest prefix of at most ``limit`` tokens that ends in the first part over the limit or before it."""
-        if tokens[-1] <= limit:
-            return chars[-1]
-        k = bisect.bisect_right(tokens, limit) - 1
-        end = chars[k + 1] if k + 1 < len(chars) else chars[k]
-        return max((n for n in range(chars[k], end) if self.at(text, chars, tokens, n) <= limit), default=chars[k])
+            if special:
+                for n in range(1, len(segment)):
+                    out.append(np.array([before + self.part(tail + segment[:n])], np.int32))
+                before += (self.part(tail) if tail else 0) + 1
+                tail = ""
+                out.append(np.array([before], np.int32))
+                continue
+            for p in self._plain_parts(segment):
+                before, tail = before + (self.part(tail) if tail else 0), p
+                out.append(before + self._part_prefixes(p))
+        return np.concatenate(out)
+
+    def _part_prefixes(self, part: str) -> np.ndarray:
+        """Counts of part[:n] for n from 1 on, read from the prefix counts of its pre-tokens.
+
+        A prefix that ends inside a pre-token ends its encoding there. Two cuts change the pre-tokens: in white space, where
+        the run up to the cut is one pre-token, and in a two-letter contraction, of which a mark and a letter are left.
+        """
+        out = np.zeros(len(part), np.int32)
+        total = at = 0
+        run, run_total = "", 0
+        for piece, _ in self.split(part):
+            raw = piece.translate(_BYTES).encode("latin-1")
+            # characters end where the next byte begins one
+            ends = np.flatnonzero((np.frombuffer(raw + b"a", np.uint8)[1:] & 0xC0) != 0x80) + 1
+            counts = self.piece(piece)
+            counts = np.frombuffer(counts, np.uint8) if isinstance(counts, bytes) else np.array(counts)
+            n = len(ends)
+            out[at : at + n] = total + counts[ends]
+            text = part[at : at + n]
+            if n == 3 and text[0] == "'" and text[1:].isalpha():
+                out[at + 1] = total + 2
+            blanks = len(_BLANKS.match(text)[0])
+            if blanks:
+                if not run:
+                    run_total = total
+                run += text[:blanks]
+                letters = run.encode().decode("latin-1").translate(_LETTERS)
+                own = self.piece(letters)
+                for k in range(blanks):
+                    out[at + k] = run_total + own[len(run[: len(run) - blanks + k + 1].encode())]
+            if blanks < n:
+                run = ""
+            total += int(counts[-1])
+            at += n
+        if not run:
+            out[-1] = total
+        return out
 
 
 def _byte_letters() -> list[str]:
@@ -185,13 +219,13 @@ def _byte_letters() -> list[str]:
     return [chr(b) for b in plain] + [chr(256 + k) for k in range(len(rest))]
 
 
+_BYTES = {ord(c): b for c, b in zip(_byte_letters(), [*(b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b), *(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b))], strict=True)}
 _LETTERS = dict(zip([*(b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b), *(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b))], _byte_letters(), strict=True))
-_counters: dict[str, PrefixCounter] = {}
 
 
 def counter(path: str) -> PrefixCounter:
     """One counter for each worker process; what it has learnt serves later tasks too."""
-    return _counters.get(path) or _counters.setdefault(path, PrefixCounter(path))
+    return kept(f"counts {path}", lambda: PrefixCounter(path))
 
 
 def count_tokens(df: DataFrame, tokenizer: str, text: str = "text", drop_text: bool = False) -> DataFrame:
@@ -210,29 +244,32 @@ def count_tokens(df: DataFrame, tokenizer: str, text: str = "text", drop_text: b
 
 
 def prefix_counts(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """df with the stored prefix counts: ``prefix_chars`` and ``prefix_tokens`` (arrays, at each part's end)."""
+    """df with ``prefix_tokens`` (array of int): the exact count of each prefix, of 0, 1, 2, ... characters."""
 
     def make():
         own = counter(tokenizer)
-        return lambda texts: list(zip(*(own.checkpoints(t) for t in texts.to_pylist()), strict=True)) or [[], []]
 
-    return add_columns(df, text, [field("prefix_chars", "array<int>"), field("prefix_tokens", "array<int>")], make)
+        def step(texts: pa.Array):
+            each = [own.prefixes(t) for t in texts.to_pylist()]
+            ends = np.cumsum([0, *map(len, each)])
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(each) if each else np.empty(0, np.int32)))]
+
+        return step
 
+    return add_columns(df, text, [field("prefix_tokens", "array<int>")], make)
 
-def truncate(df: DataFrame, tokenizer: str, limit: int, text: str = "text") -> DataFrame:
-    """df with ``cut_chars`` (int) and ``cut_tokens`` (long): the longest stored prefix within ``limit`` tokens."""
 
-    def make():
-        own = counter(tokenizer)
+def truncate(counted: DataFrame, limit: int, prefixes: str = "prefix_tokens") -> DataFrame:
+    """counted (with stored prefix counts) with ``cut_chars`` and ``cut_tokens`` (int): the longest prefix within ``limit`` tokens, looked up.
 
-        def step(texts: pa.Array):
-            cut, tokens = [], []
-            for t in texts.to_pylist():
-                stored = own.checkpoints(t)
-                cut.append(own.longest_prefix(t, *stored, limit))
-                tokens.append(own.at(t, *stored, cut[-1]))
-            return cut, tokens
+    Counts may fall as a text grows (a merge takes letters in), so the last prefix within the limit is taken.
+    """
+    counts = F.col(quoted(prefixes))
+    last = F.size(counts) - F.array_position(F.transform(F.reverse(counts), lambda n: n <= limit), True)
+    return counted.withColumn("cut_chars", last.cast("int")).withColumn("cut_tokens", F.element_at(counts, (last + 1).cast("int")))
 
-        return step
 
-    return add_columns(df, text, [field("cut_chars", "int"), field("cut_tokens", "bigint")], make)
+def budget(counted: DataFrame, chars: Column, prefixes: str = "prefix_tokens", name: str = "tokens_used") -> DataFrame:
+    """counted with the tokens that its first ``chars`` characters take, looked up."""
+    counts = F.col(quoted(prefixes))
+    return counted.withColumn(name, F.element_at(counts, (F.least(F.greatest(chars, F.lit(0)), F.size(counts) - 1) + 1).cast("int")))

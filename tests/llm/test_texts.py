@@ -124,7 +124,27 @@ def test_subset_sums_are_as_near_as_can_be():
         take = mixing.fit_counts(np.array(lengths), np.array(counts), goal)
         assert (take <= np.array(counts)).all() and (take >= 0).all()
         got = int((take * np.array(lengths)).sum())
-        assert got <= goal and got in sums
+        assert abs(got - goal) == min(abs(x - goal) for x in sums)
+
+
+def test_large_budgets_and_few_long_documents():
+    rng = np.random.default_rng(5)
+    lengths = np.unique(rng.integers(1, 20_000, 3000))
+    counts = rng.integers(1, 50, len(lengths))
+    for goal in (int((lengths * counts).sum() * 0.37), int((lengths * counts).sum()), 0, 70_000):
+        take = mixing.fit_counts(lengths, counts, goal)
+        assert (take <= counts).all() and (take >= 0).all() and int((take * lengths).sum()) == goal
+    take = mixing.fit_counts(np.array([0, 400_000, 1_000_000]), np.array([5, 2, 1]), 1_390_000)
+    assert take.tolist() == [0, 1, 1]
+
+
+def test_mix_of_ties_clashing_columns_and_empty_tables(spark):
+    rows = [(1, "a b", "s"), (1, "a c", "s"), (None, "a d", "s"), (None, "a d", "s"), (2, "a e f g", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 as size", "2 as target", "'x' as row", "5 as h", "6 as rank", "7 as copies")
+    once, again = (sorted(map(str, mixing.mix(d).collect())) for d in (docs, docs.repartition(3)))
+    assert once == again and len(once) >= 5
+    assert sorted(map(str, mixing.mix_plan(docs).collect())) == sorted(map(str, mixing.mix_plan(docs.repartition(3)).collect()))
+    assert mixing.mix(docs.limit(0)).collect() == [] and mixing.mix_plan(docs.limit(0)).collect() == []
 
 
 # ------------------------------------------------------------ quality
@@ -147,6 +167,33 @@ def test_quality_tells_layouts_apart_and_handles_nulls(spark):
     assert (quality.fit(docs, labels, ~held, updates=2000) == weights).all()
 
 
+def test_quality_scores_are_dot_products(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    weights = rng.normal(size=(1 << quality.BITS) + 1).astype(np.float32)
+    rows = [(1, "One two, one TWO 12!"), (1, "One two, one TWO 12!"), (2, None), (3, ""), (None, "x"), (4, "long words " * 60_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__score", F.lit(1))
+    got = sorted(((r["doc_id"] or -1, r["score"]) for r in quality.score(docs, weights).collect()))
+    want = []
+    for k, t in rows:
+        numbers, _ = quality.features(pa.array([t or ""]))
+        groups = len(quality._GROUPS)
+        dot = groups * float(np.mean(weights[numbers].astype(float))) if len(numbers) else 0.0
+        want.append((k or -1, 1 / (1 + math.exp(-np.clip(dot + weights[-1], -35, 35)))))
+    assert [k for k, _ in got] == [k for k, _ in sorted(want)] and np.allclose([x for _, x in got], [x for _, x in sorted(want)])
+    assert quality.score(docs.limit(0), weights).collect() == []
+
+
+def test_quality_without_labels_or_documents(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    for d, x in ((docs, labels), (docs, labels.limit(0)), (docs.limit(0), labels)):
+        weights = quality.fit(d, x, F.lit(True), updates=10)
+        assert not weights.any()
+        assert [r["score"] for r in quality.score(docs, weights).collect()] == [0.5] * 3
+
+
 # ------------------------------------------------------------ language model
 
 
@@ -187,6 +234,22 @@ def test_katz_equals_brute_force_and_adds_up(spark, monkeypatch):
         assert any(abs(r["score"] - score) < 1e-6 and abs(r["base_score"] - base) < 1e-6 and (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(t), sum(w in uni for w in t), total) for r in got[k]), (k, t)
 
 
+def test_a_stored_model_scores_other_documents(spark, tmp_path):
+    rng = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(50)]
+    make = lambda a, b: [(k, " ".join(rng.choices(vocabulary, weights=[1 / (j + 1) for j in range(50)], k=rng.randint(1, 50)))) for k in range(a, b)]
+    old, new = make(0, 150), [*make(150, 200), (200, None), (201, "never seen words"), (202, "w1 never w1"), (None, "w1"), (None, "w1")]
+    docs = spark.createDataFrame([(k, t, "x", 1) for k, t in [*old, *new]], "doc_id long, text string, block string, place int")
+    known = F.coalesce(F.col("doc_id") < 150, F.lit(False))
+    katz.fit(docs.filter(known), str(tmp_path / "model"))
+    got = katz.apply(katz.load(spark, str(tmp_path / "model")), docs.filter(~known)).collect()
+    want = [r for r in katz.score(docs, known).collect() if r["held_out"]]
+    name = lambda r: (r["doc_id"] or -1, r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6), r["held_out"])
+    assert sorted(map(name, got)) == sorted(map(name, want)) and len(got) == len(new)
+    empty = katz.fit(docs.limit(0), str(tmp_path / "empty"))
+    assert katz.apply(empty, docs.filter("doc_id = 202")).first()["n_tokens"] == 4
+
+
 # ------------------------------------------------------------ tokens
 
 
@@ -232,15 +295,35 @@ def test_counts_equal_the_library_at_every_prefix(spark):
     for r in token_counts.count_tokens(docs, path).collect():
         t = texts[r["doc_id"]] or ""
         assert (r["n_tokens"], r["n_bytes"]) == (count(t), len(t.encode()))
-    own = token_counts.counter(path)
-    for t in texts:
-        t = (t or "")[:120]
-        if "<|" not in t and "\x1c" not in t:
-            stored = own.checkpoints(t)
-            assert [own.at(t, *stored, n) for n in range(len(t) + 1)] == [count(t[:n]) for n in range(len(t) + 1)]
-    for r in token_counts.truncate(docs, path, 7).collect():
+    stored = token_counts.prefix_counts(docs, path)
+    for r in stored.collect():
         t = texts[r["doc_id"]] or ""
-        assert count(t[: r["cut_chars"]]) == r["cut_tokens"] <= 7
+        step = max(1, len(t) // 150)
+        assert r["prefix_tokens"][::step] == [count(t[:n]) for n in range(0, len(t) + 1, step)]
+    for r in token_counts.budget(token_counts.truncate(stored, 7), F.lit(3)).collect():
+        t = texts[r["doc_id"]] or ""
+        assert r["cut_chars"] == max(n for n in range(min(len(t), 300) + 1) if count(t[:n]) <= 7)
+        assert (r["cut_tokens"], r["tokens_used"]) == (count(t[: r["cut_chars"]]), count(t[:3]))
+
+
+def test_prefixes_of_random_texts_and_of_a_long_word():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library, own, rng = Tokenizer.from_file(path), token_counts.PrefixCounter(path), random.Random(1)
+    parts = ["a", "the", " ", "  ", "\n", "\t", "'ll", "'s", "'re", "é", "日本", "𝒳", "9", "12", "!", "...", "<|", "\u2003", "\xa0", "don't", "\x1c", "\r\n", "x" * 30, "<|endoftext|>"]
+    for _ in range(150):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert own.prefixes(t).tolist() == [len(library.encode(t[:n], add_special_tokens=False).ids) for n in range(len(t) + 1)]
+    long = "".join(rng.choice("abcdefgh") for _ in range(200_000))
+    assert own.count(long) == len(library.encode(long, add_special_tokens=False).ids)
+
+
+def test_counts_of_empty_tables_and_repeated_rows(spark):
+    path = P.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(1, "one two"), (1, "one two"), (None, None)], "doc_id long, text string")
+    assert sorted(map(str, token_counts.count_tokens(docs, path, drop_text=True).collect())) == ["Row(doc_id=1, n_bytes=7, n_tokens=2)"] * 2 + ["Row(doc_id=None, n_bytes=0, n_tokens=0)"]
+    assert token_counts.truncate(token_counts.prefix_counts(docs.limit(0), path), 3).collect() == []
 
 
 # ------------------------------------------------------------ surrogates
@@ -346,6 +429,45 @@ def test_pages(spark):
     assert got[60] == prose and got[61] == "" and got[62] == "" and got[65] == ""
 
 
+def made_page(rng):
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8)))
+    sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    menu = "".join(f'<li><a href="/{word()}">{word()}</a></li>' for _ in range(5))
+    body = [sentence(5), *[" ".join(sentence(rng.randint(4, 14)) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(3, 8))]]
+    inner = f"<h1>{body[0]}</h1>" + "".join(f"<p>{b}</p>" for b in body[1:])
+    return f'<html><body><nav><ul>{menu}</ul></nav><div class="ad">{sentence(7)}</div><article>{inner}</article><footer>&copy; {word()}.example</footer></body></html>', "\n".join(body)
+
+
+def test_training_makes_the_model():
+    rng = random.Random(8)
+    pages = [made_page(rng) for _ in range(90)]
+    trained, untrained = html_text.train([s for s, _ in pages[:60]]), html_text.train([])
+
+    def f1(weights, hide, grafts=False):
+        both = right = 0
+        for k, (source, want) in enumerate(pages[60:]):
+            got = html_text.main_text(html_text.grafted(source, k % 3) if grafts else source, weights, hide)
+            a, b = Counter(got.split()), Counter(want.split())
+            both, right = both + sum(a.values()) + sum(b.values()), right + 2 * sum((a & b).values())
+        return right / both
+
+    for hide in ("", "marks", "names"):
+        assert f1(trained, hide) > 0.98 and f1(trained, hide, grafts=True) > 0.97
+    # where neither marks nor names tell, only what was learnt can
+    assert f1(trained, "names") > f1(untrained, "names") + 0.01
+    assert (html_text.train([s for s, _ in pages[:60]]) == trained).all()
+
+
+def test_pages_of_empty_tables_repeated_rows_and_formulas(spark):
+    source = "<article><h1>Head</h1><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be so. " + "Long text here. " * 30_000 + "</p></article>"
+    pages = spark.createDataFrame([(1, source, "old"), (1, source, "old"), (None, None, "old")], "page_id long, html string, text string")
+    weights = html_text.fit(pages.limit(0))
+    assert html_text.extract(pages.limit(0), weights).collect() == []
+    got = html_text.extract(pages, html_text.fit(pages)).select("page_id", "text").collect()
+    want = "Head\nLet x=2 be so. " + ("Long text here. " * 30_000).strip()
+    assert [r["text"] for r in got if r["page_id"] == 1] == [want] * 2 and [r["text"] for r in got if r["page_id"] is None] == [""]
+
+
 def test_marginals_equal_enumeration():
     import itertools
 
