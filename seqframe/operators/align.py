@@ -235,8 +235,16 @@ def _aligned(reads: DataFrame, refs: DataFrame, k: int, mode: str, scores: tuple
     return align_pairs(pairs.repartition(n, "read_id", "ref_id"), mode, scores).drop("ref_seq", "read_seq")
 
 
-def pairwise_similarity(seqs: DataFrame, scores: tuple[int, int, int, int] = SCORES["global"], block: str | None = None) -> DataFrame:
-    """(a, b, identity) of global alignments of all pairs; with ``block`` only of rows that agree in that column."""
+def pairwise_similarity(seqs: DataFrame, scores: tuple[int, int, int, int] = SCORES["global"], block: str | None = None, queries: Column | None = None) -> DataFrame:
+    """(a, b, identity) of global alignments of all pairs; with ``block`` only of rows that agree in that column.
+
+    ``queries`` states a set of rows: each of them is aligned with every other row, a being the query.
+    """
+    if queries is not None:
+        a = seqs.filter(queries).select(F.col("seq_id").alias("a"), F.col("seq").alias("ref_seq"))
+        n = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pairs = seqs.select(F.col("seq_id").alias("b"), F.col("seq").alias("read_seq")).repartition(n, "b").join(a, F.col("a") != F.col("b"))
+        return align_pairs(pairs.select("a", "b", "ref_seq", "read_seq"), "global", scores).select("a", "b", "identity")
     a = seqs.select(F.col("seq_id").alias("a"), F.col("seq").alias("ref_seq"), *([F.col(block).alias("__b")] if block else []))
     b = seqs.select(F.col("seq_id").alias("b"), F.col("seq").alias("read_seq"), *([F.col(block).alias("__c")] if block else []))
     on = F.col("a") < F.col("b")
@@ -343,3 +351,17 @@ def pick_subsequence(library: DataFrame, reference: str, identity: float = 0.8,
     a = align_join(library.select(F.col("seq_id").alias("read_id"), "seq"), refs, "local", scores, both_strands=False, seed=False, identity=identity)
     part = F.replace(F.col("bottom"), F.lit("-"), F.lit(""))
     return a.select(F.col("read_id").alias("seq_id"), part.alias("seq"), F.concat(F.lit("identity="), F.round("identity", 4).cast("string")).alias("title")).filter(S.is_unambiguous("seq"))
+
+
+def trim_flanks(reads: DataFrame, left: str, right: str, least: int = 18) -> dict[str, DataFrame]:
+    """Reads (read_id, seq) sorted by the flanks they have: "inserts" (read_id, class, insert), "classes" and "identities".
+
+    class: both, left, right, none, or short where the insert has fewer than ``least`` letters.
+    """
+    from seqframe.operators.library import flank_identity_counts
+
+    located = locate_flanks(reads, left, right)
+    kind = F.when(~F.col("left_ok") & ~F.col("right_ok"), "none").when(F.col("insert_len") < least, "short").when(F.col("left_ok") & F.col("right_ok"), "both").when(F.col("left_ok"), "left").otherwise("right")
+    rows = located.withColumn("class", kind).join(reads.select("read_id", "seq"), "read_id")
+    inserts = rows.select("read_id", "class", F.when(F.col("class") != "none", F.substring(F.col("seq"), F.col("insert_begin"), F.col("insert_len"))).alias("insert"))
+    return {"inserts": inserts, "classes": inserts.groupBy("class").agg(F.count("*").alias("n")), "identities": flank_identity_counts(located)}

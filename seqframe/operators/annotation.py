@@ -85,3 +85,19 @@ def call_consensus(vcf: DataFrame, order: list[str] | None = None) -> DataFrame:
     base = F.when(F.element_at(F.split("ac", ","), 1).cast("int") == 2, F.element_at(F.split("alt", ","), 1)).otherwise(F.col("ref"))
     rows = vcf.select("chrom", F.struct("pos", base.alias("b")).alias("r"))
     return rows.groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["b"]), "").alias("consensus"))
+
+
+def load_annotation(features: DataFrame, key: str = "transcript_id", gene: str = "gene_id") -> dict[str, DataFrame]:
+    """Tables of one annotation file (rows of read_gff3 or read_gtf): exons in order, transcripts, integrated genes, conflicts, and keys that forbid a load.
+
+    exons have a serial number along the strand; transcripts are joined with the place of their gene; conflicts are
+    transcript ids with more than one gene; bad_keys is empty where transcripts may be loaded.
+    """
+    from seqframe.operators.intervals import order_exons
+
+    attr = lambda *names: F.coalesce(*[F.try_element_at("attrs", F.lit(n)) for n in names])
+    exons = features.filter("type = 'exon'").select(F.col("seqid").alias("genomicid"), "strand", attr(key, "Parent").alias("transcript_id"), attr(gene, "gene").alias("gene_id"), "start_pos", "end_pos")
+    transcripts = transcripts_of(exons)
+    genes = transcripts.groupBy("gene_id").agg(F.min("start_pos").alias("gene_start"), F.max("end_pos").alias("gene_end"), F.count("*").alias("n_transcripts"))
+    conflicts = exons.groupBy("transcript_id").agg(F.count_distinct("gene_id").alias("n_genes")).filter("n_genes > 1")
+    return {"exons": order_exons(exons), "transcripts": integrate(transcripts, genes, ["gene_id"]), "conflicts": conflicts, "bad_keys": check_keys(transcripts, ["transcript_id"])}

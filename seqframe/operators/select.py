@@ -6,8 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqframe.functions import sequence as S
+from seqframe.sources.paths import shared_folder
 
 
 def filter_length(df: DataFrame, least: int | None = None, most: int | None = None, inclusive: bool = False, seq: str = "seq") -> DataFrame:
@@ -240,24 +242,31 @@ missing_outputs = only_in_first
 # ------------------------------------------------------------ names and numbers
 
 
-def renumber(df: DataFrame, prefix: str, name: str = "seq_id", title: str = "title", order: tuple[str, ...] = ("src", "ord")) -> DataFrame:
-    """Names become prefix + place in file order; the old name goes before the title.
+def places(df: DataFrame, order: tuple[str, ...], name: str = "__place") -> DataFrame:
+    """df with the place (from 1) of each row in the order of all: dealt by ranges, ranked in each, and offset by the ranges before it.
 
-    Places are counted in each source and offset by the sources before it, so no task sorts everything.
+    The ranges are written once, so that a second look finds the same ones.
     """
-    src, rest = order[0], order[1:]
-    sizes = df.groupBy(src).agg(F.count("*").alias("__n"))
-    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy(src).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    place = F.row_number().over(Window.partitionBy(src).orderBy(*rest)) + F.col("__before")
-    out = df.join(offsets, src).withColumn("__place", place)
-    return out.withColumn(title, F.concat_ws(" ", name, title)).withColumn(name, F.concat(F.lit(prefix), F.col("__place").cast("string"))).drop("__before", "__place")
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, "places")
+    df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__part", T.IntegerType())])).parquet(path)
+    before = dealt.groupBy("__part").agg(F.count("*").alias("__n"))  # one row a range
+    before = before.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return dealt.withColumn(name, own).join(F.broadcast(before), "__part").withColumn(name, F.col(name) + F.col("__before")).drop("__part", "__before")
+
+
+def renumber(df: DataFrame, prefix: str, name: str = "seq_id", title: str = "title", order: tuple[str, ...] = ("src", "ord")) -> DataFrame:
+    """Names become prefix + place in file order; the old name goes before the title. No task sorts everything, nor one whole file."""
+    out = places(df, order)
+    return out.withColumn(title, F.concat_ws(" ", name, title)).withColumn(name, F.concat(F.lit(prefix), F.col("__place").cast("string"))).drop("__place")
 
 
 def renumber_mates(df: DataFrame, prefix: str, name: str = "read_id", order: str = "ord") -> DataFrame:
     """Mates ``id/1`` and ``id/2`` share a counter by first appearance: prefix + n + ``_strand``."""
     base, mate = F.regexp_extract(name, r"^(.*)/[12]$", 1), F.regexp_extract(name, r"/([12])$", 1)
     first = df.groupBy(base.alias("__base")).agg(F.min(order).alias("__first"))
-    numbered = first.withColumn("__n", F.row_number().over(Window.orderBy("__first")))
+    numbered = places(first, ("__first", "__base"), "__n")
     return df.withColumn("__base", base).join(numbered, "__base").withColumn("new_id", F.concat(F.lit(prefix), F.col("__n").cast("string"), F.lit("_"), mate)).drop("__base", "__first", "__n")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions.sequence import col
+from seqframe.sources.paths import shared_folder
 
 
 def ids_in_divisions(ids: DataFrame, edges: DataFrame, divisions: list) -> DataFrame:
@@ -43,11 +44,28 @@ def ancestors(edges: DataFrame, levels: int = 64) -> DataFrame:
     )
 
 
+def below(edges: DataFrame, root: int) -> DataFrame:
+    """(taxid): the root and all taxa under it, a join a level, each level written to the shared folder until one is empty."""
+    spark = edges.sparkSession
+    up = edges.select("taxid", F.col("parent"))
+    level = edges.filter(F.col("taxid") == root).select("taxid").distinct()
+    found = []
+    while True:
+        path = shared_folder(spark, "taxa")
+        level.write.parquet(path)
+        level = spark.read.schema("taxid " + dict(edges.dtypes)["taxid"]).parquet(path)
+        if not level.head(1):
+            return reduce(DataFrame.unionByName, found, level)
+        found.append(level)
+        # a taxon that is its own parent is no child
+        level = up.join(level.withColumnRenamed("taxid", "parent"), "parent").filter(F.col("taxid") != F.col("parent")).select("taxid").distinct()
+
+
 def is_descendant(taxa: DataFrame, edges: DataFrame, root: int) -> DataFrame:
     """taxa with ``descendant``: 1 below or at the root, 0 elsewhere, -1 for unknown taxa."""
-    below = ancestors(edges).filter(F.col("ancestor") == root).select("taxid").distinct().withColumn("__in", F.lit(1))
+    inside = below(edges, root).distinct().withColumn("__in", F.lit(1))
     known = edges.select("taxid").distinct().withColumn("__known", F.lit(1))
-    out = taxa.join(known, "taxid", "left").join(below, "taxid", "left")
+    out = taxa.join(known, "taxid", "left").join(inside, "taxid", "left")
     return out.withColumn("descendant", F.when(F.col("__known").isNull(), -1).otherwise(F.coalesce("__in", F.lit(0)))).drop("__in", "__known")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seqframe.plans import q_align, q_first, q_functions, q_select, q_stats, registry  # noqa: F401
+from seqframe.plans import q_align, q_first, q_functions, q_more, q_select, q_stats, registry  # noqa: F401
 
 
 def queries():

@@ -55,7 +55,19 @@ VIEWS = {
         select user_id as project, event_id as ord,
                case event_type when 'error' then 0 when 'click' then 1 else 2 end as cls from events""",
 }
-NEEDS = {"fx_reads": ["fx_refs"]}
+# Alignments of the reads as they were planted (SQL only): the read turned back, clipped by one letter where that differs at an end.
+VIEWS["fx_aln"] = """
+        select *, 10 * (n - m) - 9 * m * (1 - lo - hi) as score, n - lo - hi as alnlen, (n - m) * 1.0 / (n - lo - hi) as identity
+        from (select *, case when s <> substr(ref, 1, n) then 1 else 0 end as m, case when substr(s, 1, 1) <> substr(ref, 1, 1) then 1 else 0 end as lo,
+                     case when substr(s, n, 1) <> substr(ref, n, 1) then 1 else 0 end as hi
+              from (select d.read_id, d.ref_id, case when (ord // 100) % 2 = 1 then '-' else '+' end as strand, r.seq as ref, cast(length(d.seq) as int) as n,
+                           case when (ord // 100) % 2 = 1 then reverse(translate(d.seq, 'ACGT', 'TGCA')) else d.seq end as s,
+                           case when (ord // 100) % 2 = 1 then reverse(qual33) else qual33 end as q33
+                    from fx_reads d join fx_refs r on d.ref_id = r.ref_id) a) b"""
+VIEWS["fx_cols"] = """
+        select read_id, ref_id, pos, substr(s, cast(pos as int), 1) as base, ascii(substr(q33, cast(pos as int), 1)) - 33 as q
+        from (select *, unnest(range(1 + lo, n - hi + 1)) as pos from fx_aln) a"""
+NEEDS = {"fx_reads": ["fx_refs"], "fx_aln": ["fx_refs", "fx_reads"], "fx_cols": ["fx_refs", "fx_reads", "fx_aln"]}
 
 
 def with_views(*names: str) -> str:

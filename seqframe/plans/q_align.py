@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from seqframe.functions import sequence as S
 from seqframe.operators import align, clusters, pileup
 from seqframe.plans import fixtures
+from seqframe.plans.q_functions import _AA
 from seqframe.plans.registry import query
 from seqframe.sources import fastq, features, reports, sequences, sinks
 from seqframe.sources.paths import shared_folder
 
 table, reads, refs = fixtures.table, fixtures.reads, fixtures.refs
+ALN, COLS = ("fx_aln",), ("fx_cols",)
 R, RR = ("fx_reads",), ("fx_refs", "fx_reads")
 
 
@@ -19,51 +21,63 @@ def aligned(spark, sf_dir):
     return align.align_join(reads(spark, sf_dir).select("read_id", "seq"), refs(spark, sf_dir).select("ref_id", "seq"), identity=0.85, length=15, top=True)
 
 
-@query("j15_align_join", "read_id:s ref_id:s strand:s score:n identity:d alnlen:n")
+@query("j15_align_join", "read_id:s ref_id:s strand:s score:n identity:d alnlen:n", "select read_id, ref_id, strand, score, identity, alnlen from fx_aln", ALN)
 def _j15(spark, sf_dir):
     return aligned(spark, sf_dir)
 
 
-@query("a16_pileup", "ref_id:s pos:n base:s n:n")
+@query("a16_pileup", "ref_id:s pos:n base:s n:n", "select ref_id, pos, base, count(*) as n from fx_cols group by 1, 2, 3", COLS)
 def _a16(spark, sf_dir):
     return pileup.pileup(pileup.alignment_columns(aligned(spark, sf_dir)))
 
 
-@query("a17_codon_counts", "ref_id:s codon_idx:n codon:s n:n")
+CODONS = "(select read_id, ref_id, c, substr(s, cast(3 * c + 1 as int), 3) as codon from (select *, unnest(range(0, 22)) as c from fx_aln) x where 3 * c >= lo and 3 * c + 3 <= n - hi)"
+
+
+@query("a17_codon_counts", "ref_id:s codon_idx:n codon:s n:n", f"select ref_id, c as codon_idx, codon, count(*) as n from {CODONS} t group by 1, 2, 3", ALN)
 def _a17(spark, sf_dir):
     return pileup.codon_counts(pileup.alignment_columns(aligned(spark, sf_dir)))
 
 
-@query("a18_linked_genotype", "ref_id:s genotype:s aa:s n:n fraction:d")
+def genotypes(of: str) -> str:
+    """SQL of linked genotypes at codons 1 and 3 over rows (ref_id, a, b) of two codons."""
+    return f"select ref_id, a || b as genotype, {_AA.format(c='a')} || {_AA.format(c='b')} as aa, count(*) as n, count(*) * 1.0 / sum(count(*)) over (partition by ref_id) as fraction from ({of}) t group by ref_id, a, b"
+
+
+@query("a18_linked_genotype", "ref_id:s genotype:s aa:s n:n fraction:d", genotypes(f"select x.ref_id, x.codon as a, y.codon as b from {CODONS} x join {CODONS} y on x.read_id = y.read_id where x.c = 1 and y.c = 3"), ALN)
 def _a18(spark, sf_dir):
     return pileup.linked_genotype(pileup.alignment_columns(aligned(spark, sf_dir)), [1, 3])
 
 
-@query("a21_consensus_simple", "ref_id:s consensus:s")
+TOP = "(select ref_id, pos, base, n, total from (select *, sum(n) over (partition by ref_id, pos) as total, row_number() over (partition by ref_id, pos order by n desc, base) as k from (select ref_id, pos, base, count(*) as n from fx_cols group by 1, 2, 3) a) b where k = 1)"
+
+
+@query("a21_consensus_simple", "ref_id:s consensus:s", f"select r.ref_id, string_agg(coalesce(t.base, '-'), '' order by r.pos) as consensus from (select ref_id, unnest(range(1, cast(length(seq) as bigint) + 1)) as pos from fx_refs) r left join {TOP} t on r.ref_id = t.ref_id and r.pos = t.pos group by r.ref_id", COLS)
 def _a21(spark, sf_dir):
     return pileup.consensus_simple(pileup.pileup(pileup.alignment_columns(aligned(spark, sf_dir))), refs(spark, sf_dir).select("ref_id", F.length("seq").alias("length")))
 
 
-@query("a22_consensus_weighted", "ref_id:s consensus:s")
+@query("a22_consensus_weighted", "ref_id:s consensus:s", f"select ref_id, string_agg(base, '' order by pos) as consensus from {TOP} t group by ref_id", COLS)
 def _a22(spark, sf_dir):
     return pileup.consensus_weighted(pileup.alignment_columns(aligned(spark, sf_dir)))
 
 
-@query("a23_coverage_summary", "ref_id:s mean_total:d std_total:d mean_cons:d")
+@query("a23_coverage_summary", "ref_id:s mean_total:d std_total:d mean_cons:d", f"select ref_id, avg(total) as mean_total, stddev_samp(total) as std_total, avg(n) as mean_cons from {TOP} t group by ref_id", COLS)
 def _a23(spark, sf_dir):
     return pileup.coverage_summary(pileup.coverage(pileup.alignment_columns(aligned(spark, sf_dir))))
 
 
-@query("a24_alignment_summary", "score:n identity:d coverage:d readlen:n n:n")
+@query("a24_alignment_summary", "score:n identity:d coverage:d readlen:n n:n", "select score, round(identity, 2) as identity, round(alnlen * 1.0 / n, 2) as coverage, alnlen as readlen, count(*) as n from fx_aln group by 1, 2, 3, 4", ALN)
 def _a24(spark, sf_dir):
     return pileup.alignment_summary(aligned(spark, sf_dir))
 
 
-@query("j09_join_mates", "pair:s n:n")
+@query("j09_join_mates", "pair:s n:n", "select case when strand = '+' then '+-' else '-+' end as pair, count(*) as n from fx_aln group by 1", ALN)
 def _j09(spark, sf_dir):
-    a = aligned(spark, sf_dir)
-    half = F.substring("read_id", -1, 1)
-    return align.join_mates(a.filter("ref_id < 'p5'"), a.filter(half == "1")).groupBy("pair").agg(F.count("*").alias("n"))
+    # the mate of a read is its reverse complement
+    mates = reads(spark, sf_dir).select("read_id", S.revcomp("seq").alias("seq"))
+    b = align.align_join(mates, refs(spark, sf_dir).select("ref_id", "seq"), identity=0.85, length=15, top=True)
+    return align.join_mates(aligned(spark, sf_dir), b).groupBy("pair").agg(F.count("*").alias("n"))
 
 
 @query("c52_orient", "turned:b n:n")
@@ -71,10 +85,17 @@ def _c52(spark, sf_dir):
     return align.orient(reads(spark, sf_dir).select("read_id", "seq"), refs(spark, sf_dir)).groupBy("turned").agg(F.count("*").alias("n"))
 
 
-@query("c51_fish", "direction:s kind:s n:n", "select direction, kind, count(*) as n from (select case when strpos(seq, 'ACGT') > 0 then 'forward' when strpos(reverse(translate(seq, 'ACGT', 'TGCA')), 'ACGT') > 0 then 'backward' else 'none' end as direction, case when strpos(seq, 'ACGT') > 0 or strpos(reverse(translate(seq, 'ACGT', 'TGCA')), 'ACGT') > 0 then 'perfect' else 'none' end as kind from fx_reads) t group by 1, 2", R)
+BAIT = "ACGTTGCAACGGCTAGCTCGGATC"
+
+
+@query("c51_fish", "direction:s kind:s n:n", "select case p_partkey % 4 when 0 then 'forward' when 1 then 'backward' when 2 then 'forward' else 'none' end as direction, case p_partkey % 4 when 2 then 'defect' when 3 then 'none' else 'perfect' end as kind, count(*) as n from part group by 1, 2")
 def _c51(spark, sf_dir):
-    # over an identity of 1 nothing but perfect baits passes, which SQL can express
-    return align.fish_summary(align.fish(reads(spark, sf_dir).select("read_id", "seq"), "ACGT", identity=1.0))
+    # a read for each part: with the bait, on the other strand, with a letter changed, or without it
+    r = refs(spark, sf_dir)
+    k = F.substring("ref_id", 2, 20).cast("long") % 4
+    spaced = lambda bait: F.concat(F.substring("seq", 1, 20), bait, F.substring("seq", 21, 20))
+    seq = F.when(k == 0, spaced(F.lit(BAIT))).when(k == 1, spaced(S.revcomp(F.lit(BAIT)))).when(k == 2, spaced(F.lit(BAIT[:11] + "T" + BAIT[12:]))).otherwise(F.translate("seq", "CG", "TA"))
+    return align.fish_summary(align.fish(r.select(F.col("ref_id").alias("read_id"), seq.alias("seq")), BAIT))
 
 
 @query("c45_locate_flanks", "category:s n:n")
@@ -99,8 +120,9 @@ def _c49(spark, sf_dir):
 
 @query("j16_pairwise_similarity", "a:s b:s identity:d")
 def _j16(spark, sf_dir):
-    r = refs(spark, sf_dir).select(F.col("ref_id").alias("seq_id"), "seq", F.substring("seq", 1, 3).alias("block"))
-    return align.pairwise_similarity(r, block="block")
+    # the stated queries, one in fifty, against all
+    r = refs(spark, sf_dir).select(F.col("ref_id").alias("seq_id"), "seq")
+    return align.pairwise_similarity(r, queries=F.substring("seq_id", 2, 20).cast("long") % 50 == 0)
 
 
 @query("j17_map_site", "protein_id:s valid:b reason:s")
@@ -111,18 +133,24 @@ def _j17(spark, sf_dir):
     return align.map_site(sites, proteins, proteins.withColumnRenamed("protein_id", "ref_id"))
 
 
-@query("x01_genotype", "ref_id:s genotype:s aa:s n:n fraction:d")
+BEST = "(select ref_id from fx_reads group by ref_id order by count(*) desc, ref_id limit 1)"
+
+
+@query("x01_genotype", "ref_id:s genotype:s aa:s n:n fraction:d", genotypes(f"select ref_id, substr(s, 4, 3) as a, substr(s, 10, 3) as b from fx_aln where ref_id = {BEST}"), ALN)
 def _x01(spark, sf_dir):
     return pileup.genotype(reads(spark, sf_dir).select("read_id", "seq"), refs(spark, sf_dir).select("ref_id", "seq"), [1, 3])["genotypes"]
 
 
-@query("w16_merge_clusters", "cluster_id:s merged:s")
+@query("w16_merge_clusters", "cluster_id:s merged:s", "select ref_id as cluster_id, ref_id as merged from fx_refs union all select ref_id || 'v' as cluster_id, ref_id as merged from fx_refs", ("fx_refs",))
 def _w16(spark, sf_dir):
-    c = refs(spark, sf_dir).select(F.col("ref_id").alias("cluster_id"), F.substring("seq", 1, 40).alias("seq"), F.ascii("seq").cast("long").alias("n"))
+    # a small cluster with one other letter beside each large one
+    r = refs(spark, sf_dir)
+    other = F.concat(F.substring("seq", 1, 29), F.translate(F.substring("seq", 30, 1), "ACGT", "CATG"), F.substring("seq", 31, 64))
+    c = r.select(F.col("ref_id").alias("cluster_id"), "seq", F.lit(10).cast("long").alias("n")).unionByName(r.select(F.concat("ref_id", F.lit("v")).alias("cluster_id"), other.alias("seq"), F.lit(2).cast("long").alias("n")))
     return clusters.merge_clusters(c)
 
 
-@query("w17_absorb_singletons", "read_id:s cluster_id:s")
+@query("w17_absorb_singletons", "read_id:s cluster_id:s", "select read_id, ref_id as cluster_id from fx_reads", R)
 def _w17(spark, sf_dir):
     consensus = refs(spark, sf_dir).select(F.col("ref_id").alias("cluster_id"), "seq")
     return clusters.absorb_singletons(reads(spark, sf_dir).select("read_id", "seq"), consensus)
@@ -134,7 +162,7 @@ def _x03(spark, sf_dir):
     return clusters.cluster_consensus(d.select(F.col("ref_id").alias("cluster_id"), F.col("read_id").alias("seq_id"), "seq", F.lit(1).alias("n"), "ord"))
 
 
-@query("x04_count_library", "sequence:s in_library:b n:n")
+@query("x04_count_library", "sequence:s in_library:b n:n", "select substr(seq, 9, 21) as sequence, true as in_library, count(*) as n from fx_refs group by 1", ("fx_refs",))
 def _x04(spark, sf_dir):
     r = refs(spark, sf_dir)
     lib = r.select(F.substring("seq", 9, 21).alias("sequence")).distinct().withColumn("library_id", F.col("sequence"))
@@ -204,7 +232,7 @@ def _c14(spark, sf_dir):
 @query("s18_clusters_round_trip", "cluster_id:s n:n", "select first as cluster_id, count(*) as n from (select seq_id, min(seq_id) over (partition by cluster_id) as first from fx_clusters) t group by first", ("fx_clusters",))
 def _s18(spark, sf_dir):
     path = shared_folder(spark, "clusters")
-    c = fixtures.view(spark, sf_dir, "fx_clusters").groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat("seq_id", F.lit("_7")))), " ").alias("value"))
+    c = fixtures.view(spark, sf_dir, "fx_clusters").groupBy("cluster_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("seq_id")), lambda x: F.concat(x, F.lit("_7"))), " ").alias("value"))
     c.select("value").write.text(path)
     return sequences.read_clusters(spark, path).groupBy("cluster_id").agg(F.count("*").alias("n"))
 

@@ -123,12 +123,23 @@ def _trim(spark, sf_dir):
 
 
 scalar("c21_trim_poly_a", lambda: S.trim_poly_a(F.concat("seq", F.lit("GAAAAAA"))), "regexp_replace(seq || 'GAAAAAA', '[aA]{5,}$', '')", "s")
-scalar("c22_expose_poly_tail", lambda: S.expose_poly_tail(F.concat(F.lit("ACG"), F.lit("T" * 14), "seq", F.lit("A" * 14 + "CGC"))), "'" + "T" * 12 + "' || ltrim(seq, 'T') || '" + "A" * 14 + "'", "s", where="where seq not like '%A' and instr(seq, 'TTTTTTTT') = 0 and instr(seq, 'AAAAAAAA') = 0 and instr(seq, 'N') = 0")
+
+
+def chained(text: str, rules) -> str:
+    """SQL of regular-expression replacements one after the other."""
+    for pattern, keep in rules:
+        text = f"regexp_replace({text}, '{pattern}', '{keep}', 'g')"
+    return text
+
+
+scalar("c22_expose_poly_tail", lambda: S.expose_poly_tail(F.concat(F.lit("ACG"), F.lit("T" * 14), "seq", F.lit("A" * 14 + "CGC"))), chained("'ACG" + "T" * 14 + "' || seq || '" + "A" * 14 + "CGC'", [(r, r"\1") for r in S.POLY_HEADS + S.POLY_TAILS]), "s")
 scalar("c20_second_n_rule", lambda: S.second_n_rule("seq", 25), "case when length(seq) - length(replace(seq, 'N', '')) < 2 then seq when strpos(substr(seq, cast(strpos(seq, 'N') + 1 as int)), 'N') + strpos(seq, 'N') > 25 then substr(seq, 1, cast(strpos(substr(seq, cast(strpos(seq, 'N') + 1 as int)), 'N') + strpos(seq, 'N') - 1 as int)) end", "s")
 scalar("c18_trim_n_ends", lambda: S.trim_n_ends("seq"), "regexp_replace(regexp_replace(seq, '^[Nn]+', ''), '[Nn]+$', '')", "s")
-scalar("c17_trim_n_longest", lambda: S.trim_n_longest("seq"), "case when greatest(length(regexp_extract(regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', ''), '^[^N]*')), length(regexp_extract(regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', ''), '[^N]*$'))) >= 26 then case when length(regexp_extract(regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', ''), '^[^N]*')) >= length(regexp_extract(regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', ''), '[^N]*$')) then regexp_extract(regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', ''), '^[^N]*') else regexp_extract(regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', ''), '[^N]*$') end end", "s", where="where length(seq) - length(replace(seq, 'N', '')) < 2")
+_PARTS = "string_split_regex(regexp_replace(regexp_replace('NN' || seq || 'NNN' || substr(seq, 1, cast(ord % 40 as int)) || 'N', '^N+', ''), 'N+$', ''), 'N+')"
+_FIRST_LONGEST = f"list_filter({_PARTS}, lambda p: length(p) = list_max(list_transform({_PARTS}, lambda x: length(x))))[1]"
+scalar("c17_trim_n_longest", lambda: S.trim_n_longest(F.concat(F.lit("NN"), "seq", F.lit("NNN"), F.substring(F.col("seq"), F.lit(1), (F.col("ord") % 40).cast("int")), F.lit("N"))), f"case when length({_FIRST_LONGEST}) >= 26 then {_FIRST_LONGEST} end", "s")
 scalar("c19_trim_vector_x", lambda: S.trim_vector_x(F.concat(F.lit("ACGTXX"), "seq", F.lit("XACG")), 10, 20), "case when length(seq) >= 20 then seq end", "s")
-scalar("c23_simple_trim", lambda: S.simple_trim(F.concat(F.lit("ACTTTTTTTTTTTT"), F.lit("GCGC"), "seq", F.lit("GCGCAAAAAAA"))), "'GCGC' || seq || 'GCGC'", "s", where="where instr(seq, 'N') = 0 and instr(seq, 'TTTTTTT') = 0 and instr(seq, 'AAAAAAAAAAAA') = 0")
+scalar("c23_simple_trim", lambda: S.simple_trim(F.concat(F.lit("ACTTTTTTTTTTTT"), F.lit("GCGC"), "seq", F.lit("GCGCAAAAAAA"))), chained("'ACTTTTTTTTTTTTGCGC' || seq || 'GCGCAAAAAAA'", [(p, k.replace("$", "\\")) for p, k in S.SIMPLE_TRIMS]), "s")
 
 
 @query("c28_hamming", "read_id:s value:n", """

@@ -8,6 +8,7 @@ from seqframe.functions import sequence as S
 from seqframe.operators import dedupe, select, stats, trims
 from seqframe.plans import fixtures
 from seqframe.plans.registry import joined, query
+from seqframe.sources import sinks
 
 table, reads, refs, hits = fixtures.table, fixtures.reads, fixtures.refs, fixtures.hits
 R, RR = ("fx_reads",), ("fx_refs", "fx_reads")
@@ -275,9 +276,9 @@ def _concat(spark, sf_dir):
 # ------------------------------------------------------------ names, samples
 
 
-@query("p05_to_fasta", "read_id:s seq:s", "select read_id, seq from fx_reads", R)
+@query("p05_to_fasta", "read_id:s value:s", "select read_id, '>' || read_id || ' ' || src || chr(10) || rtrim(regexp_replace(seq, '(.{20})', '\\1' || chr(10), 'g'), chr(10)) as value from fx_reads", R)
 def _to_fasta(spark, sf_dir):
-    return reads(spark, sf_dir).select("read_id", "seq")
+    return reads(spark, sf_dir).select("read_id", sinks.fasta_lines("read_id", "src", width=20).alias("value"))
 
 
 @query("p06_to_table", "read_id:s length:n seq:s", "select read_id, length(seq) as length, seq from fx_reads", R)
@@ -335,10 +336,16 @@ def _clean_short(spark, sf_dir):
     return trims.clean_short_reads(reads(spark, sf_dir))
 
 
-@query("x15_trim_sweep", "w:n cut:n n_reads:n mean:d", """
-    select w, 20 as cut, count(*) as n_reads, avg(keep) as mean from (
-      select r.read_id, w, coalesce(k.first - 1, length(r.seq)) as keep from fx_reads r cross join (select unnest([4, 5, 6]) as w) g left join (
-        select read_id, w, min(i) as first from (select read_id, i, n, 4 as w, sum(q) over (partition by read_id order by i rows between current row and 3 following) as s from quals union all select read_id, i, n, 5, sum(q) over (partition by read_id order by i rows between current row and 4 following) from quals union all select read_id, i, n, 6, sum(q) over (partition by read_id order by i rows between current row and 5 following) from quals) b
-        where s < 20 * w and i <= n - w + 1 group by read_id, w) k using (read_id, w)) t where keep > 17 group by w""".replace("from quals", "from (select read_id, i, ascii(substr(qual33, cast(i as int), 1)) - 33 as q, length(qual33) as n from (select read_id, qual33, unnest(range(1, cast(length(qual33) as bigint) + 1)) as i from fx_reads) t) a"), R)
+_QUALS = "(select read_id, i, ascii(substr(qual33, cast(i as int), 1)) - 33 as q, length(qual33) as n from (select read_id, qual33, unnest(range(1, cast(length(qual33) as bigint) + 1)) as i from fx_reads) a)"
+_SUMS = " union all ".join(f"select read_id, i, n, {w} as w, sum(q) over (partition by read_id order by i rows between current row and {w - 1} following) as s from {_QUALS} q" for w in (4, 5, 6))
+
+
+@query("x15_trim_sweep", "w:n cut:n n_reads:n mean:d std:d", f"""
+    select w, cut, count(*) as n_reads, avg(keep) as mean, stddev_samp(keep) as std from (
+      select r.read_id, g.w, g.cut, coalesce(k.first - 1, length(r.seq)) as keep from fx_reads r
+      cross join (select w, unnest([19, 20]) as cut from (select unnest([4, 5, 6]) as w) x) g
+      left join (select read_id, w, cut, min(i) as first from ({_SUMS}) s cross join (select unnest([19, 20]) as cut) c where s < cut * w and i <= n - w + 1 group by 1, 2, 3) k
+        on k.read_id = r.read_id and k.w = g.w and k.cut = g.cut) t
+    where keep > 17 group by w, cut""", R)
 def _sweep(spark, sf_dir):
-    return trims.trim_sweep(reads(spark, sf_dir).withColumn("qual", S.decode_quality("qual33")), ((4, 20), (5, 20), (6, 20))).withColumnRenamed("window", "w")
+    return trims.trim_sweep(reads(spark, sf_dir).withColumn("qual", S.decode_quality("qual33"))).withColumnRenamed("window", "w")

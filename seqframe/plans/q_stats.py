@@ -71,9 +71,10 @@ def _a14(spark, sf_dir):
     return stats.codon_spacing(reads(spark, sf_dir), first=None, name="read_id")
 
 
-@query("a15_poly_tail_table", "read_id:s tail:n n_run:n", "select read_id, length(seq) - length(rtrim(seq, 'A')) as tail, 0 as n_run from fx_reads", R)
+@query("a15_poly_tail_table", "read_id:s tail:n n_run:n", "select read_id, ord % 9 as tail, case when ord % 30 >= 5 then ord % 30 else 0 end as n_run from fx_reads", R)
 def _a15(spark, sf_dir):
-    return stats.poly_tail_table(reads(spark, sf_dir), "read_id")
+    run = lambda c, n: F.repeat(F.lit(c), (F.col("ord") % n).cast("int"))
+    return stats.poly_tail_table(reads(spark, sf_dir).withColumn("seq", F.concat("seq", F.lit("C"), run("N", 30), F.lit("C"), run("A", 9))), "read_id")
 
 
 @query("a32_weighted_stats", "src:s n:n mean:d std:d", "select src, count(*) as n, avg(length(seq)) as mean, stddev_pop(length(seq)) as std from fx_reads group by src", R)
@@ -239,10 +240,13 @@ def _j18(spark, sf_dir):
     return intervals.interval_overlap(s.filter("hi % 2 = 0").withColumnRenamed("transcript_id", "a_id"), s.filter("hi % 2 = 1").withColumnRenamed("transcript_id", "b_id"))
 
 
-@query("j19_interval_distance", "transcript_id:s value:n", f"select transcript_id, case when lo >= 5000 and hi <= 5400 then -1 else greatest(lo, 5000) - least(hi, 5400) end as value from {_E2} t", E)
+@query("j19_interval_distance", "a:s b:s value:n", f"select a.transcript_id as a, b.transcript_id as b, case when a.strand <> b.strand then 1000000 when a.lo >= b.lo and a.hi <= b.hi then -1 else greatest(a.lo, b.lo) - least(a.hi, b.hi) end as value from {_E2} a join {_E2} b on a.genomicid = b.genomicid and a.lo // 3000 = b.lo // 3000 and a.transcript_id <> b.transcript_id", E)
 def _j19(spark, sf_dir):
-    s = spans(spark, sf_dir).withColumn("x", F.lit(5000)).withColumn("y", F.lit(5400))
-    return s.select("transcript_id", intervals.interval_distance("lo", "hi", "x", "y").alias("value"))
+    # transcripts that begin in the same stretch of 3,000 bases
+    s = spans(spark, sf_dir).withColumn("stretch", F.floor(F.col("lo") / 3000))
+    other = s.select("genomicid", "stretch", F.col("transcript_id").alias("b"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("strand").alias("strand2"))
+    pairs = s.join(other, ["genomicid", "stretch"]).filter("transcript_id <> b")
+    return pairs.select(F.col("transcript_id").alias("a"), "b", intervals.interval_distance("lo", "hi", "lo2", "hi2", "strand", "strand2").alias("value"))
 
 
 @query("w10_islands", "genomicid:s lo:n hi:n n:n", f"""
@@ -255,7 +259,7 @@ def _w10(spark, sf_dir):
 @query("w10_merge_regions", "seq_id:s strand:s lo:n hi:n covered:n best:d")
 def _w10m(spark, sf_dir):
     h = fixtures.hits(spark, sf_dir).select(F.col("target").alias("seq_id"), F.lit("+").alias("strand"), F.col("tstart").alias("lo"), F.col("tend").alias("hi"), F.col("score").cast("double").alias("score"), "evalue", "ord")
-    return intervals.merge_regions(h.withColumn("seq_id", F.concat("seq_id", F.lit("_"), (F.col("ord") % 997).cast("string"))))
+    return intervals.merge_regions(h)
 
 
 _GENES = f"(select genomicid, transcript_id as gene_id, strand, lo, hi, case when strand = '+' then hi else lo end as cds_end, 1100000 as genome_length from {_E2} g0)"
@@ -493,15 +497,18 @@ def _a27(spark, sf_dir):
 
 # ------------------------------------------------------------ assembly
 
-_CONTIGS = "(select src as run, read_id, seq, 10 + ord % 20 as coverage, 0.5 as reads_used from fx_reads)"
+_CONTIGS = "(select 'run' || cast(n // 4 as varchar) as run, seq, case when n % 4 < 1 + (n // 4) % 4 then 40 else 2 end * (1 + (n // 4) % 3) as coverage, (n // 4) % 5 * 0.2 as reads_used from (select cast(substr(ref_id, 2) as bigint) as n, seq from fx_refs) c1)"
 
 
 @query("a35_evaluate_assembly", "run:s n_good:n class:n bad:b largest:n head:s", f"""
     with c as (select *, coverage > 0.8 * avg(coverage) over (partition by run) as good from {_CONTIGS} c0)
-    select run, n_good, 0 as class, true as bad, n as largest, substr(s, 1, 40) as head from (select run, count(case when good then 1 end) as n_good from c group by run) a
-    join (select run as r2, length(seq) as n, seq as s, row_number() over (partition by run order by length(seq) desc, seq desc) as rn from c where good) b on run = r2 and rn = 1""", R)
+    select run, n_good, case when bad then 0 when n_good in (1, 2) then n_good else 0 end as class, bad, n as largest, substr(s, 1, 40) as head
+    from (select run, count(case when good then 1 end) as n_good, max(reads_used) < 0.3 or avg(coverage) < 5 as bad from c group by run) a
+    join (select run as r2, length(seq) as n, seq as s, row_number() over (partition by run order by length(seq) desc, seq desc) as rn from c where good) b on run = r2 and rn = 1""", ("fx_refs",))
 def _a35(spark, sf_dir):
-    c = reads(spark, sf_dir).select(F.col("src").alias("run"), "seq", (10 + F.col("ord") % 20).alias("coverage"), F.lit(0.5).alias("reads_used"))
+    n = F.substring("ref_id", 2, 20).cast("long")
+    run = F.floor(n / 4)
+    c = refs(spark, sf_dir).select(F.concat(F.lit("run"), run.cast("string")).alias("run"), "seq", (F.when(n % 4 < 1 + run % 4, 40).otherwise(2) * (1 + run % 3)).alias("coverage"), (run % 5 * 0.2).alias("reads_used"))
     return assembly.evaluate_assembly(c)
 
 
