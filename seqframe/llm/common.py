@@ -62,18 +62,22 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def heavy_keys(rows: DataFrame, key: str) -> DataFrame | None:
-    """The keys (column ``key``, fewer than HEAVY of them) that have more than one in HEAVY of the rows, None if there are none. rows is a table."""
-    least = max(rows.count() / HEAVY, 50)
-    found = written(rows.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > least).select(key), "heavy")
-    return found if found.head(1) else None
+def heavy_keys(rows: DataFrame, *columns: str) -> DataFrame | None:
+    """(key): values of any of the columns that more than one in HEAVY of the rows, and more than HEAVY rows, have; None if there are none.
+
+    There are fewer than HEAVY of a column, so the driver can hold them. rows is a table.
+    """
+    least = max(rows.count() / HEAVY, HEAVY)
+    one = rows.select(F.explode(F.array(*columns)).alias("key")) if len(columns) > 1 else rows.select(F.col(columns[0]).alias("key"))
+    found = one.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > least).select("key").collect()
+    return rows.sparkSession.createDataFrame(found, one.schema) if found else None
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame | None, how: str = "inner") -> DataFrame:
     """left joined with right, which has at most one row a key; rows of heavy keys are dealt over SALTS tasks, with a copy of right's row in each."""
     if heavy is None:
         return left.join(right, key, how)
-    marked = F.broadcast(heavy.select(key, F.lit(True).alias("__heavy")))  # fewer than HEAVY rows
+    marked = F.broadcast(heavy.select(F.col("key").alias(key), F.lit(True).alias("__heavy")))  # a few thousand rows at most
     salt = F.when(F.col("__heavy"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     salts = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     a = left.join(marked, key, "left").withColumn("__salt", salt).drop("__heavy")

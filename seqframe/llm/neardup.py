@@ -164,7 +164,8 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 keep.append(shared >= similarity * (len(both) - shared) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = spread_join(spread_join(pairs, left, "a", heavy_keys(pairs, "a")), right, "b", heavy_keys(pairs, "b"))
+    heavy = heavy_keys(pairs, "a", "b")
+    joined = spread_join(spread_join(pairs, left, "a", heavy), right, "b", heavy)
     return joined.select("a", "b", "cells_a", "cells_b").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -174,24 +175,31 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star steps alternate, each written to the shared folder, until nothing changes.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
-    state = None
 
-    def with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
-        heavy = least.filter(F.col("c") > max(total / HEAVY, 50)).select("u")
-        return spread_join(rows, least.drop("c"), "u", heavy)
+    def degrees(rows: DataFrame, side: str):
+        """(edges, a sum over their hashes, most edges of one node on that side)"""
+        one = rows.groupBy(side).agg(F.count("*").alias("c"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        return one.agg(F.coalesce(F.sum("c"), F.lit(0)), F.sum("h"), F.coalesce(F.max("c"), F.lit(0))).first()
 
-    while True:
+    def with_least(rows: DataFrame, least: DataFrame, spread: float | None) -> DataFrame:
+        if spread is None:
+            return rows.join(least.drop("c"), "u")
+        return spread_join(rows, least.drop("c"), "u", least.filter(F.col("c") > spread).select(F.col("u").alias("key")))
+
+    state = degrees(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "u")
+    while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        total = 2 * edges.count()
+        # hubs are dealt over tasks
+        limit = max(2 * state[0] / HEAVY, HEAVY)
+        spread = limit if state[2] > limit else None
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).withColumn("m", F.least("u", "m"))
-        large = with_least(both.filter("v > u"), least, total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = large.filter("u <> v")
+        large = with_least(both.filter("v > u"), least, spread).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
-        small = with_least(large, least, total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = with_least(large, least, spread).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         edges = written(small, "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        now = degrees(edges, "v")
+        if now[:2] == state[:2]:
             break
         state = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
