@@ -184,7 +184,7 @@ def _s01(spark, sf_dir):
 def _s02(spark, sf_dir):
     path = shared_folder(spark, "fastq")
     sinks.write_fastq(reads(spark, sf_dir).withColumn("qual", S.decode_quality("qual33")), path)
-    back = fastq.read_fastq(spark, path.removeprefix("file:") + "/part-*", range_bytes=1 << 20)
+    back = fastq.read_fastq(spark, path)
     return back.withColumn("qual", S.encode_quality("qual"))
 
 

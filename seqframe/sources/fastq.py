@@ -1,86 +1,72 @@
-"""FASTQ as a Python data source: byte ranges of files, each resynchronised on record borders.
+"""FASTQ through Spark's text source, so that any path Spark can read will do and files are read by ranges.
 
-``@`` may begin a quality line, so records can't be cut by a line separator. A record border is
-a line with ``@`` whose next line but one begins with ``+``.
+Records are cut where a line begins with ``@``. A quality line may begin with it too: then the record comes in
+two pieces, of three lines and of one, which follow each other in the file. Pieces of one range are put together
+as it is read; a record that is cut by the border of two ranges leaves a piece in each, and these few pieces are joined in file order.
 """
 
 from __future__ import annotations
 
-import glob
-import os
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from seqframe.functions import sequence as S
 
-RANGE_BYTES = 64 << 20
-
-
-class _Range(InputPartition):
-    def __init__(self, path: str, begin: int, end: int):
-        super().__init__((path, begin, end))
-        self.path, self.begin, self.end = path, begin, end
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.paths = sorted(p for pattern in options["path"].split(",") for p in glob.glob(pattern.removeprefix("file://")) if os.path.isfile(p))
-        self.bytes = int(options.get("rangebytes", RANGE_BYTES))
-
-    def partitions(self):
-        return [_Range(p, at, min(at + self.bytes, os.path.getsize(p))) for p in self.paths for at in range(0, max(1, os.path.getsize(p)), self.bytes)]
-
-    def read(self, part: _Range) -> Iterator[tuple]:
-        with open(part.path, "rb") as file:
-            at = part.begin
-            if at:
-                file.seek(at - 1)
-                at += len(file.readline()) - 1  # the line that the range before ends in
-                at = self._sync(file, at)
-            file.seek(at)
-            while at < part.end:
-                head = file.readline()
-                if not head:
-                    break
-                seq, plus, qual = file.readline(), file.readline(), file.readline()
-                if not head.startswith(b"@") or not plus.startswith(b"+"):
-                    raise ValueError(f"no record at byte {at} of {part.path}")
-                name, _, title = head[1:].decode().strip().partition(" ")
-                yield name, title, seq.decode().strip(), qual.decode().rstrip("\r\n"), part.path, at
-                at = file.tell()
-
-    @staticmethod
-    def _sync(file, at: int) -> int:
-        """Place of the first record border from a line border on."""
-        file.seek(at)
-        lines: list[tuple[int, bytes]] = []
-        for _ in range(8):
-            lines.append((file.tell(), file.readline()))
-        for k in range(5):
-            if lines[k][1].startswith(b"@") and lines[k + 2][1].startswith(b"+"):
-                return lines[k][0]
-        return lines[-1][0]
-
-
-class FastqSource(DataSource):
-    """Columns read_id, title, seq, qual33, src, ord (place in the file); option rangeBytes."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "fastq"
-
-    def schema(self) -> str:
-        return "read_id string, title string, seq string, qual33 string, src string, ord long"
-
-    def reader(self, schema):
-        return _Reader(self.options)
-
-
-def read_fastq(spark: SparkSession, path: str, offset: int = 33, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(read_id, title, seq, qual, src, ord) with decoded qualities, from files in a shared folder."""
-    spark.dataSource.register(FastqSource)
-    raw = spark.read.format("fastq").option("rangeBytes", range_bytes).load(path)
-    return raw.select("read_id", "title", "seq", S.decode_quality("qual33", offset).alias("qual"), "src", "ord")
+PIECES = "head string, seq string, qual33 string, src string, ord long, part int"
+#: Kinds of rows: a whole record, its first three lines, its quality line alone.
+WHOLE, FIRST, LAST = 0, 1, 2
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole records of a range, and the pieces at its ends."""
+    before: tuple | None = None  # a first piece that waits for its quality line
+    here: tuple = ()  # its file, and where its range begins and ends
+    place: dict[tuple[str, int], int] = {}
+    for batch in batches:
+        out: list[tuple] = []
+        for text, src, start, length in zip(*(batch.column(c).to_pylist() for c in ("value", "src", "start", "length")), strict=True):
+            at = place[(src, start)] = place.get((src, start), -1) + 1
+            if before and (src, start) not in ((here[0], here[1]), (here[0], here[2])):
+                out.append(before)
+                before = None
+            lines = text.replace("\r", "").removesuffix("\n").split("\n")
+            if before:
+                # the quality line that began with @, of this range or of the next one read here
+                if len(lines) != 1:
+                    raise ValueError(f"no quality line after {before[0]} of {src}")
+                out.append((*before[:2], "@" + lines[0], *before[3:5], WHOLE))
+                before = None
+            elif len(lines) >= 4 and lines[2].startswith("+"):
+                out.append((lines[0], lines[1], lines[3], src, start + at, WHOLE))
+            elif len(lines) == 3 and lines[2].startswith("+"):
+                before, here = (lines[0], lines[1], None, src, start + at, FIRST), (src, start, start + length)
+            elif len(lines) == 1 and at == 0 and start > 0:
+                out.append((None, None, "@" + lines[0], src, start, LAST))
+            elif text.strip():
+                raise ValueError(f"no record at {text[:40]!r} of {src}")
+        if out:
+            yield _batch(out)
+    if before:
+        yield _batch([before])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string()] * 4 + [pa.int64(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["head", "seq", "qual33", "src", "ord", "part"])
+
+
+def read_fastq(spark: SparkSession, path: str | list[str], offset: int = 33) -> DataFrame:
+    """(read_id, title, seq, qual, src, ord) with decoded qualities; ord grows along a file."""
+    raw = spark.read.option("lineSep", "\n@").text(path).select("value", F.col("_metadata.file_path").alias("src"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_block_length").alias("length"))
+    pieces = raw.mapInArrow(_pieces, PIECES)
+    whole = pieces.filter(F.col("part") == WHOLE).drop("part")
+    cut = pieces.filter(F.col("part") != WHOLE)
+    after = Window.partitionBy("src").orderBy("ord", F.desc("part"))  # at most two pieces a range
+    mended = cut.withColumn("next", F.lead("qual33").over(after)).filter(F.col("part") == FIRST)
+    mended = mended.filter(F.when(F.col("next").isNull(), F.raise_error(F.concat(F.lit("no quality line after "), "head"))).otherwise(F.lit(True)))
+    rows = whole.unionByName(mended.select("head", "seq", F.col("next").alias("qual33"), "src", "ord"))
+    name = F.regexp_replace("head", "^@", "")
+    return rows.select(F.regexp_extract(name, r"^(\S*)", 1).alias("read_id"), F.trim(F.regexp_replace(name, r"^\S*", "")).alias("title"), "seq", S.decode_quality("qual33", offset).alias("qual"), "src", "ord")

@@ -30,18 +30,26 @@ def test_fasta_round_trip(spark, put, tmp_path):
     assert again == rows
 
 
-@pytest.mark.parametrize("size", [7, 20, 64 << 20])
+@pytest.mark.parametrize("size", [7, 20, 64, 300, 64 << 20])
 def test_fastq_ranges(spark, put, size):
-    records = [(f"r{k}", "ACGT" * (k % 3 + 1), "@" + "+" * (4 * (k % 3 + 1) - 1)) for k in range(40)]
+    records = [(f"r{k}", "ACGT" * (k % 3 + 1), ("@" if k % 2 else "I") + "+" * (4 * (k % 3 + 1) - 1)) for k in range(40)] + [("last", "A", "@")]
     path = put("a.fastq", "".join(f"@{n} t{n}\n{s}\n+\n{q}\n" for n, s, q in records))
-    got = {r["read_id"]: (r["seq"], r["qual"]) for r in fastq.read_fastq(spark, path, range_bytes=size).collect()}
-    assert got == {n: (s, [ord(c) - 33 for c in q]) for n, s, q in records}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", size)
+    try:
+        rows = fastq.read_fastq(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert {r["read_id"]: (r["seq"], r["qual"], r["title"]) for r in rows} == {n: (s, [ord(c) - 33 for c in q], f"t{n}") for n, s, q in records}
+    assert [r["read_id"] for r in sorted(rows, key=lambda r: r["ord"])] == [n for n, _, _ in records] and len(rows) == 41
 
 
 def test_fastq_write(spark, tmp_path):
     df = spark.createDataFrame([("a", "ACGT", [31, 2, 40, 10]), ("b", "GG", [0, 1])], "read_id string, seq string, qual array<int>")
     sinks.write_fastq(df, str(tmp_path / "q"))
-    got = {r["read_id"]: (r["seq"], r["qual"]) for r in fastq.read_fastq(spark, str(tmp_path / "q") + "/part*").collect()}
+    got = {r["read_id"]: (r["seq"], r["qual"]) for r in fastq.read_fastq(spark, str(tmp_path / "q")).collect()}
     assert got == {"a": ("ACGT", [31, 2, 40, 10]), "b": ("GG", [0, 1])}
 
 
