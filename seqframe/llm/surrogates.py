@@ -99,7 +99,7 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
         add(5, "phone", _phones(text))
     add(6, "name", [])
     for m in _NAME.finditer(text):
-        if m[2][0].isupper():
+        if not m[2][0].islower():  # scripts without case count too
             found.append((m.start(2), 6, m.end(2), "name_" + _GENDER[m[1]]))
     out: list[tuple[int, int, str]] = []
     taken: list[tuple[int, int]] = []
@@ -271,8 +271,7 @@ def _found(docs: DataFrame, text: str) -> DataFrame:
     def make():
         return lambda texts: [[[{"kind": k, "entity": e} for a, b, kind in find_entities(t) for k, e in units(kind, t[a:b])] for t in texts.to_pylist()]]
 
-    body = docs.withColumn("__body", F.col(quoted(text))).drop(text)
-    return add_columns(body, "__body", [field("e", "array<struct<kind:string,entity:string>>")], make, drop_text=True)
+    return add_columns(docs, text, [field("e", "array<struct<kind:string,entity:string>>")], make, drop_text=True)
 
 
 def _entities(docs: DataFrame, text: str) -> DataFrame:
@@ -311,19 +310,25 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     table = surrogate_table(docs, key, text)
     later = table.filter("attempt > 0")
     n = later.count()
+    # the other columns travel as one struct with fields of its own names, so that no name of theirs clashes
+    others = [c for c in docs.columns if c.lower() != text.lower()]
+    held = docs.select(F.struct(*[F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(others)], F.col(quoted(text)).isNotNull().alias("known")).alias("row"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("body"))
     if n <= SHARED_TRIES:
         shared = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["entity"]): r["attempt"] for r in later.collect()})
-        return _replaced(docs, key, text, lambda: (lambda kind, entity, own: shared.value.get((kind, entity), 0)), None)
-    # many second tries: each document gets its own, by a join on its entities
-    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-
-    found = _found(numbered.select("__row", F.col(quoted(text)).alias("__text")), "__text")
-    pairs = found.select("__row", F.explode("e").alias("e")).select("__row", "e.kind", "e.entity").distinct().join(later.select("kind", "entity", "attempt"), ["kind", "entity"])
-    own = pairs.groupBy("__row").agg(F.to_json(F.collect_list(F.array("kind", "entity", F.col("attempt").cast("string")))).alias("__own"))
-    return _replaced(numbered.join(own, "__row", "left").drop("__row"), key, text, lambda: (lambda kind, entity, own: own.get((kind, entity), 0)), "__own")
-
-
-def _replaced(docs: DataFrame, key: bytes, text: str, make_attempt, own: str | None) -> DataFrame:
+        done = _replaced(held, key, lambda: (lambda kind, entity, own: shared.value.get((kind, entity), 0)), None)
+    else:
+        # many second tries: each document gets its own, by a join on its entities
+        numbered = written(held.withColumn("at", F.monotonically_increasing_id()), "numbered")
+        found = _found(numbered.select("at", "body"), "body")
+        pairs = found.select("at", F.explode("e").alias("e")).select("at", "e.kind", "e.entity").distinct().join(later.select("kind", "entity", "attempt"), ["kind", "entity"])
+        own = pairs.groupBy("at").agg(F.to_json(F.collect_list(F.array("kind", "entity", F.col("attempt").cast("string")))).alias("own"))
+        done = _replaced(numbered.join(own, "at", "left").drop("at"), key, lambda: (lambda kind, entity, own: own.get((kind, entity), 0)), "own")
+    back = {c: F.col(f"row.c{k}").alias(c) for k, c in enumerate(others) if c.lower() != "n_entities"} | {c: F.when(F.col("row.known"), F.col("new")).alias(c) for c in docs.columns if c.lower() == text.lower()}
+    return done.select(*[back[c] for c in docs.columns if c in back], "n_entities")
+
+
+def _replaced(held: DataFrame, key: bytes, make_attempt, own: str | None) -> DataFrame:
+    """(row, new, n_entities) of (row, body[, own]); own lists the tries of a document's entities."""
     import json
 
     def make():
@@ -351,9 +356,5 @@ def _replaced(docs: DataFrame, key: bytes, text: str, make_attempt, own: str | N
 
         return step
 
-    body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    source = docs.withColumn("__body", F.concat(F.coalesce(F.col(own), F.lit("")), F.lit("\0"), body) if own else body)
-    source = source.withColumn("__null", F.col(quoted(text)).isNull()).drop(*([own] if own else []), text)
-    out = add_columns(source, "__body", [field("__new", "string"), field("n_entities", "bigint")], make, drop_text=True)
-    out = out.withColumn(text, F.when(~F.col("__null"), F.col("__new"))).drop("__null", "__new")
-    return out.select(*[F.col(quoted(c)) for c in docs.columns if c != own and c.lower() != "n_entities"], "n_entities")
+    body = F.concat(F.coalesce(F.col(own), F.lit("")), F.lit("\0"), F.col("body")) if own else F.col("body")
+    return add_columns(held.select("row", body.alias("body")), "body", [field("new", "string"), field("n_entities", "bigint")], make, drop_text=True)

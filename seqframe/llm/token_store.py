@@ -165,6 +165,9 @@ class ChunkEncoder:
         others = [n for n in range(256) if n not in printable]
         self.letters = {n: chr(n) for n in printable} | {n: chr(256 + k) for k, n in enumerate(others)}
         self.marks: dict[str, bytes] = {"": b""}
+        parts = self._bytes(["one", "Two,", "one  Two,", " one\n\tTwo, "])
+        if not parts[0] + parts[1] == parts[2] == parts[3]:
+            raise ValueError("a tokenizer for which white space only separates is needed")
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]

@@ -364,6 +364,39 @@ def test_collisions_try_again_by_both_ways(spark, monkeypatch):
     assert one == two and len(set(one.values())) == 6
 
 
+def test_surrogates_of_repeated_rows_and_clashing_columns(spark, monkeypatch):
+    mail, others = "ann.lee@mail.example.com", ["Mr \u0531\u0576\u056b", "Mr \u05d3\u05d5\u05d3"]
+    texts = [f"write to {mail}", f"write to {mail}", None, "", "password: ********", *others, "Mr Schmidt and Mrs Schmidt", "x " * 200_000 + mail]
+    docs = spark.createDataFrame([(1, t) for t in texts], "doc_id long, text string").selectExpr("text", "doc_id", "'a' as row", "'b' as new", "'c' as body", "7 as n_entities", "'d' as e", "'f' as c0", "'g' as known", "'h' as at", "'i' as own")
+    for limit in (50_000, -1):
+        monkeypatch.setattr(surrogates, "SHARED_TRIES", limit)
+        done = surrogates.replace_pii(docs, b"k")
+        assert done.columns == [c for c in docs.columns if c != "n_entities"] + ["n_entities"]
+        rows = done.collect()
+        assert {(r["row"], r["new"], r["body"], r["e"], r["c0"], r["known"], r["at"], r["own"]) for r in rows} == {tuple("abcdfghi")}
+        got = [r["text"] for r in rows]
+        first = [t for t in got if t and t.startswith("write to")]
+        assert len(first) == 2 and first[0] == first[1] and mail not in first[0] and None in got and "" in got and "password: ********" in got
+        new = first[0].removeprefix("write to ")
+        assert "x " * 200_000 + new in got and not set(others) & set(got)
+        pair = next(t for t in got if t and " and Mrs " in t).split(" and Mrs ")
+        assert pair[0].removeprefix("Mr ") == pair[1] != "Schmidt"
+    assert surrogates.replace_pii(docs.limit(0), b"k").collect() == []
+
+
+def test_surrogates_are_distinct_over_a_table(spark):
+    rng = random.Random(7)
+    made = {"email": [f"{a}{k}@ex{k % 9}.org" for k, a in enumerate("abcdefghij" * 30)], "ip": [f"10.{k % 250}.{k % 7}.{k}" for k in range(250)], "phone": [f"+1 (555) 555-{k:04d}" for k in range(300)]}
+    docs = spark.createDataFrame([(k, f"see {e} now") for k, e in enumerate(x for l in made.values() for x in rng.sample(l, len(l)))], "doc_id long, text string")
+    table = surrogates.surrogate_table(docs, b"key").collect()
+    new, old = [r["surrogate"] for r in table], {r["entity"] for r in table}
+    assert len(set(new)) == len(new) and not set(new) & old and len(old) > 800
+    by_doc = {r["doc_id"]: r["text"] for r in surrogates.replace_pii(docs, b"key").collect()}
+    given = {r["entity"]: r["surrogate"] for r in table}
+    for r in docs.collect():
+        assert by_doc[r["doc_id"]] == f"see {given[r['text'][4:-4]]} now"
+
+
 def test_long_secrets_and_phone_groups_are_found_whole():
     key = "".join(random.Random(2).choices("abcdefXYZ019._-", k=303))
     jwt, digits = f"token={key}", "0123456789abcdef" * 10
