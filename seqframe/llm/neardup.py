@@ -11,8 +11,8 @@ where a coordinate stays empty.
 
 Texts that agree in all words are one node. Nodes that share a band of the signature are
 candidates. In each bucket all nodes are checked against one leader, another in each
-band, and the links found are closed to components. Buckets that still hold two components
-check all nodes against the one with the least share of shingles that nobody else has. Then every
+band. Buckets with a node that isn't linked with the leader check all nodes against the one with the
+least share of shingles that nobody else has, and the links found are closed to components. Then every
 pair of one bucket in two components is checked too, but for those whose common shingles can't
 be enough by two upper bounds, so within the buckets no link is lost although groups of copies are not expanded into pairs. Links need an exact weighted Jaccard
 similarity of ``similarity`` (0.8). A pair at 0.8 misses all buckets with a chance of
@@ -181,9 +181,11 @@ def components(links: DataFrame) -> DataFrame:
         one = rows.groupBy(side).agg(F.count("*").alias("c"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
         return one.agg(F.coalesce(F.sum("c"), F.lit(0)), F.sum("h"), F.coalesce(F.max("c"), F.lit(0))).first()
 
-    def with_least(rows: DataFrame, least: DataFrame, spread: float | None) -> DataFrame:
+    def with_least(rows: DataFrame, spread: float | None) -> DataFrame:
+        """rows (u, v) with m, the least v of each u."""
         if spread is None:
-            return rows.join(least.drop("c"), "u")
+            return rows.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
         return spread_join(rows, least.drop("c"), "u", least.filter(F.col("c") > spread).select(F.col("u").alias("key")))
 
     state = degrees(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "u")
@@ -192,11 +194,10 @@ def components(links: DataFrame) -> DataFrame:
         # hubs are dealt over tasks
         limit = max(2 * state[0] / HEAVY, HEAVY)
         spread = limit if state[2] > limit else None
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).withColumn("m", F.least("u", "m"))
-        large = with_least(both.filter("v > u"), least, spread).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
-        small = with_least(large, least, spread).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+        large = with_least(both, spread).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        # of each node's smaller neighbours all but the least go to the least
+        small = with_least(large, spread).select(F.explode(F.array("u", "v")).alias("e"), "m").select(F.col("e").alias("u"), F.col("m").alias("v"))
+        small = small.filter("u <> v").distinct()
         edges = written(small, "links")
         now = degrees(edges, "v")
         if now[:2] == state[:2]:
@@ -264,12 +265,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = table.filter("n > 0").groupBy("node").agg(F.first("cells").alias("cells")).join(wanted, "node")
     sets = written(sets, "sets")
     links = written(similar(first, sets, similarity), "similar")
-    roots = components(links)
-    # buckets that still hold two components: their nodes meet the one with the least unique share, which edited copies are nearest to
-    placed = _in_mixed_buckets(buckets, roots, heavy)
+    # buckets with a node that isn't linked with the leader: their nodes meet the one with the least unique share, which edited copies are nearest to
+    tied = links.select(F.col("a").alias("l_a"), F.col("b").alias("l_b"))
+    apart = buckets.withColumn("l_a", F.greatest("node", "leader")).withColumn("l_b", F.least("node", "leader")).join(tied.withColumn("tied", F.lit(True)), ["l_a", "l_b"], "left").drop("l_a", "l_b")
+    apart = apart.withColumn("apart", F.col("tied").isNull() & (F.col("node") != F.col("leader"))).drop("tied")
+    open_ = apart.groupBy("key").agg(F.max("apart").alias("open"), F.count("*").alias("size")).filter("open").drop("open")
+    placed = spread_join(apart, open_, "key", heavy).select("key", "node", "n", "leader", "apart", "size")
     placed = written(placed.join(unique_mass(sets, placed.select("node").distinct()), "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))), "mixed")
-    best = placed.groupBy("key").agg(F.min(F.struct(-F.col("shared") / F.col("n"), "node", "n", "root")).alias("b")).select("key", F.col("b.node").alias("node_"), F.col("b.n").alias("n_"), F.col("b.root").alias("root_"))
-    second = spread_join(placed, best, "key", heavy).filter((F.col("root") != F.col("root_")) & near("n", "n_")).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
+    best = placed.groupBy("key").agg(F.min(F.struct(-F.col("shared") / F.col("n"), "node", "n")).alias("b")).select("key", F.col("b.node").alias("node_"), F.col("b.n").alias("n_"))
+    second = spread_join(placed, best, "key", heavy).filter((F.col("node") != F.col("node_")) & near("n", "n_")).select(F.greatest("node", "node_").alias("a"), F.least("node", "node_").alias("b")).distinct()
     second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(written(similar(second, sets, similarity), "similar"))
     roots = components(links)
