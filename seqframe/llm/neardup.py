@@ -42,6 +42,8 @@ COORDINATES = ROWS * BANDS
 DARTS_TOGETHER = 1 << 18
 #: Bytes of a stored cell: two texts of a million words have about one false cell in common.
 CELL_BYTES = 5
+#: Links that one task of a round of components takes, so that few links make few tasks.
+LINKS_TOGETHER = 500_000
 #: Nodes of a bucket that one task compares with the others.
 COMPARED_TOGETHER = 256
 #: 64-bit words of the bitmaps that bound what two sets have in common.
@@ -194,10 +196,11 @@ def components(links: DataFrame) -> DataFrame:
         # hubs are dealt over tasks
         limit = max(2 * state[0] / HEAVY, HEAVY)
         spread = limit if state[2] > limit else None
-        large = with_least(both, spread).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        tasks = max(8, int(state[0] // LINKS_TOGETHER))
+        large = with_least(both, spread).coalesce(tasks).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         # of each node's smaller neighbours all but the least go to the least
-        small = with_least(large, spread).select(F.explode(F.array("u", "v")).alias("e"), "m").select(F.col("e").alias("u"), F.col("m").alias("v"))
-        small = small.filter("u <> v").distinct()
+        small = with_least(large, spread).coalesce(tasks).select(F.explode(F.array("u", "v")).alias("e"), "m").select(F.col("e").alias("u"), F.col("m").alias("v"))
+        small = small.filter("u <> v").distinct().coalesce(tasks)
         edges = written(small, "links")
         now = degrees(edges, "v")
         if now[:2] == state[:2]:
