@@ -162,12 +162,12 @@ def _x03(spark, sf_dir):
     return clusters.cluster_consensus(d.select(F.col("ref_id").alias("cluster_id"), F.col("read_id").alias("seq_id"), "seq", F.lit(1).alias("n"), "ord"))
 
 
-@query("x04_count_library", "sequence:s in_library:b n:n", "select substr(seq, 9, 21) as sequence, true as in_library, count(*) as n from fx_refs group by 1", ("fx_refs",))
+@query("x04_count_library", "sequence:s in_library:b n:n", "select substr(seq, 9, 21) as sequence, true as in_library, count(*) as n from fx_refs where strpos(substr(seq, 9, 21) || 'CTCGA', 'CTCGAG') = 0 group by 1", ("fx_refs",))
 def _x04(spark, sf_dir):
     r = refs(spark, sf_dir)
     lib = r.select(F.substring("seq", 9, 21).alias("sequence")).distinct().withColumn("library_id", F.col("sequence"))
-    d = r.select(F.col("ref_id").alias("read_id"), F.concat(F.lit("TTGGACCA"), F.substring("seq", 9, 21), F.lit("CTCGAG"), S.revcomp(F.substring("seq", 9, 21)), F.lit("GGATCCTT")).alias("seq"))
-    return clusters.count_library(d, lib, "TTGGACCA", "GGATCCTT")
+    d = r.select(F.col("ref_id").alias("read_id"), F.concat(F.lit("TTGGACCATGTTCCGA"), F.substring("seq", 9, 21), F.lit("CTCGAG"), S.revcomp(F.substring("seq", 9, 21)), F.lit("GGATCCTTCAGGTTAG")).alias("seq"))
+    return clusters.count_library(d, lib, "TTGGACCATGTTCCGA", "GGATCCTTCAGGTTAG")
 
 
 # ------------------------------------------------------------ files
