@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, html_text, katz, mixing, neardup, quality, search, surrogates, token_counts, token_store
+from seqframe.llm import decontaminate, html_text, katz, licenses, mixing, neardup, quality, search, surrogates, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -65,12 +65,17 @@ def op10_pii_surrogates(spark, sf_dir):
     return surrogates.replace_pii(docs, key=b"surrogate key of the registered query")
 
 
+def op13_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.digest(licenses.scan(docs)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    return {"op1_decontaminate": OP1_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op13_license_scan": licenses.oracle()}
 
 
 OP1_SQL = """
