@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from seqframe.llm.common import quoted
 
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Passages of a licence may be so many words nearer or farther than in its text (a name, a copyright line, a list mark).
@@ -121,7 +122,7 @@ def licenses() -> tuple[License, ...]:
 def words(text: str | Column) -> Column:
     """A text's words, A-Z in lower case; null has none."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS), "")
 
 
 @dataclass(frozen=True)
