@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, html_text, katz, licenses, mixing, neardup, quality, search, surrogates, token_counts, token_store
+from seqframe.llm import decontaminate, hard_negatives, html_text, katz, licenses, mixing, neardup, quality, search, surrogates, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -65,6 +65,12 @@ def op10_pii_surrogates(spark, sf_dir):
     return surrogates.replace_pii(docs, key=b"surrogate key of the registered query")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", hard_negatives.quantised("embedding").alias("vector"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_license_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.digest(licenses.scan(docs)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -75,7 +81,7 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_decontaminate": OP1_SQL, "op13_license_scan": licenses.oracle()}
+    return {"op1_decontaminate": OP1_SQL, "op11_hard_negatives": OP11_SQL, "op13_license_scan": licenses.oracle()}
 
 
 OP1_SQL = """
@@ -102,3 +108,24 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(a.n_hit, 0)
        coalesce(a.n_hit, 0) > 0 as contaminated
 from docs d left join words a using (r) left join found f using (r)
 """
+
+
+OP11_SQL = """
+with eligible as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select a.r as ar, a.vec_id as anchor_id, a.label as own, b.r as br, b.vec_id as id, b.label as label,
+         cast(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) as bigint) as score
+  from eligible a join eligible b on a.vec_id % 100 = 0 and a.r <> b.r),
+positives as (
+  select * from scored where label = own
+  qualify row_number() over (partition by ar order by score desc, id nulls last, br) <= 5),
+negatives as (
+  select p.anchor_id, p.id as positive_id, n.id as negative_id, p.score as positive_score, n.score as negative_score,
+         row_number() over (partition by p.ar, p.br order by n.score desc, n.id nulls last, n.br) as rank
+  from positives p join scored n on n.ar = p.ar and n.label <> n.own and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from negatives where rank <= 5
+"""
