@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seqframe.llm import decontaminate, hard_negatives, html_text, katz, licenses, mixing, neardup, quality, search, surrogates, token_counts, token_store
+from seqframe.llm import collocations, decontaminate, hard_negatives, html_text, katz, licenses, mixing, neardup, quality, search, surrogates, token_counts, token_store
 from seqframe.llm.common import table
 
 
@@ -71,6 +71,10 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_license_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.digest(licenses.scan(docs)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -81,7 +85,7 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_decontaminate": OP1_SQL, "op11_hard_negatives": OP11_SQL, "op13_license_scan": licenses.oracle()}
+    return {"op1_decontaminate": OP1_SQL, "op11_hard_negatives": OP11_SQL, "op12_collocations": OP12_SQL, "op13_license_scan": licenses.oracle()}
 
 
 OP1_SQL = """
@@ -129,3 +133,31 @@ negatives as (
   from positives p join scored n on n.ar = p.ar and n.label <> n.own and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
 select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from negatives where rank <= 5
 """
+
+OP12_SQL = """
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+grams as (
+  select lang, m, array_to_string(w[i : i + m - 1], ' ') as phrase
+  from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from words, (values (1), (2), (3), (4), (5)) as sizes(m) where len(w) >= m)),
+counts as (select lang, m, phrase, count(*) as f from grams group by all),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+frequent as (select * from counts where m > 1 and f >= 100),
+kept as (
+  select * from frequent s where not exists (
+    select 1 from frequent b where b.lang = s.lang and b.m > s.m and 100 * b.f >= 100 * s.f and contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))),
+cuts as (
+  select lang, phrase, f, k, array_to_string(w[1 : k], ' ') as head, array_to_string(w[k + 1 : m], ' ') as tail
+  from (select lang, m, phrase, f, string_split(phrase, ' ') as w, unnest(range(1, m)) as k from kept)),
+scored as (
+  select c.lang, c.phrase, c.f as a, l.f as l, r.f as r, t.n as n,
+         (cast(1000 as hugeint) * c.f * t.n) // (cast(l.f as hugeint) * r.f) as score, k
+  from cuts c join counts l on l.lang = c.lang and l.phrase = c.head join counts r on r.lang = c.lang and r.phrase = c.tail join totals t on t.lang = c.lang),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score
+from ranked where rank <= 2000
+"""
