@@ -180,7 +180,7 @@ def _counted(source: DataFrame, filters: list, longest: int) -> DataFrame:
     """(key, n) of the phrases of this pass."""
 
     def sums(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, weights = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys, weights = (np.concatenate(x) for x in zip((np.empty(0, np.uint64), np.empty(0, np.int64)), *held, strict=True))
         order = np.argsort(keys, kind="stable")
         keys, weights = keys[order], weights[order]
         first = np.flatnonzero(np.diff(keys, prepend=~keys[:1])) if len(keys) else np.empty(0, np.int64)
@@ -217,6 +217,8 @@ def _filter(counted: DataFrame, least: int, bits: int):
 
 def count_phrases(chunks: DataFrame, least: int = 100, longest: int = 5, bits: int = FILTER_BITS) -> DataFrame:
     """(lang, words, phrase, n): every phrase of up to ``longest`` words that occurs ``least`` times or more in its language; stored."""
+    if longest < 2:
+        raise ValueError("phrases have two words or more")
     if bits < 1 << 15 or bits & (bits - 1):
         raise ValueError("bits must be a power of two, 32768 or more")
     filters: list = []
