@@ -9,7 +9,8 @@ numbers of occurrences are the dictionary, a stored table; everything after read
 Phrases are counted in the dictionary's chunks, weighted by their occurrences, in three passes by 64-bit hash: words, then pairs of frequent
 words, then phrases of frequent pairs only (a phrase is no more frequent than its parts). What is frequent goes to the next pass as a bitmap of
 FILTER_BITS bits, a fixed size. A bit may stand for several phrases, so a pass may count more than it must, never less. A last
-pass counts the survivors by their exact words, so no result rests on a hash.
+pass counts the survivors by their exact words, so no result rests on a hash; a task sums up what it has read and sends one packed row to each
+bucket of phrases, where the sums meet.
 
 Null texts are empty, a null lang is ``und`` and joins rows with that lang. Rows that repeat count each time; ids and extra columns
 don't matter. An empty table gives an empty result. Texts of any length are worked on whole: parsing takes memory in proportion
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,9 @@ PERIOD = 16
 FILTER_BITS = 1 << 26
 #: Partial sums that a task holds before it hands them on.
 HELD = 1 << 20
+#: Buckets of phrases in the last pass: one for so many chunks, and the least number; so a bucket's size doesn't grow with the corpus.
+BUCKET_CHUNKS, LEAST_BUCKETS = 1 << 18, 64
+PHRASE = ["lang", "words", "phrase"]
 #: Ranks are cut first in so many parts of a language.
 PARTS = 64
 
@@ -224,6 +229,7 @@ def count_phrases(chunks: DataFrame, least: int = 100, longest: int = 5, bits: i
     filters: list = []
     for _ in range(3):
         filters.append(_filter(_counted(chunks, filters, longest), least, bits))
+    buckets = max(LEAST_BUCKETS, -(-chunks.count() // BUCKET_CHUNKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [f.value for f in filters]
@@ -237,24 +243,43 @@ def count_phrases(chunks: DataFrame, least: int = 100, longest: int = 5, bits: i
                     for part in _portions(stop - begin):
                         owner = p.owner[at[part]]
                         rows = pa.table({"lang": batch.column("lang").take(pa.array(owner)), "words": pa.array(np.full(len(owner), n, np.int32)), "phrase": _joined(p.t.data, begin[part], (stop - begin)[part]), "n": pa.array(p.weight[owner])})
-                        held.append(_summed(rows, ["lang", "words", "phrase"]))
+                        held.append(_summed(rows, PHRASE))
                         size += len(held[-1])
-                if size > HELD // 4:
-                    held = [_summed(pa.concat_tables(held), ["lang", "words", "phrase"])]
+                if size > HELD:
+                    held = [_summed(pa.concat_tables(held), PHRASE)]
                     size = len(held[0])
-                    if size > HELD // 8:
-                        yield from held[0].to_batches()
+                    if size > HELD // 2:
+                        yield _packed(held[0], buckets)
                         held, size = [], 0
         if held:
-            yield from _summed(pa.concat_tables(held), ["lang", "words", "phrase"]).to_batches()
+            yield _packed(_summed(pa.concat_tables(held), PHRASE), buckets)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        found = _summed(pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in rows.column("packed")]), PHRASE)
+        return found.filter(pc.greater_equal(found.column("n"), least))
 
-    exact = chunks.mapInArrow(run, "lang string, words int, phrase string, n long").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    stored = written(exact.filter(F.col("n") >= least), "phrases")
+    packed = chunks.mapInArrow(run, "bucket int, packed binary")
+    stored = written(packed.groupBy("bucket").applyInArrow(merge, "lang string, words int, phrase string, n long"), "phrases")
     for f in filters:
         f.destroy()
     return stored
 
 
+def _packed(rows: pa.Table, buckets: int) -> pa.RecordBatch:
+    """One row a bucket: the phrases whose hash falls there, as a compressed Arrow stream."""
+    t = Tokens(rows.column("phrase").combine_chunks().cast(pa.binary()), np.ones(256, np.uint8))
+    bucket = (t.hash % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    rows, first = rows.take(pa.array(order)), np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    packed = []
+    for a, b in zip(first, np.append(first[1:], len(order)), strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(rows.slice(a, b - a).combine_chunks())
+        packed.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(bucket[order][first]), pa.array(packed, pa.binary())], names=["bucket", "packed"])
+
+
 def _sizes(chunks: DataFrame, longest: int) -> DataFrame:
     """(lang, n): all words of each language."""
     own = F.length("chunk") - F.length(F.replace("chunk", F.lit(" "), F.lit(""))) + 1 - F.when(F.col("last"), 0).otherwise(longest - 1)
