@@ -278,27 +278,25 @@ def zones(top: str, bottom: str, window: int = 50, high: float = 0.97) -> list[t
     return out
 
 
-def merge_parts(row: dict, read: str, identity: float, length: int) -> list[dict]:
-    """What becomes of one read against a consensus: parts (kind, begin, end) of the read, kind merged or scrap; none if it isn't merged.
+def passes_qc(identity: float, length: int) -> Column:
+    """Whether an alignment is good enough to join two sequences: nearly the same where they overlap, gaps of single letters aside, and over 0.8 of one of them."""
+    c = F.col
+    near = (c("cov_ref") > 0.8) | (c("cov_read") > 0.8)
+    single = (c("gaplen_ref") - c("gaps_ref") < 3) & (c("gaplen_read") - c("gaps_read") < 3)
+    same = ((c("identity") > 0.989) & near) | (single & (c("nogap_identity") > 0.989) & (near | (c("alnlen") > 1100)))
+    return (c("alnlen") >= length) & (c("identity") >= identity) & same
 
-    A passing read is merged whole; where it covers over 0.9 of the consensus but less than 0.7 of itself is aligned, ends longer than the
-    length cut are scraps. A long alignment over the identity cut with stretches of both kinds is a chimera: its
-    long stretches of over 0.99 are merged, its other long ones are scraps.
+
+def chimera_parts(top: str, bottom: str, read_begin: int, length: int) -> list[dict]:
+    """Parts (kind, begin, end) of the read in an alignment with stretches of both kinds; none if there is one kind only or no part to merge.
+
+    Long stretches of over 0.99 are merged, other long ones are scraps.
     """
-    covers = row["cov_ref"] > 0.7 or row["cov_read"] > 0.7
-    if row["identity"] > identity and (row["cov_ref"] > 0.78 or row["cov_read"] > 0.78) and row["alnlen"] > length:
-        parts = [{"kind": "merged", "begin": 0, "end": len(read)}]
-        if row["cov_ref"] > 0.9 and row["cov_read"] < 0.7:
-            if row["read_begin"] > length:
-                parts.append({"kind": "scrap", "begin": 0, "end": row["read_begin"]})
-            if len(read) - row["read_end"] > length:
-                parts.append({"kind": "scrap", "begin": row["read_end"], "end": len(read)})
-        return parts
-    stretches = zones(row["top"], row["bottom"])
-    if not (row["identity"] > identity and row["alnlen"] > 3 * length and covers and len(stretches) > 1):
+    stretches = zones(top, bottom)
+    if len(stretches) < 2:
         return []
-    place, at = [], row["read_begin"]
-    for c in row["bottom"]:
+    place, at = [], read_begin
+    for c in bottom:
         place.append(at)
         at += c != "-"
     place.append(at)
@@ -307,11 +305,24 @@ def merge_parts(row: dict, read: str, identity: float, length: int) -> list[dict
 
 
 def merge_decision(alignments: DataFrame, reads: DataFrame, identity: float = 0.95, length: int = 200) -> DataFrame:
-    """(read_id, ref_id, kind, seq): the parts of reads that consensus sequences absorb, and the scraps that are left of these reads."""
+    """(read_id, ref_id, kind, seq): the parts of reads that consensus sequences absorb (kind merged), and the scraps that are left of these reads.
+
+    A read that passes ``passes_qc`` is merged whole; where it covers over 0.9 of the consensus but less than 0.7 of it is aligned, its ends of more than
+    ``length`` letters are scraps as well. Any other long alignment over the identity is looked through for a chimera.
+    """
     r = reads.select("read_id", F.col("seq").alias("__read"))
     rows = alignments.join(r, "read_id").withColumn("__read", F.when(F.col("strand") == "-", S.revcomp("__read")).otherwise(F.col("__read")))
-    needed = ["read_id", "ref_id", "__read", "identity", "cov_ref", "cov_read", "alnlen", "read_begin", "read_end", "top", "bottom"]
-    made = _edited(rows.select(*needed), lambda row: {"parts": merge_parts(row, row["__read"], identity, length)}, ["parts"], "parts array<struct<kind:string,begin:int,end:int>>")
-    parts = made.select("read_id", "ref_id", "__read", F.explode("parts").alias("p"))
+    part = lambda kind, begin, end: F.struct(F.lit(kind).alias("kind"), begin.cast("int").alias("begin"), end.cast("int").alias("end"))
+    zero, size = F.lit(0), F.length("__read")
+    over = (F.col("cov_ref") > 0.9) & (F.col("cov_read") < 0.7)
+    head = F.when(over & (F.col("read_begin") > length), part("scrap", zero, F.col("read_begin")))
+    tail = F.when(over & (size - F.col("read_end") > length), part("scrap", F.col("read_end"), size))
+    passed = passes_qc(identity, length)
+    own = ["read_id", "ref_id", "__read"]
+    whole = rows.filter(passed).select(*own, F.explode(F.array_compact(F.array(part("merged", zero, size), head, tail))).alias("p"))
+    covers = (F.col("cov_ref") > 0.7) | (F.col("cov_read") > 0.7)
+    others = rows.filter(~passed & (F.col("identity") > identity) & (F.col("alnlen") > 3 * length) & covers).select(*own, "top", "bottom", "read_begin")
+    made = _edited(others, lambda x: {"parts": chimera_parts(x["top"], x["bottom"], x["read_begin"], length)}, ["parts"], "parts array<struct<kind:string,begin:int,end:int>>")
+    parts = whole.unionByName(made.select(*own, F.explode("parts").alias("p")))
     piece: Column = F.substring(F.col("__read"), F.col("p.begin") + 1, F.col("p.end") - F.col("p.begin"))
     return parts.select("read_id", "ref_id", "p.kind", piece.alias("seq"))

@@ -109,3 +109,12 @@ def hits(spark, sf_dir):
 
 def exons(spark, sf_dir):
     return view(spark, sf_dir, "fx_exons")
+
+
+def random_letters(key: str, blocks: int = 5):
+    """32 letters a block of a sequence that depends on the key alone; the same in SQL is ``random_letters_sql``."""
+    return F.translate(F.concat(*[F.md5(F.concat(F.col(key), F.lit(f"/{k}"))) for k in range(blocks)]), "0123456789abcdef", "ACGTACGTACGTACGT")
+
+
+def random_letters_sql(key: str, blocks: int = 5) -> str:
+    return "translate(" + " || ".join(f"md5({key} || '/{k}')" for k in range(blocks)) + ", '0123456789abcdef', 'ACGTACGTACGTACGT')"

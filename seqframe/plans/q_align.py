@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from seqframe.functions import sequence as S
 from seqframe.operators import align, clusters, pileup
 from seqframe.plans import fixtures
+from seqframe.plans.fixtures import random_letters, random_letters_sql
 from seqframe.plans.q_functions import _AA
 from seqframe.plans.registry import query
 from seqframe.sources import fastq, features, reports, sequences, sinks
@@ -141,13 +142,13 @@ def _x01(spark, sf_dir):
     return pileup.genotype(reads(spark, sf_dir).select("read_id", "seq"), refs(spark, sf_dir).select("ref_id", "seq"), [1, 3])["genotypes"]
 
 
-@query("w16_merge_clusters", "cluster_id:s merged:s", "select ref_id as cluster_id, ref_id as merged from fx_refs union all select ref_id || 'v' as cluster_id, ref_id as merged from fx_refs", ("fx_refs",))
+@query("w16_merge_clusters", "cluster_id:s merged:s", "select ref_id || k as cluster_id, ref_id || m as merged from fx_refs, (values ('a', 'a'), ('b', 'a'), ('c', 'c'), ('d', 'd')) as t(k, m)", ("fx_refs",))
 def _w16(spark, sf_dir):
-    # a small cluster with one other letter beside each large one
-    r = refs(spark, sf_dir)
-    other = F.concat(F.substring("seq", 1, 29), F.translate(F.substring("seq", 30, 1), "ACGT", "CATG"), F.substring("seq", 31, 64))
-    c = r.select(F.col("ref_id").alias("cluster_id"), "seq", F.lit(10).cast("long").alias("n")).unionByName(r.select(F.concat("ref_id", F.lit("v")).alias("cluster_id"), other.alias("seq"), F.lit(2).cast("long").alias("n")))
-    return clusters.merge_clusters(c)
+    # b meets a and c, c doesn't meet a: b goes to a, so c stays; d is like a, but too large to be absorbed
+    r = refs(spark, sf_dir).select("ref_id", random_letters("ref_id").alias("x"))
+    kinds = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(at).alias("at"), F.lit(n).cast("long").alias("n")) for k, at, n in (("a", 1, 100), ("b", 13, 30), ("c", 31, 9), ("d", 1, 40))])
+    c = r.select("ref_id", "x", F.explode(kinds).alias("t")).select(F.concat("ref_id", "t.k").alias("cluster_id"), F.substring(F.col("x"), F.col("t.at"), F.lit(120)).alias("seq"), "t.n")
+    return clusters.merge_clusters(c, length=60)
 
 
 @query("w17_absorb_singletons", "read_id:s cluster_id:s", "select read_id, ref_id as cluster_id from fx_reads", R)
@@ -162,6 +163,34 @@ def _x03(spark, sf_dir):
     return clusters.cluster_consensus(d.select(F.col("ref_id").alias("cluster_id"), F.col("read_id").alias("seq_id"), "seq", F.lit(1).alias("n"), "ord"))
 
 
+def planted_clusters(spark, sf_dir):
+    """Clusters of each reference: one whose representative lacks a letter, a smaller one that it absorbs, single reads of its own, with a long head, and of nothing."""
+    x, other = random_letters("ref_id"), random_letters("other")
+    r = refs(spark, sf_dir).select("ref_id", F.concat("ref_id", F.lit("z")).alias("other")).select("ref_id", x.alias("x"), other.alias("z"))
+    part = lambda c, at, n: F.substring(c, at, n)
+    more = F.concat(part("x", 1, 60), F.translate(part("x", 60, 1), "ACGT", "CGTA"), part("x", 61, 60))
+    worse = F.concat(part("x", 13, 49), F.translate(part("x", 62, 1), "ACGT", "CGTA"), part("x", 63, 70))
+    rows = [("a", "1", part("x", 1, 120), 40), ("a", "2", more, 30), ("a", "3", more, 30), ("b", "4", part("x", 13, 120), 12), ("b", "5", worse, 8), ("c", "6", S.revcomp(part("x", 1, 118)), 3), ("d", "7", part("z", 1, 120), 2), ("e", "8", F.concat(part("z", 1, 80), part("x", 1, 120)), 1)]
+    made = F.array(*[F.struct(F.concat("ref_id", F.lit(c)).alias("cluster_id"), F.concat("ref_id", F.lit(f"s{i}")).alias("seq_id"), seq.alias("seq"), F.lit(n).cast("long").alias("n"), F.lit(int(i)).alias("ord")) for c, i, seq, n in rows])
+    return r.select(F.explode(made).alias("m")).select("m.*")
+
+
+PLANTED = f"(select ref_id, {random_letters_sql('ref_id')} as x from fx_refs)"
+
+
+@query("x03_rebuild", "cluster_id:s consensus:s n:n depth:d refined:b", f"select ref_id || 'a' as cluster_id, substr(x, 1, 60) || translate(substr(x, 60, 1), 'ACGT', 'CGTA') || substr(x, 61, 60) as consensus, 124 as n, (101 * 121 + 20 * 109 + 3 * 119) / 121.0 as depth, true as refined from {PLANTED} t", ("fx_refs",))
+def _x03_rebuild(spark, sf_dir):
+    return clusters.rebuild(planted_clusters(spark, sf_dir), identity=0.95, length=60)["consensus"]
+
+
+@query("x03_members", "cluster_id:s seq_id:s kind:s n:n", f"select ref_id || 'a' as cluster_id, unnest([ref_id || 's1', ref_id || 's2', ref_id || 's3', 'cluster ' || ref_id || 'b/' || substr(md5(substr(x, 13, 120)), 1, 12), ref_id || 's6', ref_id || 's8']) as seq_id, unnest(['member', 'member', 'member', 'absorbed', 'single merged', 'single merged']) as kind, unnest([40, 30, 30, 20, 3, 1]) as n from {PLANTED} t union all select null, ref_id || 's7', 'left single', 2 from fx_refs", ("fx_refs",))
+def _x03_members(spark, sf_dir):
+    planted = planted_clusters(spark, sf_dir)
+    out = clusters.rebuild(planted, identity=0.95, length=60)
+    left = out["singles"].join(planted.select(F.col("seq_id").alias("read_id"), "n"), "read_id").select(F.lit(None).cast("string").alias("cluster_id"), F.col("read_id").alias("seq_id"), F.lit("left single").alias("kind"), "n")
+    return out["members"].unionByName(left)
+
+
 @query("x04_count_library", "sequence:s in_library:b n:n", "select substr(seq, 9, 21) as sequence, true as in_library, count(*) as n from fx_refs where strpos(substr(seq, 9, 21) || 'CTCGA', 'CTCGAG') = 0 group by 1", ("fx_refs",))
 def _x04(spark, sf_dir):
     r = refs(spark, sf_dir)

@@ -8,6 +8,7 @@ from seqframe.functions import sequence as S
 from seqframe.functions import tables
 from seqframe.operators import align, annotation, assembly, clusters, gaps, pileup, trims
 from seqframe.plans import fixtures
+from seqframe.plans.fixtures import random_letters, random_letters_sql
 from seqframe.plans.registry import query
 from seqframe.sources import features, reports, sequences, sinks
 from seqframe.sources.paths import shared_folder
@@ -367,15 +368,23 @@ def _c42(spark, sf_dir):
     return gaps.corrected(align.align_pairs(r, "global").drop("ref_seq", "read_seq").withColumn("strand", F.lit("+")))
 
 
-@query("c46_merge_decision", "read_id:s ref_id:s kind:s length:n", "select ref_id as read_id, ref_id, 'merged' as kind, 64 as length from fx_refs union all select ref_id || 'x' as read_id, ref_id, unnest(['merged', 'scrap']) as kind, unnest([128, 64]) as length from fx_refs where right(md5(ref_id), 1) <> 'z'", RF)
+CHIMERA = "substr(y, 1, 160) || " + " || ".join(f"translate(substr(y, {161 + 12 * k}, 1), 'ACGT', 'CGTA') || substr(y, {162 + 12 * k}, {11 if k < 12 else 15})" for k in range(13))
+
+
+@query("c46_merge_decision", "read_id:s ref_id:s kind:s seq:s", f"""
+with long as (select ref_id, seq, {random_letters_sql('ref_id', 10)} as y, {random_letters_sql("'a' || ref_id", 2)} as tail from fx_refs),
+     planted as (select *, {CHIMERA} as chimera from long)
+select ref_id as read_id, ref_id, 'merged' as kind, seq from planted
+union all select ref_id || 'x', ref_id, unnest(['merged', 'scrap']), unnest([tail || 'N' || seq, tail || 'N']) from planted
+union all select ref_id || 'y', ref_id || 'l', unnest(['merged', 'scrap']), unnest([substr(chimera, 1, 172), substr(chimera, 173)]) from planted""", RF)
 def _c46(spark, sf_dir):
-    r = refs(spark, sf_dir)
-    tail = F.translate(F.concat(F.md5(F.concat(F.lit("a"), "ref_id")), F.md5(F.concat(F.lit("b"), "ref_id"))), "0123456789abcdef", "ACGTACGTACGTACGT")
-    rows = r.select("ref_id", F.col("ref_id").alias("read_id"), "seq").unionByName(r.select("ref_id", F.concat("ref_id", F.lit("x")).alias("read_id"), F.concat(tail, F.lit("N"), "seq").alias("seq")))
-    pairs = rows.join(r.select("ref_id", F.col("seq").alias("ref_seq")), "ref_id").select("ref_id", "read_id", "ref_seq", F.col("seq").alias("read_seq"), F.lit("+").alias("strand"))
-    a = align.align_pairs(pairs, "local", align.SCORES["consensus"]).withColumn("read_begin", F.when(F.length("read_seq") > 64, F.lit(65)).otherwise(F.col("read_begin"))).filter("alnlen >= 64")
-    made = gaps.merge_decision(a.drop("ref_seq", "read_seq"), rows.select("read_id", "seq"), 0.95, 40)
-    return made.withColumn("length", F.when(F.length("seq") > 64, F.when(F.col("kind") == "merged", 128).otherwise(64)).otherwise(F.length("seq")))
+    # the reference itself; with a long head; one that is the same over half of a longer reference and differs in every twelfth letter of the rest
+    r = refs(spark, sf_dir).withColumn("a", F.concat(F.lit("a"), "ref_id")).select("ref_id", "seq", random_letters("ref_id", 10).alias("y"), random_letters("a", 2).alias("tail"))
+    changed = [x for k in range(13) for x in (F.translate(F.substring("y", 161 + 12 * k, 1), "ACGT", "CGTA"), F.substring("y", 162 + 12 * k, 11 if k < 12 else 15))]
+    made = [("", "", F.col("seq"), F.col("seq")), ("", "x", F.col("seq"), F.concat("tail", F.lit("N"), "seq")), ("l", "y", F.col("y"), F.concat(F.substring("y", 1, 160), *changed))]
+    rows = r.select(F.explode(F.array(*[F.struct(F.concat("ref_id", F.lit(a)).alias("ref_id"), F.concat("ref_id", F.lit(b)).alias("read_id"), c.alias("ref_seq"), d.alias("read_seq"), F.lit("+").alias("strand")) for a, b, c, d in made])).alias("p")).select("p.*")
+    aligned = align.align_pairs(rows, "local", align.SCORES["consensus"]).drop("ref_seq", "read_seq")
+    return gaps.merge_decision(aligned, rows.select("read_id", F.col("read_seq").alias("seq")), 0.95, 40)
 
 
 @query("c47_stems", "read_id:s first:s second:s stem_length:n stem_identity:d", "select ref_id as read_id, substr(seq, 1, 24) as first, cast(null as varchar) as second, 24 as stem_length, 1.0 as stem_identity from fx_refs where strpos(substr(seq, 1, 24), 'CTCGAG') = 0 and strpos(reverse(translate(substr(seq, 1, 24), 'ACGT', 'TGCA')), 'CTCGAG') = 0", RF)
