@@ -1,14 +1,15 @@
 """Pairwise alignment as a job over a table of pairs, and the joins that find the pairs.
 
 The dynamic program (Gotoh's affine gaps, local or global) runs over all pairs of an Arrow
-batch at once: each step of row and column is one numpy operation over the batch. A gap of k
-letters costs open + (k - 1) * ext. Coordinates are 0-based, the top sequence is the reference.
+batch at once, row by row: numpy works on all columns of all pairs. A gap of k letters
+costs open + (k - 1) * ext. Coordinates are 0-based, the top sequence is the reference. Letters score by match and mismatch, or by a ``Matrix``.
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from seqframe.functions import sequence as S
 from seqframe.sources.paths import shared_folder
 
-#: Cells of the dynamic program held at once in a task.
+#: Cells whose moves a task holds at once, one byte each. A pair with more keeps rows at intervals and makes the moves between them again.
 CELLS = 24_000_000
 RESULT = (
     "score int, identical int, alnlen int, identity double, nogap_identity double, noterm_identity double, cov_ref double, cov_read double,"
@@ -30,109 +31,232 @@ SCORES = {"reads": (10, -9, -29, -3), "consensus": (11, -10, -39, -4), "sites":
 _LOW = -(1 << 28)
 
 
-def align_batch(tops: list[str], bottoms: list[str], mode: str = "local", scores: tuple[int, int, int, int] = SCORES["reads"]) -> list[dict]:
-    """Best alignment of each pair (first of equals by the order diagonal, gap in bottom, gap in top)."""
-    match, mismatch, gap_open, gap_ext = scores
-    n = len(tops)
-    len1, len2 = np.array([len(t) for t in tops]), np.array([len(b) for b in bottoms])
-    w1, w2 = int(len1.max(initial=0)), int(len2.max(initial=0))
+@dataclass(frozen=True)
+class Matrix:
+    """Scores by pair of letters, 256 by 256, and gap scores."""
+
+    table: np.ndarray
+    gap_open: int
+    gap_ext: int
+
 
-    def codes(texts: list[str], width: int, pad: int) -> np.ndarray:
-        out = np.full((n, width), pad, np.uint8)
+def read_matrix(text: str, gap_open: int = -11, gap_ext: int = -1) -> Matrix:
+    """A substitution matrix in the usual text form: comments after #, a line of letters, then a letter and its scores a line.
+
+    Letters that it doesn't have score as its ``*``, if there is one, else as its least score.
+    """
+    rows = [line.split() for line in text.splitlines() if line.strip() and not line.lstrip().startswith("#")]
+    if not rows or any(len(r) != len(rows[0]) + 1 for r in rows[1:]):
+        raise ValueError("not a matrix: every line after the first has a letter and one score for each letter of the first")
+    known = {(r[0].upper(), c.upper()): int(v) for r in rows[1:] for c, v in zip(rows[0], r[1:], strict=True)}
+    rest = min(known.values()) if ("*", "*") not in known else min(v for (r, c), v in known.items() if "*" in (r, c))
+    table = np.full((256, 256), rest, np.int32)
+    for (r, c), v in known.items():
+        table[ord(r), ord(c)] = v
+    return Matrix(table, gap_open, gap_ext)
+
+
+def group_matrix(groups: str = "AGPST C DENQ FWY HKR ILMV", same: int = 5, near: int = 1, other: int = -3, gap_open: int = -11, gap_ext: int = -1) -> Matrix:
+    """A matrix by rule: equal letters, letters of one group (amino acids of like chemistry), all others."""
+    table = np.full((256, 256), other, np.int32)
+    for group in groups.split():
+        at = np.frombuffer(group.encode(), np.uint8)
+        table[np.ix_(at, at)] = near
+    np.fill_diagonal(table, same)
+    table[ord("X"), :] = table[:, ord("X")] = 0
+    return Matrix(table, gap_open, gap_ext)
+
+
+class _Rows:
+    """Rows of the dynamic program of a batch of pairs: one numpy operation a row works on all columns of all pairs.
+
+    A gap along a row is the greatest of all its openings before, a running maximum, as opening costs no less than extending.
+    """
+
+    def __init__(self, tops: list[str], bottoms: list[str], mode: str, scores: tuple[int, int, int, int] | Matrix):
+        self.local, self.n = mode == "local", len(tops)
+        self.len1, self.len2 = np.array([len(t) for t in tops]), np.array([len(b) for b in bottoms])
+        self.w1, self.w2 = int(self.len1.max(initial=0)), int(self.len2.max(initial=0))
+        self.table = scores.table if isinstance(scores, Matrix) else None
+        self.open, self.ext = (scores.gap_open, scores.gap_ext) if isinstance(scores, Matrix) else scores[2:]
+        self.match, self.mismatch = (0, 0) if isinstance(scores, Matrix) else scores[:2]
+        if self.open > self.ext or self.ext > 0:
+            raise ValueError("opening a gap must cost at least as much as extending it")
+        self.x, self.y = self._codes(tops, self.w1, 1), self._codes(bottoms, self.w2, 2)
+        self.steps = np.arange(self.w2 + 1, dtype=np.int32) * np.int32(self.ext)
+        self.valid = np.arange(1, self.w2 + 1) <= self.len2[:, None]
+
+    def _codes(self, texts: list[str], width: int, pad: int) -> np.ndarray:
+        out = np.full((self.n, width), pad, np.uint8)
         for k, t in enumerate(texts):
-            out[k, : len(t)] = np.frombuffer(t.upper().encode("latin-1", "replace"), np.uint8)
-        return out.T.copy()
-
-    x, y = codes(tops, w1, 1), codes(bottoms, w2, 2)
-    local = mode == "local"
-    zero = np.zeros(n, np.int32)
-    edge = lambda k: zero if local else np.full(n, gap_open + (k - 1) * gap_ext if k else 0, np.int32)
-    # trace: bits 0-1 come-from of H (0 stop, 1 diagonal, 2 up = gap in bottom, 3 left = gap in top), bit 2 up extends, bit 3 left extends
-    trace = np.zeros((w1 + 1, w2 + 1, n), np.uint8)
-    h_row = [edge(j) for j in range(w2 + 1)]
-    e_row = [np.full(n, _LOW, np.int32) for _ in range(w2 + 1)]
-    if not local:
-        trace[0, 1:], trace[1:, 0] = 3 | 8, 2 | 4
-        trace[0, 1:2], trace[1:2, 0] = 3, 2
-    best, best_i, best_j = zero.copy(), zero.copy(), zero.copy()
-    if not local:
-        best = np.full(n, _LOW, np.int32)
-        at_edge = len1 == 0
-        for j in range(w2 + 1):
-            hit = at_edge & (len2 == j)
-            best[hit], best_j[hit] = edge(j)[hit], j
-    for i in range(1, w1 + 1):
-        diagonal, h_row[0] = h_row[0], edge(i)
-        left_gap = np.full(n, _LOW, np.int32)
-        last_row = len1 == i
-        if not local:
-            hit = last_row & (len2 == 0)
-            best[hit], best_i[hit] = edge(i)[hit], i
-        for j in range(1, w2 + 1):
-            up_open, up_more = h_row[j] + gap_open, e_row[j] + gap_ext
-            up = np.maximum(up_open, up_more)
-            left_open, left_more = h_row[j - 1] + gap_open, left_gap + gap_ext
-            left_gap = np.maximum(left_open, left_more)
-            d = diagonal + np.where(x[i - 1] == y[j - 1], match, mismatch).astype(np.int32)
-            h = np.maximum(np.maximum(d, up), left_gap)
-            move = np.where(h == d, 1, np.where(h == up, 2, 3)).astype(np.uint8)
-            if local:
-                stop = h <= 0
-                h, move = np.where(stop, 0, h), np.where(stop, 0, move).astype(np.uint8)
-            trace[i, j] = move | ((up_more > up_open).astype(np.uint8) << 2) | ((left_more > left_open).astype(np.uint8) << 3)
-            e_row[j], diagonal, h_row[j] = up, h_row[j], h
-            if local:
-                better = (h > best) & (i <= len1) & (j <= len2)
-                best, best_i, best_j = np.where(better, h, best), np.where(better, i, best_i), np.where(better, j, best_j)
-            else:
-                hit = last_row & (len2 == j)
-                best[hit], best_i[hit], best_j[hit] = h[hit], i, j
-    return [_traced(trace[:, :, k], tops[k], bottoms[k], int(best[k]), int(best_i[k]), int(best_j[k])) for k in range(n)]
-
-
-def _traced(trace: np.ndarray, top: str, bottom: str, score: int, i: int, j: int) -> dict:
-    end1, end2, a, b, state = i, j, [], [], 0
-    while i > 0 or j > 0:
-        cell = int(trace[i, j])
+            out[k, : len(t)] = np.frombuffer(t.upper().encode("latin-1", "replace")[: len(t)], np.uint8)
+        return out
+
+    def edge(self, k: int) -> int:
+        return 0 if self.local or not k else self.open + (k - 1) * self.ext
+
+    def first(self) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of row 0, and of gaps that go down from it."""
+        row = np.array([self.edge(j) for j in range(self.w2 + 1)], np.int32)
+        return np.repeat(row[None], self.n, axis=0), np.full((self.n, self.w2 + 1), _LOW, np.int32)
+
+    def row(self, i: int, h: np.ndarray, up: np.ndarray, moves: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Row i from the one before; moves gets its cells: bits 0-1 come from (0 stop, 1 diagonal, 2 up, 3 left), bit 2 up extends, bit 3 left extends."""
+        letter = self.x[:, i - 1 : i]
+        worth = self.table[letter, self.y] if self.table is not None else np.where(letter == self.y, np.int32(self.match), np.int32(self.mismatch))
+        opened, longer = h[:, 1:] + np.int32(self.open), up[:, 1:] + np.int32(self.ext)
+        down = np.maximum(opened, longer)
+        diagonal = h[:, :-1] + worth
+        own = np.full((self.n, self.w2 + 1), self.edge(i), np.int32)
+        np.maximum(diagonal, down, out=own[:, 1:])
+        if self.local:
+            np.maximum(own, 0, out=own)
+        left = np.full((self.n, self.w2 + 1), _LOW, np.int32)
+        left[:, 1:] = np.maximum.accumulate(own - self.steps, axis=1)[:, :-1] + (self.steps[1:] + np.int32(self.open - self.ext))
+        new = np.maximum(own, left)
+        if moves is not None:
+            made = np.where(new[:, 1:] == diagonal, 1, np.where(new[:, 1:] == down, 2, 3)).astype(np.uint8)
+            if self.local:
+                made[new[:, 1:] <= 0] = 0
+            made |= (longer > opened).astype(np.uint8) << 2
+            made |= (left[:, :-1] + np.int32(self.ext) > new[:, :-1] + np.int32(self.open)).astype(np.uint8) << 3
+            moves[:, 1:] = made
+            moves[:, 0] = 0 if self.local else 2 if i == 1 else 2 | 4
+        extended = np.empty_like(up)
+        extended[:, 0], extended[:, 1:] = _LOW, down
+        return new, extended
+
+    def edge_moves(self) -> np.ndarray:
+        out = np.zeros((self.n, self.w2 + 1), np.uint8)
+        if not self.local:
+            out[:, 1:] = 3 | 8
+            out[:, 1:2] = 3
+        return out
+
+
+class _Best:
+    """The best end of each pair so far: in local mode the greatest score, the first of equals by row, then column; else the last cell."""
+
+    def __init__(self, rows: _Rows, h: np.ndarray):
+        self.rows, n = rows, rows.n
+        self.score, self.i, self.j = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if not rows.local:
+            self.take(0, h)
+
+    def take(self, i: int, h: np.ndarray) -> None:
+        r = self.rows
+        if r.local:
+            if not r.w2:
+                return
+            valid = np.where(r.valid, h[:, 1:], 0)
+            j = valid.argmax(axis=1)
+            top = valid[np.arange(r.n), j]
+            better = (top > self.score) & (i <= r.len1)
+            self.score[better], self.i[better], self.j[better] = top[better], i, j[better] + 1
+        else:
+            here = np.flatnonzero(r.len1 == i)
+            self.score[here], self.i[here], self.j[here] = h[here, r.len2[here]], i, r.len2[here]
+
+
+def align_batch(tops: list[str], bottoms: list[str], mode: str = "local", scores: tuple[int, int, int, int] | Matrix = SCORES["reads"]) -> list[dict]:
+    """Best alignment of each pair (first of equals by the order diagonal, gap in bottom, gap in top)."""
+    if not tops:
+        return []
+    rows = _Rows(tops, bottoms, mode, scores)
+    if rows.n == 1 and (rows.w1 + 1) * (rows.w2 + 1) > CELLS:
+        return [_align_long(rows, tops[0], bottoms[0], mode, scores)]
+    h, up = rows.first()
+    moves = np.empty((rows.w1 + 1, rows.n, rows.w2 + 1), np.uint8)
+    moves[0] = rows.edge_moves()
+    best = _Best(rows, h)
+    for i in range(1, rows.w1 + 1):
+        h, up = rows.row(i, h, up, moves[i])
+        best.take(i, h)
+    out = []
+    for k in range(rows.n):
+        path, i, j, _ = _walk(moves[:, k], 0, int(best.i[k]), int(best.j[k]), 0)
+        out.append(_measures(tops[k], bottoms[k], path[::-1], int(best.score[k]), i, int(best.i[k]), j, int(best.j[k])))
+    return out
+
+
+def _align_long(rows: _Rows, top: str, bottom: str, mode: str, scores: tuple[int, int, int, int] | Matrix) -> dict:
+    """One long pair: a first pass keeps every ``step``-th row; from the best end back, the moves of one interval at a time are made again.
+
+    Memory is about width * sqrt(height) * 6 bytes, time twice that of the scores; the alignment is the same as with all moves at hand.
+    """
+    step = max(1, int((8 * rows.w1) ** 0.5))
+    h, up = rows.first()
+    best, kept = _Best(rows, h), {0: (h, up)}
+    for i in range(1, rows.w1 + 1):
+        h, up = rows.row(i, h, up, None)
+        best.take(i, h)
+        if i % step == 0:
+            kept[i] = (h, up)
+    i, j, state, path = int(best.i[0]), int(best.j[0]), 0, []
+    while True:
+        base = max(0, (i - 1) // step * step)
+        part = _Rows([top[:i]], [bottom[:j]], mode, scores)
+        h, up = (a[:, : j + 1] for a in kept[base])
+        moves = np.empty((i - base + 1, 1, j + 1), np.uint8)
+        moves[0] = part.edge_moves()
+        for k in range(base + 1, i + 1):
+            h, up = part.row(k, h, up, moves[k - base])
+        more, i, j, state = _walk(moves[:, 0], base, i, j, state)
+        path += more
+        if base == 0 or state is None:
+            break
+    return _measures(top, bottom, path[::-1], int(best.score[0]), i, int(best.i[0]), j, int(best.j[0]))
+
+
+def _walk(moves: np.ndarray, base: int, i: int, j: int, state: int) -> tuple[list[int], int, int, int | None]:
+    """(moves, last first; row, column, open gap) from (i, j) back to row base, or to where the alignment begins (open gap None)."""
+    path = []
+    while i > base or (base == 0 and j > 0):
+        cell = int(moves[i - base, j])
         move = state or cell & 3
         if move == 0:
-            break
+            return path, i, j, None
+        path.append(move)
         if move == 1:
             i, j, state = i - 1, j - 1, 0
-            a.append(top[i])
-            b.append(bottom[j])
         elif move == 2:
-            state = 2 if cell & 4 else 0
-            i -= 1
-            a.append(top[i])
-            b.append("-")
+            i, state = i - 1, 2 if cell & 4 else 0
         else:
-            state = 3 if cell & 8 else 0
-            j -= 1
-            a.append("-")
-            b.append(bottom[j])
-    return _measures("".join(reversed(a)), "".join(reversed(b)), score, i, end1, j, end2, len(top), len(bottom))
+            j, state = j - 1, 3 if cell & 8 else 0
+    return path, i, j, state
+
+
+def _measures(top: str, bottom: str, path: list[int], score: int, b1: int, e1: int, b2: int, e2: int) -> dict:
+    moves = np.array(path, np.uint8)
 
+    def gapped(text: str, begin: int, gap: int) -> np.ndarray:
+        out = np.full(len(moves), ord("-"), np.uint32)
+        held = moves != gap
+        out[held] = np.frombuffer(text[begin : begin + int(held.sum())].encode("utf-32-le"), np.uint32)
+        return out
 
-def _gaps(text: str) -> tuple[int, int]:
-    parts = [p for p in text.replace("-", "\0").split("\0")]
-    runs = sum(1 for k, c in enumerate(text) if c == "-" and (k == 0 or text[k - 1] != "-"))
-    return runs, len(text) - sum(map(len, parts))
+    a, b = gapped(top, b1, 3), gapped(bottom, b2, 2)
+    upper = lambda x: np.where((x >= 97) & (x <= 122), x - 32, x)
+    same = int(((upper(a) == upper(b)) & (a != 45)).sum())
 
+    def gaps(row: np.ndarray) -> tuple[int, int, int, int]:
+        """Runs of gaps, gap columns, those at the begin and at the end."""
+        gap = row == 45
+        letters = np.flatnonzero(~gap)
+        lead, trail = (int(letters[0]), len(row) - 1 - int(letters[-1])) if len(letters) else (len(row), len(row))
+        return int((gap & ~np.append(False, gap[:-1])).sum()) if len(row) else 0, int(gap.sum()), lead, trail
 
-def _measures(a: str, b: str, score: int, b1: int, e1: int, b2: int, e2: int, n1: int, n2: int) -> dict:
-    same = sum(x == y and x != "-" for x, y in zip(a.upper(), b.upper(), strict=True))
-    (g1, l1), (g2, l2) = _gaps(a), _gaps(b)
-    inner = len(a) - max(len(a) - len(a.lstrip("-")), len(b) - len(b.lstrip("-"))) - max(len(a) - len(a.rstrip("-")), len(b) - len(b.rstrip("-")))
+    (g1, l1, h1, t1), (g2, l2, h2, t2) = gaps(a), gaps(b)
     share = lambda n: same / n if n > 0 else 0.0
+    text = lambda row: row.astype("<u4").tobytes().decode("utf-32-le")
     return {
-        "score": score, "identical": same, "alnlen": len(a), "identity": share(len(a)), "nogap_identity": share(len(a) - l1 - l2), "noterm_identity": share(inner),
-        "cov_ref": (e1 - b1) / n1 if n1 else 0.0, "cov_read": (e2 - b2) / n2 if n2 else 0.0, "ref_begin": b1, "ref_end": e1 - 1, "read_begin": b2, "read_end": e2 - 1,
-        "gaps_ref": g1, "gaps_read": g2, "gaplen_ref": l1, "gaplen_read": l2, "top": a, "bottom": b,
+        "score": score, "identical": same, "alnlen": len(a), "identity": share(len(a)), "nogap_identity": share(len(a) - l1 - l2), "noterm_identity": share(len(a) - max(h1, h2) - max(t1, t2)),
+        "cov_ref": (e1 - b1) / len(top) if top else 0.0, "cov_read": (e2 - b2) / len(bottom) if bottom else 0.0, "ref_begin": b1, "ref_end": e1 - 1, "read_begin": b2, "read_end": e2 - 1,
+        "gaps_ref": g1, "gaps_read": g2, "gaplen_ref": l1, "gaplen_read": l2, "top": text(a), "bottom": text(b),
     }
 
 
-def align_pairs(pairs: DataFrame, mode: str = "local", scores: tuple[int, int, int, int] = SCORES["reads"], ref: str = "ref_seq", read: str = "read_seq") -> DataFrame:
+def align_pairs(pairs: DataFrame, mode: str = "local", scores: tuple[int, int, int, int] | Matrix = SCORES["reads"], ref: str = "ref_seq", read: str = "read_seq") -> DataFrame:
     """pairs with the columns of RESULT. Null sequences count as empty."""
     schema = T.StructType([*pairs.schema.fields, *T._parse_datatype_string(RESULT).fields])
     names = [f.name for f in T._parse_datatype_string(RESULT).fields]
@@ -140,6 +264,8 @@ def align_pairs(pairs: DataFrame, mode: str = "local", scores: tuple[int, int, i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             at = 0
+            # pairs of like size together
+            pdf = pdf.iloc[np.lexsort((pdf[read].fillna("").str.len(), pdf[ref].fillna("").str.len()))]
             tops, bottoms = pdf[ref].fillna("").tolist(), pdf[read].fillna("").tolist()
             while at < len(pdf):
                 end = at + 1
@@ -283,7 +409,7 @@ def text_under(top: str, bottom: str, ref_begin: int, begin: int, end: int) -> s
     return "".join(out) if seen == end - begin + 1 else None
 
 
-def map_site(sites: DataFrame, proteins: DataFrame, references: DataFrame, scores: tuple[int, int, int, int] = SCORES["global"]) -> DataFrame:
+def map_site(sites: DataFrame, proteins: DataFrame, references: DataFrame, scores: tuple[int, int, int, int] | Matrix = SCORES["global"]) -> DataFrame:
     """Sites (protein_id, refs ``a|b``, residue, position) with the reference's residue under the position and whether it is valid, or why not."""
     rows = sites.withColumn("ref_id", F.explode(F.split("refs", r"\|"))).join(proteins.select("protein_id", F.col("seq").alias("ref_seq")), "protein_id").join(references.select("ref_id", F.col("seq").alias("read_seq")), "ref_id")
     aligned = align_pairs(rows, "global", scores)

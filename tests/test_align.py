@@ -106,3 +106,82 @@ def test_fish_and_flanks(spark):
     assert got == {"f": ("forward", "perfect"), "b": ("backward", "perfect"), "d": ("forward", "defect"), "n": ("none", "none")}
     flanks = align.locate_flanks(reads.filter("read_id = 'f'"), "ACGTTGCAAC", "GGTTAACCGG").first()
     assert flanks["left_ok"] and flanks["right_ok"] and flanks["insert_len"] == 0
+
+
+def pairs_of(seed, n, size):
+    rng = random.Random(seed)
+    made = lambda: "".join(rng.choices("ACGTNacg", k=rng.randrange(size)))
+    tops = [made() for _ in range(n)]
+    return tops, [rng.choice([t[4:], t[:6] + t[9:], t + t[:3], made()]) for t in tops]
+
+
+@pytest.mark.parametrize("mode", ["local", "global"])
+def test_long_pairs_align_like_short_ones(monkeypatch, mode):
+    tops, bottoms = pairs_of(3, 60, 90)
+    for scores in align.SCORES.values():
+        whole = align.align_batch(tops, bottoms, mode, scores)
+        monkeypatch.setattr(align, "CELLS", 0)  # rows at intervals, moves made again
+        assert [align.align_batch([t], [b], mode, scores)[0] for t, b in zip(tops, bottoms, strict=True)] == whole
+        monkeypatch.setattr(align, "CELLS", 24_000_000)
+
+
+def test_long_pairs_take_little_memory(monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(4)
+    a = "".join(rng.choices("ACGT", k=6000))
+    b = a[:1500] + a[1540:4000] + "GATTACA" + a[4000:]
+    monkeypatch.setattr(align, "CELLS", 1_000_000)
+    tracemalloc.start()
+    got = align.align_batch([a], [b], "global")[0]
+    assert tracemalloc.get_traced_memory()[1] < 30_000_000  # all moves would be 36 MB, of 100,000 letters 10 GB
+    tracemalloc.stop()
+    assert (got["gaplen_read"], got["gaplen_ref"], got["identical"]) == (40, 7, 5960)
+
+
+def slow_matrix_score(a, b, score, go, ge):
+    h = {(0, 0): 0}
+    e, f, low = {}, {}, -(10**9)
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            e[i, j] = max(h[i - 1, j] + go, e[i - 1, j] + ge) if i else low
+            f[i, j] = max(h[i, j - 1] + go, f[i, j - 1] + ge) if j else low
+            if i or j:
+                h[i, j] = max(e[i, j], f[i, j], h[i - 1, j - 1] + score(a[i - 1], b[j - 1]) if i and j else low)
+    return h[len(a), len(b)]
+
+
+TEXT = """# letters and their scores
+   A  R  W  *
+A  4 -1 -3 -4
+R -1  5 -3 -4
+W -3 -3 11 -4
+* -4 -4 -4  1
+"""
+
+
+def test_protein_matrix():
+    rng = random.Random(5)
+    read = align.read_matrix(TEXT, -6, -2)
+    known = {("A", "A"): 4, ("A", "R"): -1, ("A", "W"): -3, ("R", "R"): 5, ("R", "W"): -3, ("W", "W"): 11}
+    score = lambda x, y: known.get((x, y), known.get((y, x), -4))
+    tops = ["".join(rng.choices("ARWK", k=rng.randrange(1, 14))) for _ in range(60)]
+    bottoms = ["".join(rng.choices("ARW", k=rng.randrange(1, 14))) for _ in tops]
+    for a, b, got in zip(tops, bottoms, align.align_batch(tops, bottoms, "global", read), strict=True):
+        assert got["score"] == slow_matrix_score(a, b, score, -6, -2)
+    groups = align.group_matrix()
+    assert [groups.table[ord(x), ord(y)] for x, y in ("II", "IV", "IW", "XA", "AX")] == [5, 1, -3, 0, 0]
+    for bad in ("", "A R\nA 1", "# only"):
+        with pytest.raises(ValueError):
+            align.read_matrix(bad)
+    with pytest.raises(ValueError):
+        align.align_batch(["A"], ["A"], "local", (5, -4, -1, -3))
+
+
+def test_sites_are_mapped_with_a_matrix(spark):
+    # like residues hold the alignment together where plain matches would not
+    sites = spark.createDataFrame([("p", "r", "S", 6)], "protein_id string, refs string, residue string, position int")
+    proteins = spark.createDataFrame([("p", "MKLIVSTGDE")], "protein_id string, seq string")
+    references = spark.createDataFrame([("r", "MRIVLSAGEE")], "ref_id string, seq string")
+    row = align.map_site(sites, proteins, references, align.group_matrix()).first()
+    assert (row["found"], row["valid"]) == ("S", True)
