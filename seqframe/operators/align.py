@@ -282,20 +282,37 @@ def align_pairs(pairs: DataFrame, mode: str = "local", scores: tuple[int, int, i
     return pairs.mapInPandas(run, schema)
 
 
-def kmers(seq: str | Column, k: int) -> Column:
+def every_kmer(seq: str | Column, k: int) -> Column:
     s = S.col(seq)
-    return F.when(F.length(s) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k))))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.length(s) >= k, F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+
+def kmers(seq: str | Column, k: int) -> Column:
+    return F.array_distinct(every_kmer(seq, k))
 
 
 def seed_pairs(reads: DataFrame, refs: DataFrame, k: int = 12, shared: int = 2, both_strands: bool = True) -> DataFrame:
-    """(read_id, ref_id, strand): pairs with at least ``shared`` common k-mers, by equi-join."""
+    """(read_id, ref_id, strand): pairs where at least ``shared`` places of the read begin a k-mer that the reference has, by equi-join."""
     forward = reads.select("read_id", F.lit("+").alias("strand"), F.upper("seq").alias("seq"))
     both = forward.unionByName(reads.select("read_id", F.lit("-").alias("strand"), F.upper(S.revcomp("seq")).alias("seq"))) if both_strands else forward
-    left = both.select("read_id", "strand", F.explode(kmers("seq", k)).alias("kmer"))
+    left = both.select("read_id", "strand", F.explode(kmers("seq", k) if shared < 2 else every_kmer("seq", k)).alias("kmer"))
     right = refs.select("ref_id", F.explode(kmers(F.upper("seq"), k)).alias("kmer"))
     return left.join(right, "kmer").groupBy("read_id", "ref_id", "strand").agg(F.count("*").alias("n")).filter(F.col("n") >= shared).drop("n")
 
 
+def _errors(identity: float, n: int) -> int:
+    """Most columns that may differ among n."""
+    return next(e for e in range(n, -1, -1) if (n - e) / n >= identity)
+
+
+def shared_kmers(identity: float, length: int, k: int) -> int:
+    """Places of a read that begin a common k-mer in any alignment with these cuts: each differing column spoils k of them.
+
+    Of the lengths where one more column may differ the first has fewest; 1 at least, as ``lossless_seed`` grants.
+    """
+    return max(1, min(n - k + 1 - k * _errors(identity, n) for n in range(length, length + int(2 / max(1 - identity, 0.01)) + 2)))
+
+
 def lossless_seed(identity: float, length: int) -> int:
     """Letters that any alignment with these cuts has in one exact run, by the pigeonhole rule; 0 if under 4.
 
@@ -306,7 +323,7 @@ def lossless_seed(identity: float, length: int) -> int:
         return 0
     least = length
     for n in range(length, length + int(2 / max(1 - identity, 0.01)) + 2):
-        e = next(e for e in range(n, -1, -1) if (n - e) / n >= identity)
+        e = _errors(identity, n)
         least = min(least, -((e - n) // (e + 1)))
     return least if least >= 4 else 0
 

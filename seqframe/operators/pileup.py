@@ -2,34 +2,84 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqframe.functions import sequence as S
 from seqframe.sources.paths import shared_folder
 
 
+#: Alignment columns that a task works on at once.
+COLUMNS = 1 << 20
+
+
+def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after another, and where each begins; one byte a letter."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8), offsets - offsets[0]
+
+
+def _texts(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def _columns(batch: pa.RecordBatch, quality: bool) -> list[pa.Array]:
+    """Columns of all positions of a batch of alignments, by running counts over their letters."""
+    (top, first), (bottom, _) = _letters(batch.column("t")), _letters(batch.column("b"))
+    row = np.repeat(np.arange(len(batch)), np.diff(first))
+    place = top != 45
+    at = np.flatnonzero(place)
+    owner = row[at]
+    before = np.concatenate([[0], np.cumsum(place)])
+    pos = batch.column("ref_begin").to_numpy()[owner] + before[at] - before[first[owner]] + 1
+    # what stands between two positions of a row belongs to the first of them
+    extra = np.flatnonzero(~place & (bottom != ord("X")) & (bottom != 45))
+    behind = before[extra] - 1
+    extra = extra[(behind >= 0) & (row[at[behind]] == row[extra])] if len(at) else extra[:0]
+    inserted = np.bincount(before[extra] - 1, minlength=len(at)) if len(at) else np.empty(0, np.int64)
+    take = pa.array(owner)
+    out = [batch.column("read_id").take(take), batch.column("ref_id").take(take), pa.array(pos.astype(np.int32)), batch.column("w").take(take), _texts(bottom[at], np.ones(len(at), np.int64)), _texts(bottom[extra], inserted)]
+    if quality:
+        letter = (bottom != 45) & ~((bottom >= 97) & (bottom <= 122))
+        read = np.concatenate([[0], np.cumsum(letter)])
+        lists = batch.column("qs")
+        begin, size = lists.offsets.to_numpy()[:-1].astype(np.int64), np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+        index = batch.column("rb").to_numpy()[owner] + read[at] - read[first[owner]]
+        known = (index >= 0) & (index < size[owner])
+        value = lists.values.take(pa.array(np.where(known, begin[owner] + index, 0), mask=~known))
+        lower = pc.floor(pc.multiply(value.cast(pa.float64()), 0.8)).cast(pa.int32())
+        out.append(pc.if_else(pa.array(bottom[at] == 45), lower, value.cast(pa.int32())))
+    return out
+
+
 def alignment_columns(alignments: DataFrame, weight: str | None = None, quality: str | None = None) -> DataFrame:
-    """(read_id, ref_id, pos, base, ins, w[, q]): one row a reference position (1-based) of each alignment; ``ins`` is what the read has after it.
+    """(read_id, ref_id, pos, w, base, ins[, q]): one row a reference position (1-based) of each alignment; ``ins`` is what the read has after it.
 
-    X marks a spurious insertion and is left out. The positions are made within the row: each letter of the reference and the
-    gaps after it are one piece. ``quality`` names the read's array of qualities, in the direction of the alignment;
+    X marks a spurious insertion and is left out. The work is linear in the alignment: places are running counts over its letters.
+    ``quality`` names the read's array of qualities, in the direction of the alignment;
     q is that of the base, at a filled (lower-case) base that of the next one, at a gap 0.8 of the next one's, rounded down.
     """
-    top = F.col("top")
-    rows = alignments.select("read_id", "ref_id", "ref_begin", top.alias("t"), F.col("bottom").alias("b"), (F.col(weight) if weight else F.lit(1)).alias("w"), *([F.col(quality).alias("qs"), F.col("read_begin").alias("rb")] if quality else []))
-    rows = rows.withColumn("lead", F.length("t") - F.length(F.ltrim(F.col("t"), F.lit("-")))).withColumn("pieces", F.regexp_extract_all("t", F.lit("([^-]-*)")))
-    at = F.transform("pieces", lambda x, j: F.struct((F.col("lead") + F.length(F.array_join(F.slice("pieces", F.lit(1), j), "")) + 1).alias("at"), F.length(x).alias("n")))
-    rows = rows.withColumn("at", at).select("*", F.posexplode("at").alias("j", "x"))
-    base = F.substring(F.col("b"), F.col("x.at"), F.lit(1))
-    extra = F.replace(F.substring(F.col("b"), F.col("x.at") + 1, F.col("x.n") - 1), F.lit("X"), F.lit(""))
-    out = [F.col("read_id"), F.col("ref_id"), (F.col("ref_begin") + F.col("j") + 1).alias("pos"), F.col("w"), base.alias("base"), extra.alias("ins")]
-    if quality:
-        read = F.length(F.regexp_replace(F.substring(F.col("b"), F.lit(1), F.col("x.at")), "[-a-z]", ""))
-        own = base.rlike("[A-Z]")
-        q = F.try_element_at("qs", (F.col("rb") + read + F.when(own, 0).otherwise(1)).cast("int"))
-        out.append(F.when(base == "-", F.floor(q * 0.8)).otherwise(q).cast("int").alias("q"))
-    return rows.select(*out)
+    plain = F.coalesce("top", F.lit("")), F.coalesce("bottom", F.lit(""))
+    rows = alignments.select("read_id", "ref_id", F.col("ref_begin").cast("int"), plain[0].alias("t"), plain[1].alias("b"), (F.col(weight) if weight else F.lit(1)).alias("w"), *([F.col(quality).alias("qs"), F.col("read_begin").cast("int").alias("rb")] if quality else []))
+    schema = T.StructType([rows.schema["read_id"], rows.schema["ref_id"], T.StructField("pos", T.IntegerType()), rows.schema["w"], T.StructField("base", T.StringType()), T.StructField("ins", T.StringType()), *([T.StructField("q", T.IntegerType())] if quality else [])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, at = np.cumsum(np.asarray(pc.binary_length(batch.column("t"))).astype(np.int64)), 0
+            while at < len(batch):
+                end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + COLUMNS, side="right")))
+                yield pa.RecordBatch.from_arrays(_columns(batch.slice(at, end - at), bool(quality)), names=schema.names)
+                at = end
+
+    return rows.mapInArrow(run, schema)
 
 
 def quality_table(columns: DataFrame) -> DataFrame:

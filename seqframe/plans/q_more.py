@@ -383,7 +383,8 @@ def _c46(spark, sf_dir):
     changed = [x for k in range(13) for x in (F.translate(F.substring("y", 161 + 12 * k, 1), "ACGT", "CGTA"), F.substring("y", 162 + 12 * k, 11 if k < 12 else 15))]
     made = [("", "", F.col("seq"), F.col("seq")), ("", "x", F.col("seq"), F.concat("tail", F.lit("N"), "seq")), ("l", "y", F.col("y"), F.concat(F.substring("y", 1, 160), *changed))]
     rows = r.select(F.explode(F.array(*[F.struct(F.concat("ref_id", F.lit(a)).alias("ref_id"), F.concat("ref_id", F.lit(b)).alias("read_id"), c.alias("ref_seq"), d.alias("read_seq"), F.lit("+").alias("strand")) for a, b, c, d in made])).alias("p")).select("p.*")
-    aligned = align.align_pairs(rows, "local", align.SCORES["consensus"]).drop("ref_seq", "read_seq")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    aligned = align.align_pairs(rows.repartition(n, "read_id"), "local", align.SCORES["consensus"]).drop("ref_seq", "read_seq")
     return gaps.merge_decision(aligned, rows.select("read_id", F.col("read_seq").alias("seq")), 0.95, 40)
 
 

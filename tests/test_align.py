@@ -185,3 +185,19 @@ def test_sites_are_mapped_with_a_matrix(spark):
     references = spark.createDataFrame([("r", "MRIVLSAGEE")], "ref_id string, seq string")
     row = align.map_site(sites, proteins, references, align.group_matrix()).first()
     assert (row["found"], row["valid"]) == ("S", True)
+
+
+def test_no_alignment_has_fewer_common_kmers():
+    rng = random.Random(11)
+    for identity, length in ((0.95, 60), (0.9, 40), (0.8, 25)):
+        k = align.lossless_seed(identity, length)
+        least = align.shared_kmers(identity, length, k)
+        for _ in range(300):
+            n = rng.randrange(length, length + 30)
+            a = "".join(rng.choices("AC" if rng.random() < 0.5 else "ACGT", k=n))
+            b, wrong = list(a), next(e for e in range(n, -1, -1) if (n - e) / n >= identity)
+            for at in rng.sample(range(n), wrong):  # spread evenly or not
+                b[at] = rng.choice(["N", ""])
+            b = "".join(b)
+            grams = {a[i : i + k] for i in range(n - k + 1)}
+            assert sum(b[i : i + k] in grams for i in range(len(b) - k + 1)) >= least
