@@ -257,15 +257,26 @@ def trim_n_halves(seq: str | Column, least: int = 28) -> Column:
     return F.when(F.length(s) >= least, s)
 
 
-# Letters that go with one N, two, ... at the head and at the tail.
+# Letters that go with one N, two, ... at the head and at the tail; a tail after five Ns goes whatever its length.
 N_HEADS = "^(?:[ACGT]{0,10}N|[ACGT]{0,30}NN|[ACGT]{0,90}NNN)+"
-N_TAILS = "(?:NNNNN[ACGTN]*|NNNN[ACGTN]{0,270}|NNN[ACGTN]{0,90}|NN[ACGTN]{0,30}|N[ACGTN]{0,10})$"
+N_TAILS = (10, 30, 90, 270)
 
 
-def trim_n_by_distance(seq: str | Column, rounds: int = 6) -> Column:
-    """Heads and tails with Ns near the end cut, the further in the more Ns there are; tails are cut up to ``rounds`` times, the longest first."""
+def trim_n_by_distance(seq: str | Column) -> Column:
+    """Heads and tails with Ns near the end cut, the further in the more Ns there are, until nothing is left to cut.
+
+    A run of Ns goes, with all that follows it, if no more letters lie between it and the end than its length allows. The runs are
+    taken from the last to the first, each against the end that is left then.
+    """
     s = F.regexp_replace(col(seq), N_HEADS, "")
-    return reduce(lambda s, _: F.regexp_replace(s, N_TAILS, ""), range(rounds), s)
+    runs = F.transform(F.regexp_extract_all(s, F.lit("(N+)[^N]*")), lambda x: F.length(x))
+    pieces = F.transform(F.regexp_extract_all(s, F.lit("(N+[^N]*)")), lambda x: F.length(x))
+    both = F.reverse(F.arrays_zip(runs.alias("run"), pieces.alias("piece")))
+    limit = lambda run: F.coalesce(F.get(F.array(*map(F.lit, N_TAILS)), run - 1), F.lit(1 << 30))
+    # the letters between the run and the end: those after it in its piece, and what is left of the later pieces
+    left = F.aggregate(both, F.lit(0), lambda t, x: F.when(x["piece"] - x["run"] + t <= limit(x["run"]), 0).otherwise(x["piece"] + t))
+    gone = F.aggregate(pieces, F.lit(0), lambda t, x: t + x) - left
+    return F.substring(s, F.lit(1), F.length(s) - gone)
 
 
 def trim_vector_x(seq: str | Column, edge: int = 40, least: int = 35) -> Column:

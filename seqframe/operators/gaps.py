@@ -68,21 +68,22 @@ def correct_gaps(top: str, bottom: str) -> tuple[str, str]:
             if end == at or (end - at) % 3 == 0:
                 at = max(end, at + 1)
                 continue
-            if top[at] == "-":
-                if in_homopolymer("".join(out), top, at, end):
-                    out[at:end] = "X" * (end - at)
-            elif "-" not in top[max(0, at - NEAR) : at + NEAR]:
+            if top[at] == "-" and in_homopolymer("".join(out), top, at, end):
+                out[at:end] = "X" * (end - at)
+            elif top[at] != "-" and "-" not in top[max(0, at - NEAR) : at + NEAR]:
                 if end - at <= FILLED or in_homopolymer(top, "".join(out), at, end):
                     out[at:end] = top[at:end].lower()
             else:
-                # one letter at a time, as each fill changes what the next one sees
-                for k in range(at, end):
-                    single = k + 1 >= len(out) or out[k + 1] != "-"
-                    partner = _partner(top, out, k) if single else None
+                # one letter at a time: what is left of the gap is looked at anew, and kept once it is a multiple of three
+                if top[at] != "-":
+                    single = at + 1 >= len(out) or out[at + 1] != "-"
+                    partner = _partner(top, out, at) if single else None
                     if partner is not None:
-                        out[partner], out[k] = "X", top[k].lower()
-                    elif _repeats_beside(top, out, k):
-                        out[k] = top[k].lower()
+                        out[partner], out[at] = "X", top[at].lower()
+                    elif _repeats_beside(top, out, at):
+                        out[at] = top[at].lower()
+                at += 1
+                continue
             at = end
     return top, "".join(out)
 

@@ -27,23 +27,6 @@ def route_by_taxonomy(entries: DataFrame, division_of: DataFrame, default: str =
     return entries.join(first, name, "left").withColumn("division", F.coalesce("division", F.lit(default)))
 
 
-def ancestors(edges: DataFrame, levels: int = 64) -> DataFrame:
-    """(taxid, ancestor, depth): every taxon with itself and all above it."""
-    spark = edges.sparkSession
-    up = edges.select("taxid", F.col("parent"))
-    return spark.sql(
-        """
-        with recursive climb(taxid, ancestor, depth) as (
-            select taxid, taxid, 0 from {edges}
-            union all
-            select c.taxid, e.parent, c.depth + 1 from climb c join {edges} e on c.ancestor = e.taxid where e.parent is not null and c.depth < """
-        + str(int(levels))
-        + """)
-        select * from climb""",
-        edges=up,
-    )
-
-
 def below(edges: DataFrame, root: int) -> DataFrame:
     """(taxid): the root and all taxa under it, a join a level, each level written to the shared folder until one is empty."""
     spark = edges.sparkSession

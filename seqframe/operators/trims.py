@@ -283,8 +283,8 @@ def clean_est(df: DataFrame, least: int = 32, seq: str = "seq") -> DataFrame:
 
 
 def clean_vector_est(df: DataFrame, least: int = 35, seq: str = "seq") -> DataFrame:
-    """Vector X and N off, poly tails exposed, low complexity and peaks cut."""
-    df = df.withColumn(seq, S.trim_n_ends(S.trim_vector_x(seq, least=least))).filter(F.col(seq).isNotNull())
+    """Vector X off, N by distance, poly tails exposed, low complexity and peaks cut."""
+    df = df.withColumn(seq, S.trim_n_by_distance(S.trim_vector_x(seq, least=least))).filter(F.col(seq).isNotNull())
     df = df.withColumn(seq, S.expose_poly_tail(seq)).filter(F.length(seq) >= least)
     df = complexity_trim(df, 20, least=least, seq=seq).filter("code not in (-1, 1)").drop("code")
     return cut_peak(df, seq=seq).filter(F.length(seq) >= least)

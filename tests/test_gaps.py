@@ -1,5 +1,8 @@
 """Gap correction, repeats under a bait, stems, merge decisions, second-round genotypes, trims of text."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +158,33 @@ def test_n_rules(spark):
     assert near[1] == body and near[0] == body and near[2] == body and near[4] == "ACG" and near[5] == ""
     tail = "ACGT" * 120 + "A" * 20 + "N" + "A" * 20 + "CGTACGTC" * 60
     assert spark.createDataFrame([(tail,)], "seq string").select(S.expose_poly_tail("seq")).first()[0] == tail[: 480 + 41]
+
+
+def loop_trim_n(s):
+    """Rule after rule on the text, until none applies."""
+    while any((t := re.sub(rule, "", s, count=1)) != s and [s := t] for rule in ("^[ACGT]{0,10}N", "^[ACGT]{0,30}NN", "^[ACGT]{0,90}NNN")):
+        pass
+    while any((t := re.sub(rule, "", s, count=1)) != s and [s := t] for rule in ("N[ACGTN]{0,10}$", "NN[ACGTN]{0,30}$", "NNN[ACGTN]{0,90}$", "NNNN[ACGTN]{0,270}$", "NNNNN[ACGTN]*$")):
+        pass
+    return s
+
+
+def test_n_by_distance_goes_on_to_the_end(spark):
+    rng = random.Random(3)
+    body = "".join(rng.choices("ACGT", k=120))
+    texts = [body + "".join("N" + "".join(rng.choices("ACGT", k=10)) for _ in range(20)), body, "N" * 50, "", "NNNNN" + body]
+    for _ in range(150):
+        texts.append("".join("N" * rng.choice([1, 1, 1, 2, 3, 4, 6]) + "".join(rng.choices("ACGT", k=rng.choice([0, 3, 9, 11, 12, 29, 33, 80, 95, 260, 290]))) for _ in range(rng.randrange(1, 9))))
+        texts.append("".join(rng.choices("ACGT", k=rng.choice([5, 15, 40, 100]))) + texts[-1])
+    got = [r["v"] for r in spark.createDataFrame(list(enumerate(texts)), "k int, seq string").select("k", S.trim_n_by_distance("seq").alias("v")).orderBy("k").collect()]
+    assert got == [loop_trim_n(t) for t in texts] and got[0] == body
+
+
+def test_what_is_left_of_a_gap_is_looked_at_anew():
+    # four letters are missing before TTT, beside an insertion: one repeat letter is filled at most, a codon's gap stays
+    top, bottom = "ACGGA-CATCGACGTTTGCATG", "ACGGAGCATC----TTTGCATG"
+    fixed = gaps.correct_gaps(top, bottom)[1]
+    assert fixed[5] == "G" and fixed[11:14] == "---"
+    # of an insertion of two only the letter that repeats its neighbour is spurious
+    assert gaps.correct_gaps("ACGT--AACGT", "ACGTGAAACGT")[1] == "ACGTGXAACGT"
+    assert gaps.correct_gaps("ACGT----CGT", "ACGTGACTCGT")[1] == "ACGTGACTCGT"
