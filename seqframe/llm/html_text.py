@@ -34,14 +34,6 @@ from pyspark.sql import functions as F
 
 from seqframe.llm.common import add_columns, field, quoted
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|svg|iframe|title|xmp|noembed|noframes)\b.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)(?:>|\Z)"
-    r"|<[!?/][^>]*+(?:>|\Z)",
-    re.IGNORECASE | re.DOTALL,
-)
 _NAMED = re.compile(r"\b(?:class|id|role|aria-label|itemprop|name|data-[\w-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -70,6 +62,18 @@ CONTENT_WORDS = frozenset("article content main post entry story body text prose
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "option": {"select"}}
 
+#: What ends an element that isn't closed and doesn't show what it holds: the next tag of a block or of running text.
+_ENDS = r"</?(?:" + "|".join(sorted(BLOCK | set("span em strong b i u s small code sub sup img br".split()))) + r")(?=[\s/>])"
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style|xmp|noembed|noframes)\b.*?(?:</\1\s*>|\Z)"
+    r"|<(svg|template|iframe|title)(?=[\s/>])(?:[^<>]*/>|(?:(?!<\2(?=[\s/>])).)*?</\2\s*>|(?:(?!" + _ENDS + r").)*)"
+    r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)",
+    re.IGNORECASE | re.DOTALL,
+)
+
 FEATURES = (
     "element", "boiler_tag", "content_tag", "paragraph", "heading", "list", "boiler_word", "content_word", "hidden", "links_some", "links_most", "long", "longer",
     "run", "run_links_some", "run_links_most", "run_short", "run_long", "run_longer", "run_sentence", "run_notice", "run_in_paragraph", "run_in_heading", "in_boiler",
@@ -121,13 +125,13 @@ class Page:
             if match.start() > at:
                 self._data(source[at : match.start()])
             at = match.end()
-            name = match[3] or match[6]
+            name = match[4] or match[7]
             if name:
                 name = name.lower()
-                if match[2] or match[5]:
+                if match[3] or match[6]:
                     self._close(name)
                 else:
-                    self._open(name, match[4] or match[7] or "")
+                    self._open(name, match[5] or match[8] or "")
         if at < len(source):
             self._data(source[at:])
         self._flush()
@@ -348,11 +352,16 @@ def _most_likely(cases: list, steps: int, rate: float, ridge: float) -> np.ndarr
     return w
 
 
-def fit(pages: DataFrame, page_id: str = "page_id", source: str = "html", max_pages: int = 240, seed: int = 3) -> np.ndarray:
-    """Train on at most about max_pages pages that mark their main text, taken by seeded hash."""
-    marked = pages.select(F.col(quoted(page_id)).cast("string").alias("id"), F.col(quoted(source)).alias("html")).filter(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    rate = min(1.0, max_pages / max(1, pages.count()))
-    few = marked.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_000)) < int(rate * 1_000_000) + 1)
+def sample(pages: DataFrame, page_id: str = "page_id", source: str = "html", max_pages: int = 240, max_bytes: int = 1 << 20, seed: int = 3) -> DataFrame:
+    """(id, html): the max_pages pages of least seeded hash among those of up to max_bytes that mark their main text, all if there are fewer."""
+    html = F.col(quoted(source))
+    marked = pages.select(F.col(quoted(page_id)).cast("string").alias("id"), html.alias("html")).filter(html.rlike("(?i)<(article|main)[\\s>]") & (F.octet_length(html) <= max_bytes))
+    return marked.orderBy(F.xxhash64(F.lit(seed), "id"), F.xxhash64("html"), "html").limit(max_pages)
+
+
+def fit(pages: DataFrame, page_id: str = "page_id", source: str = "html", max_pages: int = 240, max_bytes: int = 1 << 20, seed: int = 3) -> np.ndarray:
+    """Train on the ``sample`` of pages, at most max_pages * max_bytes bytes whatever the size of the table."""
+    few = sample(pages, page_id, source, max_pages, max_bytes, seed)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"w": [train(pdf.sort_values(["id", "html"])["html"].tolist()).reshape(-1).tolist()]})

@@ -519,3 +519,22 @@ def test_marginals_equal_enumeration():
     for k in range(6):
         assert abs(p[k] - sum(w for y, w in weight.items() if y[k]) / total) < 1e-9
     assert abs(pairs[3][1] - sum(w for y, w in weight.items() if not y[1] and y[3]) / total) < 1e-9
+
+
+@pytest.mark.parametrize("name", ["svg", "template", "iframe", "title"])
+def test_unclosed_elements_swallow_nothing(name):
+    w = html_text.train([])
+    page = f"<html><body><article><p>A first paragraph of the text.</p><{name} class=x><path d='M0'/>gone<p>A second one &amp; more.</p><p>The <{name}/>third.</p></article></body></html>"
+    assert html_text.main_text(page, w) == "A first paragraph of the text.\nA second one & more.\nThe third."
+    closed = f"<article><p>A first paragraph of the text.</p><{name}><div>gone</div></{name}><p>A second one stays.</p><{name}>gone<p>A third one stays.</p></article>"
+    assert html_text.main_text(closed, w) == "A first paragraph of the text.\nA second one stays.\nA third one stays."
+
+
+def test_training_sample_is_bounded(spark):
+    ids = spark.range(1_000_000).withColumnRenamed("id", "page_id")
+    pages = ids.withColumn("html", F.when(F.col("page_id") % 50 == 0, F.concat(F.lit("<main>"), F.col("page_id").cast("string"))).when(F.col("page_id") % 50 == 1, F.repeat(F.lit("<article>"), 30)))
+    got = html_text.sample(pages, max_pages=100, max_bytes=200)
+    rows = got.collect()
+    assert len(rows) == 100 and all(r["html"].startswith("<main>") for r in rows)
+    assert sorted(rows) == sorted(html_text.sample(pages.repartition(7), max_pages=100, max_bytes=200).collect())
+    assert html_text.sample(pages.limit(200), max_pages=100, max_bytes=200).count() == 4
