@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.functions import sequence as S
+from seqframe.operators.pileup import SEGMENT, joined_segments, segments
 
 # Typed attributes of each feature type's table.
 FEATURE_ATTRIBUTES = {"gene": ["ID", "Name", "Dbxref", "locus_tag"], "mRNA": ["ID", "Parent", "Name", "product"], "exon": ["ID", "Parent"], "CDS": ["ID", "Parent", "protein_id", "product"], "start_codon": ["Parent"], "stop_codon": ["Parent"]}
@@ -82,9 +83,13 @@ def check_keys(df: DataFrame, key: list[str]) -> DataFrame:
 
 def call_consensus(vcf: DataFrame, order: list[str] | None = None) -> DataFrame:
     """(chrom, consensus): the first ALT where the first allele count is 2, else REF, joined in order of position."""
+    return joined_segments(call_consensus_segments(vcf), "chrom")
+
+
+def call_consensus_segments(vcf: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """(chrom, segment, text) of ``call_consensus``, by ranges of positions."""
     base = F.when(F.element_at(F.split("ac", ","), 1).cast("int") == 2, F.element_at(F.split("alt", ","), 1)).otherwise(F.col("ref"))
-    rows = vcf.select("chrom", F.struct("pos", base.alias("b")).alias("r"))
-    return rows.groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["b"]), "").alias("consensus"))
+    return segments(vcf.select("chrom", "pos", base.alias("b")), "chrom", size)
 
 
 def load_annotation(features: DataFrame, key: str = "transcript_id", gene: str = "gene_id") -> dict[str, DataFrame]:

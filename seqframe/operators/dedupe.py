@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,22 +32,60 @@ def unique_by_sequence(df: DataFrame, seq: str = "seq", name: str = "seq_id", or
     return g.select(F.element_at(ids, 1).alias(name), seq, F.size("r").alias("n"), F.slice(ids, F.lit(2), F.greatest(F.size("r") - 1, F.lit(0))).alias("dropped"))
 
 
+def _combined(rows: pa.Table) -> pa.Table:
+    """Rows (k1, k2, n, m, sums, o, s) of a table by key: counts and sums by place added up, the first s by o; ordered by key."""
+    k1, k2, o = (rows.column(c).to_numpy() for c in ("k1", "k2", "o"))
+    order = np.lexsort((o, k2, k1))
+    k1, k2 = k1[order], k2[order]
+    first = np.flatnonzero(np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])))[: len(order)]
+    group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    lists = pa.concat_arrays(rows.column("sums").chunks).take(pa.array(order))
+    sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+    wide = np.maximum.reduceat(sizes, first) if len(first) else sizes
+    begin = np.cumsum(wide) - wide
+    place = np.repeat(begin[group] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    total = np.zeros(int(wide.sum()), np.int64)
+    np.add.at(total, place, np.asarray(lists.flatten()))
+    added = lambda c: pa.array(np.add.reduceat(rows.column(c).to_numpy()[order], first) if len(first) else np.empty(0, np.int64))
+    sums = pa.ListArray.from_arrays(pa.array(np.append(begin, len(total)).astype(np.int32)), pa.array(total))
+    return pa.table([pa.array(k1[first]), pa.array(k2[first]), added("n"), added("m"), sums, pa.array(o[order[first]]), rows.column("s").combine_chunks().take(pa.array(order[first]))], names=["k1", "k2", "n", "m", "sums", "o", "s"])
+
+
 def collapse_strands(df: DataFrame, seq: str = "seq", qual: str = "qual", order: str = "ord", least: int = 20) -> DataFrame:
     """(seq, n, qual): sequences equal to each other or to a reverse complement are one.
 
     The sequence is as first seen, n the number of copies, qual the mean at each position rounded up
-    (reversed for copies of the other strand). Sequences under ``least`` long are left out.
+    (reversed for copies of the other strand). Sequences under ``least`` long are left out. A sequence goes as one row with the sums of its
+    qualities; copies meet in each batch before the shuffle and in the sorted partitions after it.
     """
     rc = S.revcomp(seq)
-    rows = df.filter(F.length(seq) >= least).select(F.col(seq).alias("s"), F.col(qual).alias("q"), F.col(order).alias("o"), F.least(F.col(seq), rc).alias("key"))
-    forward = F.col("s") == F.col("key")
-    # two hashes stand for the key in the row of each base; place 0 has the sequence as first seen
-    places = F.concat(F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("v"), F.col("o").alias("o"), F.col("s").alias("s"))), F.transform(F.when(forward, F.col("q")).otherwise(F.reverse("q")), lambda v, i: F.struct((i + 1).alias("p"), v.cast("int").alias("v"), F.lit(None).alias("o"), F.lit(None).alias("s"))))
-    one = rows.select(F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"), F.explode(places).alias("x")).select("k1", "k2", "x.*")
-    cells = one.groupBy("k1", "k2", "p").agg(F.count("*").alias("n"), F.ceil(F.avg("v")).cast("int").alias("v"), F.min_by("s", "o").alias("s"))
-    whole = cells.groupBy("k1", "k2").agg(F.max("s").alias("seq"), F.max(F.when(F.col("p") == 0, F.col("n"))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("p") > 0, F.struct("p", "v")))).alias("c"))
-    quals = F.transform("c", lambda x: x["v"])
-    return whole.select("seq", "n", F.when(F.col("seq") == F.least(F.col("seq"), S.revcomp("seq")), quals).otherwise(F.reverse(quals)).alias("qual"))
+    rows = df.filter(F.length(seq) >= least).select(F.col(seq).alias("s"), F.col(qual).alias("q"), F.col(order).cast("long").alias("o"), F.least(F.col(seq), rc).alias("key"))
+    values = F.transform(F.when(F.col("s") == F.col("key"), F.col("q")).otherwise(F.reverse("q")), lambda v: F.coalesce(v.cast("long"), F.lit(0)))
+    # two hashes stand for the key
+    one = rows.select(F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"), F.lit(1).cast("long").alias("n"), F.col("q").isNotNull().cast("long").alias("m"), F.coalesce(values, F.array().cast("array<long>")).alias("sums"), F.coalesce("o", F.lit(1 << 62)).alias("o"), "s")
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield from _combined(pa.Table.from_batches([batch])).to_batches()
+
+    def all_of_a_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if len(batch):
+                rows = pa.Table.from_batches([batch])
+                rows = _combined(rows if held is None else pa.concat_tables([held, rows]))
+                # the last key of a batch may go on in the next one
+                yield from rows.slice(0, len(rows) - 1).to_batches()
+                held = rows.slice(len(rows) - 1)
+        if held is not None:
+            yield from held.to_batches()
+
+    schema = "k1 long, k2 long, n long, m long, sums array<long>, o long, s string"
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = one.mapInArrow(some, schema).repartition(n, "k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(all_of_a_key, schema)
+    quals = F.transform("sums", lambda v: F.ceil(v / F.col("m")).cast("int"))
+    return whole.select(F.col("s").alias("seq"), "n", F.when(F.col("s") == F.least(F.col("s"), S.revcomp("s")), quals).otherwise(F.reverse(quals)).alias("qual"))
 
 
 def abundance_histogram(df: DataFrame, seq: str = "seq") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +13,24 @@ from pyspark.sql import types as T
 TINY = 6e-171
 
 
+class Disjoint:
+    """Ranges of which no two meet, in order; empty ones (end before begin) meet nothing."""
+
+    def __init__(self):
+        self.begin: list[int] = []
+        self.end: list[int] = []
+
+    def meets(self, begin: int, end: int) -> bool:
+        at = bisect_right(self.begin, end) - 1
+        return begin <= end and at >= 0 and self.end[at] >= begin
+
+    def add(self, begin: int, end: int) -> None:
+        if begin <= end:
+            at = bisect_right(self.begin, begin)
+            self.begin.insert(at, begin)
+            self.end.insert(at, end)
+
+
 def keep_disjoint(hits: DataFrame, margin: int = 1) -> DataFrame:
     """hits with ``kept``: in file order a match is kept if it overlaps no kept match of its query and target.
 
@@ -21,14 +41,15 @@ def keep_disjoint(hits: DataFrame, margin: int = 1) -> DataFrame:
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord", kind="stable")
-        kept: list[tuple[int, int, int, int]] = []
-        flags = []
+        on_query, on_target, flags = Disjoint(), Disjoint(), []
         for a, b, c, d in zip(pdf.qstart, pdf.qend, pdf.tstart, pdf.tend, strict=True):
-            a, b, c, d = min(a, b), max(a, b), min(c, d), max(c, d)
-            clash = any(min(b, y) - max(a, x) + 1 > margin or min(d, z) - max(c, w) + 1 > margin for x, y, w, z in kept)
-            flags.append(not clash)
-            if not clash:
-                kept.append((a, b, c, d))
+            # two ranges share over margin places if they still meet with margin off their ends
+            a, b, c, d = min(a, b), max(a, b) - margin, min(c, d), max(c, d) - margin
+            keep = not (on_query.meets(a, b) or on_target.meets(c, d))
+            flags.append(keep)
+            if keep:
+                on_query.add(a, b)
+                on_target.add(c, d)
         return pdf.assign(kept=flags)
 
     return hits.groupBy("query", "target").applyInPandas(fold, schema)

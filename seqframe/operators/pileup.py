@@ -110,16 +110,42 @@ def shown_inserts(columns: DataFrame, least: int = 100, share: float = 0.1) -> D
     return inserts(columns).join(depth, ["ref_id", "pos"]).filter((F.col("n") > least) & (F.col("n") > share * F.col("depth")))
 
 
+#: Positions in a segment of a consensus.
+SEGMENT = 1 << 16
+
+
+def segments(symbols: DataFrame, by: str = "ref_id", size: int = SEGMENT) -> DataFrame:
+    """(by, segment, text): the symbols (by, pos, b) of each range of ``size`` positions, joined in order of position; no array is longer than a range."""
+    rows = symbols.select(by, F.floor((F.col("pos") - 1) / size).cast("int").alias("segment"), F.struct("pos", "b").alias("r"))
+    return rows.groupBy(by, "segment").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["b"]), "").alias("text"))
+
+
+def joined_segments(parts: DataFrame, by: str = "ref_id", name: str = "consensus") -> DataFrame:
+    """(by, name): the segments of each sequence as one text."""
+    rows = F.array_sort(F.collect_list(F.struct("segment", "text")))
+    return parts.groupBy(by).agg(F.array_join(F.transform(rows, lambda r: r["text"]), "").alias(name))
+
+
 def consensus_simple(counts: DataFrame, lengths: DataFrame) -> DataFrame:
     """(ref_id, consensus): the most frequent symbol of each position of the reference, - where there is none."""
+    return joined_segments(consensus_simple_segments(counts, lengths))
+
+
+def consensus_simple_segments(counts: DataFrame, lengths: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """(ref_id, segment, text) of ``consensus_simple``."""
     top = counts.groupBy("ref_id", "pos").agg(F.max(F.struct("n", (-F.ascii("base")).alias("o"), "base")).alias("t")).select("ref_id", "pos", "t.base")
-    every = lengths.filter("length > 0").select("ref_id", F.explode(F.sequence(F.lit(1), F.col("length").cast("int"))).alias("pos"))
-    rows = every.join(top, ["ref_id", "pos"], "left").select("ref_id", F.struct("pos", F.coalesce("base", F.lit("-")).alias("b")).alias("r"))
-    return rows.groupBy("ref_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["b"]), "").alias("consensus"))
+    long = lengths.filter("length > 0").select("ref_id", F.col("length").cast("int").alias("length"), F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / size).cast("int"))).alias("k"))
+    every = long.select("ref_id", F.explode(F.sequence(F.col("k") * size + 1, F.least((F.col("k") + 1) * size, F.col("length")))).alias("pos"))
+    return segments(every.join(top, ["ref_id", "pos"], "left").select("ref_id", "pos", F.coalesce("base", F.lit("-")).alias("b")), size=size)
 
 
 def consensus_weighted(columns: DataFrame, gap_lead: float = 0.15, insert_share: float = 0.48) -> DataFrame:
     """(ref_id, consensus): a gap leads only by over gap_lead of the depth, else the second symbol; inserts of over insert_share of the depth are put in."""
+    return joined_segments(consensus_weighted_segments(columns, gap_lead, insert_share))
+
+
+def consensus_weighted_segments(columns: DataFrame, gap_lead: float = 0.15, insert_share: float = 0.48, size: int = SEGMENT) -> DataFrame:
+    """(ref_id, segment, text) of ``consensus_weighted``; segments are ranges of positions of the reference."""
     counts = pileup(columns)
     w = Window.partitionBy("ref_id", "pos")
     ranked = counts.withColumn("depth", F.sum("n").over(w)).withColumn("r", F.row_number().over(w.orderBy(F.desc("n"), "base")))
@@ -128,8 +154,7 @@ def consensus_weighted(columns: DataFrame, gap_lead: float = 0.15, insert_share:
     best = inserts(columns).groupBy("ref_id", "pos").agg(F.max(F.struct("n", "ins")).alias("i"))
     rows = one.join(best, ["ref_id", "pos"], "left")
     extra = F.when((F.col("i.n") > 1) & (F.col("i.n") > insert_share * F.col("depth")), F.col("i.ins")).otherwise("")
-    rows = rows.select("ref_id", F.struct("pos", F.concat(symbol, F.coalesce(extra, F.lit(""))).alias("b")).alias("r"))
-    return rows.groupBy("ref_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["b"]), "").alias("consensus"))
+    return segments(rows.select("ref_id", "pos", F.concat(symbol, F.coalesce(extra, F.lit(""))).alias("b")), size=size)
 
 
 def coverage(columns: DataFrame) -> DataFrame:

@@ -201,3 +201,71 @@ def test_no_alignment_has_fewer_common_kmers():
             b = "".join(b)
             grams = {a[i : i + k] for i in range(n - k + 1)}
             assert sum(b[i : i + k] in grams for i in range(len(b) - k + 1)) >= least
+
+
+def test_columns_of_alignments_by_hand(spark):
+    rows = [("r1", "a", 2, 1, "--AC-GT--A", "GGAcTG-XTA", [1, 2, 3, 4, 5, 6, 7, 8, 9]), ("r2", "a", 0, 0, "ACG", "A-G", [30, 40]), ("r3", "b", 0, 0, "", "", []), ("r4", "b", 0, 0, "A", "T", None)]
+    aln = spark.createDataFrame(rows, "read_id string, ref_id string, ref_begin int, read_begin int, top string, bottom string, qual array<int>")
+    got = [tuple(r) for r in pileup.alignment_columns(aln, quality="qual").orderBy("read_id", "pos").select("read_id", "ref_id", "pos", "base", "ins", "q").collect()]
+    assert got == [
+        ("r1", "a", 3, "A", "", 4), ("r1", "a", 4, "c", "T", 5), ("r1", "a", 5, "G", "", 6), ("r1", "a", 6, "-", "T", 5), ("r1", "a", 7, "A", "", 9),
+        ("r2", "a", 1, "A", "", 30), ("r2", "a", 2, "-", "", 32), ("r2", "a", 3, "G", "", 40), ("r4", "b", 1, "T", "", None),
+    ]
+
+
+def test_segments_join_to_the_whole(spark):
+    rng = random.Random(9)
+    refs = {"a": 1, "b": 10, "c": 37}
+    cells = [(ref, p, rng.choice("ACGT-"), rng.randrange(1, 9)) for ref, n in refs.items() for p in range(1, n + 1) if rng.random() < 0.8 for _ in range(2)]
+    counts = spark.createDataFrame(cells, "ref_id string, pos int, base string, n long").groupBy("ref_id", "pos", "base").sum("n").withColumnRenamed("sum(n)", "n")
+    lengths = spark.createDataFrame(list(refs.items()), "ref_id string, length int")
+    whole = {r["ref_id"]: r["consensus"] for r in pileup.consensus_simple(counts, lengths).collect()}
+    parts = pileup.consensus_simple_segments(counts, lengths, size=5).collect()
+    assert {len(r["text"]) for r in parts} <= {1, 2, 5} and all(len(whole[k]) == n for k, n in refs.items())
+    assert {k: "".join(r["text"] for r in sorted(parts, key=lambda r: r["segment"]) if r["ref_id"] == k) for k in refs} == whole
+
+
+def test_strands_collapse_as_in_a_loop(spark):
+    from seqframe.operators import dedupe
+
+    rng = random.Random(10)
+    turn = str.maketrans("ACGT", "TGCA")
+    kinds = ["".join(rng.choices("ACGT", k=rng.randrange(20, 30))) for _ in range(12)] + ["ACGT" * 5]
+    rows = []
+    for k in range(400):
+        s = kinds[min(rng.randrange(30), 12)]
+        s = s if rng.random() < 0.5 else s.translate(turn)[::-1]
+        rows.append((s, [rng.randrange(41) for _ in s], k))
+    rows += [("ACG", [1, 2, 3], 500)]
+    want = {}
+    for s, q, k in rows:
+        if len(s) >= 20:
+            key = min(s, s.translate(turn)[::-1])
+            w = want.setdefault(key, [s, 0, [0] * len(s)])
+            w[1] += 1
+            w[2] = [a + b for a, b in zip(w[2], q if s == key else q[::-1], strict=True)]
+    want = {w[0]: (w[1], [-(-x // w[1]) for x in (w[2] if w[0] == key else w[2][::-1])]) for key, w in want.items()}
+    df = spark.createDataFrame(rows, "seq string, qual array<int>, ord int").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # keys go over the borders of batches
+    try:
+        got = {r["seq"]: (r["n"], r["qual"]) for r in dedupe.collapse_strands(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert got == want
+    assert dedupe.collapse_strands(df.limit(0)).collect() == []
+
+
+def test_disjoint_ranges_equal_a_loop():
+    from seqframe.operators.hits import Disjoint
+
+    rng = random.Random(12)
+    for _ in range(200):
+        index, kept = Disjoint(), []
+        for _ in range(40):
+            a = rng.randrange(60)
+            b = a + rng.randrange(-2, 9)
+            want = any(min(b, y) >= max(a, x) for x, y in kept if x <= y and a <= b)
+            assert index.meets(a, b) == want
+            if not want:
+                index.add(a, b)
+                kept.append((a, b))
