@@ -141,7 +141,7 @@ def _s23b(spark, sf_dir):
     return reports.read_quality_blocks(spark, path).select("seq_id", F.aggregate("qual", F.lit(0), lambda a, x: a + x).alias("total"), F.size("qual").alias("n"))
 
 
-@query("s24_alignment_text", "pair:s query_text:s target_text:s identity:d", "select ref_id || ' x' as pair, seq as query_text, reverse(seq) as target_text, 0.75 as identity from fx_refs", RF)
+@query("s23_alignment_text", "pair:s query_text:s target_text:s identity:d", "select ref_id || ' x' as pair, seq as query_text, reverse(seq) as target_text, 0.75 as identity from fx_refs", RF)
 def _s24(spark, sf_dir):
     row = lambda tag, s: [f"{tag}\t", F.substring(s, 1, 30), "\n"]
     rest = lambda tag, s: [f"{tag}\t", F.substring(s, 31, 99), "\n"]
@@ -150,8 +150,8 @@ def _s24(spark, sf_dir):
     return reports.parse_alignment_text(spark, path)
 
 
-@query("s25_global_similarity", "name1:s length1:n name2:s length2:n percent:d", "select 'a' || cast(r_regionkey as varchar) as name1, 10 + r_regionkey as length1, 'b' as name2, 20 as length2, 61.5 as percent from region")
-def _s25(spark, sf_dir):
+@query("s24_global_similarity", "name1:s length1:n name2:s length2:n percent:d", "select 'a' || cast(r_regionkey as varchar) as name1, 10 + r_regionkey as length1, 'b' as name2, 20 as length2, 61.5 as percent from region")
+def _s24g(spark, sf_dir):
     # a report is a file of its own: one row a partition
     r = table(spark, sf_dir, "region")
     path = shared_folder(spark, "similarity")
@@ -160,6 +160,28 @@ def _s25(spark, sf_dir):
     return reports.parse_global_similarity(spark, path)
 
 
+@query("s25_sequence_headers", "gi:s accession:s title:s species:s n:n", "select cast(p_partkey as varchar) as gi, 'XP_' || cast(p_partkey as varchar) as accession, p_name || ' protein' as title, 'Homo sapiens' as species, length(seq) as n from part join fx_refs on ref_id = 'p' || cast(p_partkey as varchar)", RF)
+def _s25(spark, sf_dir):
+    k = F.substring("ref_id", 2, 20)
+    d = refs(spark, sf_dir).select(F.concat(F.lit("gi|"), k, F.lit("|ref|XP_"), k, F.lit("|")).alias("seq_id"), F.concat("title", F.lit(" protein [Homo sapiens]")).alias("title"), "seq")
+    return sequences.read_sequence_headers(d).withColumn("n", F.length("seq"))
+
+
+@query("s25_contig_headers", "contig_id:n seq:s", "select cast(substr(ref_id, 2) as bigint) as contig_id, seq from fx_refs", RF)
+def _s25c(spark, sf_dir):
+    r = refs(spark, sf_dir)
+    other = r.select(F.concat(F.lit("scaffold_"), F.substring("ref_id", 2, 20)).alias("seq_id"), "seq")
+    return sequences.read_contig_headers(r.select(F.concat(F.lit("contig_1."), F.substring("ref_id", 2, 20)).alias("seq_id"), "seq").unionByName(other))
+
+
+@query("s25_protein_headers", "protein_id:n title:s seq:s", "select cast(substr(ref_id, 2) as bigint) as protein_id, title || ' protein' as title, seq from fx_refs", RF)
+def _s25p(spark, sf_dir):
+    k = F.lpad(F.substring("ref_id", 2, 20), 9, "0")
+    note = F.when(F.length("seq") % 2 == 0, F.concat(F.lit(" (translation) ("), F.length("seq").cast("string"), F.lit(" aa)"))).otherwise("")
+    d = refs(spark, sf_dir).select(F.concat(F.lit("ABC1_"), k).alias("seq_id"), F.concat(F.lit("| Homo sapiens "), "title", F.lit(" protein"), note).alias("title"), "seq")
+    return sequences.read_protein_headers(d, "Homo sapiens")
+
+
 @query("s26_order_over_files", "seq_id:s place:n", "select ref_id as seq_id, row_number() over (order by cast(substr(ref_id, 2) as bigint) % 3, cast(substr(ref_id, 2) as bigint)) as place from fx_refs", RF)
 def _s26(spark, sf_dir):
     from seqframe.operators.select import places
@@ -277,21 +299,30 @@ def arrived(df):
     return df.withColumn("arrived", F.timestamp_seconds(F.col("ord") % 7200))
 
 
-@query("t01_running_statistics", "n_reads:n n_bases:n gc:d", "select count(*) as n_reads, sum(length(seq)) as n_bases, sum(length(seq) - length(translate(seq, 'GC', ''))) * 1.0 / sum(length(translate(seq, 'N', ''))) as gc from fx_reads group by (ord % 7200) // 3600", RD)
+@query("t01_clean_stream", "read_id:s seq:s rc:s gc:n", "select read_id, s as seq, reverse(translate(s, 'ACGT', 'TGCA')) as rc, length(s) - length(translate(s, 'GC', '')) as gc from (select *, regexp_replace(regexp_replace(seq, '^N+', ''), 'N+$', '') as s, list_sum(list_transform(string_split(qual33, ''), lambda c: ascii(c) - 33)) * 1.0 / length(qual33) as q from fx_reads) t where q >= 24 and length(s) >= 30 and length(s) - length(replace(s, 'N', '')) <= 0", RD)
 def _t01(spark, sf_dir):
+    # filters and trims on a stream, then column functions on what it keeps
+    d = reads(spark, sf_dir).select("read_id", "seq", S.decode_quality("qual33").alias("qual"))
+    stream, drain = arriving(spark, sf_dir, d)
+    kept = streams.cleaned(stream, 30, 24, 0)
+    return drain(kept.select("read_id", "seq", S.revcomp("seq").alias("rc"), S.count_of("seq", "GC").alias("gc")), "append")
+
+
+@query("t02_running_statistics", "n_reads:n n_bases:n gc:d", "select count(*) as n_reads, sum(length(seq)) as n_bases, sum(length(seq) - length(translate(seq, 'GC', ''))) * 1.0 / sum(length(translate(seq, 'N', ''))) as gc from fx_reads group by (ord % 7200) // 3600", RD)
+def _t02r(spark, sf_dir):
     d = arrived(reads(spark, sf_dir)).withColumn("qual", S.decode_quality("qual33"))
     stream, drain = arriving(spark, sf_dir, d)
     rows = drain(streams.running_statistics(stream), "update")
     return rows.groupBy("start").agg(F.max_by(F.struct("n_reads", "n_bases", "gc"), "n_reads").alias("r")).select("r.*")
 
 
-@query("t02_first_wins", "ref_id:s n:n", "select distinct ref_id, 1 as n from fx_reads", RD)
+@query("t03_first_wins", "ref_id:s n:n", "select distinct ref_id, 1 as n from fx_reads", RD)
 def _t02(spark, sf_dir):
     stream, drain = arriving(spark, sf_dir, arrived(reads(spark, sf_dir)).select("ref_id", "arrived"))
     return drain(streams.first_wins(stream, "ref_id"), "append").groupBy("ref_id").agg(F.count("*").alias("n"))
 
 
-@query("t03_pick_ids", "read_id:s", "select read_id from fx_reads where src = 'f1'", RD)
+@query("t04_pick_ids", "read_id:s", "select read_id from fx_reads where src = 'f1'", RD)
 def _t03(spark, sf_dir):
     d = reads(spark, sf_dir).select("read_id", "src", "seq")
     stream, drain = arriving(spark, sf_dir, d)
@@ -362,7 +393,7 @@ def _c40(spark, sf_dir):
     return align.align_pairs(r, "global")
 
 
-@query("c42_correct_gaps", "ref_id:s bottom:s ref_begin:n", "select ref_id, substr(seq, 1, cast(at - 1 as int)) || lower(substr(seq, cast(at as int), 1)) || substr(seq, cast(at + 1 as int)) as bottom, 0 as ref_begin from (select *, 32 - length(regexp_extract(substr(seq, 1, 31), '(A+|C+|G+|T+)$')) as at from fx_refs) t", RF)
+@query("c42_correct_gaps", "ref_id:s bottom:s ref_begin:n", "select ref_id, substr(seq, 1, cast(g - 1 as int)) || lower(substr(seq, cast(g as int), 1)) || substr(seq, cast(g + 1 as int)) as bottom, 0 as ref_begin from (select *, 32 - length(regexp_extract(substr(seq, 1, 31), '(A+|C+|G+|T+)$')) as g from fx_refs) t", RF)
 def _c42(spark, sf_dir):
     # one letter is missing; of a homopolymer the aligner leaves out the first letter
     r = refs(spark, sf_dir).select("ref_id", F.col("seq").alias("ref_seq"), F.concat(F.substring("seq", 1, 30), F.substring("seq", 32, 40)).alias("read_seq"))

@@ -53,6 +53,24 @@ def read_sequence_headers(seqs: DataFrame) -> DataFrame:
     return seqs.select(F.regexp_extract(h, r"gi\|(\d+)", 1).alias("gi"), F.regexp_extract(h, r"gi\|\d+\|[^|]*\|([^|\s]+)", 1).alias("accession"), bare.alias("title"), F.regexp_extract(h, r"\[([^\]]*)\]\s*$", 1).alias("species"), "seq")
 
 
+def read_contig_headers(seqs: DataFrame, name: str = r"^contig_\d+\.(\d+)$") -> DataFrame:
+    """(contig_id, seq) from headers such as ``contig_1.25``; sequences of other names are left out."""
+    number = F.regexp_extract("seq_id", name, 1)
+    return seqs.filter(number != "").select(number.cast("long").alias("contig_id"), "seq")
+
+
+def read_protein_headers(seqs: DataFrame, species: str = "", name: str = r"^[A-Za-z0-9]+_(\d+)$") -> DataFrame:
+    """(protein_id, title, seq) from headers such as ``ABC_00012 | Species title (translation) (120 aa)``: the number without leading zeros, the bare title.
+
+    The species' name and the note of the translation go. A header of another form is an error.
+    """
+    number, head = F.regexp_extract("seq_id", name, 1), F.regexp_extract("title", r"^\| (.+)$", 1)
+    bad = F.raise_error(F.concat(F.lit("not a protein header: "), F.col("seq_id"), F.lit(" "), F.coalesce("title", F.lit(""))))
+    bare = F.regexp_replace(head, r" \(translation\) \(\d+ aa\)", "")
+    title = F.replace(bare, F.lit(f"{species} "), F.lit("")) if species else bare
+    return seqs.select(F.when((number == "") | (F.coalesce(head, F.lit("")) == ""), bad.cast("long")).otherwise(number.cast("long")).alias("protein_id"), title.alias("title"), "seq")
+
+
 def read_ids(spark: SparkSession, source: str | list[str], name: str = "seq_id") -> DataFrame:
     """Distinct ids from files of words or comma lists (quotes and a leading ``>`` go), or from a list."""
     if isinstance(source, list):

@@ -17,6 +17,12 @@ def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def cleaned(reads: DataFrame, least: int = 26, quality: float = 20, most_n: int = 1) -> DataFrame:
+    """Reads with Ns cut from their ends that keep ``least`` letters, have a mean quality of at least ``quality`` and at most ``most_n`` Ns left; stateless, so the same on a stream and on a table."""
+    mean = S.quality_sum("qual") / F.size("qual")
+    return reads.filter(mean >= quality).withColumn("seq", S.trim_n_ends("seq")).filter((F.length("seq") >= least) & (S.count_of("seq", "Nn") <= most_n))
+
+
 def running_statistics(reads: DataFrame, arrived: str = "arrived", window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Reads, bases, GC and mean quality of each window of arrival (update mode)."""
     t = reads.withWatermark(arrived, late)
