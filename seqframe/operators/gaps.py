@@ -238,17 +238,54 @@ def stem_consensus(top: str, bottom: str, length: int = 24) -> tuple[str | None,
     return first, None if first == second else second
 
 
-def stems(halves: DataFrame, length: int = 24, identity: float = 0.78) -> DataFrame:
-    """(read_id, first, second, stem_length, stem_identity) of both arms (read_id, top_seq, bottom_seq) of each insert, aligned globally."""
-    pairs = halves.select("read_id", F.col("top_seq").alias("ref_seq"), F.col("bottom_seq").alias("read_seq"))
-    aligned = align.align_pairs(pairs, "global", align.SCORES["stem"]).filter(F.col("identity") >= identity).select("read_id", "top", "bottom", F.col("identity").alias("stem_identity"))
+# How a good arm ends, a common misreading of that, and the identity without end gaps below which arms with other ends are junk.
+ARM_END, MISREAD_END, JUNK_ARMS = "CTC", "CCC", 0.82
+
+
+def stem_candidates(top: str, bottom: str, arms: tuple[str, str] = ("", ""), begins: tuple[int, int] = (0, 0), noterm_identity: float = 1.0, length: int = 24) -> tuple[str | None, str | None]:
+    """(first, second) as ``stem_consensus``, with the rules of the ends.
+
+    Arms that don't both end in CTC must be alike between their end gaps; a CCC under or over a CTC is read as CTC. Of arms one letter
+    short that end well, the one whose alignment begins at its second letter gets the first back. Candidates that stay too long are
+    replaced by the arm of the right length, if there is one.
+    """
+    if not (top.endswith(ARM_END) and bottom.endswith(ARM_END)):
+        if noterm_identity < JUNK_ARMS:
+            return None, None
+        if top.endswith(ARM_END) and bottom.endswith(MISREAD_END):
+            bottom = bottom[: -len(ARM_END)] + ARM_END
+        elif bottom.endswith(ARM_END) and top.endswith(MISREAD_END):
+            top = top[: -len(ARM_END)] + ARM_END
+    if len(top) == length - 1 and top.endswith(ARM_END) and bottom.endswith(ARM_END):
+        if begins == (1, 0):
+            top, bottom = arms[0][0] + top, "-" + bottom
+        elif begins == (0, 1):
+            top, bottom = "-" + top, arms[1][0] + bottom
+    first, second = stem_consensus(top, bottom, length)
+    if first and len(first) > length:
+        return next((arm for arm in arms if len(arm) == length), None), None
+    return first, second
+
+
+def stem_pairs(halves: DataFrame, length: int = 24, mode: str = "global") -> DataFrame:
+    """halves (top_seq, bottom_seq) with first, second, stem_length (0: no candidates), stem_identity, noterm_identity and identical of their alignment."""
+    pairs = halves.withColumns({"ref_seq": F.col("top_seq"), "read_seq": F.col("bottom_seq")})
+    kept = ["top", "bottom", "ref_begin", "read_begin", "noterm_identity", "identical"]
+    aligned = align.align_pairs(pairs, mode, align.SCORES["stem"]).select(*halves.columns, *kept, F.col("identity").alias("stem_identity"))
 
     def one(row: dict) -> dict:
-        first, second = stem_consensus(row["top"], row["bottom"], length)
+        arms = tuple(row[c] if isinstance(row[c], str) else "" for c in ("top_seq", "bottom_seq"))
+        first, second = stem_candidates(row["top"], row["bottom"], arms, (row["ref_begin"], row["read_begin"]), row["noterm_identity"], length)
         return {"first": first, "second": second, "stem_length": len(first or "")}
 
     made = _edited(aligned, one, ["first", "second", "stem_length"], "first string, second string, stem_length int")
-    return made.filter(F.col("stem_length") >= length).select("read_id", "first", "second", "stem_length", F.round("stem_identity", 2).alias("stem_identity"))
+    return made.select(*halves.columns, "first", "second", "stem_length", F.round("stem_identity", 2).alias("stem_identity"), "noterm_identity", "identical")
+
+
+def stems(halves: DataFrame, length: int = 24, identity: float = 0.78, mode: str = "global") -> DataFrame:
+    """(read_id, first, second, stem_length, stem_identity) of both arms (read_id, top_seq, bottom_seq) of each insert, aligned globally."""
+    made = stem_pairs(halves, length, mode).filter((F.col("stem_identity") >= identity) & (F.col("stem_length") >= length))
+    return made.select("read_id", "first", "second", "stem_length", "stem_identity")
 
 
 # ---------------------------------------------------------------- merging

@@ -191,12 +191,33 @@ def _x03_members(spark, sf_dir):
     return out["members"].unionByName(left)
 
 
-@query("x04_count_library", "sequence:s in_library:b n:n", "select substr(seq, 9, 21) as sequence, true as in_library, count(*) as n from fx_refs where strpos(substr(seq, 9, 21) || 'CTCGA', 'CTCGAG') = 0 group by 1", ("fx_refs",))
-def _x04(spark, sf_dir):
+FLANKS = "TTGGACCATGTTCCGAATACGCATGGACTTACCGGTACAA", "GGATCCTTCAGGTTAGCCATAAGTCTTGACCGATTGCATG"
+
+
+def planted_stems(spark, sf_dir):
+    """Reads with both flanks, a lone left or right one, a lower arm one letter short, one with a misread end, and one that is no arm."""
+    g = F.substring("seq", 9, 21)
+    c = F.translate(F.reverse(g), "ACGT", "TGCA")
+    left, right, loop = F.lit(FLANKS[0]), F.lit(FLANKS[1]), F.lit("CTCGAG")
+    made = {"b": [left, g, loop, c, right], "l": [left, g, loop, c], "r": [g, loop, c, right], "s": [left, g, loop, F.substring(c, 1, 20), right], "c": [left, g, F.lit("CTCGGG"), c, right], "j": [left, g, loop, F.lit("T" * 21), right]}
+    rows = F.array(*[F.struct(F.concat("ref_id", F.lit(k)).alias("read_id"), F.concat(*v).alias("seq")) for k, v in made.items()])
     r = refs(spark, sf_dir)
-    lib = r.select(F.substring("seq", 9, 21).alias("sequence")).distinct().withColumn("library_id", F.col("sequence"))
-    d = r.select(F.col("ref_id").alias("read_id"), F.concat(F.lit("TTGGACCATGTTCCGA"), F.substring("seq", 9, 21), F.lit("CTCGAG"), S.revcomp(F.substring("seq", 9, 21)), F.lit("GGATCCTTCAGGTTAG")).alias("seq"))
-    return clusters.count_library(d, lib, "TTGGACCATGTTCCGA", "GGATCCTTCAGGTTAG")
+    return r.select(F.explode(rows).alias("r")).select("r.*"), r.select(g.alias("sequence")).distinct().withColumn("library_id", F.col("sequence"))
+
+
+# A read with a misread loop whose lower arm holds a loop itself parts there, 12 letters or more off, and does not count.
+@query("x04_count_library", "sequence:s in_library:b n:n", "select substr(seq, 9, 21) as sequence, true as in_library, sum(case when strpos(substr(seq, 9, 21), 'CTCGAG') = 0 then 5 else 4 end) as n from fx_refs group by 1", ("fx_refs",))
+def _x04(spark, sf_dir):
+    return clusters.count_library(*planted_stems(spark, sf_dir), *FLANKS)
+
+
+@query("x04_stem_decisions", "class:s counted:b n:n", """
+    select class, counted, sum(n) as n from (select case when strpos(substr(seq, 9, 21), 'CTCGAG') > 0 then 1 else 0 end as inner_loop from fx_refs) t
+    cross join (values ('both', true, 3, 2), ('left', true, 1, 1), ('right', true, 1, 1), ('both', false, 1, 2)) v(class, counted, plain, odd)
+    cross join lateral (select case when inner_loop = 1 then odd else plain end as n) w group by 1, 2""", ("fx_refs",))
+def _x04_decisions(spark, sf_dir):
+    made = clusters.library_report(*planted_stems(spark, sf_dir), *FLANKS)["decisions"]
+    return made.groupBy("class", (F.col("decision") == "counted").alias("counted")).agg(F.sum("n").alias("n"))
 
 
 # ------------------------------------------------------------ files

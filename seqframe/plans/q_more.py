@@ -427,10 +427,10 @@ def _c47(spark, sf_dir):
     return gaps.stems(clusters.split_stem(d))
 
 
-@query("c48_stem_consensus", "read_id:s first:s second:s", "select ref_id as read_id, substr(seq, 1, 11) || 'A' || substr(seq, 13, 12) as first, substr(seq, 1, 11) || 'C' || substr(seq, 13, 12) as second from fx_refs where strpos(substr(seq, 1, 11) || 'A' || substr(seq, 13, 12), 'CTCGAG') = 0", RF)
+@query("c48_stem_consensus", "read_id:s first:s second:s", "select ref_id as read_id, substr(seq, 1, 11) || 'A' || substr(seq, 13, 12) as first, substr(seq, 1, 11) || 'C' || substr(seq, 13, 12) as second from fx_refs", RF)
 def _c48(spark, sf_dir):
     arm = lambda c: F.concat(F.substring("seq", 1, 11), F.lit(c), F.substring("seq", 13, 12))
-    d = refs(spark, sf_dir).filter(~F.contains(arm("A"), F.lit("CTCGAG"))).select(F.col("ref_id").alias("read_id"), arm("A").alias("top_seq"), arm("C").alias("bottom_seq"))
+    d = refs(spark, sf_dir).select(F.col("ref_id").alias("read_id"), arm("A").alias("top_seq"), arm("C").alias("bottom_seq"))
     return gaps.stems(d)
 
 

@@ -107,6 +107,54 @@ def test_stem_consensus(top, bottom, want):
     assert gaps.stem_consensus(top, bottom) == want
 
 
+ARM = "GATTACAGATTACAGGCATCACTC"
+
+
+@pytest.mark.parametrize(
+    ("top", "bottom", "more", "want"),
+    [
+        (ARM, ARM, {}, (ARM, None)),
+        (ARM, ARM[:-3] + "CCC", {}, (ARM, None)),
+        (ARM[:-3] + "CCC", ARM, {}, (ARM, None)),
+        (ARM[:-3] + "CCC", ARM[:-3] + "CCC", {}, (ARM[:-3] + "CCC", None)),
+        (ARM, ARM[:-3] + "GGC", {"noterm_identity": 0.81}, (None, None)),
+        (ARM[1:], ARM[1:], {"arms": (ARM, ARM[1:]), "begins": (1, 0)}, (ARM, None)),
+        (ARM[1:], ARM[1:], {"arms": (ARM[1:], ARM), "begins": (0, 1)}, (ARM, None)),
+        (ARM[1:], ARM[1:], {"arms": (ARM[1:], ARM[1:])}, (None, None)),
+        ("GATTACA-GATCACAGGCATCACTC", "GATTACATGA-CACAGGCATCACTC", {"arms": ("GATTACAGATCACAGGCATCACTC", "")}, ("GATTACAGATCACAGGCATCACTC", None)),
+        ("GATTACA-GATCACAGGCATCACTC", "GATTACATGA-CACAGGCATCACTC", {}, (None, None)),
+    ],
+)
+def test_stem_ends(top, bottom, more, want):
+    assert gaps.stem_candidates(top, bottom, **more) == want
+
+
+def test_stem_classes(spark):
+    """Each way that a read can count or not, and null, empty and short reads."""
+    left, right = "TTGGACCATGTTCCGAATACGCATGGACTTACCGGTACAA", "GGATCCTTCAGGTTAGCCATAAGTCTTGACCGATTGCATG"
+    g = ARM[:21]
+    c = "".join({"A": "T", "C": "G", "G": "C", "T": "A"}[x] for x in reversed(g))
+    planted = {
+        "both": (left + g + "CTCGAG" + c + right, "counted"), "no loop": (left + g + "CTCGGG" + c + right, "counted"), "short lower arm": (left + g + "CTCGAG" + c[:20] + right, "counted"),
+        "heads of As": (left + g + "CTCGAG" + c + "TT" + right, "counted"), "dimer": (left + right, "flanks meet"), "short": (left + g[:10] + right, "insert too short"),
+        "no arm": (left + g + "CTCGAG" + "T" * 21 + right, "poor stem"), "left": (left + g + "CTCGAG" + c, "counted"), "left alone": (left + g + "CTC", "counted"), "left short": (left + g[:20], "insert too short"),
+        "right": (g + "CTCGAG" + c + right, "counted"), "right short": (c + right, "insert too short"), "junk": ("ACGT" * 20, "no flank"),
+    }
+    rows = [(k, v[0]) for k, v in planted.items()] + [("null", None), ("empty", ""), ("flank", left)]
+    reads = spark.createDataFrame(rows, "read_id string, seq string")
+    lib = spark.createDataFrame([(g, "one")], "sequence string, library_id string")
+    report = clusters.library_report(reads, lib, left, right)
+    calls = {r["read_id"]: r for r in report["calls"].collect()}
+    assert {k: r["decision"] for k, r in calls.items()} == {k: v[1] for k, v in planted.items()}
+    assert {r["c1"] for r in calls.values() if r["decision"] == "counted"} == {ARM} and not [r for r in calls.values() if r["c2"]]
+    n = sum(v[1] == "counted" for v in planted.values())
+    assert [tuple(r) for r in report["corrected"].collect()] == [(g, True, n)]
+    assert [tuple(r) for r in clusters.count_library(reads, lib, left, right).collect()] == [(g, True, n)]
+    assert report["double_hits"].count() == 0 and report["summary"].first()["hits"] == n
+    empty = clusters.library_report(reads.limit(0), lib, left, right)
+    assert empty["decisions"].count() == 0 and empty["summary"].first()["not_hit"] == 1
+
+
 def test_stems_of_inserts(spark):
     arm = "GATTACAGATTACAGGCATCCATG"
     d = spark.createDataFrame([("x", arm + "CTCGAG" + "".join({"A": "T", "C": "G", "G": "C", "T": "A"}[c] for c in reversed(arm)))], "read_id string, insert string")
