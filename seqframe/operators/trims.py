@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -177,15 +178,23 @@ def _cut_tail(text: str, near: int, area: float, window: int = 10) -> str:
     return text[:begin]
 
 
-def remove_poly_a(df: DataFrame, near: int = 45, area: float = 20, seq: str = "seq") -> DataFrame:
+# How near to the end a peak must reach, and its least area.
+POLY_NEAR, POLY_AREA = 45, 20
+_SWAP = str.maketrans("ACGTacgt", "TGCAtgca")
+
+
+def _cut_head(text: str, near: int, area: float) -> str:
+    return _cut_tail(text[::-1].translate(_SWAP), near, area)[::-1].translate(_SWAP)
+
+
+def remove_poly_a(df: DataFrame, near: int = POLY_NEAR, area: float = POLY_AREA, seq: str = "seq") -> DataFrame:
     """The tail from a poly-A peak near the 3' end cut off."""
     return _kernel(df, seq, lambda s: _cut_tail(s, near, area))
 
 
-def remove_poly_t(df: DataFrame, near: int = 45, area: float = 20, seq: str = "seq") -> DataFrame:
+def remove_poly_t(df: DataFrame, near: int = POLY_NEAR, area: float = POLY_AREA, seq: str = "seq") -> DataFrame:
     """The head up to a poly-T peak near the 5' end cut off."""
-    swap = str.maketrans("ACGTacgt", "TGCAtgca")
-    return _kernel(df, seq, lambda s: _cut_tail(s[::-1].translate(swap), near, area)[::-1].translate(swap))
+    return _kernel(df, seq, lambda s: _cut_head(s, near, area))
 
 
 def _mean(values: list[int]) -> float:
@@ -229,11 +238,62 @@ def cut_tail_after_peak(df: DataFrame, window: int = 20, seq: str = "seq") -> Da
     return _kernel(df, seq, lambda s: cut_tail_after_peak_text(s, window))
 
 
-def short_read_poly_a_text(text: str) -> str:
-    """A run of nine As with at most nine letters after it goes; of what is left, peaks are cut while they can be."""
+# An island of pair scores counts with an area over 25, a width over 7 or a height over 1.
+PEAK_AREA, PEAK_WIDTH, PEAK_HEIGHT = 25, 7, 1
+
+
+def short_read_peaks(text: str, window: int = 10) -> list[tuple[int, int, float, float, int]]:
+    """(begin, end, area, height, top), 0-based, end excluded: islands of scores of ``window`` pairs of letters (half of AA pairs less others).
+
+    An island begins where the score rises from 0 and goes on while it is not below 0; one that is positive from the first letter is none.
+    """
+    letters = np.frombuffer(text.encode("ascii", "replace"), np.uint8)
+    like = np.isin(letters, np.frombuffer(b"AN", np.uint8))
+    if len(letters) <= window:
+        return []
+    total = np.concatenate([[0], np.cumsum(np.where(like[:-1] & like[1:], 1, -1))])
+    scores = (total[window:] - total[:-window]) / 2
+    begins = np.flatnonzero((scores[1:] > 0) & (scores[:-1] == 0)) + 1
+    below = np.append(np.flatnonzero(scores < 0), len(scores))
+    out, last = [], 0
+    for b in begins.tolist():
+        if b >= last:
+            last = int(below[np.searchsorted(below, b)])
+            part = scores[b:last]
+            area, height = float(part.sum()), float(part.max())
+            if area > PEAK_AREA or last - b > PEAK_WIDTH or height > PEAK_HEIGHT:
+                out.append((b, last, area, height, b + int(part.argmax())))
+    return out
+
+
+def _peak_goes(values: list[int], begin: int, end: int, window: int = 10) -> bool:
+    """Whether a peak may be cut: more stands before than after it, and that is no simpler by 0.3, or complex (over 5) and long, or little follows."""
+    left = len(values) - end - window
+    before, after = _mean(values[:begin]), _mean(values[end + window :])
+    return begin > left and (before > after - 0.3 or (before > 5 and (left < 50 or begin > 150)))
+
+
+def short_read_poly_a_text(text: str, window: int = 20) -> str:
+    """A run of nine As with at most nine letters after it goes. If nine As are left, or it did not, peaks are cut from the last to the first at
+    the first of their highest places, until one can't be; if any was, the largest of the others is tried once more."""
     cut = re.sub("A{9,}[ACGTN]{1,9}$", "", text)
-    while re.search("A{9,}", cut) and len(after := cut_peak_text(cut, 10)) < len(cut):
-        cut = after
+    if cut != text and "A" * 9 not in cut:
+        return cut
+    peaks, values = short_read_peaks(cut), complexity_values(cut, window)
+    n = len(peaks)
+
+    def goes(peak: tuple) -> bool:
+        nonlocal cut, values
+        if not _peak_goes(values, peak[0], peak[1]):
+            return False
+        gone = len(cut) - peak[4]
+        cut, values = cut[: peak[4]], values[: max(len(values) - gone, 0)]
+        return True
+
+    while peaks and goes(peaks[-1]):
+        peaks.pop()
+    if peaks and len(peaks) < n:
+        goes(max(peaks, key=lambda p: (p[2], -p[0])))
     return cut
 
 
@@ -272,14 +332,31 @@ def clean_short_reads(df: DataFrame, least: int = 26) -> DataFrame:
     return numbered.select(F.concat(F.lit("s"), (F.col("k") + F.col("before")).cast("string")).alias("seq_id"), "seq", "n")
 
 
-def clean_est(df: DataFrame, least: int = 32, seq: str = "seq") -> DataFrame:
-    """Upper case, simple trims, no junk repeats, complexity trims by windows of 40 and 20, poly-A and poly-T off; at least 32 left."""
+def clean_est_text(text: str, windows: tuple[int, int] = (40, 20), short_reads: bool = False) -> str:
+    """Complexity trims where 12 As or Ts stand together, poly-A off where 10 As do, poly-T where 9 Ts do; empty if it is simple or too short for the last window."""
+    if re.search("A{12}|T{12}", text):
+        text, _ = complexity_trim_text(text, windows[0])
+        text, code = complexity_trim_text(text, windows[1])
+        if code in (-1, 1):
+            return ""
+    if "A" * 10 in text:
+        text = short_read_poly_a_text(text, windows[1]) if short_reads else _cut_tail(text, POLY_NEAR, POLY_AREA)
+    return _cut_head(text, POLY_NEAR, POLY_AREA) if "T" * 9 in text else text
+
+
+def clean_est(df: DataFrame, least: int = 32, seq: str = "seq", short_reads: bool = False) -> DataFrame:
+    """Upper case, simple trims, no junk repeats, then ``clean_est_text``; over ``least`` letters left. Null sequences go."""
     df = simple_trim(df.withColumn(seq, F.upper(seq)), seq)
-    df = df.filter(~S.is_junk_repeat(seq))
-    for window in (40, 20):
-        df = complexity_trim(df, window, least=least, seq=seq).filter("code not in (-1, 1)").drop("code")
-    df = remove_poly_t(remove_poly_a(df, seq=seq), seq=seq)
-    return df.filter(F.length(seq) >= least)
+    df = df.filter((F.length(seq) >= least) & ~S.is_junk_repeat(seq))
+    return _kernel(df, seq, lambda s: clean_est_text(s, short_reads=short_reads)).filter(F.length(seq) > least)
+
+
+def clean_est_report(df: DataFrame, least: int = 32, longest: int = 999_999, seq: str = "seq", short_reads: bool = False) -> dict[str, DataFrame]:
+    """"clean"; "long", those of it over ``longest`` letters; "raw_lengths" of all sequences and "long_lengths" of the long ones (length, n)."""
+    done = clean_est(df, least, seq, short_reads)
+    long = done.filter(F.length(seq) > longest)
+    lengths = lambda t: t.groupBy(F.length(seq).alias("length")).agg(F.count("*").alias("n"))
+    return {"clean": done, "long": long, "raw_lengths": lengths(df), "long_lengths": lengths(long)}
 
 
 def clean_vector_est(df: DataFrame, least: int = 35, seq: str = "seq") -> DataFrame:

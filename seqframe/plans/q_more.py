@@ -525,9 +525,17 @@ def _c25t(spark, sf_dir):
     return trims.remove_poly_t(tailed(spark, sf_dir, "T" * 40 + "GC" * 6, ""))
 
 
-@query("c26_short_read_poly_a", "ref_id:s seq:s", "select ref_id, seq || 'G' as seq from fx_refs where strpos(seq, 'AAAAAAAAA') = 0", RF)
+# No two As stand together in the first letters, so all peaks are the planted ones: a tail with two letters after it; a peak before such
+# a tail; two peaks, the last before simple letters; an early peak, which stays.
+SPARSE, AFTER = "replace(seq, 'AA', 'AC')", "CGTCCGTCTGCTCGTGCTCTGCTG"
+PEAKS = {"a": ("A" * 12 + "CG", 1), "b": ("A" * 20 + AFTER + "A" * 30 + "CG", 0), "c": ("A" * 20 + AFTER + "A" * 30 + "C" * 30, 0), "d": ("A" * 20 + AFTER * 6, 2)}
+PEAK_ROWS = " union all ".join(f"select ref_id || '{k}' as ref_id, {SPARSE} || 'G' || '{t}' as text, {SPARSE} || 'G' as body, {end} as stays from fx_refs" for k, (t, end) in PEAKS.items())
+
+
+@query("c26_short_read_poly_a", "ref_id:s seq:s", f"select ref_id, case when stays = 2 then text else body end as seq from ({PEAK_ROWS}) t", RF)
 def _c26(spark, sf_dir):
-    return trims.short_read_poly_a(tailed(spark, sf_dir, "", "G" + "A" * 12 + "CG").filter(~F.contains(F.substring("seq", 1, 64), F.lit("A" * 9))))
+    rows = F.array(*[F.struct(F.concat("ref_id", F.lit(k)).alias("ref_id"), F.concat(F.expr(SPARSE), F.lit("G" + t)).alias("seq")) for k, (t, _) in PEAKS.items()])
+    return trims.short_read_poly_a(refs(spark, sf_dir).select(F.explode(rows).alias("r")).select("r.*"))
 
 
 @query("c18_trim_n_halves", "ref_id:s seq:s", "select ref_id, seq from fx_refs", RF)
@@ -540,15 +548,16 @@ def _c18b(spark, sf_dir):
     return tailed(spark, sf_dir, "ACGNAAN", "NNCTN").select("ref_id", S.trim_n_by_distance("seq").alias("seq"))
 
 
-@query("x07_clean_est", "n:n longest:n shortest:n")
+@query("x07_clean_est", "ref_id:s seq:s", "select ref_id, 'GC' || seq || 'GC' as seq from fx_refs", RF)
 def _x07(spark, sf_dir):
-    done = trims.clean_est(tailed(spark, sf_dir, "CTTTTTTTTTTTTTTGC", "GC" + "A" * 40))
-    return done.agg(F.count("*").alias("n"), F.max(F.length("seq")).alias("longest"), F.min(F.length("seq")).alias("shortest"))
+    return trims.clean_est(tailed(spark, sf_dir, "CTTTTTTTTTTTTTTGC", "GC" + "A" * 40))
 
 
-@query("x08_clean_vector_est", "n:n longest:n shortest:n")
-def _x08(spark, sf_dir):
-    done = trims.clean_vector_est(tailed(spark, sf_dir, "ACGTXXXX", "XXXXACG"))
-    return done.agg(F.count("*").alias("n"), F.max(F.length("seq")).alias("longest"), F.min(F.length("seq")).alias("shortest"))
+@query("x07_raw_lengths", "length:n n:n", "select length(p_name) as length, count(*) as n from part group by 1")
+def _x07_lengths(spark, sf_dir):
+    return trims.clean_est_report(table(spark, sf_dir, "part").select(F.col("p_name").alias("seq")))["raw_lengths"]
 
 
+@query("x08_clean_vector_est", "ref_id:s seq:s", f"select ref_id, {SPARSE} as seq from fx_refs", RF)
+def _x08(spark, sf_dir):
+    return trims.clean_vector_est(tailed(spark, sf_dir, "ACGTXXXX", "XXXXACG").withColumn("seq", F.expr(SPARSE)))

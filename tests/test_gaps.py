@@ -181,6 +181,18 @@ def test_merge_decisions(spark):
     assert loose == {("chimera", "merged"), ("chimera", "scrap")}
 
 
+def test_clean_est(spark):
+    body = "ACGATCGTACTGACTGCATGCATCGATGCTAGCTAGCATCGATCAGCTACG"
+    rows = [("tail", body + "A" * 40), ("head", "T" * 40 + body), ("lower", body.lower()), ("short", body[:20]), ("simple", "A" * 60), ("null", None), ("empty", ""), ("plain", body), ("plain", body)]
+    report = trims.clean_est_report(spark.createDataFrame(rows, "seq_id string, seq string"), longest=50)
+    got = sorted((r["seq_id"], r["seq"]) for r in report["clean"].collect())
+    assert [g[0] for g in got] == ["head", "lower", "plain", "plain", "tail"]
+    assert all(g[1] == body for g in got if g[0] in ("lower", "plain")) and all(len(g[1]) < 62 for g in got)
+    assert {r["length"]: r["n"] for r in report["raw_lengths"].collect()} == {91: 2, 51: 3, 20: 1, 60: 1, 0: 1, None: 1}
+    assert report["long"].count() == report["long_lengths"].agg({"n": "sum"}).first()[0] >= 3
+    assert trims.clean_est(spark.createDataFrame([], "seq_id string, seq string")).count() == 0
+
+
 def test_text_trims():
     assert trims.trim_simple_text("CT" + "T" * 12 + "GACC") == "GACC"
     assert trims.trim_simple_text("GACCATGXXGA") == "GACCATG"
@@ -193,6 +205,15 @@ def test_text_trims():
     assert code == 3 and body.endswith(cut[-30:]) and len(cut) < 60
     assert trims.complexity_trim_text("A" * 60, 20)[1] == 1 and trims.complexity_trim_text("ACG", 20) == ("ACG", -1)
     assert trims.short_read_poly_a_text(body + "A" * 12 + "CG") == body
+    after = "CGTCCGTCTGCTCGTGCTCTGCTG"
+    assert trims.short_read_poly_a_text(body + "A" * 20 + after + "A" * 30 + "C" * 30) == body
+    assert trims.short_read_poly_a_text(body + "A" * 20 + after + "A" * 30 + "CG") == body
+    early = body[:20] + "G" + "A" * 20 + after * 6
+    assert trims.short_read_poly_a_text(early) == early and trims.short_read_peaks(early)[0][4] == 21
+    # the last peak goes, the one before it can't: more stands after it than before
+    assert trims.short_read_poly_a_text(early + "A" * 20) == early
+    assert trims.short_read_peaks("A" * 30) == [] == trims.short_read_peaks("") and trims.short_read_poly_a_text("") == ""
+    assert trims.short_read_peaks("N" * 3 + "C" * 20 + "AAAAAAA" + "C" * 20) == []
     assert trims.cut_tail_after_peak_text(body + "A" * 30 + "CGTCA") == body + "A" * 30
 
 
