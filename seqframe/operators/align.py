@@ -469,25 +469,64 @@ def fish_summary(fished: DataFrame) -> DataFrame:
     return fished.groupBy("direction", "kind").agg(F.count("*").alias("n"))
 
 
-def linearize(reads: DataFrame, head: str, tail: str, least: int = 18, scores: tuple[int, int, int, int] = SCORES["sites"]) -> DataFrame:
-    """(read_id, piece, seq, status): circular reads cut where the tail site meets the head site.
+def cut_sites(reads: DataFrame, head: str, tail: str, scores: tuple[int, int, int, int] = SCORES["sites"]) -> DataFrame:
+    """reads with status, and strand and cut (letters before it) of those that are cut where the tail site meets the head site.
 
     The best of four alignments (two sites, two strands) decides: a cut before a head, after a tail. Bad sites
-    (identity under 0.92 or over 2 gaps) discard the read; pieces under ``least`` go.
+    (identity under 0.92 or over 2 gaps) discard the read; without a site there is no cut.
     """
     refs = reads.sparkSession.createDataFrame([("head", head), ("tail", tail)], "ref_id string, seq string")
-    a = align_join(reads, refs, "local", scores, seed=False, top=True, identity=0.84, length=min(17, len(head)))
+    a = align_join(reads.select("read_id", "seq"), refs, "local", scores, seed=False, top=True, identity=0.84, length=min(17, len(head)))
     bad = (F.col("identity") < 0.92) | (F.col("gaps_ref") > 2) | (F.col("gaps_read") > 2)
-    sites = a.select("read_id", "ref_id", "strand", bad.alias("bad"), "read_begin", "read_end")
-    j = reads.join(sites, "read_id", "left")
-    s = F.when(F.col("strand") == "-", S.revcomp("seq")).otherwise(F.col("seq"))
     at = F.when(F.col("ref_id") == "head", F.col("read_begin")).otherwise(F.col("read_end") + 1)
-    status = F.when(F.col("ref_id").isNull(), "no_cut").when(F.col("bad"), "discard").otherwise("cut")
-    pieces = F.when(status == "cut", F.array(F.struct(F.lit("left").alias("piece"), F.substring(s, F.lit(1), at).alias("seq")), F.struct(F.lit("right").alias("piece"), F.substring(s, at + 1, F.length(s)).alias("seq")))).when(status == "no_cut", F.array(F.struct(F.lit("whole").alias("piece"), F.col("seq").alias("seq"))))
-    out = j.select("read_id", status.alias("status"), F.explode(pieces).alias("p")).select("read_id", "status", "p.piece", "p.seq")
+    sites = a.select("read_id", F.when(bad, "discard").otherwise("cut").alias("status"), "strand", at.alias("cut"))
+    return reads.join(sites, "read_id", "left").withColumn("status", F.coalesce("status", F.lit("no_cut")))
+
+
+def linearized(sites: DataFrame, least: int = 18) -> DataFrame:
+    """(read_id, piece, seq, status) of the reads of ``cut_sites``: left and right pieces, or the whole; pieces under ``least`` go."""
+    s = F.when(F.col("strand") == "-", S.revcomp("seq")).otherwise(F.col("seq"))
+    two = F.array(F.struct(F.lit("left").alias("piece"), F.substring(s, F.lit(1), F.col("cut")).alias("seq")), F.struct(F.lit("right").alias("piece"), F.substring(s, F.col("cut") + 1, F.length(s)).alias("seq")))
+    whole = F.array(F.struct(F.lit("whole").alias("piece"), F.col("seq").alias("seq")))
+    pieces = F.when(F.col("status") == "cut", two).when(F.col("status") == "no_cut", whole)
+    out = sites.select("read_id", "status", F.explode(pieces).alias("p")).select("read_id", "status", "p.piece", "p.seq")
     return out.filter(F.length("seq") >= least)
 
 
+def linearize(reads: DataFrame, head: str, tail: str, least: int = 18, scores: tuple[int, int, int, int] = SCORES["sites"]) -> DataFrame:
+    """(read_id, piece, seq, status): circular reads cut where the tail site meets the head site (``cut_sites``)."""
+    return linearized(cut_sites(reads, head, tail, scores), least)
+
+
+def site_counts(sites: DataFrame, by: tuple[str, ...] = (), warn: float = 0.2) -> DataFrame:
+    """(by, cut, discard, no_cut, ratio, warning) of the reads of ``cut_sites``: a warning where discarded are over ``warn`` of the cut ones; without cut ones the ratio is null and any discarded one warns."""
+    n = lambda s: F.count(F.when(F.col("status") == s, 1)).alias(s)
+    g = sites.groupBy(*by).agg(n("cut"), n("discard"), n("no_cut"))
+    return g.withColumns({"ratio": F.try_divide("discard", "cut"), "warning": F.col("discard") > warn * F.col("cut")})
+
+
+def sweep_linearized(reads: DataFrame, head: str, tail: str, grid: tuple[tuple[int, int], ...] = ((4, 20), (5, 20), (6, 20), (4, 19), (5, 19), (6, 19)), longer_than: int = 17, least: int = 18) -> DataFrame:
+    """(window, cut_quality, cut, discard, no_cut, ratio, warning, n_pieces, mean, std) of each quality trim of the grid with its reads linearized.
+
+    Trims that keep the same letters of a read are aligned once.
+    """
+    kept = F.array(*[F.struct(F.lit(w).alias("window"), F.lit(c).alias("cut_quality"), S.keep_length_by_quality("qual", w, c).alias("n")) for w, c in grid])
+    trims = reads.select(F.col("read_id").alias("name"), "seq", F.explode(kept).alias("t")).select("name", "seq", "t.*").filter(F.col("n") > longer_than)
+    each = trims.groupBy("name", "n").agg(F.first("seq").alias("seq"), F.collect_list(F.struct("window", "cut_quality")).alias("trims"))  # at most one entry a trim of the grid
+    texts = each.select(F.concat_ws("/", F.col("n").cast("string"), "name").alias("read_id"), F.substring("seq", F.lit(1), F.col("n")).alias("seq"), "trims")
+    path = shared_folder(reads.sparkSession, "sites")
+    sites = cut_sites(texts, head, tail)
+    sites.write.parquet(path)
+    sites = reads.sparkSession.read.schema(sites.schema).parquet(path)
+    keys = ("window", "cut_quality")
+    of = lambda df: df.select(F.explode("trims").alias("t"), *[c for c in df.columns if c != "trims"]).select("t.*", *[c for c in df.columns if c != "trims"])
+    counts = site_counts(of(sites), keys)
+    length = F.length("seq")
+    left, right = F.col("cut"), length - F.col("cut")
+    pieces = of(sites.select("trims", F.explode(F.when(F.col("status") == "cut", F.array(left, right)).when(F.col("status") == "no_cut", F.array(length))).alias("m")).filter(F.col("m") >= least))
+    return counts.join(pieces.groupBy(*keys).agg(F.count("*").alias("n_pieces"), F.avg("m").alias("mean"), F.stddev_samp("m").alias("std")), list(keys), "left")
+
+
 def pick_subsequence(library: DataFrame, reference: str, identity: float = 0.8, scores: tuple[int, int, int, int] = SCORES["subsequence"]) -> DataFrame:
     """(seq_id, seq, title): the part of each sequence that aligns with the reference; ambiguous parts are left out."""
     refs = library.sparkSession.createDataFrame([("ref", reference)], "ref_id string, seq string")

@@ -49,6 +49,17 @@ def integrate(raw: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     return raw.join(other, on)
 
 
+def integrate_protein(raw: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(gi, proteinid, geneid, product, attribute, sequence) of the proteins that have a sequence."""
+    return raw.join(sequences.select("gi", "proteinid", "sequence"), "proteinid").select("gi", "proteinid", "geneid", "product", "attribute", "sequence")
+
+
+def integrate_qc(comparisons: DataFrame, results: DataFrame) -> DataFrame:
+    """(result_id, columns of the comparison) where a result of the same input and fraction is known."""
+    rest = [c for c in comparisons.columns if c not in ("input", "fraction")]
+    return comparisons.join(results.select("input", "fraction", F.col("id").alias("result_id")), ["input", "fraction"]).select("result_id", *rest)
+
+
 def attribute_conflicts(genes: DataFrame, parts: DataFrame, columns: list[str], on: str = "gene_id") -> DataFrame:
     """Parts whose attributes differ from their gene's."""
     g = genes.select(on, *[F.col(c).alias(f"gene_{c}") for c in columns])
@@ -106,3 +117,36 @@ def load_annotation(features: DataFrame, key: str = "transcript_id", gene: str =
     genes = transcripts.groupBy("gene_id").agg(F.min("start_pos").alias("gene_start"), F.max("end_pos").alias("gene_end"), F.count("*").alias("n_transcripts"))
     conflicts = exons.groupBy("transcript_id").agg(F.count_distinct("gene_id").alias("n_genes")).filter("n_genes > 1")
     return {"exons": order_exons(exons), "transcripts": integrate(transcripts, genes, ["gene_id"]), "conflicts": conflicts, "bad_keys": check_keys(transcripts, ["transcript_id"])}
+
+
+# Feature types of transcripts, and of whole sequences.
+TRANSCRIPT_TYPES, SOURCE_TYPES = ("mRNA", "transcript", "ncRNA", "tRNA", "rRNA"), ("region", "source")
+
+
+def typed_annotation(features: DataFrame) -> dict[str, DataFrame]:
+    """The rows of the typed tables (``sources.typed_tables``) that are in one annotation file (rows of read_gff3): source, gene, transcript, exon, protein, cds, start_codon and stop_codon.
+
+    Exons and coding parts are numbered along the strand. A protein is named by protein_id, else by its transcript; its gene is that of
+    its transcript, else the ``gene`` attribute. Attributes without a column are joined to one text.
+    """
+    attr = lambda *names: F.coalesce(*[F.try_element_at("attrs", F.lit(n)) for n in names])
+    rest = lambda *names: S.attributes_to_string(F.map_filter("attrs", lambda k, v: ~k.isin(*names)))
+    place = [F.col("seqid").alias("genomicid"), "strand", "start_pos", "end_pos"]
+    of = lambda *kinds: features.filter(F.col("type").isin(*kinds))
+    along = F.when(F.col("strand") == "-", -F.col("end_pos")).otherwise(F.col("start_pos"))
+    number = lambda by: F.row_number().over(Window.partitionBy(by).orderBy(along, "end_pos"))
+    transcripts = of(*TRANSCRIPT_TYPES).select(attr("ID", "transcript_id").alias("transcriptid"), F.col("type").alias("rna_type"), attr("Parent", "gene_id").alias("geneid"), rest("ID", "Parent").alias("attribute"))
+    protein = attr("protein_id", "Parent").alias("proteinid")
+    cds = of("CDS").select(*place, F.col("phase").try_cast("int").alias("phase"), attr("ID").alias("id"), protein, attr("Parent").alias("parent"), attr("gene", "gene_id").alias("named"), attr("product").alias("product"))
+    proteins = cds.groupBy("proteinid").agg(F.min("parent").alias("parent"), F.min("named").alias("named"), F.min("product").alias("product"))
+    owned = proteins.join(transcripts.select(F.col("transcriptid").alias("parent"), "geneid"), "parent", "left")
+    codons = lambda kind: of(kind).select(*place, protein)
+    return {
+        "source": of(*SOURCE_TYPES).select(*place, attr("mol_type").alias("mol_type"), attr("chromosome").alias("chromosome"), attr("organism").alias("organism")),
+        "gene": of("gene").select(*place, attr("ID", "gene_id").alias("id"), rest("ID").alias("attribute")),
+        "transcript": transcripts,
+        "exon": of("exon").select(*place, attr("Parent", "transcript_id").alias("transcriptid")).withColumn("exon_number", number("transcriptid")),
+        "protein": owned.select("proteinid", F.coalesce("geneid", "named").alias("geneid"), "product", F.lit(None).cast("string").alias("attribute")),
+        "cds": cds.withColumn("exon_number", number("proteinid")).drop("parent", "named", "product"),
+        "start_codon": codons("start_codon"), "stop_codon": codons("stop_codon"),
+    }

@@ -153,13 +153,23 @@ GOOD_SPACERS = (
 GOOD_SIMPLE_SPACERS = (r"\|{14,}", r"\|{10,}.+\|{10,}", r"(\|{8,}.+){3}", r"(\|{3,}.){3,}.{1,10}?[\|:]{19,}", r"(\|{6,}.+){4}")
 
 
-def classify_alignment(df: DataFrame, simple: str = r"(.)\1{7,}|(..)\2{5,}|(...)\3{4,}", query: str = "query_text", target: str = "target_text", spacer: str = "spacer", identity: str = "identity") -> DataFrame:
-    """good, high-simple or bad, by the shape of the match line; alignments of simple sequences need more."""
-    s = F.col(spacer)
-    any_of = lambda rules: reduce(lambda a, b: a | b, [s.rlike(r) for r in rules])
-    is_simple = F.col(query).rlike(simple) | F.col(target).rlike(simple)
-    high = (F.col(identity) > 0.95) | any_of(GOOD_SIMPLE_SPACERS)
-    return route(df, [("high-simple", is_simple & high), ("bad", is_simple), ("good", any_of(GOOD_SPACERS) | (S.sliding_identity(spacer) > 0.6))], "bad")
+# Simple stretches of proteins, whose alignments need more.
+SIMPLE_PROTEIN = (
+    "S{10,}", "T{10,}", "Q{10,}", "(T.A){9,}", "[TA]{15,}", "[SN]{20,}", "[SD]{20,}", "(T.{1,2}){10,}", "(G..){12,}", "(P.D){9,}", "(A+.{1,4}){20,}",
+    "(SS.){10,}", "((S+).{1,2}){10,}", "([QE]+.){10,}", "([TS]+.){10,}", "(Q+.{1,3}){9,}", "(TT.{4}){10,}", "(TTT.{3}){10,}", "(T.P){10,}",
+)
+
+
+def any_of(text: str | Column, rules: tuple[str, ...]) -> Column:
+    t = F.col(text) if isinstance(text, str) else text
+    return reduce(lambda a, b: a | b, [t.rlike(r) for r in rules])
+
+
+def classify_alignment(df: DataFrame, simple: tuple[str, ...] = SIMPLE_PROTEIN, query: str = "query_text", target: str = "target_text", spacer: str = "spacer", identity: str = "identity") -> DataFrame:
+    """good, high-simple or bad, by the shape of the match line; alignments of simple sequences need more. Gaps count as letters of the texts."""
+    is_simple = any_of(query, simple) | any_of(target, simple)
+    high = (F.col(identity) > 0.95) | any_of(spacer, GOOD_SIMPLE_SPACERS)
+    return route(df, [("high-simple", is_simple & high), ("bad", is_simple), ("good", any_of(spacer, GOOD_SPACERS) | (S.sliding_identity(spacer) > 0.6))], "bad")
 
 
 # ------------------------------------------------------------ hits of a query

@@ -107,10 +107,38 @@ def _c45(spark, sf_dir):
     return motif_category_counts(align.locate_flanks(r, "ACGTAACC", "GGTTCCAA"), 5)
 
 
-@query("c50_linearize", "status:s piece:s n:n")
+# Sites; a head site that differs in three places; circular reads with both sites, the bad head, or none, some backward.
+# The rest of a read has two letters (on either strand), so no site is met by chance.
+HEAD, TAIL, BAD_HEAD = "ACGTTGCAACGGCTAGCTCG", "CGGATCTTACGGTCAAGCAT", "ACGTAGCAAGGGCTACCTCG"
+CIRCLES = {"c": TAIL + HEAD, "d": BAD_HEAD, "n": ""}
+CIRCLE_ROWS = " union all ".join(f"select ref_id || '{k}' as read_id, substr(seq, 1, 30) || '{v}' || substr(seq, 31, 34) as seq, '{k}' as kind, seq as whole from (select ref_id, translate(seq, 'GT', 'AC') as seq from fx_refs) r" for k, v in CIRCLES.items())
+
+
+def circles(spark, sf_dir):
+    made = [(k, F.concat(F.substring("seq", 1, 30), F.lit(v), F.substring("seq", 31, 34))) for k, v in CIRCLES.items()]
+    rows = F.array(*[F.struct(F.concat("ref_id", F.lit(k)).alias("read_id"), F.when(F.hash("ref_id") % 2 == 0, S.revcomp(c)).otherwise(c).alias("seq") if k == "c" else c.alias("seq")) for k, c in made])
+    return refs(spark, sf_dir).withColumn("seq", F.translate("seq", "GT", "AC")).select(F.explode(rows).alias("r")).select("r.*")
+
+
+@query("c50_linearize", "read_id:s status:s piece:s seq:s", f"""
+    select read_id, case kind when 'c' then 'cut' else 'no_cut' end as status, unnest(case kind when 'c' then ['left', 'right'] else ['whole'] end) as piece,
+           unnest(case kind when 'c' then [substr(whole, 1, 30) || '{TAIL}', '{HEAD}' || substr(whole, 31, 34)] else [seq] end) as seq
+    from ({CIRCLE_ROWS}) t where kind <> 'd'""", ("fx_refs",))
 def _c50(spark, sf_dir):
-    r = refs(spark, sf_dir).select(F.col("ref_id").alias("read_id"), "seq")
-    return align.linearize(r, "ACGTAACCGGTTACGT", "TTGGCCAAACGTACGG").groupBy("status", "piece").agg(F.count("*").alias("n"))
+    return align.linearize(circles(spark, sf_dir), HEAD, TAIL)
+
+
+@query("c50_site_counts", "cut:n discard:n no_cut:n ratio:d warning:b", "select count(*) as cut, count(*) as discard, count(*) as no_cut, 1.0 as ratio, true as warning from fx_refs", ("fx_refs",))
+def _c50_counts(spark, sf_dir):
+    return align.site_counts(align.cut_sites(circles(spark, sf_dir), HEAD, TAIL))
+
+
+@query("x15_sweep_linearized", "window_size:n cut_quality:n cut:n discard:n no_cut:n n_pieces:n mean:d", """
+    with sizes as (select count(*) as n from fx_refs), trims as (select unnest([4, 5, 6, 4, 5, 6]) as window_size, unnest([20, 20, 20, 19, 19, 19]) as cut_quality)
+    select window_size, cut_quality, n as cut, n as discard, n as no_cut, 3 * n as n_pieces, (50.0 + 54 + 64) / 3 as mean from trims, sizes""", ("fx_refs",))
+def _x15_linear(spark, sf_dir):
+    d = circles(spark, sf_dir).withColumn("qual", F.array_repeat(F.lit(30), F.length("seq")))
+    return align.sweep_linearized(d, HEAD, TAIL).withColumnRenamed("window", "window_size")
 
 
 @query("c49_pick_subsequence", "seq_id:s seq:s")

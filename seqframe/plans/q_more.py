@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from seqframe.functions import sequence as S
@@ -10,7 +12,7 @@ from seqframe.operators import align, annotation, assembly, clusters, gaps, pile
 from seqframe.plans import fixtures
 from seqframe.plans.fixtures import random_letters, random_letters_sql
 from seqframe.plans.registry import query
-from seqframe.sources import features, reports, sequences, sinks
+from seqframe.sources import features, reports, sequences, sinks, typed_tables
 from seqframe.sources.paths import shared_folder
 from seqframe.streaming import reads as streams
 
@@ -502,6 +504,56 @@ def _x13(spark, sf_dir):
     return annotation.load_annotation(features.read_gff3(spark, path))["transcripts"]
 
 
+def annotation_file(spark, sf_dir, odd=False):
+    """Features of a GFF3 file: sequences, genes (a thousand letters each), transcripts and exons.
+
+    With odd, one gene in seven is missing, the exons of one transcript in ten come twice under the same number, and strands of
+    genes whose number divides by eleven are two letters long.
+    """
+    path = shared_folder(spark, "gff")
+    e = fixtures.exons(spark, sf_dir)
+    g = F.substring("gene_id", 2, 9).cast("int")
+    line = lambda kind, a, b, attrs, strand="strand": F.concat_ws("\t", "genomicid", F.lit("x"), F.lit(kind), a.cast("string"), b.cast("string"), F.lit("."), strand, F.lit("."), attrs).alias("value")
+    rows = e.select(line("region", F.lit(1), F.lit(10_000_000), F.lit("organism=x;chromosome=1"), F.lit("+"))).distinct()
+    rows = rows.unionByName(e.filter(g % 7 > 0 if odd else F.lit(True)).select(line("gene", (g + 1) * 1000, (g + 1) * 1000 + 999, F.concat(F.lit("ID="), "gene_id"), F.when((g % 11 == 0) & F.lit(odd), "++").otherwise(F.col("strand")))).distinct())
+    rows = rows.unionByName(e.select(line("mRNA", F.lit(1), F.lit(2), F.concat(F.lit("ID="), "transcript_id", F.lit(";Parent="), "gene_id"))).distinct())
+    rows.unionByName(e.select(line("exon", F.col("start_pos"), F.col("end_pos"), F.concat(F.lit("Parent="), "transcript_id")))).write.text(path)
+    return features.read_gff3(spark, path)
+
+
+@query("k12_load_tables", "table_name:s n:n", "select 'source' as table_name, count(distinct genomicid) as n from fx_exons union all select 'gene', count(distinct gene_id) from fx_exons union all select 'transcript', count(distinct transcript_id) from fx_exons union all select 'exon', count(*) from fx_exons", ("fx_exons",))
+def _k12_load(spark, sf_dir):
+    target = shared_folder(spark, "annotation")
+    made = annotation.typed_annotation(annotation_file(spark, sf_dir))
+    typed_tables.load_tables({k: made[k] for k in ("source", "gene", "transcript", "exon")}, target)
+    counts = [typed_tables.stored_table(spark, target, k).agg(F.count("*").alias("n")).select(F.lit(k).alias("table_name"), "n") for k in ("source", "gene", "transcript", "exon")]
+    return functools.reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query("k12_load_problems", "table_name:s column_name:s problem:s n:n", """
+    select 'gene' as table_name, 'strand' as column_name, 'too long' as problem, count(distinct gene_id) as n from fx_exons where cast(substr(gene_id, 2) as int) % 7 > 0 and cast(substr(gene_id, 2) as int) % 11 = 0
+    union all select 'transcript', 'geneid', 'not in gene', count(distinct transcript_id) from fx_exons where cast(substr(gene_id, 2) as int) % 7 = 0
+    union all select 'exon', 'transcriptid,exon_number', 'repeated key', 2 * count(*) from fx_exons where cast(substr(transcript_id, 2) as int) % 10 = 0""", ("fx_exons",))
+def _k12_problems(spark, sf_dir):
+    made = annotation.typed_annotation(annotation_file(spark, sf_dir, odd=True))
+    twice = made["exon"].unionByName(made["exon"].filter(F.substring("transcriptid", 2, 12).cast("long") % 10 == 0))
+    return typed_tables.problems({k: made[k] for k in ("source", "gene", "transcript")} | {"exon": twice})
+
+
+@query("j24_integrate_protein", "gi:n proteinid:s geneid:s sequence:s", "select l_orderkey * 10 + l_linenumber as gi, 'n' || p_partkey as proteinid, p_brand as geneid, l_returnflag as sequence from part join lineitem on l_partkey = p_partkey")
+def _j24_protein(spark, sf_dir):
+    raw = fixtures.table(spark, sf_dir, "part").select(F.concat(F.lit("n"), "p_partkey").alias("proteinid"), F.col("p_brand").alias("geneid"), F.col("p_name").alias("product"), F.lit("").alias("attribute"))
+    seqs = fixtures.table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("gi"), F.concat(F.lit("n"), "l_partkey").alias("proteinid"), F.col("l_returnflag").alias("sequence"))
+    return annotation.integrate_protein(raw, seqs)
+
+
+@query("j24_integrate_qc", "result_id:n identity:d alnlength:n", "select o_orderkey as result_id, l_discount as identity, l_quantity as alnlength from lineitem join orders on l_orderkey % 1000 = o_orderkey % 1000 and l_linenumber = o_orderkey % 7 + 1 and l_orderkey = o_orderkey")
+def _j24_qc(spark, sf_dir):
+    key = lambda c: F.concat_ws("/", F.col(c) % 1000, c).alias("input")
+    raw = fixtures.table(spark, sf_dir, "lineitem").select(key("l_orderkey"), F.col("l_linenumber").cast("long").alias("fraction"), F.col("l_discount").alias("identity"), F.col("l_quantity").cast("long").alias("alnlength"))
+    return annotation.integrate_qc(raw, fixtures.table(spark, sf_dir, "orders").select(key("o_orderkey"), (F.col("o_orderkey") % 7 + 1).cast("long").alias("fraction"), F.col("o_orderkey").alias("id")))
+
+
 # ------------------------------------------------------------ trims
 
 

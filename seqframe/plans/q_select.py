@@ -115,12 +115,21 @@ def _relative(spark, sf_dir):
     return select.relative_hit_filter(hits(spark, sf_dir).withColumn("overlap", F.col("length") / 50.0), 0.4, 0.05, 0.35)
 
 
-@query("f23_classify_alignment", "class:s n:n", """
-    select case when regexp_matches(s, '[|]{12,}') then 'good' else 'bad' end as class, count(*) as n
-    from (select translate(p_name, 'aeioubcdfghjklmnpqrstvwxyz ', '||||||||||||||') as s from part) t group by 1""")
+# (query text, match line, identity, class): each shape of a good alignment alone, each simple stretch, each shape of a good one of simple texts.
+FINE = ("|" * 12, "||||..|:|||||||||||.|.||||", "||||||||||....||||||||||", "|||||||..||||||||||..|||||||", "||||||||." * 3, "||||||." * 4, "|||||||||..|||||||||:|||||||||:|", "|:" * 13 + "..||||", "||||||.||||||:|", "||||." * 6, "||||.||||||.||||||..||||", "||." * 20)
+SIMPLE = ("S" * 10, "T" * 10, "Q" * 10, "TKA" * 9, "TTA" * 5, "SNN" * 7, "SDD" * 7, "TKR" * 10, "GKR" * 12, "PKD" * 9, "AKRL" * 20, "SSK" * 10, "SK" * 10, "QEK" * 10, "TSK" * 10, "QKRL" * 9, "TTKRLM" * 10, "TTTKRL" * 10, "TKP" * 10)
+SIMPLE_FINE = ("|" * 14, "||||||||||.||||||||||", "||||||||." * 3, "|||." * 3 + ".." + "|:" * 10, "||||||." * 4)
+PLANTED = [
+    *(("ACDEFGHIKLMN", s, 0.5, "good") for s in FINE), *(("ACDEFGHIKLMN", s, 0.96, "bad") for s in ("|||.|||.|||", "||..." * 20, "|" * 11, "")),
+    *((t, "|" * 13, 0.5, "bad") for t in SIMPLE), *((t, "|", 0.96, "high-simple") for t in SIMPLE), *(("S" * 10, s, 0.5, "high-simple") for s in SIMPLE_FINE),
+]
+
+
+@query("f23_classify_alignment", "p_partkey:n class:s", f"select p_partkey, list_extract({[c for *_, c in PLANTED]}, cast(p_partkey % {len(PLANTED)} as int) + 1) as class from part")
 def _spacer(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select(F.translate("p_name", "aeioubcdfghjklmnpqrstvwxyz ", "||||||||||||||").alias("spacer"), F.lit("AC").alias("query_text"), F.lit("GT").alias("target_text"), F.lit(0.5).alias("identity"))
-    return select.classify_alignment(p).groupBy("class").agg(F.count("*").alias("n"))
+    rows = F.array(*[F.struct(F.lit(t if k % 2 else "ACDEFGHIKLMN").alias("query_text"), F.lit(t).alias("target_text"), F.lit(s).alias("spacer"), F.lit(i).alias("identity")) for k, (t, s, i, _) in enumerate(PLANTED)])
+    p = table(spark, sf_dir, "part").select("p_partkey", F.get(rows, (F.col("p_partkey") % len(PLANTED)).cast("int")).alias("r")).select("p_partkey", "r.*")
+    return select.classify_alignment(p).select("p_partkey", "class")
 
 
 @query("f24_route_alignment_quality", "class:s n:n", """
