@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from seqframe.functions import sequence as S
 
@@ -56,15 +56,46 @@ def pair_mates(first: DataFrame, second: DataFrame, on: str = "read_id", late: s
     return a.join(b, near, "left_outer")
 
 
-def cut_states(runs: DataFrame, project: str = "project") -> DataFrame:
-    """(project, state) after each batch of runs (project, ord, cls); the state is one integer for each project."""
+STORE, ROCKSDB = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        now = state.get[0] if state.exists else 0
-        for pdf in batches:
+
+class CutStates(StatefulProcessor):
+    """One integer for each project: 0 nothing yet, 1 or 2 the class seen, -1 both or another one. A project that is quiet for ``quiet_ms`` comes out once more, closed, and is forgotten."""
+
+    def __init__(self, quiet_ms: int | None = None) -> None:
+        self.quiet_ms = quiet_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("state", "state int")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now = self.state.get()[0] if self.state.exists() else 0
+        for pdf in rows:
             for cls in pdf.sort_values("ord", kind="stable")["cls"]:
                 now = now if now == -1 or cls == 0 else -1 if cls not in (1, 2) or now not in (0, cls) else int(cls)
-        state.update((now,))
-        yield pd.DataFrame({"project": [key[0]], "state": [now]})
-
-    return runs.groupBy(project).applyInPandasWithState(step, "project long, state int", "state int", "update", GroupStateTimeout.NoTimeout)
+        self.state.update((now,))
+        if self.quiet_ms is not None:
+            for timer in self.handle.listTimers():
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
+        yield pd.DataFrame({"project": [key[0]], "state": [now], "closed": [False]})
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        last = self.state.get()[0] if self.state.exists() else 0
+        self.state.clear()
+        yield pd.DataFrame({"project": [key[0]], "state": [last], "closed": [True]})
+
+    def close(self) -> None:
+        pass
+
+
+def cut_states(runs: DataFrame, project: str = "project", quiet_ms: int | None = None) -> DataFrame:
+    """(project, state, closed) after each batch of runs (project, ord, cls), in update mode.
+
+    Without ``quiet_ms`` projects are kept for good. Such processors need the state store of RocksDB, whose state may pass the memory of an executor: it is set for the session.
+    """
+    conf = runs.sparkSession.conf
+    if not conf.get(STORE, "").endswith("RocksDBStateStoreProvider"):
+        conf.set(STORE, ROCKSDB)
+    timers = "none" if quiet_ms is None else "processingTime"
+    return runs.groupBy(project).transformWithStateInPandas(CutStates(quiet_ms), "project long, state int, closed boolean", "update", timers)

@@ -1,5 +1,7 @@
 """Streaming forms, driven to completion over files."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from seqframe.streaming import reads as R
@@ -44,3 +46,27 @@ def test_cut_states(spark, tmp_path):
     for r in drain(R.cut_states(stream), "s5", "update"):
         last.setdefault(r["project"], []).append(r["state"])
     assert last[1][-1] == 2 and last[2][-1] == 1 and -1 in last[3]
+
+
+def test_quiet_projects_are_closed(spark, tmp_path):
+    """A project without runs for a while comes out closed, and begins anew if it comes again."""
+    path = str(tmp_path / "runs")
+    add = lambda *rows: spark.createDataFrame(list(rows), "project long, ord long, cls int").coalesce(1).write.mode("append").parquet(path)
+
+    def seen(row):
+        """Whether the row comes out in time; a query with timers always has another batch, so it is not driven to its end."""
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            if row in {tuple(r) for r in spark.table("s7").collect()}:
+                return True
+            time.sleep(1)
+        return False
+
+    add((1, 1, 2), (2, 1, 1))
+    q = R.cut_states(R.stream_table(spark, path, "project long, ord long, cls int"), quiet_ms=500).writeStream.outputMode("update").format("memory").queryName("s7").start()
+    try:
+        assert seen((1, 2, True)) and seen((2, 1, True))
+        add((1, 2, 1))
+        assert seen((1, 1, False))
+    finally:
+        q.stop()
