@@ -269,3 +269,22 @@ def test_disjoint_ranges_equal_a_loop():
             if not want:
                 index.add(a, b)
                 kept.append((a, b))
+
+
+@pytest.mark.parametrize("mode", ["local", "global"])
+def test_pairs_at_once_align_like_one_by_one(monkeypatch, mode):
+    tops, bottoms = pairs_of(8, 200, 50)
+    tops, bottoms = [*tops, "", "ACGT", "AC-GT"], [*bottoms, "ACGT", "", "ACGGT"]
+    for scores in [*align.SCORES.values(), align.group_matrix()]:
+        rows = align._program(tops, bottoms, mode, scores)  # every path is walked alone
+        assert align.align_batch(tops, bottoms, mode, scores) == rows
+
+
+def test_pairs_without_gaps_need_no_full_program(monkeypatch):
+    rng = random.Random(6)
+    refs = ["".join(rng.choices("ACGT", k=64)) for _ in range(300)]
+    reads = [r[k % 9 : k % 9 + 30] for k, r in enumerate(refs)]
+    reads = [r[: k % 30] + "N" + r[k % 30 + 1 :] for k, r in enumerate(reads)]
+    want = align._program(refs, reads, "local", align.SCORES["reads"])
+    monkeypatch.setattr(align, "_program", None)
+    assert align.align_batch(refs, reads) == want
