@@ -288,3 +288,27 @@ def test_pairs_without_gaps_need_no_full_program(monkeypatch):
     want = align._program(refs, reads, "local", align.SCORES["reads"])
     monkeypatch.setattr(align, "_program", None)
     assert align.align_batch(refs, reads) == want
+
+
+def test_blocks_lose_no_read_and_meet_few_others(spark, monkeypatch):
+    rng = random.Random(13)
+    letters = lambda n: "".join(rng.choices("ACGT", k=n))
+    refs = [(f"p{k}", letters(64)) for k in range(40)]
+    reads = []
+    for k in range(160):
+        n, x = rng.choice([20, 24, 25, 32, 60]), refs[k % 40][1]
+        at = rng.randrange(64 - n)
+        x = list(x[at : at + n])
+        for i in rng.sample(range(n), k % 4):
+            x[i] = rng.choice(["N", "", x[i] + "A", "u", "A"])
+        reads.append((f"r{k}", "".join(x) if k % 3 else "".join(x).translate(str.maketrans("ACGT", "TGCA"))[::-1]))
+    r, f = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    whole, quick = [{x["read_id"]: x["score"] for x in align.align_join(r, f, identity=0.85, length=15, top=True, seed=s).collect()} for s in (False, True)]
+    assert quick == whole and len(whole) > 120
+    # reads as planted, with one misread letter: a thousand references give hardly a pair too many, and no shorter seed is tried
+    refs = [(f"p{k}", letters(64)) for k in range(1000)]
+    reads = [(f"r{k}", s[: k % 24] + "N" + s[k % 24 + 1 : 24 + k % 41]) for k, (_, s) in enumerate(refs)]
+    r, f = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    assert align.block_pairs(r, f).count() < 1010
+    monkeypatch.setattr(align, "seed_pairs", None)
+    assert {(x["read_id"][1:], x["ref_id"][1:]) for x in align.align_join(r, f, identity=0.85, length=15, top=True).select("read_id", "ref_id").collect()} == {(str(k), str(k)) for k in range(1000)}
