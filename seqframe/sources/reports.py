@@ -87,10 +87,15 @@ def parse_gene_prediction(spark: SparkSession, paths: str | list[str]) -> DataFr
 
 
 def read_assembly_info(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(src, key, value) of ``key: value`` lines up to ``All contigs:``."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("src"), F.substring_index("value", "All contigs:", 1).alias("v"))
-    pairs = F.regexp_extract_all("v", F.lit(r"(?m)^\s*([^:\n]+?)\s*:\s*\S.*$"), F.lit(0))
-    return whole.select("src", F.explode(pairs).alias("p")).select("src", F.trim(F.substring_index("p", ":", 1)).alias("key"), F.trim(F.regexp_replace("p", "^[^:]*:", "")).alias("value"))
+    """(src, key, value) of ``key: value`` lines up to ``All contigs:``; files are read by lines, in parts."""
+    mark = "All contigs:"
+    # within a file, lines are in order by their part's begin and then their number in the task
+    at = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("src"), at.alias("at"), "value")
+    end = lines.filter(F.contains("value", F.lit(mark))).groupBy("src").agg(F.min("at").alias("end"))
+    head = lines.join(end, "src", "left").filter(F.col("end").isNull() | (F.col("at") <= F.col("end"))).select("src", F.substring_index("value", mark, 1).alias("p"))
+    pairs = head.filter(F.col("p").rlike(r"^\s*[^:]+?\s*:\s*\S"))
+    return pairs.select("src", F.trim(F.substring_index("p", ":", 1)).alias("key"), F.trim(F.regexp_replace("p", "^[^:]*:", "")).alias("value"))
 
 
 def read_contig_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -129,3 +129,20 @@ def test_functions_by_hand(spark):
     assert [r["r"] for r in got] == [True, False] and [r["h"] for r in got] == [True, False] and got[0]["x"] == "GA[ACGT]TC"
     assert df.select(S.revcomp(S.revcomp("t")) == F.col("t")).collect()[0][0]
     assert df.select(taxonomy.repair_name(F.lit(" Tobacco  Virus strain X ")).alias("n")).first()["n"] == "Tobacco virus"
+
+
+def test_long_assembly_info_is_read_in_parts(spark, tmp_path):
+    for name in ("a", "b"):
+        body = "".join(f"  Num. reads {k} : {k}:{name} \n" for k in range(60))
+        (tmp_path / f"{name}.txt").write_text(f"Heading:\n====\n{body}" + ("All contigs:\nlate: 1\n" + "later: 2\n" * 40 if name == "a" else "last: 3\n"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        info = reports.read_assembly_info(spark, str(tmp_path))
+        got = sorted((r["src"][-5:], r["key"], r["value"]) for r in info.collect())
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = [(f"{n}.txt", f"Num. reads {k}", f"{k}:{n}") for n in "ab" for k in range(60)] + [("b.txt", "last", "3")]
+    assert got == sorted(want)
