@@ -61,9 +61,47 @@ def cuts_by_position(cuts: DataFrame, name: str = "seq_id") -> DataFrame:
     return cuts.groupBy(name, "pos").agg(F.array_sort(F.collect_list("name")).alias("enzymes"))
 
 
-def not_cutting(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id") -> DataFrame:
-    """(seq_id, name) of enzymes without a site in the sequence: the list is dealt out to each sequence as an array."""
-    cuts = digest(seqs, enzymes, name).groupBy(name).agg(F.collect_set("name").alias("cutting"))
-    every = enzymes.agg(F.collect_set("name").alias("every"))  # a reference list, one row
+def site_classes(enzymes: DataFrame) -> DataFrame:
+    """(name, sites): the sites of each enzyme, sorted; enzymes with the same ones cut at the same places."""
+    return enzymes.groupBy("name").agg(F.array_sort(F.collect_set(F.upper("site"))).alias("sites"))
+
+
+def _site_cuts(seqs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """(seq_id, site, pos) of each different site once, whatever the number of enzymes that have it; no row comes twice."""
+    sites = classes.select(F.explode("sites").alias("site")).distinct()
+    return digest(seqs, sites.select(F.col("site").alias("name"), "site"), name).withColumnRenamed("name", "site")
+
+
+def cut_counts(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id") -> DataFrame:
+    """(name, n_cuts) of the enzymes that cut at all: places are counted by classes of enzymes with the same sites."""
+    named = site_classes(enzymes)
+    classes = named.select("sites").distinct()
+    cuts = _site_cuts(seqs, classes, name)
+    # of a class of one site every cut is a place of its own; only where there are more two cuts may be one place
+    one = cuts.groupBy("site").agg(F.count("*").alias("n_cuts")).select(F.array("site").alias("sites"), "n_cuts")
+    several = classes.filter(F.size("sites") > 1).select("sites", F.explode("sites").alias("site"))
+    more = cuts.join(several, "site").select("sites", name, "pos").distinct().groupBy("sites").agg(F.count("*").alias("n_cuts"))
+    return named.join(one.join(classes, "sites", "left_semi").unionByName(more), "sites").select("name", "n_cuts")
+
+
+def _classes_not_cutting(seqs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """seq_id and ``c``, a row of classes (sites, and more) for each class without a site in the sequence."""
+    cuts = _site_cuts(seqs, classes, name).groupBy(name).agg(F.collect_set("site").alias("cutting"))
+    every = classes.agg(F.collect_list(F.struct(*classes.columns)).alias("every"))  # one row: as many entries as there are different sites
     joined = seqs.select(name).join(cuts, name, "left").join(F.broadcast(every))
-    return joined.select(name, F.explode(F.array_except("every", F.coalesce("cutting", F.array().cast("array<string>")))).alias("name"))
+    cutting = F.coalesce("cutting", F.array().cast("array<string>"))
+    return joined.select(name, F.filter("every", lambda c: ~F.arrays_overlap(c["sites"], cutting)).alias("classes"))
+
+
+def not_cutting(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id") -> DataFrame:
+    """(seq_id, name) of enzymes without a site in the sequence."""
+    named = site_classes(enzymes)
+    left = _classes_not_cutting(seqs, named.select("sites").distinct(), name)
+    return left.select(name, F.explode("classes").alias("c")).select(name, "c.sites").join(named, "sites").select(name, "name")
+
+
+def not_cutting_counts(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id") -> DataFrame:
+    """(seq_id, n): the number of enzymes without a site in the sequence, where there are any; no pair of both is made."""
+    left = _classes_not_cutting(seqs, site_classes(enzymes).groupBy("sites").agg(F.count("*").alias("n")), name)
+    total = F.aggregate("classes", F.lit(0).cast("long"), lambda a, c: a + c["n"])
+    return left.select(name, total.alias("n")).filter("n > 0")
