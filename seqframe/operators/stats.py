@@ -60,11 +60,10 @@ def tag_histogram(df: DataFrame, value: str | Column) -> DataFrame:
 def codon_spacing(df: DataFrame, codons: tuple[str, ...] = ("TAG", "TGA", "TAA"), first: int | None = 5000, name: str = "seq_id", seq: str = "seq", order: str = "ord") -> DataFrame:
     """(distance, n): distances between successive codons of the list in each of the first lines."""
     lines = df.orderBy(order).limit(first) if first else df
-    at = S.motif_positions(F.upper(seq), "|".join(codons))
-    found = lines.select(at.alias("at"))
-    pairs = F.zip_with(F.slice("at", F.lit(2), F.greatest(F.size("at") - 1, F.lit(0))), F.slice("at", F.lit(1), F.greatest(F.size("at") - 1, F.lit(0))), lambda x, y: x - y)
-    steps = found.select(pairs.alias("d"))
-    return steps.select(F.explode("d").alias("distance")).groupBy("distance").agg(F.count("*").alias("n"))
+    # split before each codon: of the parts, the first is the head and the last the tail, the others are as long as the distances
+    parts = S.bound(F.split(F.concat(F.lit(" "), F.upper(seq)), f"(?={'|'.join(codons)})"), lambda p: F.slice(p, F.lit(2), F.greatest(F.size(p) - 2, F.lit(0))))
+    steps = lines.select(F.explode(parts).alias("part")).select(F.length("part").alias("distance"))
+    return steps.groupBy("distance").agg(F.count("*").alias("n"))
 
 
 def weighted_stats(df: DataFrame, value: str = "value", n: str = "n", by: list[str] | None = None) -> DataFrame:
@@ -85,10 +84,13 @@ def poly_tail_table(df: DataFrame, name: str = "seq_id", seq: str = "seq") -> Da
 
 def minimum_quality(df: DataFrame, margin: int = 12, name: str = "read_id", qual: str = "qual") -> DataFrame:
     """Least quality inside the margins and all its 1-based positions."""
-    inner = F.slice(F.col(qual), F.lit(margin + 1), F.greatest(F.size(qual) - 2 * margin, F.lit(0)))
-    least = F.array_min(inner)
-    at = F.filter(F.transform(inner, lambda q, i: F.when(q == least, i + margin + 1)), lambda i: i.isNotNull())
-    return df.filter(F.size(qual) > 2 * margin).select(name, least.alias("min_q"), at.alias("positions"))
+    def made(inner: Column) -> Column:
+        at = lambda least: F.filter(F.transform(inner, lambda q, i: F.when(q == least, i + margin + 1)), lambda i: i.isNotNull())
+        return S.bound(F.array_min(inner), lambda least: F.struct(least.alias("min_q"), at(least).alias("positions")))
+
+    inner = S.bound(F.col(qual), lambda q: F.slice(q, F.lit(margin + 1), F.greatest(F.size(q) - 2 * margin, F.lit(0))))
+    rows = df.filter(F.size(qual) > 2 * margin).select(name, S.bound(inner, made).alias("m"))
+    return rows.select(name, "m.min_q", "m.positions")
 
 
 def quality_below(df: DataFrame, q: int, name: str = "read_id", qual: str = "qual", seq: str = "seq", flank: int = 18) -> DataFrame:

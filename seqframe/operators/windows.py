@@ -7,15 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqframe.functions import sequence as S
+
 
 def windows(df: DataFrame, score: Callable[[Column, Column], Column], window: int, name: str, seq: str) -> DataFrame:
     """(name, pos, total): sums of the scores of neighbouring letters in each window that fits, made within the row."""
-    s = F.upper(seq)
-    n = F.length(s)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: score(F.substring(s, i, F.lit(1)), F.substring(s, i + 1, F.lit(1))))
-    held = df.filter(n >= window).select(name, F.when(n > 1, pairs).otherwise(F.array().cast("array<int>")).alias("c"), (n - window + 1).alias("fits"))
-    totals = F.transform(F.sequence(F.lit(1), F.col("fits")), lambda i: F.aggregate(F.slice("c", i, window - 1), F.lit(0), lambda a, x: a + x))
-    return held.select(name, F.posexplode(totals).alias("p", "total")).select(name, (F.col("p") + 1).alias("pos"), "total")
+    totals = S.sums(S.neighbours(F.upper(seq), score), window - 1)
+    return df.filter(F.length(seq) >= window).select(name, F.posexplode(totals).alias("p", "total")).select(name, (F.col("p") + 1).alias("pos"), "total")
 
 
 def sliding_complexity(df: DataFrame, window: int = 20, name: str = "seq_id", seq: str = "seq") -> DataFrame:
