@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,25 +36,37 @@ class Disjoint:
 def keep_disjoint(hits: DataFrame, margin: int = 1) -> DataFrame:
     """hits with ``kept``: in file order a match is kept if it overlaps no kept match of its query and target.
 
-    Ranges may touch by ``margin`` bases; an overlap of the query or the target range counts. A pair's matches are
-    folded in order, so a group is one query and target.
+    Ranges may touch by ``margin`` bases; an overlap of the query or the target range counts. Rows come sorted by
+    query, target and order, so a task goes through all its pairs in one pass.
     """
     schema = T.StructType([*hits.schema.fields, T.StructField("kept", T.BooleanType())])
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord", kind="stable")
-        on_query, on_target, flags = Disjoint(), Disjoint(), []
-        for a, b, c, d in zip(pdf.qstart, pdf.qend, pdf.tstart, pdf.tend, strict=True):
-            # two ranges share over margin places if they still meet with margin off their ends
-            a, b, c, d = min(a, b), max(a, b) - margin, min(c, d), max(c, d) - margin
-            keep = not (on_query.meets(a, b) or on_target.meets(c, d))
-            flags.append(keep)
-            if keep:
-                on_query.add(a, b)
-                on_target.add(c, d)
-        return pdf.assign(kept=flags)
-
-    return hits.groupBy("query", "target").applyInPandas(fold, schema)
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, on_query, on_target = None, Disjoint(), Disjoint()
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pair = list(zip(pdf["query"], pdf["target"], strict=True))
+            new = np.array([x != y for x, y in zip(pair, [last, *pair[:-1]], strict=True)])
+            # a first row is kept, and one that no other of its pair follows needs no index
+            alone = new & np.append(new[1:], False)
+            kept = np.ones(len(pdf), bool)
+            ranges = [pdf[c].to_numpy() for c in ("qstart", "qend", "tstart", "tend")]
+            for k in np.flatnonzero(~alone).tolist():
+                if new[k]:
+                    on_query, on_target = Disjoint(), Disjoint()
+                # two ranges share over margin places if they still meet with margin off their ends
+                a, b, c, d = (r[k] for r in ranges)
+                a, b, c, d = min(a, b), max(a, b) - margin, min(c, d), max(c, d) - margin
+                kept[k] = not (on_query.meets(a, b) or on_target.meets(c, d))
+                if kept[k]:
+                    on_query.add(a, b)
+                    on_target.add(c, d)
+            last = pair[-1]
+            yield pdf.assign(kept=kept)
+
+    n = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hits.repartition(n, "query", "target").sortWithinPartitions("query", "target", "ord").mapInPandas(fold, schema)
 
 
 def consolidate_hits(hits: DataFrame, margin: int = 1) -> DataFrame:
