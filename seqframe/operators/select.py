@@ -299,11 +299,17 @@ def sample_sizes(df: DataFrame, sizes: list[int], repeats: int = 1, seed: int =
 
 
 def head_fraction(df: DataFrame, fraction: float = 0.5, size: Column | None = None, order: tuple[str, ...] = ("src", "ord")) -> DataFrame:
-    """The first records of each file whose running size is within the fraction of the file's."""
-    n = size if size is not None else F.length("seq")
-    w = Window.partitionBy(order[0])
-    running = F.sum(n).over(w.orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("__run", running).withColumn("__all", F.sum(n).over(w)).filter(F.col("__run") <= fraction * F.col("__all")).drop("__run", "__all")
+    """The first records of each file whose running size is within the fraction of the file's: dealt by ranges as in ``places``, so no task reads a whole file."""
+    spark, path, file = df.sparkSession, shared_folder(df.sparkSession, "heads"), order[0]
+    sized = df.withColumn("__size", (size if size is not None else F.length("seq")).cast("long"))
+    sized.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema(T.StructType([*sized.schema.fields, T.StructField("__part", T.IntegerType())])).parquet(path)
+    ranges = dealt.groupBy(F.col(file).alias("__file"), F.col("__part").alias("__range")).agg(F.sum("__size").alias("__n"))  # one row a file and range
+    w = Window.partitionBy("__file")
+    ranges = ranges.select("__file", "__range", F.sum("__n").over(w).alias("__all"), F.coalesce(F.sum("__n").over(w.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    own = F.sum("__size").over(Window.partitionBy("__part", file).orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, 0))
+    joined = dealt.withColumn("__run", own).join(ranges, F.col(file).eqNullSafe(F.col("__file")) & (F.col("__part") == F.col("__range")))
+    return joined.filter(F.col("__run") + F.col("__before") <= fraction * F.col("__all")).select(*df.columns)
 
 
 def bucket_by_bases(df: DataFrame, limit: int = 4_000_000_000, file: str = "src", seq: str = "seq") -> DataFrame:

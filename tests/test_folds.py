@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from seqframe.operators import hits, intervals
+from seqframe.operators import hits, intervals, select
 
 
 @pytest.fixture
@@ -52,3 +52,20 @@ def test_regions(spark, small_batches):
     made = intervals.merge_regions(spark.createDataFrame(rows, "seq_id string, strand string, lo int, hi int, score double, evalue double, ord int"))
     assert sorted(map(list, made.collect())) == sorted(want)
     assert "FlatMapGroups" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_head_fraction_by_ranges(spark):
+    rng = random.Random(6)
+    rows = [(f"r{k}", None if k % 4 == 3 else f"f{k % 4}", k, "A" * rng.randint(1, 9)) for k in range(400)]
+    want = set()
+    for src in {r[1] for r in rows}:
+        own, run = [r for r in rows if r[1] == src], 0
+        for r in own:
+            run += len(r[3])
+            if run <= 0.3 * sum(len(x[3]) for x in own):
+                want.add(r)
+    made = select.head_fraction(spark.createDataFrame(rows, "read_id string, src string, ord int, seq string").repartition(5), 0.3)
+    assert {tuple(r) for r in made.collect()} == want and made.columns == ["read_id", "src", "ord", "seq"]
+    # running sums are of a range of a file, never of a whole file
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(__part" in plan and "windowspecdefinition(src" not in plan
