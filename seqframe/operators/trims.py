@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqframe.functions import sequence as S
+from seqframe.sources.paths import spread
 
 
 def trim_low_quality(df: DataFrame, window: int = 6, cut: int = 20, longer_than: int = 17, seq: str = "seq", qual: str = "qual") -> DataFrame:
@@ -70,14 +71,13 @@ SIMPLE_SHARE, SIMPLE_BELOW = 0.9, 4
 
 def complexity_values(text: str, window: int) -> list[int]:
     """int(9 * changes / window) of each window that fits."""
-    letters = text.upper()
-    steps = [a != b and a != "N" and b != "N" for a, b in zip(letters, letters[1:], strict=False)]
-    total, out = sum(steps[: window - 1]), []
-    for k in range(len(text) - window + 1):
-        out.append(9 * total // window)
-        if k + window - 1 < len(steps):
-            total += steps[k + window - 1] - steps[k]
-    return out
+    if len(text) < window:
+        return []
+    letters = np.frombuffer(text.upper().encode("utf-32-le"), "<u4")
+    known = letters != ord("N")
+    steps = (letters[1:] != letters[:-1]) & known[1:] & known[:-1]
+    total = np.concatenate([[0], np.cumsum(steps)])
+    return (9 * (total[window - 1 :] - total[: len(total) - window + 1]) // window).tolist()
 
 
 def _junk(values: str, better: str) -> int:
@@ -140,7 +140,7 @@ def complexity_trim(df: DataFrame, window: int = 20, least: int = 32, seq: str =
             pdf[seq], pdf["code"] = [s for s, _ in cut], [c for _, c in cut]
             yield pdf[[*names, "code"]]
 
-    return df.mapInPandas(run, schema)
+    return spread(df).mapInPandas(run, schema)
 
 
 def poly_peaks(text: str, base: str, window: int = 10) -> list[tuple[int, int, float, float, int]]:
@@ -248,7 +248,7 @@ def short_read_peaks(text: str, window: int = 10) -> list[tuple[int, int, float,
     An island begins where the score rises from 0 and goes on while it is not below 0; one that is positive from the first letter is none.
     """
     letters = np.frombuffer(text.encode("ascii", "replace"), np.uint8)
-    like = np.isin(letters, np.frombuffer(b"AN", np.uint8))
+    like = (letters == ord("A")) | (letters == ord("N"))
     if len(letters) <= window:
         return []
     total = np.concatenate([[0], np.cumsum(np.where(like[:-1] & like[1:], 1, -1))])
@@ -279,8 +279,8 @@ def short_read_poly_a_text(text: str, window: int = 20) -> str:
     cut = re.sub("A{9,}[ACGTN]{1,9}$", "", text)
     if cut != text and "A" * 9 not in cut:
         return cut
-    peaks, values = short_read_peaks(cut), complexity_values(cut, window)
-    n = len(peaks)
+    peaks = short_read_peaks(cut)
+    n, values = len(peaks), complexity_values(cut, window) if peaks else []
 
     def goes(peak: tuple) -> bool:
         nonlocal cut, values
@@ -301,13 +301,15 @@ def short_read_poly_a(df: DataFrame, seq: str = "seq") -> DataFrame:
     return _kernel(df, seq, short_read_poly_a_text)
 
 
-def _kernel(df: DataFrame, seq: str, one) -> DataFrame:
+def _kernel(df: DataFrame, seq: str, one, dealt: bool = False) -> DataFrame:
+    """df with one(text) for each text; ``dealt`` where a kernel before has spread the rows."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf[seq] = [None if s is None else one(s) for s in pdf[seq]]
             yield pdf
 
-    return df.mapInPandas(run, df.schema)
+    return (df if dealt else spread(df)).mapInPandas(run, df.schema)
 
 
 def clean_reads(df: DataFrame, least: int = 50, shift: int | None = None, name: str = "read_id") -> DataFrame:
@@ -348,7 +350,7 @@ def clean_est(df: DataFrame, least: int = 32, seq: str = "seq", short_reads: boo
     """Upper case, simple trims, no junk repeats, then ``clean_est_text``; over ``least`` letters left. Null sequences go."""
     df = simple_trim(df.withColumn(seq, F.upper(seq)), seq)
     df = df.filter((F.length(seq) >= least) & ~S.is_junk_repeat(seq))
-    return _kernel(df, seq, lambda s: clean_est_text(s, short_reads=short_reads)).filter(F.length(seq) > least)
+    return _kernel(df, seq, lambda s: clean_est_text(s, short_reads=short_reads), dealt=True).filter(F.length(seq) > least)
 
 
 def clean_est_report(df: DataFrame, least: int = 32, longest: int = 999_999, seq: str = "seq", short_reads: bool = False) -> dict[str, DataFrame]:
@@ -364,4 +366,4 @@ def clean_vector_est(df: DataFrame, least: int = 35, seq: str = "seq") -> DataFr
     df = df.withColumn(seq, S.trim_n_by_distance(S.trim_vector_x(seq, least=least))).filter(F.col(seq).isNotNull())
     df = df.withColumn(seq, S.expose_poly_tail(seq)).filter(F.length(seq) >= least)
     df = complexity_trim(df, 20, least=least, seq=seq).filter("code not in (-1, 1)").drop("code")
-    return cut_peak(df, seq=seq).filter(F.length(seq) >= least)
+    return _kernel(df, seq, cut_peak_text, dealt=True).filter(F.length(seq) >= least)

@@ -92,7 +92,8 @@ def read_clusters(spark: SparkSession, path: str, format: str = "swarm", cutoff:
     if format == "swarm":
         lines = spark.read.text(path).filter(F.trim("value") != "")
         ids = F.transform(F.split(F.trim("value"), r"\s+"), lambda x: F.regexp_replace(x, r"_\d+$", ""))
-        return lines.select(F.element_at(ids, 1).alias("cluster_id"), F.posexplode(ids).alias("place", "seq_id"))
+        # the first id is made with the list, a line at a time: beside posexplode it would split the whole line again for each id
+        return lines.select(F.element_at(ids, 1).alias("cluster_id"), ids.alias("ids")).select("cluster_id", F.posexplode("ids").alias("place", "seq_id"))
     rows = spark.read.text(path).select(F.split("value", "\t").alias("c")).filter(F.element_at("c", 1).rlike(r"^\d*\.?\d+$"))
     rows = rows.select(F.element_at("c", 1).cast("double").alias("distance"), F.slice("c", F.lit(3), F.size("c")).alias("lists")).filter(F.col("distance") <= cutoff)
     chosen = rows.agg(F.max_by("lists", "distance").alias("lists"))

@@ -146,3 +146,24 @@ def test_long_assembly_info_is_read_in_parts(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     want = [(f"{n}.txt", f"Num. reads {k}", f"{k}:{n}") for n in "ab" for k in range(60)] + [("b.txt", "last", "3")]
     assert got == sorted(want)
+
+
+def test_a_line_of_a_cluster_file_is_split_once(spark, put):
+    path = put("c.swarm", "a_3 b_2 c_1\n\nd_1\n")
+    df = sequences.read_clusters(spark, path)
+    assert sorted((r["cluster_id"], r["seq_id"], r["place"]) for r in df.collect()) == [("a", "a", 0), ("a", "b", 1), ("a", "c", 2), ("d", "d", 0)]
+    # what stands above the generator is made for each id: no text of a line is split there
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above, _, _ = plan.partition("Generate")
+    assert "Generate" in plan and "split(" not in above
+
+
+def test_kernels_over_one_file_are_spread(spark, tmp_path):
+    from seqframe.operators import gaps, trims
+
+    one = str(tmp_path / "one")
+    spark.range(64).select(F.concat(F.lit("ACGTACGT"), F.repeat(F.lit("A"), (F.col("id") + 9).cast("int"))).alias("seq")).coalesce(1).write.parquet(one)
+    df = spark.read.parquet(one)
+    assert df.rdd.getNumPartitions() == 1
+    for made in (trims.short_read_poly_a(df), trims.complexity_trim(df), gaps.stem_pairs(df.select(F.col("seq").alias("top_seq"), F.col("seq").alias("bottom_seq")))):
+        assert made.rdd.getNumPartitions() >= 4
