@@ -1,5 +1,6 @@
 """The batch aligner against a slow one, and pileups of hand-worked alignments."""
 
+import hashlib
 import random
 
 import pytest
@@ -312,3 +313,16 @@ def test_blocks_lose_no_read_and_meet_few_others(spark, monkeypatch):
     assert align.block_pairs(r, f).count() < 1010
     monkeypatch.setattr(align, "seed_pairs", None)
     assert {(x["read_id"][1:], x["ref_id"][1:]) for x in align.align_join(r, f, identity=0.85, length=15, top=True).select("read_id", "ref_id").collect()} == {(str(k), str(k)) for k in range(1000)}
+
+
+def test_a_turned_assembly_keeps_its_strand(spark):
+    from seqframe.operators import assembly
+
+    # part 102364 of 6 times sf0.1: once turned, its reference is like its own reverse complement by 0.82
+    digits = "".join(hashlib.md5(t.encode()).hexdigest() for t in ("102364", "x102364"))
+    ref = digits.translate(str.maketrans("0123456789abcdef", "ACGTACGTACGTACGT"))
+    turned = ref[20:] + ref[:20]
+    ring = turned[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    results = spark.createDataFrame([("a", ring, False)], "input string, seq string, cut boolean")
+    got = assembly.assembly_qc(results, spark.createDataFrame([("a", ref)], "input string, ref_seq string")).first()
+    assert (got["strand"], got["identity"], got["rotated"]) == ("-", 1.0, 20)
