@@ -326,3 +326,59 @@ def test_a_turned_assembly_keeps_its_strand(spark):
     results = spark.createDataFrame([("a", ring, False)], "input string, seq string, cut boolean")
     got = assembly.assembly_qc(results, spark.createDataFrame([("a", ref)], "input string, ref_seq string")).first()
     assert (got["strand"], got["identity"], got["rotated"]) == ("-", 1.0, 20)
+
+
+def test_better_strand_equals_both_strands(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from seqframe.functions import sequence as S
+
+    rng = random.Random(8)
+    letters = lambda n, of="ACGT": "".join(rng.choice(of) for _ in range(n))
+    rows = [("", ""), ("ACGT", ""), ("ACGT", "ACGT"), ("ACGU", "acgu"), ("AAé", "éT")]
+    for k in range(120):
+        top = letters(rng.randint(8, 60), "ACGTN" if k % 7 == 0 else "ACGT")
+        read = top[: rng.randint(4, 60)]
+        read = read[: len(read) // 2] + letters(rng.randint(0, 2)) + read[len(read) // 2 + k % 2 :]
+        rows.append((top, read if k % 3 else read[::-1].translate(str.maketrans("ACGT", "TGCA"))))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, ref_seq string, read_seq string")
+    both = df.withColumn("strand", F.explode(F.array(F.lit("+"), F.lit("-")))).withColumn("read_seq", F.when(F.col("strand") == "-", S.revcomp("read_seq")).otherwise(F.col("read_seq")))
+    scores = align.SCORES["consensus"]
+    best = {}
+    for r in align.align_pairs(both, "local", scores).collect():
+        if r["i"] not in best or (r["score"], r["strand"] == "+") > (best[r["i"]]["score"], best[r["i"]]["strand"] == "+"):
+            best[r["i"]] = r
+    made = {r["i"]: r for r in align.align_pairs(df, "local", scores, better_strand=True).collect()}
+    names = [c for c in both.columns + align.RESULT.replace(",", "").split()[::2] if c != "read_seq"]
+    assert {i: [r[c] for c in names] for i, r in made.items()} == {i: [r[c] for c in names] for i, r in best.items()}
+    # reads that differ in two places need no gap, and no strand of them needs the full program
+    seen = []
+    program = align._program
+    monkeypatch.setattr(align, "_program", lambda t, *a: seen.append(len(t)) or program(t, *a))
+    top = letters(50)
+    read = top[:10] + ("A" if top[10] != "A" else "C") + top[11:30] + ("A" if top[30] != "A" else "C") + top[31:]
+    turned, made = align.align_strands([top, top], [read, read[::-1].translate(str.maketrans("ACGT", "TGCA"))], scores)
+    assert turned.tolist() == [False, True] and list(made["bottom"]) == [read, read] and not seen
+
+
+@pytest.mark.parametrize("name", ["reads", "consensus", "sites", "bait", "stem", "subsequence"])
+def test_scores_without_moves_equal_the_full_program(name):
+    rng = random.Random(9)
+    tops = ["".join(rng.choice("ACGTacN") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    bottoms = [t[3:12] + t[14:] if k % 2 else "".join(rng.choice("ACGT") for _ in range(rng.randint(0, 60))) for k, t in enumerate(tops)]
+    scores = align.SCORES[name]
+    full = align._program(tops, bottoms, "local", scores)
+    got = align._reached(align._bytes(tops), align._bytes(bottoms), scores)
+    assert got[0].tolist() == [r["score"] for r in full]
+    assert [(i - 1, j - 1) for i, j in zip(got[1].tolist(), got[2].tolist())] == [(r["ref_end"], r["read_end"]) for r in full]
+    made = align.align_table(tops, bottoms, "local", scores)
+    assert all(list(made[c]) == [r[c] for r in full] for c in made)
+
+
+def test_a_consensus_walks_its_alignments_once(spark):
+    df = spark.createDataFrame([(f"r{k % 3}", f"s{k}", 0, "ACGT--ACGT", "ACGTGGACGT") for k in range(40)], "ref_id string, read_id string, ref_begin int, top string, bottom string")
+    made = pileup.consensus_weighted(pileup.alignment_columns(df))
+    assert {(r["ref_id"], r["consensus"]) for r in made.collect()} == {(f"r{k}", "ACGTGGACGT") for k in range(3)}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    final = plan.partition("== Initial Plan ==")[0]
+    assert final.count("MapInArrow") == 1
