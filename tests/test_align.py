@@ -382,3 +382,24 @@ def test_a_consensus_walks_its_alignments_once(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     final = plan.partition("== Initial Plan ==")[0]
     assert final.count("MapInArrow") == 1
+
+
+def test_pairs_that_cannot_pass_are_left_out_by_their_scores(monkeypatch):
+    rng = random.Random(10)
+    site = "ACGTTGCAACGGCTAGCTCG"
+    reads = ["".join(rng.choice("ACGT") for _ in range(70)) for _ in range(300)]
+    for k in range(0, 300, 3):
+        s = list(site)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(s))
+            s[at : at + 1] = rng.choice(["", "A", "CG", "T"])
+        reads[k] = reads[k][:20] + "".join(s) + reads[k][40:]
+    scores = align.SCORES["sites"]
+    for identity, length in ((0.84, 17), (0.9, 12), (0.95, 20), (1.0, 8)):
+        least = align._passing_score(identity, length, scores)
+        assert least > 0
+        kept = set(align._enough([site] * 300, reads, scores, least).tolist())
+        made = align.align_batch([site] * 300, reads, "local", scores)
+        good = {k for k, r in enumerate(made) if r["identity"] >= identity and r["alnlen"] >= length}
+        assert good <= kept and len(kept) < 200
+    assert align._passing_score(0.3, 20, scores) == 0
