@@ -46,18 +46,24 @@ def library_counts(matches: DataFrame) -> DataFrame:
     return matches.groupBy("sequence", "in_library").agg(F.count("*").alias("n"))
 
 
-def masked_keys(seq: str | Column) -> Column:
-    """(position, sequence without that position) for each position: sequences one substitution apart share one."""
+def gapped_keys(seq: str | Column, parts: int = 4) -> Column:
+    """(part, hash of the sequence without that part) for each of so many parts of the sequence: of two sequences one substitution apart, just those of the part with it are equal."""
     s = F.col(seq) if isinstance(seq, str) else seq
-    return F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.struct(i.alias("p"), F.concat(F.substring(s, F.lit(1), i - 1), F.lit("."), F.substring(s, i + 1, F.length(s))).alias("k")))
+    n = F.length(s)
+    cut = lambda k: F.floor(n * k / parts).cast("int")
+    rest = lambda k: F.xxhash64(F.lit(k), n, F.substring(s, F.lit(1), cut(k)), F.substring(s, cut(k + 1) + 1, n))
+    return F.array(*[F.struct(F.lit(k).alias("p"), rest(k).alias("k")) for k in range(parts)])
 
 
 def correct_one_mismatch(counts: DataFrame) -> DataFrame:
-    """(sequence, in_library, n): unmatched sequences with exactly one library entry one substitution away are added to it."""
-    keyed = counts.select("sequence", "in_library", "n", F.explode(masked_keys("sequence")).alias("m")).select("sequence", "in_library", "n", "m.p", "m.k")
-    lib = keyed.filter("in_library").select("p", "k", F.col("sequence").alias("entry"))
-    near = keyed.filter("not in_library").select("p", "k", "sequence").join(lib, ["p", "k"]).select("sequence", "entry").distinct()
-    single = near.groupBy("sequence").agg(F.count("*").alias("partners"), F.min("entry").alias("entry")).filter("partners = 1").select("sequence", "entry")
+    """(sequence, in_library, n): unmatched sequences with exactly one library entry one substitution away are added to it.
+
+    Sequences meet by three of their four quarters, so each is sent four times whatever its length, and are compared in full then.
+    """
+    keyed = lambda rows, name: rows.select(F.col("sequence").alias(name), F.explode(gapped_keys("sequence")).alias("m")).select(name, "m.p", "m.k")
+    near = keyed(counts.filter("not in_library"), "sequence").join(keyed(counts.filter("in_library"), "entry"), ["p", "k"])
+    near = near.filter((F.length("sequence") == F.length("entry")) & (F.levenshtein("sequence", "entry", 1) == 1))
+    single = near.groupBy("sequence").agg(F.min("entry").alias("entry"), F.max("entry").alias("last")).filter("entry = last").select("sequence", "entry")
     moved = counts.join(single, "sequence", "left")
     target = F.when(~F.col("in_library") & F.col("entry").isNotNull(), F.col("entry")).otherwise(F.col("sequence"))
     return moved.select(target.alias("sequence"), (F.col("in_library") | F.col("entry").isNotNull()).alias("in_library"), "n").groupBy("sequence", "in_library").agg(F.sum("n").alias("n"))

@@ -2,7 +2,9 @@
 
 import random
 
-from seqframe.operators import windows
+from pyspark.sql import functions as F
+
+from seqframe.operators import library, windows
 
 
 def _plan(df):
@@ -20,3 +22,20 @@ def test_peaks_are_made_within_the_row(spark):
         order = lambda t: sorted(map(tuple, t.select("seq_id", "begin", "end", "area", "height", "top").collect()))
         assert order(made) == order(plain)
         assert order(windows.pair_peaks(d, "A", 10, base, largest=True)) == order(windows.max_peak(plain))
+
+
+def test_one_mismatch_by_four_keys_a_sequence(spark):
+    rng = random.Random(7)
+    entries = ["".join(rng.choices("AC", k=rng.choice([1, 3, 7, 21]))) for _ in range(40)]
+    near = [s[:k] + rng.choice("ACGTN") + s[k + 1 :] for s in entries for k in range(len(s))]
+    rows = {s: (s, True, 2) for s in entries}
+    for s in near + ["", "ACGTACGTACGTACGTACGTA"]:
+        rows.setdefault(s, (s, False, 3))
+    counts = spark.createDataFrame(list(rows.values()), "sequence string, in_library boolean, n long")
+    assert counts.select(F.max(F.size(library.gapped_keys("sequence")))).first()[0] == 4
+    want = {}
+    for s, known, n in rows.values():
+        partners = [] if known else [e for e in set(entries) if len(e) == len(s) and sum(a != b for a, b in zip(e, s, strict=True)) == 1]
+        key = (partners[0], True) if len(partners) == 1 else (s, known)
+        want[key] = want.get(key, 0) + n
+    assert {(r["sequence"], r["in_library"]): r["n"] for r in library.correct_one_mismatch(counts).collect()} == want
