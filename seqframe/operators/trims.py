@@ -324,8 +324,9 @@ def clean_short_reads(df: DataFrame, least: int = 26) -> DataFrame:
     """N-trimmed reads without simple, repeated or polymer sequences, one for each sequence with its count, renumbered by sequence."""
     from pyspark.sql import Window
 
-    t = df.withColumn("seq", S.trim_n_longest("seq", least)).filter(F.col("seq").isNotNull())
-    t = t.filter(~S.is_simple("seq") & ~S.is_repeat("seq") & ~S.has_long_polymer("seq"))
+    # an array of the one text, as Spark puts the whole trim into each place of a filter that names it
+    good = lambda s: s.isNotNull() & ~S.is_simple(s) & ~S.is_repeat(s) & ~S.has_long_polymer(s)
+    t = df.select(F.explode(F.filter(F.array(S.trim_n_longest("seq", least)), good)).alias("seq"))
     counts = t.groupBy("seq").agg(F.count("*").alias("n"))
     part = F.substring("seq", 1, 4)
     sizes = counts.groupBy(part.alias("p")).agg(F.count("*").alias("m"))

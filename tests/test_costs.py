@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from seqframe.operators import library, windows
+from seqframe.operators import library, trims, windows
 
 
 def _plan(df):
@@ -39,3 +39,24 @@ def test_one_mismatch_by_four_keys_a_sequence(spark):
         key = (partners[0], True) if len(partners) == 1 else (s, known)
         want[key] = want.get(key, 0) + n
     assert {(r["sequence"], r["in_library"]): r["n"] for r in library.correct_one_mismatch(counts).collect()} == want
+
+
+def test_short_reads_are_trimmed_once_a_row(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ACGTN", (8, 8, 8, 8, 1), k=rng.randint(20, 70))) for _ in range(80)] + ["A" * 40, "A" * 30 + "C" * 3, "NN" + "ACGT" * 8 + "N" + "ACGT" * 8, "A" * 31 + "ACGT" * 9, "a" * 31 + "CGTA" * 9, None, ""]
+    d = spark.createDataFrame([(t,) for t in texts + texts[:9]], "seq string")
+    got = trims.clean_short_reads(d)
+    assert _plan(got).count("split(") <= 2
+
+    def expected(text):
+        parts = [p for p in (text or "").strip("N").split("N") if p]
+        best = max(parts, key=len, default="")
+        runs = max((len(w) for b in "ACGT" for w in "".join(x if x in (b, "N") else " " for x in best).split()), default=0)
+        simple = best and max(best.upper().count(b) for b in "ACGTN") / len(best) > 0.9
+        return best if len(best) >= 26 and not simple and not runs / len(best) > 0.89 and not any(b * 31 in best for b in "ACGT") else None
+
+    want = {}
+    for t in texts + texts[:9]:
+        if best := expected(t):
+            want[best] = want.get(best, 0) + 1
+    assert {r["seq"]: r["n"] for r in got.collect()} == want
