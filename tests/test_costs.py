@@ -3,10 +3,12 @@
 import itertools
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seqframe.functions import sequence as S
 from seqframe.operators import library, trims, windows
+from seqframe.sources import fastq
 
 
 def _plan(df):
@@ -76,3 +78,29 @@ def test_codons_are_looked_up_once(spark):
             codons = [s[k : k + 3] for k in range(0, len(s) - 2, 3)] if s is not None else []
             known = lambda c: S.GENETIC_CODE[sum("TCAG".index(b) * 4 ** (2 - k) for k, b in enumerate(c))] if set(c) <= set("TCAG") else "X"
             assert r["p"] == (None if s is None else "".join(map(known, codons)))
+
+
+def test_whole_records_go_without_a_loop(spark, tmp_path):
+    rng = random.Random(13)
+    want, text = {}, ""
+    for i in range(400):
+        seq = "".join(rng.choices("ACGT", k=rng.randint(1, 30)))
+        qual = "".join(rng.choices("@I5+", k=len(seq)))
+        want[f"r{i}"] = (seq, [ord(c) - 33 for c in qual])
+        text += f"@r{i} t {i}\n{seq}\n+\n{qual}\n"
+    path = tmp_path / "a.fq"
+    path.write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = fastq.read_fastq(spark, str(path)).orderBy("ord").collect()
+    finally:
+        for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+            spark.conf.unset(key)
+    assert [r["read_id"] for r in rows] == list(want)
+    assert {r["read_id"]: (r["seq"], r["qual"]) for r in rows} == want
+    # of the ranges' whole records none is sent a second time for the pieces
+    n = 5
+    batch = pa.RecordBatch.from_pydict({"value": ["a\nAC\n+\nII"] * n, "src": ["f"] * n, "start": pa.array([0] * n, pa.int64()), "length": pa.array([99] * n, pa.int64())})
+    assert [b.num_rows for b in fastq._pieces(False)(iter([batch]))] == [n] and not list(fastq._pieces(True)(iter([batch])))
