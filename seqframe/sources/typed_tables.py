@@ -104,7 +104,22 @@ def problems(tables: dict[str, DataFrame], stored: dict[str, DataFrame] | None =
     """(table_name, column_name, problem, n): what forbids to load these tables (as text or typed) beside the stored ones; empty if nothing does.
 
     At most one row for each table and rule, whatever the number of rows. Columns that the table doesn't have are ignored, missing ones are an error.
+    The tables are staged as text first, as every rule looks at them.
     """
+    return _staged_problems(_staged(tables), stored)
+
+
+def _staged(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The columns of the tables as text, written once to the shared folder."""
+    out = {}
+    for name, df in tables.items():
+        spark, path = df.sparkSession, shared_folder(df.sparkSession, f"staged-{name}")
+        df.select(*[F.col(c).cast("string").alias(c) for c, _, _ in TABLES[name].fields]).write.parquet(path)
+        out[name] = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c, _, _ in TABLES[name].fields])).parquet(path)
+    return out
+
+
+def _staged_problems(tables: dict[str, DataFrame], stored: dict[str, DataFrame] | None = None) -> DataFrame:
     spark = next(iter(tables.values())).sparkSession
     empty = lambda name: spark.createDataFrame([], TABLES[name].schema)
     have = {name: (stored or {}).get(name, empty(name)) for name in TABLES}
@@ -143,12 +158,8 @@ def load_tables(tables: dict[str, DataFrame], target: str) -> str:
     if unknown or not tables:
         raise ValueError(f"no such tables: {unknown}" if unknown else "no tables")
     spark = next(iter(tables.values())).sparkSession
-    staged = {}
-    for name, df in tables.items():
-        path = shared_folder(spark, f"staged-{name}")
-        df.select(*[F.col(c).cast("string").alias(c) for c, _, _ in TABLES[name].fields]).write.parquet(path)
-        staged[name] = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c, _, _ in TABLES[name].fields])).parquet(path)
-    found = problems(staged, {name: stored_table(spark, target, name) for name in TABLES}).collect()
+    staged = _staged(tables)
+    found = _staged_problems(staged, {name: stored_table(spark, target, name) for name in TABLES}).collect()
     if found:
         raise LoadRefused(sorted((r["table_name"], r["column_name"], r["problem"], r["n"]) for r in found))
     load = uuid.uuid4().hex

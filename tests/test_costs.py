@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from seqframe.functions import sequence as S
 from seqframe.operators import library, trims, windows
 from seqframe.plans import q_more
-from seqframe.sources import fastq
+from seqframe.sources import fastq, typed_tables
 
 
 def _plan(df):
@@ -114,3 +114,17 @@ def test_reports_are_written_compressed(spark):
     files = list(pathlib.Path(path.removeprefix("file:")).glob("*.txt.gz"))
     assert len(files) >= 10 and sum(f.stat().st_size for f in files) < 1000 * 300 / 4
     assert spark.read.option("lineSep", "\nQuery=").text(path).filter("value like '%letters%'").count() == 1000
+
+
+def test_tables_are_read_once_before_their_rules(spark):
+    d = spark.createDataFrame([("x", 1, None, None, None, "o")] * 2, "genomicid string, strand int, start_pos int, end_pos int, chromosome string, organism string").withColumn("mol_type", F.lit("m"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    found = typed_tables.problems({"source": d.mapInPandas(count, d.schema)})
+    assert sorted((r["column_name"], r["problem"], r["n"]) for r in found.collect()) == [("genomicid", "repeated key", 2)]
+    assert seen.value == 2
