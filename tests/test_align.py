@@ -403,3 +403,67 @@ def test_pairs_that_cannot_pass_are_left_out_by_their_scores(monkeypatch):
         good = {k for k, r in enumerate(made) if r["identity"] >= identity and r["alnlen"] >= length}
         assert good <= kept and len(kept) < 200
     assert align._passing_score(0.3, 20, scores) == 0
+
+
+def test_a_window_has_one_key_for_both_strands(spark):
+    rng = random.Random(29)
+    letters = lambda n: "".join(rng.choices("ACGT", k=n))
+    back = lambda s: s.translate(str.maketrans("ACGTacgtRYuU", "TGCAtgcaYRAA"))[::-1]
+    refs = [(f"p{k}", letters(40 + k)) for k in range(20)] + [("pal", letters(12) + "ACGTACGGCCGTACGT" + letters(12)), ("long", letters(300)), ("odd", "é" + letters(30) + "ß" + letters(30)), ("none", None)]
+    reads = []
+    for k in range(200):
+        name, seq = refs[k % 23]
+        n = rng.choice([23, 24, 31, 32, 36])
+        at = rng.randrange(len(seq) - n + 1)
+        x = list(seq[at : at + n])
+        if k % 3:
+            x[rng.randrange(n)] = "N"
+        x = "".join(x)
+        reads.append((f"r{k}/{name}", [x, back(x), x.lower(), x.replace("T", "U")][k % 4 if x.isascii() else 0]))
+    reads += [("e", ""), ("n", None)]
+    r, f = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    keys = {x["read_id"]: x["count"] for x in align._block_keys(r, "read_id", False).groupBy("read_id").count().collect()}
+    assert keys == {i: 2 if len(s) >= 32 else 3 for i, s in reads if s and len(s) >= 24}
+    found = {(x["read_id"], x["ref_id"], x["strand"]) for x in align.block_pairs(r, f).collect()}
+    for i, s in reads:
+        if i in keys:
+            k = int(i[1:].split("/")[0])
+            assert (i, i.split("/")[1], "-" if k % 4 == 1 and s.isascii() else "+") in found
+    forward = {(x["read_id"], x["ref_id"], x["strand"]) for x in align.block_pairs(r, f, both_strands=False).collect()}
+    assert forward == {x for x in found if x[2] == "+"}
+    # long texts are cut into pieces
+    every = lambda: {(x["ref_id"], x["key"], x["turned"]) for x in align._block_keys(f, "ref_id", True).collect()}
+    whole, size = every(), align._block_keys(f, "ref_id", True).count()
+    assert size == len(whole)
+    plain, align.LETTERS = align.LETTERS, 50
+    try:
+        assert every() == whole
+    finally:
+        align.LETTERS = plain
+
+
+def test_the_best_of_a_read_is_found_over_batches(spark):
+    rng = random.Random(31)
+    letters = lambda n: "".join(rng.choices("ACGT", k=n))
+    core = letters(40)
+    refs = [(f"p{k}", letters(10) + core[: 30 + k % 11] + letters(20)) for k in range(30)] + [("twin1", letters(70)), ("other", letters(60))]
+    refs.append(("twin0", refs[-2][1]))
+    reads = [("r", core), ("t", refs[-3][1][5:45]), ("x", letters(50)), ("two", core), ("two", letters(45)), (None, core), ("none", None)]
+    r, f = spark.createDataFrame(reads, "read_id string, seq string"), spark.createDataFrame(refs, "ref_id string, seq string")
+    asked = lambda: sorted((x["read_id"], x["ref_id"], x["score"], x["strand"]) for x in align.align_join(r, f, identity=0.85, length=20, top=True).filter("read_id is not null").collect())
+    want = asked()
+    assert want == [("r", "p10", 400, "+"), ("t", "twin0", 400, "+"), ("two", "p10", 400, "+")]
+    for rows, sent in ((1, 0), (2, align.SENT_LETTERS), (3, 0)):
+        plain, align.SENT_LETTERS = align.SENT_LETTERS, sent
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        try:
+            assert asked() == want
+        finally:
+            align.SENT_LETTERS = plain
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_the_best_of_a_read_is_picked_without_a_shuffle_of_alignments(spark):
+    d = spark.createDataFrame([("r", "ACGTTGCA" * 5)], "read_id string, seq string")
+    plan = align.align_join(d, d.withColumnRenamed("read_id", "ref_id"), identity=0.85, length=15, top=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan

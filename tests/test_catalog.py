@@ -112,3 +112,13 @@ def test_consolidated_hits_equal_a_plain_loop(spark):
         assert g["length"] == sum(r[3] for r in kept) and g["score"] == sum(r[9] for r in kept)
         assert abs(g["identity"] - sum(r[2] * r[3] for r in kept) / g["length"]) < 1e-9 and abs(g["kept_ratio"] - len(kept) / len(own)) < 1e-9
         assert (g["evalue_product"] == 0) == any(r[8] < 1e-170 for r in kept)
+
+
+def test_lean_reads_equal_their_view(spark):
+    from seqframe.plans import fixtures
+
+    made, view = fixtures.reads(spark, SF), fixtures.view(spark, SF, "fx_reads")
+    assert made.schema == view.schema  # the SQL view
+    assert made.exceptAll(view).count() == view.exceptAll(made).count() == 0 < view.count()
+    exchanged = [line for line in made._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line]
+    assert exchanged and not any("qual" in line or "seq" in line for line in exchanged)
