@@ -467,3 +467,28 @@ def test_the_best_of_a_read_is_picked_without_a_shuffle_of_alignments(spark):
     d = spark.createDataFrame([("r", "ACGTTGCA" * 5)], "read_id string, seq string")
     plan = align.align_join(d, d.withColumnRenamed("read_id", "ref_id"), identity=0.85, length=15, top=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
+
+
+def test_placed_rows_count_like_columns_without_a_shuffle(spark):
+    rng = random.Random(37)
+    rows = []
+    for k in range(120):
+        top, bottom = [], []
+        for _ in range(rng.randint(0, 25)):
+            x = rng.choice("ACGT-") if k % 3 else rng.choice("ACGT")
+            top.append(x)
+            bottom.append(rng.choice("ACGTNXa") if x == "-" else rng.choice("ACGTNa-"))
+        rows.append((f"r{k}", f"p{k % 4}", rng.randint(0, 9), "".join(top), "".join(bottom), rng.randint(1, 5)))
+    rows += [("e", "p0", 0, "", "", 1), ("n", "p1", 0, None, None, 1)]
+    aln = spark.createDataFrame(rows, "read_id string, ref_id string, ref_begin int, top string, bottom string, n int")
+    plain, placed = pileup.alignment_columns(aln, weight="n"), pileup.placed(aln, weight="n")
+    names = ["ref_id", "pos", "w", "base", "ins"]
+    order = lambda df: sorted(map(tuple, df.collect()))
+    spread = placed.repartition(4, "ref_id")
+    columns = pileup.placed_columns(spread)
+    assert order(columns.select(names)) == order(plain.select(names))
+    for frame in (0, 1, 2):
+        assert order(pileup.placed_codon_counts(placed, frame)) == order(pileup.codon_counts(plain, frame))
+        assert order(pileup.placed_genotype(placed, [1, 3], frame)) == order(pileup.linked_genotype(plain, [1, 3], frame))
+    for made in (pileup.pileup(columns), pileup.coverage_summary(pileup.coverage(columns)), pileup.consensus_weighted(columns), pileup.placed_codon_counts(spread)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
