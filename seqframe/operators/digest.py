@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions import sequence as S
+from seqframe.sources.paths import spread
 
 
 def choose(enzymes: DataFrame, kind: str | None = None, weight_over: float | None = None, weight: float | None = None, names: list[str] | None = None) -> DataFrame:
@@ -22,8 +23,8 @@ def choose(enzymes: DataFrame, kind: str | None = None, weight_over: float | Non
     return enzymes.filter(rule)
 
 
-def expanded_sites(enzymes: DataFrame) -> DataFrame:
-    """(name, word): every unambiguous word that a site or its reverse complement stands for."""
+def site_words(site: Column) -> Column:
+    """Every unambiguous word that a site or its reverse complement stands for."""
     words = F.array(F.lit(""))
     codes = F.create_map(*[F.lit(x) for code, letters in S.IUPAC.items() for x in (code, letters.strip("[]"))])
 
@@ -31,11 +32,19 @@ def expanded_sites(enzymes: DataFrame) -> DataFrame:
         letters = F.coalesce(F.try_element_at(codes, c), c)
         return F.flatten(F.transform(acc, lambda w: F.transform(F.filter(F.split(letters, ""), lambda x: x != ""), lambda x: F.concat(w, x))))
 
-    def every(site: Column) -> Column:
-        return F.aggregate(F.filter(F.split(F.upper(site), ""), lambda x: x != ""), words, grow)
+    def every(text: Column) -> Column:
+        return F.aggregate(F.filter(F.split(F.upper(text), ""), lambda x: x != ""), words, grow)
+
+    return F.array_distinct(F.concat(every(site), every(S.revcomp(site))))
+
+
+def expanded_sites(enzymes: DataFrame) -> DataFrame:
+    """(name, word): every unambiguous word that a site or its reverse complement stands for."""
+    return enzymes.select("name", F.explode(site_words(F.col("site"))).alias("word"))
+
 
-    both = F.array_distinct(F.concat(every(F.col("site")), every(S.revcomp("site"))))
-    return enzymes.select("name", F.explode(both).alias("word"))
+#: So many words of sites are sent to all tasks; more meet the pieces of sequences in a shuffle.
+SENT_WORDS = 10_000
 
 
 def digest(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id", seq: str = "seq") -> DataFrame:
@@ -44,12 +53,15 @@ def digest(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id", seq: str =
     Words of the sites' lengths are looked up by an equi-join, so no sequence meets every enzyme.
     """
     words = expanded_sites(enzymes)
-    lengths = [r[0] for r in words.select(F.length("word")).distinct().collect()]  # a handful of site lengths
+    sizes = words.groupBy(F.length("word")).count().collect()  # a handful of site lengths
+    lengths = [r[0] for r in sizes]
+    if sum(r[1] for r in sizes) <= SENT_WORDS:
+        words = F.broadcast(words)
     s = F.upper(seq)
     at = lambda n: F.when(F.length(s) >= n, F.transform(F.sequence(F.lit(1), F.length(s) - n + 1), lambda i: F.struct(i.alias("pos"), F.substring(s, i, F.lit(n)).alias("word")))).otherwise(F.array().cast("array<struct<pos:int,word:string>>"))
     if not lengths:
         return seqs.select(name, F.lit("").alias("name"), F.lit(0).alias("pos")).limit(0)
-    pieces = seqs.select(name, F.explode(F.concat(*[at(n) for n in sorted(lengths)])).alias("p")).select(name, "p.pos", "p.word")
+    pieces = spread(seqs.select(name, seq)).select(name, F.explode(F.concat(*[at(n) for n in sorted(lengths)])).alias("p")).select(name, "p.pos", "p.word")
     return pieces.join(words, "word").select(name, "name", "pos").distinct()
 
 
@@ -85,12 +97,12 @@ def cut_counts(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id") -> Dat
 
 
 def _classes_not_cutting(seqs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-    """seq_id and ``c``, a row of classes (sites, and more) for each class without a site in the sequence."""
-    cuts = _site_cuts(seqs, classes, name).groupBy(name).agg(F.collect_set("site").alias("cutting"))
-    every = classes.agg(F.collect_list(F.struct(*classes.columns)).alias("every"))  # one row: as many entries as there are different sites
-    joined = seqs.select(name).join(cuts, name, "left").join(F.broadcast(every))
-    cutting = F.coalesce("cutting", F.array().cast("array<string>"))
-    return joined.select(name, F.filter("every", lambda c: ~F.arrays_overlap(c["sites"], cutting)).alias("classes"))
+    """seq_id and ``classes``, the rows of classes (sites, and more) without a site in the sequence; a sequence is looked through within its row."""
+    known = classes.withColumn("words", F.flatten(F.transform("sites", site_words)))
+    every = known.agg(F.collect_list(F.struct(*known.columns)).alias("every"))  # one row: as many entries as there are different sites
+    rows = spread(seqs.select(name, F.upper("seq").alias("text"))).join(F.broadcast(every))
+    cuts = lambda c: F.coalesce(F.exists(c["words"], lambda w: F.contains(F.col("text"), w)), F.lit(False))
+    return rows.select(name, F.filter("every", lambda c: ~cuts(c)).alias("classes"))
 
 
 def not_cutting(seqs: DataFrame, enzymes: DataFrame, name: str = "seq_id") -> DataFrame:

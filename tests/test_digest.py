@@ -1,5 +1,7 @@
 """Digests against plain search, and enzymes that share their sites."""
 
+import random
+
 import pytest
 
 from seqframe.operators import digest
@@ -38,3 +40,24 @@ def test_enzymes_with_one_site_are_looked_up_once(spark, tables):
     assert digest._site_cuts(tables[0], digest.site_classes(many), "seq_id").count() == 3 - 1
     assert {r["n_cuts"] for r in digest.cut_counts(tables[0], many).collect()} == {2}
     assert {r["seq_id"]: r["n"] for r in digest.not_cutting_counts(tables[0], many).collect()} == {"s2": 5000, "s4": 5000}
+
+
+def test_sequences_are_looked_through_in_their_rows(spark):
+    rng = random.Random(3)
+    seqs = [(f"s{k}", "".join(rng.choices("ACGTacgtN", k=rng.randint(0, 40)))) for k in range(60)] + [("none", None), ("empty", "")]
+    sites = ["ACGT", "GGCC", "ANNT", "RGCY", "TTA", "acg", "", None]
+    enzymes = [(f"e{k}", sites[k % 8]) for k in range(24)] + [("two", "ACGT"), ("two", "GGA")]
+    s, e = spark.createDataFrame(seqs, "seq_id string, seq string"), spark.createDataFrame(enzymes, "name string, site string")
+    cutting = {(r["seq_id"], r["name"]) for r in digest.digest(s, e).select("seq_id", "name").distinct().collect()}
+    want = {(i, n) for i, _ in seqs for n, _ in enzymes} - cutting
+    assert {(r["seq_id"], r["name"]) for r in digest.not_cutting(s, e).collect()} == want
+    counts = digest.not_cutting_counts(s, e)
+    assert {r["seq_id"]: r["n"] for r in counts.collect()} == {i: sum(x == i for x, _ in want) for i in {x for x, _ in want}}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "collect_set(site" not in plan
+    few = digest.digest(s, e)
+    plain, digest.SENT_WORDS = digest.SENT_WORDS, 0
+    try:
+        assert sorted(digest.digest(s, e).collect()) == sorted(few.collect())
+    finally:
+        digest.SENT_WORDS = plain
